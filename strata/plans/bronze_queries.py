@@ -1 +1,228 @@
-"""(filled in below)."""
+"""Bronze shaping queries over payloads derived from the driver's tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from ..functions.schemas import MEASURES, envelope
+from ..session import scratch_path
+from ..sinks.writers import land_text, write_csv
+from ..sources import adapters as A
+from ..sources.bronze import (binary_files, csv_rows_to_envelopes, document_envelope, history_window, manifest,
+                              preferred_file, shape_weather_archive, shape_weather_current)
+from ..sources.readers import read_bronze, read_csv_strings
+from .oracle_sql import WEATHER
+from .registry import register
+from .silver_queries import land_weather_bronze
+
+CITIES_SQL = A.cities_values_sql()
+
+
+def flat_envelope(df: DataFrame, keys, units: bool = False) -> DataFrame:
+    cols = [*keys, "ingest_ts", "source", "domain", F.col("metadata.author_surname").alias("author_surname"),
+            "payload.city", "payload.latitude", "payload.longitude", "payload.elevation", "payload.timezone",
+            "payload.timezone_abbreviation", *[f"payload.{m}" for m in MEASURES], "payload.event_time"]
+    if units:
+        cols.append(F.col("payload.units.temperature_2m").alias("unit_temperature"))
+    return df.select(*cols)
+
+
+def current_rows(spark, sf_dir):
+    return shape_weather_current(A.current_payloads(spark, sf_dir), keep=("response_id",))
+
+
+def archive_rows(spark, sf_dir):
+    return shape_weather_archive(A.archive_payloads(spark, sf_dir), keep=("response_id",))
+
+
+_CURRENT_CTES = f"""w AS ({WEATHER}),
+r AS (SELECT event_id // 10 AS response_id, max(ingest_ts) AS fetched_at FROM w GROUP BY 1),
+it AS (SELECT *, event_id // 10 AS response_id,
+       row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS pos FROM w WHERE event_id % 7 <> 3),
+it2 AS (SELECT * FROM it WHERE response_id % 5 <> 0 OR pos = 0),
+joined AS (SELECT r.response_id, cities.pos AS city_pos, r.fetched_at, cities.city, cities.city_lat,
+       cities.city_lon, it2.* EXCLUDE (response_id, city, pos) FROM r CROSS JOIN {CITIES_SQL}
+       LEFT JOIN it2 ON it2.response_id = r.response_id AND it2.pos = cities.pos)"""
+
+_CURRENT_SELECT = """response_id, city_pos, fetched_at AS ingest_ts, 'current_api' AS source, 'weather' AS domain,
+  'owner' AS author_surname, city, coalesce(latitude, city_lat) AS latitude, coalesce(longitude, city_lon) AS longitude,
+  elevation, timezone, timezone_abbreviation, temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m,
+  event_time"""
+
+
+@register("bronze_weather_current", f"""WITH {_CURRENT_CTES} SELECT {_CURRENT_SELECT},
+    CASE WHEN event_id IS NOT NULL THEN '°C' END AS unit_temperature FROM joined""")
+def q_bronze_weather_current(spark, sf_dir):
+    return flat_envelope(current_rows(spark, sf_dir), ["response_id", "city_pos"], units=True)
+
+
+@register("positional_city_join", f"""WITH {_CURRENT_CTES} SELECT response_id, city_pos, city,
+    event_id IS NOT NULL AS has_item, coalesce(latitude, city_lat) AS latitude FROM joined""")
+def q_positional_city_join(spark, sf_dir):
+    df = current_rows(spark, sf_dir)
+    return df.select("response_id", "city_pos", "payload.city",
+                     F.col("payload.event_time").isNotNull().alias("has_item"), "payload.latitude")
+
+
+_ARCHIVE_CTES = f"""w AS ({WEATHER}),
+a AS (SELECT *, event_id // 100 AS response_id, event_id % 12 AS c,
+      row_number() OVER (PARTITION BY event_id // 100, event_id % 12 ORDER BY event_id) - 1 AS h,
+      count(*) OVER (PARTITION BY event_id // 100, event_id % 12) AS n,
+      first_value(latitude) OVER (PARTITION BY event_id // 100, event_id % 12 ORDER BY event_id) AS item_lat,
+      first_value(longitude) OVER (PARTITION BY event_id // 100, event_id % 12 ORDER BY event_id) AS item_lon,
+      max(ingest_ts) OVER (PARTITION BY event_id // 100) AS fetched_at FROM w),
+z AS (SELECT a.* EXCLUDE (city), cities.city FROM a JOIN {CITIES_SQL} ON cities.pos = a.c)"""
+
+
+@register("bronze_weather_archive", f"""WITH {_ARCHIVE_CTES} SELECT response_id, c AS city_pos, h AS hour_pos,
+    fetched_at AS ingest_ts, 'archive_api' AS source, 'weather' AS domain, 'owner' AS author_surname, city,
+    item_lat AS latitude, item_lon AS longitude, CAST(NULL AS DOUBLE) AS elevation, 'Europe/Kyiv' AS timezone,
+    CAST(NULL AS VARCHAR) AS timezone_abbreviation,
+    CASE WHEN h < greatest(n - 2, 1) THEN temperature_2m END AS temperature_2m, relative_humidity_2m,
+    precipitation, wind_speed_10m, event_time FROM z""")
+def q_bronze_weather_archive(spark, sf_dir):
+    return flat_envelope(archive_rows(spark, sf_dir), ["response_id", "city_pos", "hour_pos"])
+
+
+@register("parallel_array_zip", f"""WITH {_ARCHIVE_CTES} SELECT response_id, city_pos, hour_pos, event_time,
+    temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m FROM (SELECT response_id, c AS city_pos,
+    h AS hour_pos, event_time, CASE WHEN h < greatest(n - 2, 1) THEN temperature_2m END AS temperature_2m,
+    relative_humidity_2m, precipitation, wind_speed_10m FROM z) t""")
+def q_parallel_array_zip(spark, sf_dir):
+    df = archive_rows(spark, sf_dir)
+    return df.select("response_id", "city_pos", "hour_pos", "payload.event_time",
+                     *[f"payload.{m}" for m in MEASURES])
+
+
+# --- alerts: header CSV -> envelope JSON lines (#3) ----------------------------
+ALERTS_SQL = """SELECT CAST(event_id AS @S@) AS alert_id, concat('region_', CAST(user_id % 25 AS @S@)) AS region,
+  strftime_placeholder AS started_at, CAST(event_id % 120 AS @S@) AS duration_min
+  FROM {events} WHERE event_type = 'error'"""
+
+
+def _alerts_sql(engine: str) -> str:
+    fmt = ("date_format(ts, 'yyyy-MM-dd HH:mm:ss')" if engine == "spark"
+           else "strftime(ts, '%Y-%m-%d %H:%M:%S')")
+    return A.render(ALERTS_SQL.replace("strftime_placeholder", fmt), engine)
+
+
+_ALERTS_CSV: dict = {}
+
+
+def land_alerts_csv(spark: SparkSession, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ALERTS_CSV:
+        rows = spark.sql(_alerts_sql("spark"), events=A.table(spark, sf_dir, "events"))
+        _ALERTS_CSV[key] = write_csv(rows, scratch_path(spark, "alerts_csv"))
+    return _ALERTS_CSV[key]
+
+
+def alerts_envelopes(spark: SparkSession, csv_path: str, fetched_at: str = A.FETCHED_AT,
+                     source: str = "alerts_csv", owner: str = A.OWNER) -> DataFrame:
+    return csv_rows_to_envelopes(read_csv_strings(spark, csv_path), fetched_at, source, owner)
+
+
+@register("bronze_alerts_csv", f"""SELECT '{A.FETCHED_AT}' AS ingest_ts, 'alerts_csv' AS source, 'alerts' AS domain,
+    'owner' AS author_surname, alert_id, region, started_at, duration_min FROM ({_alerts_sql('duckdb')}) t""")
+def q_bronze_alerts_csv(spark, sf_dir):
+    env = alerts_envelopes(spark, land_alerts_csv(spark, sf_dir))
+    return env.select("ingest_ts", "source", "domain", F.col("metadata.author_surname").alias("author_surname"),
+                      "payload.*")
+
+
+# --- whole JSON documents, pretty-printed, one per file (#4) -------------------
+ROADS_DOC_DIV = 1000
+ROADS_PAYLOAD = T.StructType([
+    T.StructField("generator", T.StringType()),
+    T.StructField("elements", T.ArrayType(T.StructType([
+        T.StructField("type", T.StringType()), T.StructField("id", T.LongType()),
+        T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())]))),
+])
+_DOCS: dict = {}
+
+
+def land_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Raw documents (JSON text) -> envelopes -> pretty JSON, one file per document.
+
+    A document groups 1000 consecutive events, so its size is bounded."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DOCS:
+        w = A.weather_records(spark, sf_dir)
+        el = F.struct(F.lit("node").alias("type"), F.col("event_id").alias("id"),
+                      F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+        docs = (w.groupBy(F.expr(f"event_id div {ROADS_DOC_DIV}").alias("doc_id"))
+                .agg(F.sort_array(F.collect_list(el)).alias("elements"))
+                .select("doc_id", F.to_json(F.struct(F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+                                                     .alias("generator"), "elements")).alias("raw")))
+        env = document_envelope(docs, "raw", ROADS_PAYLOAD, A.FETCHED_AT, "roads_osm", A.OWNER)
+        pretty = env.select(F.to_json(F.struct("ingest_ts", "source", "domain", "metadata", "payload"),
+                                      {"pretty": "true"}).alias("value"),
+                            F.regexp_extract(F.col("payload.generator"), "doc-([0-9]+)", 1).alias("doc"))
+        _DOCS[key] = land_text(pretty, "value", scratch_path(spark, "roads"), ["doc"])
+    return _DOCS[key]
+
+
+def read_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Each file is one (multi-line) JSON value."""
+    return (spark.read.schema(envelope(ROADS_PAYLOAD)).option("multiLine", True)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").json(root))
+
+
+@register("bronze_json_document", f"""WITH w AS ({WEATHER}) SELECT concat('doc-', CAST(event_id // {ROADS_DOC_DIV}
+    AS VARCHAR)) AS generator, count(*) AS n_elements, min(event_id) AS min_id, max(event_id) AS max_id,
+    'roads' AS domain, 'roads_osm' AS source, 'owner' AS author_surname, '{A.FETCHED_AT}' AS ingest_ts
+    FROM w GROUP BY event_id // {ROADS_DOC_DIV}""")
+def q_bronze_json_document(spark, sf_dir):
+    d = read_documents(spark, land_documents(spark, sf_dir))
+    ids = F.transform("payload.elements", lambda e: e["id"])
+    return d.select("payload.generator", F.size("payload.elements").cast("bigint").alias("n_elements"),
+                    F.array_min(ids).alias("min_id"), F.array_max(ids).alias("max_id"), "domain", "source",
+                    F.col("metadata.author_surname").alias("author_surname"), "ingest_ts")
+
+
+@register("bronze_binary_landing")
+def q_bronze_binary_landing(spark, sf_dir):
+    """The driver's parquet files as opaque blobs: name, size, content digest."""
+    b = binary_files(spark, f"{sf_dir}/*.parquet")
+    return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length",
+                    F.md5("content").alias("content_md5"))
+
+
+@register("bronze_manifest", f"""WITH w AS ({WEATHER}) SELECT 'owner' AS author_surname, domain, source,
+    CASE source WHEN 'current_api' THEN 'https://example.invalid/current'
+                ELSE 'https://example.invalid/archive' END AS source_url,
+    max(ingest_ts) AS fetched_at, 'application/json' AS content_type, ingest_date, hour, 'txt' AS stored_ext
+    FROM w GROUP BY domain, source, ingest_date, hour""")
+def q_bronze_manifest(spark, sf_dir):
+    b = read_bronze(spark, land_weather_bronze(spark, sf_dir))
+    per_file = b.groupBy("file_path", "ingest_date", "hour").agg(F.max("ingest_ts").alias("fetched_at"))
+    m = manifest(per_file, A.OWNER, {"current_api": "https://example.invalid/current",
+                                     "archive_api": "https://example.invalid/archive"}, "application/json")
+    return m.join(per_file.select("file_path", "ingest_date", "hour"), "file_path").select(
+        "author_surname", "domain", "source", "source_url", "fetched_at", "content_type", "ingest_date", "hour",
+        F.regexp_extract("stored_file", r"\.([a-z]+)$", 1).alias("stored_ext"))
+
+
+LISTING_SQL = """SELECT concat(CASE p_partkey % 4 WHEN 0 THEN 'datasets/' WHEN 1 THEN 'archive/' ELSE 'data/' END,
+  'p', CAST(p_partkey AS @S@),
+  CASE WHEN p_partkey % 4999 = 0 THEN '_official_data_en.csv' WHEN p_partkey % 997 = 0 THEN '_official_en.csv'
+       WHEN p_partkey % 3 = 0 THEN '_official.csv' WHEN p_partkey % 2 = 0 THEN '.json' ELSE '.csv' END) AS path,
+  p_partkey AS pos FROM {part}"""
+
+
+@register("preferred_file", f"""SELECT path, pos, priority FROM (SELECT path, pos,
+    CASE WHEN ends_with(path, 'official_data_en.csv') THEN 0 WHEN ends_with(path, 'official_en.csv') THEN 1
+         WHEN starts_with(path, 'datasets/') AND contains(path, 'official') AND ends_with(path, '.csv') THEN 2
+    END AS priority FROM ({A.render(LISTING_SQL, 'duckdb')}) l) t WHERE priority IS NOT NULL
+    ORDER BY priority, pos LIMIT 1""")
+def q_preferred_file(spark, sf_dir):
+    return preferred_file(A.run_sql(spark, sf_dir, LISTING_SQL))
+
+
+@register("history_window", """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-30' - 6 AND DATE '2024-01-30'""")
+def q_history_window(spark, sf_dir):
+    e = A.table(spark, sf_dir, "events").select("event_id", "ts")
+    return history_window(e, "ts", "2024-01-30", 7).select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
