@@ -55,11 +55,13 @@ typed AS (SELECT event_id, {TYPED_COLS}, 'owner' AS gold_author_surname, 1 AS sc
 clean AS (SELECT * FROM typed WHERE {MOBILITY_COND})
 """
 
-# Modeling set: typed + event_ts, cleaned with the ML rules.
+# Modeling set: typed + event_ts + owner, cleaned with the ML rules.
+_MOBILITY_NAMES = ", ".join(n for n, _ in MOBILITY_COLUMNS)
 MODEL_CTES = f"""
 mp AS ({MOBILITY}),
-typed AS (SELECT event_id, {TYPED_COLS}, 'owner' AS gold_author_surname, 1 AS schema_v FROM mp),
-timed AS (SELECT *, CASE WHEN time_unix BETWEEN -9223372036 AND 9223372036
-                         THEN to_timestamp(time_unix) END AS event_ts FROM typed),
+typed AS (SELECT event_id, {TYPED_COLS} FROM mp),
+timed AS (SELECT event_id, {_MOBILITY_NAMES}, CASE WHEN time_unix BETWEEN -9223372036 AND 9223372036
+                         THEN CAST(to_timestamp(time_unix) AS TIMESTAMP) END AS event_ts,
+                         'owner' AS model_author_surname FROM typed),
 model AS (SELECT * FROM timed WHERE {MODELING_COND})
 """
