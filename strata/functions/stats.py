@@ -148,3 +148,26 @@ def exact_mode(df: DataFrame, col: str):
 
 def to_float(v):
     return float(v) if isinstance(v, Decimal) else v
+
+
+def running_sum_before(df: DataFrame, order_col: str, value_col: str, parts: int | None = None) -> DataFrame:
+    """Adds ``<value_col>_before``: the sum of ``value_col`` over rows with a
+    smaller ``order_col`` (one row per distinct ``order_col`` expected).
+
+    A distributed prefix sum: range-partition on the order column, a window
+    inside each range partition, and per-partition offsets from a table of
+    ``parts`` rows (broadcast: its size is the partition count, not the data).
+    Never a single-partition window over the whole input."""
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    p = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = (df.repartitionByRange(p, order_col).withColumn("_pid", F.spark_partition_id()))
+    local = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    r = r.withColumn("_local", F.coalesce(F.sum(value_col).over(local), F.lit(0)))
+    totals = r.groupBy("_pid").agg(F.sum(value_col).alias("_tot"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    return (r.join(F.broadcast(offsets), "_pid")
+            .withColumn(f"{value_col}_before", F.col("_local") + F.col("_off"))
+            .drop("_pid", "_local", "_off"))
