@@ -30,75 +30,95 @@ def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def _window_filter(windows: dict) -> Column:
-    cond = F.lit(False)
-    for name, (lo, hi) in windows.items():
-        c = F.col("name") == name
-        if lo is not None:
-            c = c & (F.col("value") >= lo)
-        if hi is not None:
-            c = c & (F.col("value") <= hi)
-        cond = cond | c
-    return cond
+def _in_window(name: str, lo, hi) -> Column:
+    """Rows of ``name`` strictly between the (exclusive) bounds."""
+    c = F.col("name") == name
+    if lo is not None:
+        c = c & (F.col("value") > lo)
+    if hi is not None:
+        c = c & (F.col("value") < hi)
+    return c
 
 
 def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collect: int = 200_000,
                     accuracy: int = 10_000) -> dict[str, dict[int, float]]:
-    """Exact value at each 0-based rank (ascending) per name of a (name, value) frame."""
-    windows = {n: (None, None) for n in wanted}  # inclusive value bounds
-    below = {n: 0 for n in wanted}               # exact count of values under the window
-    todo = {n: sorted(set(r)) for n, r in wanted.items() if r}
+    """Exact value at each 0-based rank (ascending) per name of a (name, value) frame.
+
+    Every (name, rank) target keeps an open value window and the exact count of
+    values at or below its lower bound.  A candidate q is the answer iff
+    count(v < q) <= rank < count(v <= q).  Per round, one aggregate sizes all
+    windows; windows of at most ``max_collect`` rows are resolved from their
+    ``(value, count)`` pairs; for larger ones three ``percentile_approx``
+    candidates around the target are checked with exact counts, and the window
+    shrinks to the tightest candidates on either side (strict progress every
+    round).  Nothing unbounded is ever collected."""
+    targets = [(n, r) for n, ranks in wanted.items() for r in sorted(set(ranks))]
+    win = {t: (None, None) for t in targets}
+    below = {t: 0 for t in targets}
     out: dict[str, dict[int, float]] = {n: {} for n in wanted}
-    margin = 4.0 / accuracy
-    for _ in range(64):
+    todo = list(targets)
+    margin = 2.0 / accuracy
+    for _ in range(100):
         if not todo:
             break
-        scoped = long_df.where(_window_filter({n: windows[n] for n in todo}))
-        sizes = dict(scoped.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect())
-        small = [n for n in todo if sizes.get(n, 0) <= max_collect]
+        conds = {t: _in_window(t[0], *win[t]) for t in todo}
+        sizes_row = long_df.agg(*[F.count_if(conds[t]).alias(f"s{i}") for i, t in enumerate(todo)]).first()
+        sizes = {t: sizes_row[f"s{i}"] for i, t in enumerate(todo)}
+        small = [t for t in todo if sizes[t] <= max_collect]
         if small:
-            rows = (scoped.where(F.col("name").isin(small)).groupBy("name", "value")
-                    .agg(F.count(F.lit(1)).alias("c")).collect())
-            by_name: dict[str, list] = {}
-            for r in rows:
-                by_name.setdefault(r["name"], []).append((r["value"], r["c"]))
-            for n in small:
-                pairs = sorted(by_name.get(n, []))
-                cum, i = below[n], 0
-                for rank in todo[n]:
-                    while i < len(pairs) and cum + pairs[i][1] <= rank:
-                        cum += pairs[i][1]
-                        i += 1
-                    if i < len(pairs):
-                        out[n][rank] = pairs[i][0]
-                del todo[n]
-        big = [n for n in todo]
-        if not big:
-            continue
-        # Narrow each large window around its lowest and highest wanted rank.
+            tag = F.filter(F.array(*[F.when(conds[t], F.lit(i)) for i, t in enumerate(todo) if t in small]),
+                           lambda x: x.isNotNull())
+            pairs = (long_df.select(F.explode(tag).alias("tid"), "value").groupBy("tid", "value")
+                     .agg(F.count(F.lit(1)).alias("c")).collect())
+            by_tid: dict[int, list] = {}
+            for r in pairs:
+                by_tid.setdefault(r["tid"], []).append((r["value"], r["c"]))
+            for i, t in enumerate(todo):
+                if t in small:
+                    cum = below[t]
+                    for value, c in sorted(by_tid.get(i, [])):
+                        if cum + c > t[1]:
+                            out[t[0]][t[1]] = value
+                            break
+                        cum += c
+        todo = [t for t in todo if t not in small]
+        if not todo:
+            break
         aggs = []
-        for j, n in enumerate(big):
-            size = sizes[n]
-            lo_p = max(0.0, (todo[n][0] - below[n]) / size - margin)
-            hi_p = min(1.0, (todo[n][-1] - below[n] + 1) / size + margin)
-            aggs.append(F.percentile_approx(F.when(F.col("name") == n, F.col("value")),
-                                            F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias(f"q{j}"))
-        qs = scoped.where(F.col("name").isin(big)).agg(*aggs).first()
+        for i, t in enumerate(todo):
+            p = (t[1] - below[t] + 0.5) / sizes[t]
+            probes = [max(0.0, p - margin), p, min(1.0, p + margin)]
+            aggs.append(F.percentile_approx(F.when(conds[t], F.col("value")), F.array(*map(F.lit, probes)),
+                                            accuracy).alias(f"q{i}"))
+        qs = long_df.agg(*aggs).first()
         counts = []
-        for j, n in enumerate(big):
-            a, b = qs[f"q{j}"]
-            counts += [F.count_if((F.col("name") == n) & (F.col("value") < a)).alias(f"lt{j}"),
-                       F.count_if((F.col("name") == n) & (F.col("value") <= b)).alias(f"le{j}")]
-        cnt = scoped.where(F.col("name").isin(big)).agg(*counts).first()
-        for j, n in enumerate(big):
-            a, b = qs[f"q{j}"]
-            lo_rank = below[n] + cnt[f"lt{j}"]
-            hi_rank = below[n] + cnt[f"le{j}"] - 1
-            if lo_rank <= todo[n][0] and todo[n][-1] <= hi_rank:
-                windows[n] = (a, b)
-                below[n] = lo_rank
-            # else: the sketch missed (rare); retry the same window with a wider margin
-        margin *= 2
+        for i, t in enumerate(todo):
+            for j, q in enumerate(qs[f"q{i}"]):
+                counts += [F.count_if(conds[t] & (F.col("value") < q)).alias(f"lt{i}_{j}"),
+                           F.count_if(conds[t] & (F.col("value") <= q)).alias(f"le{i}_{j}")]
+        cnt = long_df.agg(*counts).first()
+        still = []
+        for i, t in enumerate(todo):
+            rel = t[1] - below[t]
+            lo, hi = win[t]
+            new_lo, new_below = lo, below[t]
+            done = False
+            for j, q in enumerate(qs[f"q{i}"]):
+                lt, le = cnt[f"lt{i}_{j}"], cnt[f"le{i}_{j}"]
+                if lt <= rel < le:
+                    out[t[0]][t[1]] = q
+                    done = True
+                    break
+                if le <= rel and (new_lo is None or q > new_lo):
+                    new_lo, new_below = q, below[t] + le   # everything <= q lies below the target
+                if lt > rel and (hi is None or q < hi):
+                    hi = q                                  # the target lies below q
+            if not done:
+                win[t], below[t] = (new_lo, hi), new_below
+                still.append(t)
+        todo = still
+    if todo:
+        raise RuntimeError(f"exact selection did not converge for {todo}")
     return out
 
 

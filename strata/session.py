@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small stages keep ~one task per core (parallelismFirst is on); no effect on large data.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
