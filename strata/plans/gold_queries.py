@@ -143,6 +143,7 @@ def run_gold(spark: SparkSession, sf_dir: str, root: str | None = None, batch_id
             out = fn(clean).withColumns({"gold_author_surname": F.lit(owner), "schema_v": F.lit(1),
                                           "batch_id": F.lit(batch_id)})
             paths[name] = write_gold_csv(out, versioned_path(root, name, batch_id))
+            paths[name + ":columns"] = out.columns
     finally:
         clean.unpersist()
     return paths
@@ -160,7 +161,8 @@ def gold_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 @register("write_gold_csv", f"WITH {GOLD_CTES} {_METRIC_SQL['route_performance_daily']}")
 def q_write_gold_csv(spark, sf_dir):
-    back = read_gold_metric(spark, gold_paths(spark, sf_dir)["route_performance_daily"])
+    runs = gold_paths(spark, sf_dir)
+    back = read_gold_metric(spark, runs["route_performance_daily"], runs["route_performance_daily:columns"])
     typed = back.select(
         "ingest_date", F.col("route_id").cast("bigint").alias("route_id"),
         F.col("vehicles_cnt").cast("bigint").alias("vehicles_cnt"),
@@ -173,7 +175,8 @@ def q_write_gold_csv(spark, sf_dir):
     SELECT 'traffic_activity_daily' AS metric, count(*) AS total_rows,
            count(DISTINCT ingest_date) AS n_partitions FROM r""")
 def q_read_gold_metric(spark, sf_dir):
-    back = read_gold_metric(spark, gold_paths(spark, sf_dir)["traffic_activity_daily"])
+    runs = gold_paths(spark, sf_dir)
+    back = read_gold_metric(spark, runs["traffic_activity_daily"], runs["traffic_activity_daily:columns"])
     return back.agg(F.lit("traffic_activity_daily").alias("metric"), F.count(F.lit(1)).alias("total_rows"),
                     F.countDistinct("p_ingest_date").alias("n_partitions"))
 

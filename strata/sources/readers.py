@@ -74,8 +74,15 @@ def read_csv_typed(spark: SparkSession, path: str, index_cols=(), extra=()) -> D
             .option("pathGlobFilter", "*.csv").csv(path))
 
 
-def read_gold_metric(spark: SparkSession, path: str) -> DataFrame:
-    df = read_csv_strings(spark, path)
+def read_gold_metric(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """A written metric (header CSV under ``p_<col>=`` folders).  With ``columns``
+    the read needs no header inference, so an empty metric reads back empty."""
+    if columns:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        df = (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "*.csv").csv(path))
+    else:
+        df = read_csv_strings(spark, path)
     fp = file_path_col()
     return df.select("*", path_value(fp, "p_ingest_date", r"[0-9\-]+").alias("p_ingest_date"),
                      fp.alias("file_path"))
