@@ -40,7 +40,7 @@ def _in_window(name: str, lo, hi) -> Column:
     return c
 
 
-def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collect: int = 200_000,
+def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collect: int = 50_000,
                     accuracy: int = 10_000) -> dict[str, dict[int, float]]:
     """Exact value at each 0-based rank (ascending) per name of a (name, value) frame.
 
@@ -61,26 +61,42 @@ def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collec
     for _ in range(100):
         if not todo:
             break
-        conds = {t: _in_window(t[0], *win[t]) for t in todo}
-        sizes_row = long_df.agg(*[F.count_if(conds[t]).alias(f"s{i}") for i, t in enumerate(todo)]).first()
-        sizes = {t: sizes_row[f"s{i}"] for i, t in enumerate(todo)}
-        small = [t for t in todo if sizes[t] <= max_collect]
-        if small:
-            tag = F.filter(F.array(*[F.when(conds[t], F.lit(i)) for i, t in enumerate(todo) if t in small]),
+        # Targets of one column that share a window share one scan slot and one collect.
+        groups: dict[tuple, list] = {}
+        for t in todo:
+            groups.setdefault((t[0], *win[t]), []).append(t)
+        gkeys = list(groups)
+        gconds = {g: _in_window(*g) for g in gkeys}
+        conds = {t: gconds[(t[0], *win[t])] for t in todo}
+        sizes_row = long_df.agg(*[e for i, g in enumerate(gkeys) for e in (
+            F.count_if(gconds[g]).alias(f"s{i}"),
+            F.approx_count_distinct(F.when(gconds[g], F.col("value")), 0.05).alias(f"d{i}"))]).first()
+        sizes = {g: sizes_row[f"s{i}"] for i, g in enumerate(gkeys)}
+        # (value, count) pairs are bounded by distinct values: collect a window when
+        # its rows, or (with margin for the sketch error) its distinct values, are few.
+        small_g = [g for i, g in enumerate(gkeys)
+                   if sizes[g] <= max_collect or sizes_row[f"d{i}"] <= max_collect // 2]
+        small = [t for g in small_g for t in groups[g]]
+        if small_g:
+            tag = F.filter(F.array(*[F.when(gconds[g], F.lit(i)) for i, g in enumerate(gkeys) if g in small_g]),
                            lambda x: x.isNotNull())
-            pairs = (long_df.select(F.explode(tag).alias("tid"), "value").groupBy("tid", "value")
+            pairs = (long_df.select(F.explode(tag).alias("gid"), "value").groupBy("gid", "value")
                      .agg(F.count(F.lit(1)).alias("c")).collect())
-            by_tid: dict[int, list] = {}
+            by_gid: dict[int, list] = {}
             for r in pairs:
-                by_tid.setdefault(r["tid"], []).append((r["value"], r["c"]))
-            for i, t in enumerate(todo):
-                if t in small:
+                by_gid.setdefault(r["gid"], []).append((r["value"], r["c"]))
+            for i, g in enumerate(gkeys):
+                if g not in small_g:
+                    continue
+                vals = sorted(by_gid.get(i, []))
+                for t in groups[g]:
                     cum = below[t]
-                    for value, c in sorted(by_tid.get(i, [])):
+                    for value, c in vals:
                         if cum + c > t[1]:
                             out[t[0]][t[1]] = value
                             break
                         cum += c
+        sizes = {t: sizes[(t[0], *win[t])] for t in todo}
         todo = [t for t in todo if t not in small]
         if not todo:
             break

@@ -102,12 +102,12 @@ def fit_linear_regression(train: DataFrame, prep: Prep, label: str) -> PipelineM
 
 
 def fit_logistic_regression(train: DataFrame, prep: Prep, label: str, c: float = 1.0, max_iter: int = 1000,
-                            n_train: int | None = None) -> PipelineModel:
+                            n_train: int | None = None, tol: float = 1e-4) -> PipelineModel:
     """L2 logistic regression equal to C * sum(loss) + 0.5 * |w|^2, i.e.
     Spark's mean loss + regParam * 0.5 * |w|^2 with regParam = 1 / (C * n)."""
     n = n_train or train.count()
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-6, family="binomial")
+                            standardization=False, maxIter=max_iter, tol=tol, family="binomial")
     return Pipeline(stages=[*prep.stages, lr]).fit(train)
 
 
@@ -135,6 +135,13 @@ def top_coefficients(coefs: DataFrame, n: int = 20) -> DataFrame:
 
 
 # --- K-means -----------------------------------------------------------------------
+def kmeans_tol(k: int, tol: float = 1e-4, mean_variance: float = 1.0) -> float:
+    """Spark's per-center movement bound equivalent to stopping when the summed
+    squared center shift is <= tol * mean feature variance (1 for standardized
+    features): every center moving less than sqrt(tol * var / k) guarantees it."""
+    return (tol * mean_variance / k) ** 0.5
+
+
 def fit_kmeans_best(data: DataFrame, k: int = 4, n_init: int = 20, seed: int = 42, max_iter: int = 300,
                     tol: float = 1e-4, parallel: int = 4):
     """Best of ``n_init`` K-means fits (lowest training cost).  The input is
@@ -143,7 +150,7 @@ def fit_kmeans_best(data: DataFrame, k: int = 4, n_init: int = 20, seed: int = 4
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def one(i):
-            return KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features",
+            return KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=kmeans_tol(k, tol), featuresCol="features",
                           predictionCol="cluster_id").fit(data)
         with cf.ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
             models = list(ex.map(one, range(n_init)))

@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..sinks.writers import write_json_rows
 from ..sources.adapters import OWNER
 from .oracle_sql import MODEL_CTES
-from .profile_queries import modeling_set
+from .profile_queries import modeling_cached
 from .registry import register
 
 _STATE: dict = {}
@@ -35,7 +35,7 @@ class MLState:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.model = modeling_set(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        self.model = modeling_cached(spark, sf_dir)
         self._cache = {}
 
     def _get(self, name, fn):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.schemas import MOBILITY_COLUMNS
@@ -33,6 +34,25 @@ def modeling_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_modeling(modeling_frame(spark, sf_dir))
 
 
+_MODEL_CACHE: dict = {}
+
+
+def modeling_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modeling set, persisted once per session (memory, spilling to disk;
+    recomputable from lineage if an executor is lost): profiles, samples,
+    splits and every model fit read it several times."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODEL_CACHE:
+        m = modeling_set(spark, sf_dir)
+        # Iterative fits run one task per partition: a small input (one file) is
+        # spread over the cores first.  Large inputs already have more partitions.
+        par = spark.sparkContext.defaultParallelism
+        if m.rdd.getNumPartitions() < par:
+            m = m.repartition(par)
+        _MODEL_CACHE[key] = m.persist(StorageLevel.MEMORY_AND_DISK)
+    return _MODEL_CACHE[key]
+
+
 def ts_text(df: DataFrame, *cols) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in cols})
 
@@ -83,7 +103,7 @@ def _d(e):
 
 @register("describe_numeric", _describe_sql())
 def q_describe_numeric(spark, sf_dir):
-    d = describe_numeric(modeling_set(spark, sf_dir), DESCRIBE_COLS)
+    d = describe_numeric(modeling_cached(spark, sf_dir), DESCRIBE_COLS)
     return d.withColumns({c: stable_dec6(F.col(c)) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")})
 
 
@@ -99,7 +119,7 @@ def _null_sql():
 
 @register("null_profile_top15", _null_sql())
 def q_null_profile_top15(spark, sf_dir):
-    return null_profile(modeling_set(spark, sf_dir).select(*MODEL_COLS), 15)
+    return null_profile(modeling_cached(spark, sf_dir).select(*MODEL_COLS), 15)
 
 
 @register("schema_profile")
@@ -150,32 +170,32 @@ _MD5 = "md5(CAST(event_id AS VARCHAR))"
 @register("sample_fraction_capped", f"""WITH {MODEL_CTES} SELECT event_id, speed FROM model
     WHERE substr({_MD5}, 1, 8) < '{S.hex_threshold(0.05)}' ORDER BY {_MD5}, event_id LIMIT 300000""")
 def q_sample_fraction_capped(spark, sf_dir):
-    return S.sample_fraction_capped(modeling_set(spark, sf_dir).select("event_id", "speed"), "event_id", 0.05, 300_000)
+    return S.sample_fraction_capped(modeling_cached(spark, sf_dir).select("event_id", "speed"), "event_id", 0.05, 300_000)
 
 
 @register("sample_n", f"""WITH {MODEL_CTES} SELECT event_id, lat_grid, lng_grid FROM model
     ORDER BY {_MD5}, event_id LIMIT 1000""")
 def q_sample_n(spark, sf_dir):
-    return S.sample_n(modeling_set(spark, sf_dir).select("event_id", "lat_grid", "lng_grid"), "event_id", 1000)
+    return S.sample_n(modeling_cached(spark, sf_dir).select("event_id", "lat_grid", "lng_grid"), "event_id", 1000)
 
 
 @register("split_80_20", f"""WITH {MODEL_CTES} SELECT event_id, substr({_MD5}, 1, 8) < '{S.hex_threshold(0.2)}'
     AS is_test FROM model""")
 def q_split_80_20(spark, sf_dir):
-    return S.split_by_hash(modeling_set(spark, sf_dir).select("event_id"), "event_id", 0.2)
+    return S.split_by_hash(modeling_cached(spark, sf_dir).select("event_id"), "event_id", 0.2)
 
 
 @register("split_stratified", f"""WITH {MODEL_CTES} SELECT event_id, is_congested,
     row_number() OVER (PARTITION BY is_congested ORDER BY {_MD5}, event_id)
       <= ceil(0.2 * count(*) OVER (PARTITION BY is_congested)) AS is_test FROM model""")
 def q_split_stratified(spark, sf_dir):
-    return S.split_stratified(modeling_set(spark, sf_dir).select("event_id", "is_congested"), "event_id",
+    return S.split_stratified(modeling_cached(spark, sf_dir).select("event_id", "is_congested"), "event_id",
                               "is_congested", 0.2)
 
 
 @register("concat_samples", f"""WITH {MODEL_CTES} SELECT event_id, ingest_date FROM model
     WHERE substr({_MD5}, 1, 8) < '{S.hex_threshold(0.05)}' ORDER BY {_MD5}, event_id LIMIT 300000""")
 def q_concat_samples(spark, sf_dir):
-    m = modeling_set(spark, sf_dir).select("event_id", "ingest_date")
+    m = modeling_cached(spark, sf_dir).select("event_id", "ingest_date")
     chunks = [m.where(F.col("ingest_date") < "2024-01-16"), m.where(F.col("ingest_date") >= "2024-01-16")]
     return S.concat_samples(chunks, "event_id", 0.05, 300_000)
