@@ -17,7 +17,10 @@ from ..functions.schemas import CITIES
 TOKENS = {
     "spark": {
         "S": "STRING",
-        "K": "CAST(get_json_object(props, '$.k') AS INT)",
+        # json_tuple is a generator: props is parsed once per row (a projected
+        # get_json_object would be inlined into every pushed-down predicate).
+        "K": "CAST(k_raw AS INT)",
+        "KFROM": "{events} LATERAL VIEW json_tuple(props, 'k') jt AS k_raw",
         "EPOCH": "unix_seconds(CAST(ts AS TIMESTAMP))",
         "DOW": "dayofweek(ts) - 1",
         "FMTI": "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
@@ -30,6 +33,7 @@ TOKENS = {
     "duckdb": {
         "S": "VARCHAR",
         "K": "CAST(json_extract_string(props, '$.k') AS INT)",
+        "KFROM": "{events}",
         "EPOCH": "CAST(floor(epoch(ts)) AS BIGINT)",
         "DOW": "dayofweek(ts)",
         "FMTI": "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')",
@@ -94,7 +98,7 @@ SELECT event_id,
   CAST((k + 3) * 100 AS DOUBLE) AS visibility_m, CAST(k AS DOUBLE) AS cloud_pct,
   CASE WHEN k < 30 THEN 1 ELSE 0 END AS is_freezing, CASE WHEN k % 3 > 0 THEN 1 ELSE 0 END AS is_snowing,
   CASE WHEN k % 5 > 0 THEN 1 ELSE 0 END AS is_raining, CASE WHEN k < 5 THEN 1 ELSE 0 END AS bad_visibility
-FROM (SELECT *, @K@ AS k FROM {events}) t
+FROM (SELECT *, @K@ AS k FROM @KFROM@) t
 """
 
 # Flat weather observations, one per event (the silver input before enveloping).
@@ -109,7 +113,7 @@ SELECT event_id, ts, CASE WHEN event_id % 17 <> 0 THEN 'owner' END AS author_sur
   CAST(k - 30 AS DOUBLE) AS temperature_2m, CAST(k + 3 AS DOUBLE) AS relative_humidity_2m,
   CAST(k % 7 AS DOUBLE) AS precipitation, value AS wind_speed_10m,
   @FMTD@ AS ingest_date, @FMTH@ AS hour
-FROM (SELECT *, @K@ AS k FROM {events}) t
+FROM (SELECT *, @K@ AS k FROM @KFROM@) t
 """
 
 OWNER = "owner"
