@@ -198,8 +198,9 @@ def q_bronze_manifest(spark, sf_dir):
     b = read_bronze(spark, land_weather_bronze(spark, sf_dir))
     per_file = b.groupBy("file_path", "ingest_date", "hour").agg(F.max("ingest_ts").alias("fetched_at"))
     m = manifest(per_file, A.OWNER, {"current_api": "https://example.invalid/current",
-                                     "archive_api": "https://example.invalid/archive"}, "application/json")
-    return m.join(per_file.select("file_path", "ingest_date", "hour"), "file_path").select(
+                                     "archive_api": "https://example.invalid/archive"}, "application/json",
+                 keep=("ingest_date", "hour"))
+    return m.select(
         "author_surname", "domain", "source", "source_url", "fetched_at", "content_type", "ingest_date", "hour",
         F.regexp_extract("stored_file", r"\.([a-z]+)$", 1).alias("stored_ext"))
 

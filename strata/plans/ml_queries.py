@@ -102,14 +102,17 @@ class MLState:
                          .persist(StorageLevel.MEMORY_AND_DISK))
 
     def scored_map(self) -> DataFrame:
+        """The map sample scored by all three models in one narrow chain: each
+        PipelineModel adds its columns, and only the prediction is kept before the next."""
         s = self.map_sample()
-        lin = self.linear.transform(s).select("event_id", F.col("prediction").alias("predicted_speed"))
-        log = self.logistic.transform(s).select(
-            "event_id", ML.positive_probability().alias("predicted_congestion_probability"))
-        km = self.kmeans.transform(self.cluster_prep.transform(s)).select(
-            "event_id", F.col("cluster_id").alias("predicted_cluster_id"))
-        # Three scorings of the same sample keyed by a unique id; joins co-partition on event_id.
-        return s.join(lin, "event_id").join(log, "event_id").join(km, "event_id")
+        base = s.columns
+        s = self.linear.transform(s).select(*base, F.col("prediction").alias("predicted_speed"))
+        base = s.columns
+        s = self.logistic.transform(s).select(*base, ML.positive_probability().alias("predicted_congestion_probability"))
+        base = s.columns
+        s = self.kmeans.transform(self.cluster_prep.transform(s)).select(
+            *base, F.col("cluster_id").alias("predicted_cluster_id"))
+        return s
 
 
 def state(spark: SparkSession, sf_dir: str) -> MLState:

@@ -61,7 +61,7 @@ MODEL_CTES = f"""
 mp AS ({MOBILITY}),
 typed AS (SELECT event_id, {TYPED_COLS} FROM mp),
 timed AS (SELECT event_id, {_MOBILITY_NAMES}, CASE WHEN time_unix BETWEEN -9223372036 AND 9223372036
-                         THEN CAST(to_timestamp(time_unix) AS TIMESTAMP) END AS event_ts,
+                         THEN timezone('UTC', to_timestamp(time_unix)) END AS event_ts,
                          'owner' AS model_author_surname FROM typed),
 model AS (SELECT * FROM timed WHERE {MODELING_COND})
 """

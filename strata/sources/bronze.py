@@ -120,7 +120,8 @@ def document_envelope(docs: DataFrame, raw: str, payload_schema: T.DataType, fet
                        F.from_json(F.col(raw), payload_schema).alias("payload"))
 
 
-def manifest(landed: DataFrame, owner: str, source_urls: dict[str, str], content_type: str) -> DataFrame:
+def manifest(landed: DataFrame, owner: str, source_urls: dict[str, str], content_type: str,
+             keep: tuple[str, ...] = ()) -> DataFrame:
     """Sidecar records, one per landed file, from a file-level listing with
     ``file_path`` and the max ``ingest_ts`` of the file."""
     fp = F.col("file_path")
@@ -131,7 +132,7 @@ def manifest(landed: DataFrame, owner: str, source_urls: dict[str, str], content
         F.lit(owner).alias("author_surname"), path_value(fp, "domain").alias("domain"),
         path_value(fp, "source").alias("source"), url.alias("source_url"),
         F.col("fetched_at"), F.lit(content_type).alias("content_type"),
-        F.regexp_extract(fp, r"([^/]+)$", 1).alias("stored_file"), fp.alias("file_path"))
+        F.regexp_extract(fp, r"([^/]+)$", 1).alias("stored_file"), fp.alias("file_path"), *keep)
 
 
 def orphan_files(files: DataFrame, manifests: DataFrame) -> DataFrame:
