@@ -143,10 +143,11 @@ def kmeans_tol(k: int, tol: float = 1e-4, mean_variance: float = 1.0) -> float:
 
 
 def fit_kmeans_best(data: DataFrame, k: int = 4, n_init: int = 20, seed: int = 42, max_iter: int = 300,
-                    tol: float = 1e-4, parallel: int = 4):
+                    tol: float = 1e-4, parallel: int | None = None):
     """Best of ``n_init`` K-means fits (lowest training cost).  The input is
     persisted once (memory, spilling to disk) and the fits run as concurrent
     Spark jobs from a small thread pool."""
+    parallel = parallel or min(n_init, data.sparkSession.sparkContext.defaultParallelism)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def one(i):
