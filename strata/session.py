@@ -43,6 +43,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+MIN_PARTITION_SIZE_KEY = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
+def apply_query_defaults(spark: SparkSession) -> None:
+    """Settings results or layout depend on, applied to a session we did not build:
+    the UTC wall clock always; the small-stage partition floor only where the
+    session left it unset (it lets small shuffles keep one task per core and has
+    no effect on large data)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    launched = spark.sparkContext.getConf().contains(MIN_PARTITION_SIZE_KEY)
+    if not launched and spark.conf.get(MIN_PARTITION_SIZE_KEY, "1MB") in ("1MB", "1m", "1048576b"):
+        spark.conf.set(MIN_PARTITION_SIZE_KEY, DEFAULT_CONF[MIN_PARTITION_SIZE_KEY])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and landed tables.
 
