@@ -88,7 +88,7 @@ def read_gold_metric(spark: SparkSession, path: str, columns: list[str] | None =
                      fp.alias("file_path"))
 
 
-def metric_file_summary(spark: SparkSession, path: str) -> DataFrame:
+def metric_file_summary(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """File count and total rows of a written metric (one aggregate, no listing loop)."""
-    return read_gold_metric(spark, path).agg(F.countDistinct("file_path").alias("n_files"),
+    return read_gold_metric(spark, path, columns).agg(F.countDistinct("file_path").alias("n_files"),
                                             F.count(F.lit(1)).alias("total_rows"))
