@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.stats import values_at_ranks
+from ..functions.stats import running_sum_before, values_at_ranks
 
 HEX_DIGITS = 8
 
@@ -46,8 +46,8 @@ def flag_first_by_hash(df: DataFrame, key: str, n, by: str | None = None, flag:
     """Adds boolean ``flag``: row is among the ``n`` smallest ``(md5(key), key)``
     (per ``by`` group when given; then ``n`` may be a dict {group: n}).
 
-    One narrow comparison against the boundary hash of each group; only rows
-    that tie exactly at a boundary go through a (tiny) window."""
+    One narrow comparison against the boundary hash of each group; rows that
+    tie exactly at a boundary (duplicated keys) take the skew-safe path below."""
     h = df.withColumn("_h", _h52(key))
     name = F.col(by).cast("string") if by else F.lit("all")
     long = h.select(name.alias("name"), F.col("_h").alias("value"))
@@ -66,14 +66,33 @@ def flag_first_by_hash(df: DataFrame, key: str, n, by: str | None = None, flag:
     if not ranks:
         return h.withColumn(flag, cond).drop("_h")
     below_n = dict(h.where(cond).groupBy(name.alias("name")).agg(F.count(F.lit(1))).collect())
-    need = F.lit(0)
-    for g in ranks:
-        need = F.when(name == g, F.lit(want[g] - below_n.get(g, 0))).otherwise(need)
-    w = Window.partitionBy(name).orderBy(key_md5(key), F.col(key))
-    plain = h.where(~tie).withColumn(flag, cond)
-    tied = (h.where(tie).withColumn("_rn", F.row_number().over(w))
-            .withColumn(flag, F.col("_rn") <= need).drop("_rn"))
-    return plain.unionByName(tied).drop("_h")
+    need = {g: want[g] - below_n.get(g, 0) for g in ranks}
+    plain = h.where(~tie).withColumn(flag, cond).drop("_h")
+    return plain.unionByName(_flag_ties(h.where(tie).drop("_h"), name, key, need, flag))
+
+
+def _flag_ties(tied: DataFrame, name: Column, key: str, need: dict, flag: str) -> DataFrame:
+    """Flag ``need[group]`` of the rows that tie at a group's hash boundary.
+
+    Skew-safe even when one duplicated key is a third of the data: identical
+    rows collapse in a partial aggregate, the distinct rows are ranked by
+    (group, md5(key), row hash) with a distributed prefix sum, and each distinct
+    row is re-expanded into ``take`` flagged and ``n - take`` unflagged copies."""
+    cols = tied.columns
+    g = (tied.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+         .withColumn("_g", name)
+         .withColumn("_o", F.concat_ws("|", F.col("_g"), key_md5(key),
+                                       F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in cols])), 16, "0"))))
+    ranked = running_sum_before(g, "_o", "_n")
+    start = ranked.groupBy("_g").agg(F.min("_n_before").alias("_start"))  # one row per group
+    need_col = F.lit(0)
+    for grp, v in need.items():
+        need_col = F.when(F.col("_g") == grp, F.lit(v)).otherwise(need_col)
+    take = F.least(F.greatest(need_col - (F.col("_n_before") - F.col("_start")), F.lit(0)), F.col("_n"))
+    flags = F.concat(F.array_repeat(F.lit(True), take.cast("int")),
+                     F.array_repeat(F.lit(False), (F.col("_n") - take).cast("int")))
+    return (ranked.join(F.broadcast(start), "_g").select(*[F.col(f"`{c}`") for c in cols],
+                                                          F.explode(flags).alias(flag)))
 
 
 def first_by_hash(df: DataFrame, key: str, n, by: str | None = None) -> DataFrame:

@@ -75,3 +75,16 @@ def test_stratified_split_exact_per_class(spark):
     n1 = df.where("y = 1").count()
     assert got == {1: math.ceil(0.2 * n1), 0: math.ceil(0.2 * (1003 - n1))}
     assert out.count() == 1003
+
+
+def test_hot_duplicate_key_split_exact(spark):
+    # one key is a third of the rows: the boundary falls inside its tie
+    hot = [(7, i % 3) for i in range(600)]
+    rest = [(k, 0) for k in range(1000, 2200)]
+    df = spark.createDataFrame(hot + rest, "k long, v long")
+    for n in (5, 700, 1500):
+        assert S.sample_n(df, "k", n).count() == n
+    out = S.split_stratified(df, "k", "v", 0.2)
+    got = {r.v: r.n for r in out.where("is_test").groupBy("v").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: math.ceil(0.2 * 1400), 1: math.ceil(0.2 * 200), 2: math.ceil(0.2 * 200)}
+    assert out.count() == 1800
