@@ -14,7 +14,7 @@ from ..session import scratch_path
 from ..sinks.writers import versioned_path, write_csv, write_gold_csv
 from ..sources.adapters import BATCH_ID, OWNER, mobility_points
 from ..sources.readers import read_csv_strings, read_csv_typed, read_gold_metric
-from .oracle_sql import GOLD_CTES, TYPED_COLS, dec6
+from .oracle_sql import GOLD_CTES, dec6
 from .registry import register
 
 
