@@ -75,7 +75,8 @@ a AS (SELECT *, event_id // 100 AS response_id, event_id % 12 AS c,
 z AS (SELECT a.* EXCLUDE (city), cities.city FROM a JOIN {CITIES_SQL} ON cities.pos = a.c)"""
 
 
-@register("bronze_weather_archive", f"""WITH {_ARCHIVE_CTES} SELECT response_id, c AS city_pos, h AS hour_pos,
+@register("bronze_weather_archive", f"""WITH {_ARCHIVE_CTES} SELECT response_id, CAST(c AS INTEGER) AS city_pos,
+    CAST(h AS INTEGER) AS hour_pos,
     fetched_at AS ingest_ts, 'archive_api' AS source, 'weather' AS domain, 'owner' AS author_surname, city,
     item_lat AS latitude, item_lon AS longitude, CAST(NULL AS DOUBLE) AS elevation, 'Europe/Kyiv' AS timezone,
     CAST(NULL AS VARCHAR) AS timezone_abbreviation,
@@ -86,8 +87,8 @@ def q_bronze_weather_archive(spark, sf_dir):
 
 
 @register("parallel_array_zip", f"""WITH {_ARCHIVE_CTES} SELECT response_id, city_pos, hour_pos, event_time,
-    temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m FROM (SELECT response_id, c AS city_pos,
-    h AS hour_pos, event_time, CASE WHEN h < greatest(n - 2, 1) THEN temperature_2m END AS temperature_2m,
+    temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m FROM (SELECT response_id,
+    CAST(c AS INTEGER) AS city_pos, CAST(h AS INTEGER) AS hour_pos, event_time, CASE WHEN h < greatest(n - 2, 1) THEN temperature_2m END AS temperature_2m,
     relative_humidity_2m, precipitation, wind_speed_10m FROM z) t""")
 def q_parallel_array_zip(spark, sf_dir):
     df = archive_rows(spark, sf_dir)

@@ -42,7 +42,7 @@ _METRIC_SQL = {
         count(DISTINCT route_id) AS active_routes, count(*) AS movement_points,
         {dec6('avg(speed)')} AS avg_speed_kmh FROM clean GROUP BY ingest_date""",
     "avg_speed_by_period": f"""SELECT ingest_date, period, {dec6('avg(speed)')} AS avg_speed_kmh,
-        sum(is_congested) AS congested_points, count(*) AS points_cnt FROM clean GROUP BY ingest_date, period""",
+        CAST(sum(is_congested) AS BIGINT) AS congested_points, count(*) AS points_cnt FROM clean GROUP BY ingest_date, period""",
     "congestion_weather_daily": f"""SELECT ingest_date, {dec6('avg(is_congested)')} AS congested_share,
         {dec6('avg(is_alert)')} AS alert_share, {dec6('avg(is_post_alert)')} AS post_alert_share,
         {dec6('avg(temp_c)')} AS avg_temp_c, {dec6('avg(precip_mm)')} AS avg_precip_mm,
@@ -111,13 +111,13 @@ def land_snapshot_csv(spark: SparkSession, sf_dir: str) -> str:
 @register("read_mobility_csv", f"WITH {GOLD_CTES} SELECT * FROM typed")
 def q_read_mobility_csv(spark, sf_dir):
     raw = read_csv_strings(spark, land_snapshot_csv(spark, sf_dir))
-    return typed_mobility(drop_synthetic_columns(raw), OWNER)
+    return typed_mobility(drop_synthetic_columns(raw).withColumn("event_id", F.col("event_id").cast("bigint")), OWNER)
 
 
 @register("drop_synthetic_columns", f"WITH {GOLD_CTES} SELECT * FROM typed")
 def q_drop_synthetic_columns(spark, sf_dir):
     raw = read_csv_strings(spark, land_snapshot_csv(spark, sf_dir), infer=True)
-    return typed_mobility(drop_synthetic_columns(raw), OWNER)
+    return typed_mobility(drop_synthetic_columns(raw).withColumn("event_id", F.col("event_id").cast("bigint")), OWNER)
 
 
 @register("read_mobility_typed", f"WITH {GOLD_CTES} SELECT * FROM typed")

@@ -157,8 +157,8 @@ def q_standard_scale(spark, sf_dir):
 
 
 @register("one_hot", f"""WITH {MODEL_CTES}, {_TRAIN}, cats AS (SELECT DISTINCT period AS p FROM train)
-    SELECT event_id, period, CASE WHEN period IN (SELECT p FROM cats)
-      THEN (SELECT count(*) FROM cats WHERE p < model.period) ELSE -1 END AS hot_index FROM model""")
+    SELECT event_id, period, CAST(CASE WHEN period IN (SELECT p FROM cats)
+      THEN (SELECT count(*) FROM cats WHERE p < model.period) ELSE -1 END AS INTEGER) AS hot_index FROM model""")
 def q_one_hot(spark, sf_dir):
     st = state(spark, sf_dir)
     stages = [s for s in st.linear.stages[:-2]]  # SQL impute/scale, indexer, encoder

@@ -221,7 +221,7 @@ def q_read_silver(spark, sf_dir):
     return ts_text(back.select(*SILVER_OUT, part.alias("silver_partition")), "ingest_ts", "event_ts")
 
 
-@register("audit_silver", f"""WITH {_NORM} SELECT count(*) AS valid_rows, 0 AS invalid_rows,
+@register("audit_silver", f"""WITH {_NORM} SELECT count(*) AS valid_rows, CAST(0 AS BIGINT) AS invalid_rows,
     count(*) > 0 AS passed FROM valid""")
 def q_audit_silver(spark, sf_dir):
     return audit_silver(silver_back(spark, sf_dir, "json"), OWNER)

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tools.oracle_check import canon
+from tools.schema_check import MAP
 
 from .conftest import SF_SMALL
 
@@ -42,6 +43,8 @@ def test_query_matches_oracle(spark, duck, key):
     assert sc == oc
     assert len(s) == len(o)
     assert s == o
+    odt = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[key]}").fetchall()}
+    assert {c: MAP.get(t, t) for c, t in sdf.dtypes} == odt
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
