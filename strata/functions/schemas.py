@@ -83,6 +83,8 @@ def envelope(payload: T.DataType) -> T.StructType:
 
 
 WEATHER_ENVELOPE = envelope(WEATHER_PAYLOAD)
+# Alerts rows are header-driven CSV rows: any header -> string value.
+ALERTS_ENVELOPE = envelope(T.MapType(T.StringType(), T.StringType()))
 
 MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in (
     "author_surname", "domain", "source", "source_url", "fetched_at", "content_type", "stored_file")])

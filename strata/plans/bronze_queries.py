@@ -164,10 +164,11 @@ def land_documents(spark: SparkSession, sf_dir: str) -> str:
     return _DOCS[key]
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Each file is one (multi-line) JSON value."""
-    return (spark.read.schema(envelope(ROADS_PAYLOAD)).option("multiLine", True)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").json(root))
+def read_documents(spark: SparkSession, root: str, payload=ROADS_PAYLOAD, glob: str = "*{Z.json,.txt}") -> DataFrame:
+    """Each file is one (multi-line) JSON value.  The default glob takes landed
+    ``part-<stamp>Z.json`` documents and our text-sink files, never ``*.meta.json`` sidecars."""
+    return (spark.read.schema(envelope(payload)).option("multiLine", True)
+            .option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(root))
 
 
 @register("bronze_json_document", f"""WITH w AS ({WEATHER}) SELECT concat('doc-', CAST(event_id // {ROADS_DOC_DIV}

@@ -136,8 +136,9 @@ def manifest(landed: DataFrame, owner: str, source_urls: dict[str, str], content
 
 
 def orphan_files(files: DataFrame, manifests: DataFrame) -> DataFrame:
-    """Landed files without a sidecar record."""
-    return files.join(manifests.select("stored_file"), "stored_file", "left_anti")
+    """Landed files without a sidecar record, matched on the full path (file
+    names repeat across domain/source folders)."""
+    return files.join(manifests.select("file_path"), "file_path", "left_anti")
 
 
 def preferred_file(listing: DataFrame, path: str = "path", pos: str = "pos") -> DataFrame:

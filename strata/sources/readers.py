@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..functions.schemas import MOBILITY, SILVER_WEATHER, WEATHER_ENVELOPE
+from ..functions.schemas import MANIFEST, MOBILITY, SILVER_WEATHER, WEATHER_ENVELOPE
 
 BRONZE_GLOB = "*.{jsonl,txt}"  # landed JSON-lines files (ours are written by the text sink)
 
@@ -43,6 +43,25 @@ def read_bronze(spark: SparkSession, root: str, schema: T.StructType = WEATHER_E
     return out
 
 
+def read_manifests(spark: SparkSession, root: str) -> DataFrame:
+    """The ``*.meta.json`` sidecars (one pretty-printed object per file) + their path."""
+    df = (spark.read.schema(MANIFEST).option("multiLine", True).option("recursiveFileLookup", True)
+          .option("pathGlobFilter", "*.meta.json").json(root))
+    sidecar = file_path_col()
+    # The described data file lives next to its sidecar (names repeat across folders).
+    return df.select("*", sidecar.alias("sidecar_path"),
+                     F.concat(F.regexp_replace(sidecar, "[^/]+$", ""), F.col("stored_file")).alias("file_path"))
+
+
+def landed_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """Listing of landed data files (no content is read: only path/length are selected)."""
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+          .load(root))
+    return df.select(F.col("path").alias("file_path"), "length",
+                     F.regexp_extract("path", r"([^/]+)$", 1).alias("stored_file")).where(
+        ~F.col("stored_file").endswith(".meta.json"))
+
+
 def read_silver(spark: SparkSession, path: str, fmt: str = "json",
                 schema: T.StructType = SILVER_WEATHER) -> DataFrame:
     """Silver rows read back; partition folders become string columns and

@@ -141,10 +141,53 @@ def test_manifest_and_orphans(spark):
                                   "file_path string, fetched_at string")
     m = manifest(files, "owner", {"s1": "http://u"}, "application/json").first()
     assert (m.domain, m.source, m.source_url, m.stored_file) == ("weather", "s1", "http://u", "a.txt")
-    listing = spark.createDataFrame([("a.txt",), ("b.txt",)], "stored_file string")
-    assert [r.stored_file for r in orphan_files(listing, manifest(files, "o", {}, "x")).collect()] == ["b.txt"]
+    listing = spark.createDataFrame([("/r/domain=weather/source=s1/ingest_date=d/hour=01/a.txt",),
+                                     ("/r/domain=roads/source=s1/ingest_date=d/hour=01/a.txt",)], "file_path string")
+    assert [r.file_path for r in orphan_files(listing, manifest(files, "o", {}, "x")).collect()] == [
+        "/r/domain=roads/source=s1/ingest_date=d/hour=01/a.txt"]
 
 
 def test_scratch_path_is_under_checkpoint_dir(spark):
     ck = spark.sparkContext.getCheckpointDir()
     assert ck and scratch_path(spark, "t").startswith(ck.rsplit("/", 1)[0])
+
+
+def test_reference_style_landing(spark, tmp_path):
+    """Files named and shaped like the reference lands them: JSONL + sidecar,
+    a pretty-printed roads document, an opaque .pb, alerts rows with any header."""
+    from strata.functions.schemas import ALERTS_ENVELOPE
+    from strata.plans.bronze_queries import read_documents
+    from strata.sources.readers import landed_files, read_manifests
+
+    root = str(tmp_path / "bronze")
+    part = "ingest_date=2026-04-21/hour=09"
+    _land(root, f"domain=weather/source=s1/{part}/part-20260421T094116Z.jsonl", [env()])
+    side = {"author_surname": "owner", "domain": "weather", "source": "s1", "source_url": "u",
+            "fetched_at": "2026-04-21T09:41:16Z", "content_type": "application/json",
+            "stored_file": "part-20260421T094116Z.jsonl"}
+    _land(root, f"domain=weather/source=s1/{part}/part-20260421T094116Z.jsonl.meta.json", [json.dumps(side, indent=2)])
+    doc = {"ingest_ts": "2026-04-21T09:41:16Z", "source": "osm", "domain": "roads", "metadata": {"author_surname": "o"},
+           "payload": {"generator": "g", "elements": [{"type": "way", "id": 1}, {"type": "node", "id": 2}]}}
+    _land(root, f"domain=roads/source=osm/{part}/part-20260421T094116Z.json", [json.dumps(doc, indent=2)])
+    _land(root, f"domain=roads/source=osm/{part}/part-20260421T094116Z.json.meta.json",
+          [json.dumps({**side, "domain": "roads", "stored_file": "part-20260421T094116Z.json"}, indent=2)])
+    os.makedirs(os.path.join(root, f"domain=traffic/source=gtfs/{part}"), exist_ok=True)
+    with open(os.path.join(root, f"domain=traffic/source=gtfs/{part}/part-20260421T094116Z.pb"), "wb") as fh:
+        fh.write(b"\x00\x01\x02")
+    alert = {"ingest_ts": "T", "source": "a", "domain": "alerts", "metadata": {"author_surname": "o"},
+             "payload": {"oblast": "X", "started_at": "2022-02-24"}}
+    _land(root, f"domain=alerts/source=a/{part}/part-20260421T094116Z.jsonl", [json.dumps(alert)])
+
+    assert read_bronze(spark, f"{root}/domain=weather").count() == 1          # sidecar not read as data
+    d = read_documents(spark, f"{root}/domain=roads").first()
+    assert d.domain == "roads" and len(d.payload.elements) == 2
+    a = read_bronze(spark, f"{root}/domain=alerts", ALERTS_ENVELOPE).first()
+    assert a.payload["oblast"] == "X"
+    files = landed_files(spark, root)
+    assert files.count() == 4
+    m = read_manifests(spark, root)
+    assert m.count() == 2
+    orphans = orphan_files(files, m)
+    assert sorted(r.file_path.split("/domain=")[1] for r in orphans.collect()) == [
+        "alerts/source=a/ingest_date=2026-04-21/hour=09/part-20260421T094116Z.jsonl",
+        "traffic/source=gtfs/ingest_date=2026-04-21/hour=09/part-20260421T094116Z.pb"]
