@@ -62,19 +62,28 @@ def start_domain(spark: SparkSession, d: DomainStream, once: bool = False, every
     return w.start()
 
 
-def run_ingest(spark: SparkSession, streams: list[DomainStream], once: bool = True, every_pass: bool = False,
-               interval: str = POLL_INTERVAL) -> dict[str, str | None]:
-    """Start one query per domain; with ``once`` wait for all and report
-    per-domain errors instead of raising (failure isolation)."""
-    started, status = {}, {}
+def start_ingest(spark: SparkSession, streams: list[DomainStream], once: bool = False, every_pass: bool = False,
+                 interval: str = POLL_INTERVAL) -> dict[str, StreamingQuery | str]:
+    """Start one query per domain.  Returns the running query per domain, or the
+    error text for a domain that failed to start (the others keep running)."""
+    out: dict[str, StreamingQuery | str] = {}
     for d in streams:
         try:
-            started[d.domain] = start_domain(spark, d, once, every_pass, interval)
+            out[d.domain] = start_domain(spark, d, once, every_pass, interval)
         except Exception as exc:  # noqa: BLE001 - isolate the failing domain
-            status[d.domain] = f"{type(exc).__name__}: {exc}"
-    if not once:
-        return {k: None for k in started} | status
-    for name, q in started.items():
+            out[d.domain] = f"{type(exc).__name__}: {exc}"
+    return out
+
+
+def run_ingest(spark: SparkSession, streams: list[DomainStream], every_pass: bool = False,
+               interval: str = POLL_INTERVAL) -> dict[str, str | None]:
+    """One pass over everything landed (availableNow for every domain); waits
+    for all queries and reports per-domain errors instead of raising."""
+    status: dict[str, str | None] = {}
+    for name, q in start_ingest(spark, streams, True, every_pass, interval).items():
+        if isinstance(q, str):
+            status[name] = q
+            continue
         try:
             q.awaitTermination()
             status[name] = None if q.exception() is None else str(q.exception())
@@ -93,7 +102,7 @@ def q_bronze_stream_ingest(spark, sf_dir):
     landing = land_weather_bronze(spark, sf_dir)
     base = scratch_path(spark, "stream")
     d = DomainStream("weather", landing, f"{base}/sink", f"{base}/checkpoint")
-    status = run_ingest(spark, [d], once=True)
+    status = run_ingest(spark, [d])
     if status.get("weather"):
         raise RuntimeError(status["weather"])
     out = spark.read.parquet(d.sink)

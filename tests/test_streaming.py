@@ -35,3 +35,26 @@ def test_failing_domain_is_isolated(spark, tmp_path):
     status = run_ingest(spark, [bad, good])
     assert status["weather"] is None and status["alerts"]
     assert os.path.isdir(str(tmp_path / "ok"))
+
+
+def test_realtime_interval_and_static_once(spark, tmp_path):
+    from strata.streaming.ingest import start_ingest
+
+    landing = str(tmp_path / "rt")
+    _land(landing, "domain=weather/source=s1/ingest_date=2024-01-01/hour=09/a.jsonl", [env()])
+    base = scratch_path(spark, "stream_rt")
+    rt = DomainStream("weather", landing, f"{base}/w", f"{base}/cw")
+    static = DomainStream("alerts", landing, f"{base}/a", f"{base}/ca")
+    qs = start_ingest(spark, [rt, static], interval="1 second")
+    try:
+        qs["alerts"].awaitTermination(120)          # static domain: availableNow, stops by itself
+        assert not qs["alerts"].isActive
+        qs["weather"].processAllAvailable()        # realtime domain keeps polling
+        assert qs["weather"].isActive
+        _land(landing, "domain=weather/source=s1/ingest_date=2024-01-01/hour=10/b.jsonl", [env(temp=5.0)])
+        qs["weather"].processAllAvailable()
+        assert spark.read.parquet(rt.sink).count() == 2
+    finally:
+        for q in qs.values():
+            if not isinstance(q, str):
+                q.stop()
