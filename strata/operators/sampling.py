@@ -44,7 +44,8 @@ def _h52(key: str) -> Column:
 
 def flag_first_by_hash(df: DataFrame, key: str, n, by: str | None = None, flag: str = "_in") -> DataFrame:
     """Adds boolean ``flag``: row is among the ``n`` smallest ``(md5(key), key)``
-    (per ``by`` group when given; then ``n`` may be a dict {group: n}).
+    (per ``by`` group when given; then ``n`` may be a dict {group: n}).  ``by``
+    is a class label with few values: one boundary per class is planned.
 
     One narrow comparison against the boundary hash of each group; rows that
     tie exactly at a boundary (duplicated keys) take the skew-safe path below."""

@@ -27,6 +27,21 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run: ~256 MB scan splits and shuffle partitions, at
+    least 3 tasks per core, AQE free to coalesce small stages and split skewed
+    ones.  E.g. 100 TB on 1000 executors x 8 cores -> 409,600 shuffle partitions
+    for the widest exchange; AQE coalesces the aggregated ones."""
+    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "strata",
                   extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
