@@ -148,7 +148,7 @@ def fit_kmeans_best(data: DataFrame, k: int = 4, n_init: int = 20, seed: int = 4
     persisted once (memory, spilling to disk) and the fits run as concurrent
     Spark jobs from a small thread pool."""
     parallel = parallel or min(n_init, data.sparkSession.sparkContext.defaultParallelism)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.select("features").persist(StorageLevel.MEMORY_AND_DISK)  # only what the fits read
     try:
         def one(i):
             return KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=kmeans_tol(k, tol), featuresCol="features",
