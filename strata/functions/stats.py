@@ -190,15 +190,44 @@ def running_sum_before(df: DataFrame, order_col: str, value_col: str, parts: int
     """Adds ``<value_col>_before``: the sum of ``value_col`` over rows with a
     smaller ``order_col`` (one row per distinct ``order_col`` expected).
 
-    A distributed prefix sum: range-partition on the order column, a window
-    inside each range partition, and per-partition offsets from a table of
-    ``parts`` rows (broadcast: its size is the partition count, not the data).
-    Never a single-partition window over the whole input."""
+    A distributed prefix sum: the order values are cut into ``parts`` balanced
+    buckets at approximate quantiles (``Bucketizer``: a JVM binary search per
+    row), per-bucket totals (one row per bucket) become a literal offsets
+    array, and one window partitioned by bucket adds the local running sum.
+    Never a single-partition window over the whole input, and no join."""
+    from pyspark.ml.feature import Bucketizer
     from pyspark.sql import Window
+    from pyspark.sql.types import NumericType
 
     spark = df.sparkSession
-    p = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = (df.repartitionByRange(p, order_col).withColumn("_pid", F.spark_partition_id()))
+    p = max(1, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if not isinstance(df.schema[order_col].dataType, NumericType):
+        return _running_sum_before_by_range(df, order_col, value_col, p)
+    probs = [i / p for i in range(1, p)]
+    cuts = []
+    if probs:
+        q = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10_000)).first()[0] or []
+        cuts = sorted({float(v) for v in q if v is not None})
+    splits = [float("-inf"), *cuts, float("inf")]
+    b = (Bucketizer(splits=splits, inputCol="_ord", outputCol="_b", handleInvalid="keep")
+         .transform(df.withColumn("_ord", F.col(order_col).cast("double"))))
+    totals = dict(b.groupBy("_b").agg(F.sum(value_col)).collect())  # one row per bucket
+    acc, offsets = 0, []
+    for i in range(len(splits)):  # bucket len(splits)-1 holds NaN (handleInvalid="keep")
+        offsets.append(acc)
+        acc += totals.get(float(i), 0) or 0
+    local = Window.partitionBy("_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_b").cast("int") + 1)
+    return (b.withColumn(f"{value_col}_before", F.coalesce(F.sum(value_col).over(local), F.lit(0)) + off)
+            .drop("_ord", "_b"))
+
+
+def _running_sum_before_by_range(df: DataFrame, order_col: str, value_col: str, p: int) -> DataFrame:
+    """Same prefix sum for any orderable type: range partitions, a window inside
+    each, and per-partition offsets (a table of ``p`` rows, broadcast)."""
+    from pyspark.sql import Window
+
+    r = df.repartitionByRange(p, order_col).withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("_local", F.coalesce(F.sum(value_col).over(local), F.lit(0)))
     totals = r.groupBy("_pid").agg(F.sum(value_col).alias("_tot"))
