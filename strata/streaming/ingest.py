@@ -15,6 +15,7 @@ per domain over the landing folder:
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -54,7 +55,9 @@ def start_domain(spark: SparkSession, d: DomainStream, once: bool = False, every
     static = d.static if d.static is not None else d.domain in STATIC_DOMAINS
     w = (envelope_stream(spark, d.landing, d.schema).writeStream.format("parquet")
          .option("path", d.sink).option("checkpointLocation", d.checkpoint)
-         .partitionBy("landed_source", "ingest_date", "hour").queryName(f"bronze_{d.domain}"))
+         .partitionBy("landed_source", "ingest_date", "hour")
+         # one name per (domain, checkpoint): two ingests of a domain may run side by side
+         .queryName(f"bronze_{d.domain}_{zlib.crc32(d.checkpoint.encode()):08x}"))
     if once or (static and not every_pass):
         w = w.trigger(availableNow=True)
     else:
