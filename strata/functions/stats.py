@@ -41,7 +41,7 @@ def _in_window(name: str, lo, hi) -> Column:
 
 
 def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collect: int = 50_000,
-                    accuracy: int = 10_000) -> dict[str, dict[int, float]]:
+                    accuracy: int = 10_000, initial: dict | None = None) -> dict[str, dict[int, float]]:
     """Exact value at each 0-based rank (ascending) per name of a (name, value) frame.
 
     Every (name, rank) target keeps an open value window and the exact count of
@@ -51,7 +51,8 @@ def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collec
     ``(value, count)`` pairs; for larger ones three ``percentile_approx``
     candidates around the target are checked with exact counts, and the window
     shrinks to the tightest candidates on either side (strict progress every
-    round).  Nothing unbounded is ever collected."""
+    round).  Nothing unbounded is ever collected.  ``initial`` = {name: (rows,
+    approx distinct)} from the caller saves the first sizing pass."""
     targets = [(n, r) for n, ranks in wanted.items() for r in sorted(set(ranks))]
     win = {t: (None, None) for t in targets}
     below = {t: 0 for t in targets}
@@ -68,14 +69,19 @@ def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collec
         gkeys = list(groups)
         gconds = {g: _in_window(*g) for g in gkeys}
         conds = {t: gconds[(t[0], *win[t])] for t in todo}
-        sizes_row = long_df.agg(*[e for i, g in enumerate(gkeys) for e in (
-            F.count_if(gconds[g]).alias(f"s{i}"),
-            F.approx_count_distinct(F.when(gconds[g], F.col("value")), 0.05).alias(f"d{i}"))]).first()
-        sizes = {g: sizes_row[f"s{i}"] for i, g in enumerate(gkeys)}
+        if initial is not None and all(g[1] is None and g[2] is None and g[0] in initial for g in gkeys):
+            sizes = {g: initial[g[0]][0] for g in gkeys}
+            dist = {g: initial[g[0]][1] for g in gkeys}
+        else:
+            sizes_row = long_df.agg(*[e for i, g in enumerate(gkeys) for e in (
+                F.count_if(gconds[g]).alias(f"s{i}"),
+                F.approx_count_distinct(F.when(gconds[g], F.col("value")), 0.05).alias(f"d{i}"))]).first()
+            sizes = {g: sizes_row[f"s{i}"] for i, g in enumerate(gkeys)}
+            dist = {g: sizes_row[f"d{i}"] for i, g in enumerate(gkeys)}
+        initial = None
         # (value, count) pairs are bounded by distinct values: collect a window when
         # its rows, or (with margin for the sketch error) its distinct values, are few.
-        small_g = [g for i, g in enumerate(gkeys)
-                   if sizes[g] <= max_collect or sizes_row[f"d{i}"] <= max_collect // 2]
+        small_g = [g for g in gkeys if sizes[g] <= max_collect or dist[g] <= max_collect // 2]
         small = [t for g in small_g for t in groups[g]]
         if small_g:
             tag = F.filter(F.array(*[F.when(gconds[g], F.lit(i)) for i, g in enumerate(gkeys) if g in small_g]),
@@ -144,7 +150,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) ->
     NaN and null are skipped.  Returns ``{col: [q(p) for p in probs]}`` (None for an empty column).
     """
     long_df = _long_form(df, cols)
-    n_by = dict(long_df.groupBy("name").agg(F.count(F.lit(1))).collect())
+    stats = {r["name"]: (r["n"], r["d"]) for r in long_df.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value", 0.05).alias("d")).collect()}
+    n_by = {k: v[0] for k, v in stats.items()}
     wanted, plan = {}, {}
     for c in cols:
         n = n_by.get(c, 0)
@@ -159,7 +167,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) ->
             plan[c].append((lo, hi, h - lo))
             ranks.update((lo, hi))
         wanted[c] = sorted(ranks)
-    vals = values_at_ranks(long_df, wanted, **kw)
+    vals = values_at_ranks(long_df, wanted, initial=stats, **kw)
     res = {}
     for c in cols:
         row = []

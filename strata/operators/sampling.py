@@ -52,10 +52,12 @@ def flag_first_by_hash(df: DataFrame, key: str, n, by: str | None = None, flag:
     h = df.withColumn("_h", _h52(key))
     name = F.col(by).cast("string") if by else F.lit("all")
     long = h.select(name.alias("name"), F.col("_h").alias("value"))
-    sizes = dict(long.groupBy("name").agg(F.count(F.lit(1))).collect())
+    stats = {r["name"]: (r["n"], r["d"]) for r in long.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value", 0.05).alias("d")).collect()}
+    sizes = {g: v[0] for g, v in stats.items()}
     want = {g: (n.get(g, 0) if isinstance(n, dict) else n) for g in sizes}
     ranks = {g: [want[g] - 1] for g, size in sizes.items() if 0 < want[g] < size}
-    bound = values_at_ranks(long, ranks) if ranks else {}
+    bound = values_at_ranks(long, ranks, initial=stats) if ranks else {}
     cond, tie = F.lit(False), F.lit(False)
     for g, size in sizes.items():
         if want[g] >= size:
