@@ -24,7 +24,7 @@ from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators.projections import CLUSTER_FEATURES, NUMERIC_FEATURES, drop_synthetic_columns, typed_mobility
 from ..operators.quality import cluster_input, mobility_condition, quality_counts, valid_modeling
-from ..operators.sampling import head_preview, sample_n, split_by_hash, split_stratified
+from ..operators.sampling import head_preview, sample_fraction_capped, sample_n, split_by_hash, split_stratified
 from ..sinks.writers import versioned_path, write_csv, write_gold_csv, write_json_rows, write_layout
 from ..sources.readers import metric_file_summary, read_csv_strings
 from .silver_queries import run_silver
@@ -62,7 +62,7 @@ def gold_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, batc
 
 
 def ml_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, run_id: str | None = None,
-           n_init: int = 20, map_sample: int = 100_000) -> dict:
+           n_init: int = 20, map_sample: int = 100_000, kmeans_fit_cap: int | None = 300_000) -> dict:
     run_id = run_id or str(uuid.uuid4())
     typed = read_snapshot(spark, csv_path, owner)
     model = (valid_modeling(typed.withColumn("event_ts", epoch_to_ts(F.col("time_unix"))))
@@ -80,8 +80,10 @@ def ml_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, run_id
         logistic = ML.fit_logistic_regression(
             cls_train, ML.fit_preprocessing(cls_train, NUMERIC_FEATURES, ("period",)), "is_congested")
         crow = cluster_input(model, CLUSTER_FEATURES)
-        cprep = Pipeline(stages=ML.fit_preprocessing(crow, CLUSTER_FEATURES).stages).fit(crow)
-        km = ML.fit_kmeans_best(cprep.transform(crow), k=4, n_init=n_init)
+        # restarts on a bounded hash sample (all rows when fewer than the cap); score every row
+        fit_rows = sample_fraction_capped(crow, key, 1.0, kmeans_fit_cap)
+        cprep = Pipeline(stages=ML.fit_preprocessing(fit_rows, CLUSTER_FEATURES).stages).fit(fit_rows)
+        km = ML.fit_kmeans_best(cprep.transform(fit_rows), k=4, n_init=n_init)
         scored_clusters = km.transform(cprep.transform(crow))
         lin_m = ML.regression_metrics(linear.transform(reg_test), "speed", "prediction").first().asDict()
         t = logistic.transform(cls_test).withColumn("p1", ML.positive_probability()).withColumn(

@@ -11,7 +11,7 @@ from ..functions.stats import stable_dec6
 from ..operators import ml as ML
 from ..operators.projections import CLUSTER_FEATURES, NUMERIC_FEATURES
 from ..operators.quality import cluster_input
-from ..operators.sampling import hex_threshold, sample_n, split_by_hash, split_stratified
+from ..operators.sampling import hex_threshold, sample_fraction_capped, sample_n, split_by_hash, split_stratified
 from ..session import scratch_path
 from ..sinks.writers import write_json_rows
 from ..sources.adapters import OWNER
@@ -22,6 +22,9 @@ from .registry import register
 _STATE: dict = {}
 RUN_ID = "run-0001"
 MAP_SAMPLE = 100_000
+# Rows the K-means restarts are fitted on (the reference fits its models on at
+# most this many rows); every row is still scored, in one pass.
+KMEANS_FIT_CAP = 300_000
 _MD5 = "md5(CAST(event_id AS VARCHAR))"
 _TRAIN = f"train AS (SELECT * FROM model WHERE NOT (substr({_MD5}, 1, 8) < '{hex_threshold(0.2)}'))"
 
@@ -82,17 +85,25 @@ class MLState:
     def cluster_rows(self):
         return cluster_input(self.model, CLUSTER_FEATURES)
 
+    @property
+    def cluster_fit_rows(self):
+        """At most KMEANS_FIT_CAP rows, chosen by hash (all rows when fewer): the
+        20 restarts cost 20 x iterations passes, so they run on a bounded set."""
+        return self._get("cluster_fit_rows", lambda: sample_fraction_capped(
+            self.cluster_rows, "event_id", 1.0, KMEANS_FIT_CAP))
+
     @property
     def cluster_prep(self):
         def fit():
-            prep = ML.fit_preprocessing(self.cluster_rows, CLUSTER_FEATURES)
-            return Pipeline(stages=prep.stages).fit(self.cluster_rows)
+            rows = self.cluster_fit_rows
+            prep = ML.fit_preprocessing(rows, CLUSTER_FEATURES)
+            return Pipeline(stages=prep.stages).fit(rows)
         return self._get("cluster_prep", fit)
 
     @property
     def kmeans(self):
         return self._get("kmeans", lambda: ML.fit_kmeans_best(
-            self.cluster_prep.transform(self.cluster_rows), k=4, n_init=20, seed=42))
+            self.cluster_prep.transform(self.cluster_fit_rows), k=4, n_init=20, seed=42))
 
     def cluster_scored(self) -> DataFrame:
         return self.kmeans.transform(self.cluster_prep.transform(self.cluster_rows))
