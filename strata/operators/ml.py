@@ -176,8 +176,9 @@ def cluster_summary(scored: DataFrame) -> DataFrame:
 # --- metrics (SQL aggregates) ----------------------------------------------------
 def regression_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     e = F.col(label) - F.col(pred)
+    # r2 is undefined (null) for a constant label; ANSI mode would raise on x / 0.
     return df.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                  (F.lit(1.0) - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2"))
+                  (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(label) * F.count(F.lit(1)))).alias("r2"))
 
 
 def classification_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -200,8 +201,9 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     g = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     c = running_sum_before(g, "score", "neg")
-    return c.agg((F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg")))
-                  / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
+    # undefined (null) when one class is absent
+    return c.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + 0.5 * F.col("neg"))),
+                              F.sum("pos") * F.sum("neg")).cast("double").alias("roc_auc"))
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:

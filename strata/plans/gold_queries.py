@@ -111,13 +111,13 @@ def land_snapshot_csv(spark: SparkSession, sf_dir: str) -> str:
 @register("read_mobility_csv", f"WITH {GOLD_CTES} SELECT * FROM typed")
 def q_read_mobility_csv(spark, sf_dir):
     raw = read_csv_strings(spark, land_snapshot_csv(spark, sf_dir))
-    return typed_mobility(drop_synthetic_columns(raw).withColumn("event_id", F.col("event_id").cast("bigint")), OWNER)
+    return typed_mobility(drop_synthetic_columns(raw).withColumn("event_id", F.col("event_id").try_cast("bigint")), OWNER)
 
 
 @register("drop_synthetic_columns", f"WITH {GOLD_CTES} SELECT * FROM typed")
 def q_drop_synthetic_columns(spark, sf_dir):
     raw = read_csv_strings(spark, land_snapshot_csv(spark, sf_dir), infer=True)
-    return typed_mobility(drop_synthetic_columns(raw).withColumn("event_id", F.col("event_id").cast("bigint")), OWNER)
+    return typed_mobility(drop_synthetic_columns(raw).withColumn("event_id", F.col("event_id").try_cast("bigint")), OWNER)
 
 
 @register("read_mobility_typed", f"WITH {GOLD_CTES} SELECT * FROM typed")
@@ -164,10 +164,10 @@ def q_write_gold_csv(spark, sf_dir):
     runs = gold_paths(spark, sf_dir)
     back = read_gold_metric(spark, runs["route_performance_daily"], runs["route_performance_daily:columns"])
     typed = back.select(
-        "ingest_date", F.col("route_id").cast("bigint").alias("route_id"),
-        F.col("vehicles_cnt").cast("bigint").alias("vehicles_cnt"),
-        F.col("points_cnt").cast("bigint").alias("points_cnt"),
-        *[F.col(c).cast("double").alias(c) for c in ("avg_speed_kmh", "avg_dist_km", "congestion_rate")])
+        "ingest_date", F.col("route_id").try_cast("bigint").alias("route_id"),
+        F.col("vehicles_cnt").try_cast("bigint").alias("vehicles_cnt"),
+        F.col("points_cnt").try_cast("bigint").alias("points_cnt"),
+        *[F.col(c).try_cast("double").alias(c) for c in ("avg_speed_kmh", "avg_dist_km", "congestion_rate")])
     return stable(typed, M.AVERAGE_COLUMNS["route_performance_daily"])
 
 

@@ -19,7 +19,7 @@ TOKENS = {
         "S": "STRING",
         # json_tuple is a generator: props is parsed once per row (a projected
         # get_json_object would be inlined into every pushed-down predicate).
-        "K": "CAST(k_raw AS INT)",
+        "K": "TRY_CAST(k_raw AS INT)",
         "KFROM": "{events} LATERAL VIEW json_tuple(props, 'k') jt AS k_raw",
         "EPOCH": "unix_seconds(CAST(ts AS TIMESTAMP))",
         "DOW": "dayofweek(ts) - 1",
@@ -32,7 +32,7 @@ TOKENS = {
     },
     "duckdb": {
         "S": "VARCHAR",
-        "K": "CAST(json_extract_string(props, '$.k') AS INT)",
+        "K": "TRY_CAST(json_extract_string(props, '$.k') AS INT)",
         "KFROM": "{events}",
         "EPOCH": "CAST(floor(epoch(ts)) AS BIGINT)",
         "DOW": "dayofweek(ts)",

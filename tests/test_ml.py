@@ -103,3 +103,10 @@ def test_kmeans_best_of_n_and_grid_mode(spark):
                               "lat_grid double, lng_grid double, predicted_cluster_id int, speed double, is_congested int")
     m = {(r.lat_grid): r.dominant_cluster for r in ML.grid_map(g, pred_speed=None, pred_prob=None).collect()}
     assert m == {1.0: 1, 2.0: -1}  # tie -> smallest; no cluster -> -1
+
+
+def test_undefined_metrics_are_null_not_errors(spark):
+    df = spark.createDataFrame([(1, 0.2, 3.0, 3.5), (1, 0.7, 3.0, 2.5)], "y int, s double, t double, p double")
+    assert ML.roc_auc(df, "y", "s").first().roc_auc is None          # one class only
+    m = ML.regression_metrics(df, "t", "p").first()
+    assert m.r2 is None and m.mae == 0.5                               # constant label
