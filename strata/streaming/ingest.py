@@ -38,12 +38,19 @@ class DomainStream:
     checkpoint: str
     schema: T.StructType = WEATHER_ENVELOPE
     static: bool | None = None
+    # Move committed source files here (outside ``landing``), so the per-trigger
+    # listing stays small as files accumulate.  None keeps landed files in place.
+    archive_dir: str | None = None
 
 
-def envelope_stream(spark: SparkSession, landing: str, schema: T.StructType) -> DataFrame:
+def envelope_stream(spark: SparkSession, landing: str, schema: T.StructType,
+                    archive_dir: str | None = None) -> DataFrame:
     """Landed envelope JSON lines as a stream, with partition values from the path."""
-    df = (spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-          .option("pathGlobFilter", BRONZE_GLOB).option("maxFilesPerTrigger", 10_000).json(landing))
+    r = (spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
+         .option("pathGlobFilter", BRONZE_GLOB).option("maxFilesPerTrigger", 10_000))
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    df = r.json(landing)
     fp = F.col("_metadata.file_path")
     return df.select("*", fp.alias("file_path"), path_value(fp, "source").alias("landed_source"),
                      path_value(fp, "ingest_date", r"[0-9\-]+").alias("ingest_date"),
@@ -53,7 +60,7 @@ def envelope_stream(spark: SparkSession, landing: str, schema: T.StructType) ->
 def start_domain(spark: SparkSession, d: DomainStream, once: bool = False, every_pass: bool = False,
                  interval: str = POLL_INTERVAL) -> StreamingQuery:
     static = d.static if d.static is not None else d.domain in STATIC_DOMAINS
-    w = (envelope_stream(spark, d.landing, d.schema).writeStream.format("parquet")
+    w = (envelope_stream(spark, d.landing, d.schema, d.archive_dir).writeStream.format("parquet")
          .option("path", d.sink).option("checkpointLocation", d.checkpoint)
          .partitionBy("landed_source", "ingest_date", "hour")
          # one name per (domain, checkpoint): two ingests of a domain may run side by side

@@ -58,3 +58,12 @@ def test_realtime_interval_and_static_once(spark, tmp_path):
         for q in qs.values():
             if not isinstance(q, str):
                 q.stop()
+
+
+def test_archive_option_runs(spark, tmp_path):
+    landing = str(tmp_path / "arch_landing")
+    _land(landing, "domain=weather/source=s1/ingest_date=2024-01-01/hour=09/a.jsonl", [env()])
+    base = scratch_path(spark, "stream_arch")
+    d = DomainStream("weather", landing, f"{base}/sink", f"{base}/ck", archive_dir=str(tmp_path / "archive"))
+    assert run_ingest(spark, [d]) == {"weather": None}
+    assert spark.read.parquet(d.sink).count() == 1
