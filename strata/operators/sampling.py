@@ -58,20 +58,34 @@ def flag_first_by_hash(df: DataFrame, key: str, n, by: str | None = None, flag:
     want = {g: (n.get(g, 0) if isinstance(n, dict) else n) for g in sizes}
     ranks = {g: [want[g] - 1] for g, size in sizes.items() if 0 < want[g] < size}
     bound = values_at_ranks(long, ranks, initial=stats) if ranks else {}
-    cond, tie = F.lit(False), F.lit(False)
+    cond = F.lit(False)
+    ties: dict = {}
     for g, size in sizes.items():
         if want[g] >= size:
             cond = cond | (name == g)
         elif want[g] > 0:
             t = bound[g][want[g] - 1]
             cond = cond | ((name == g) & (F.col("_h") < t))
-            tie = tie | ((name == g) & (F.col("_h") == t))
+            ties[g] = (name == g) & (F.col("_h") == t)
     if not ranks:
         return h.withColumn(flag, cond).drop("_h")
-    below_n = dict(h.where(cond).groupBy(name.alias("name")).agg(F.count(F.lit(1))).collect())
-    need = {g: want[g] - below_n.get(g, 0) for g in ranks}
-    plain = h.where(~tie).withColumn(flag, cond).drop("_h")
-    return plain.unionByName(_flag_ties(h.where(tie).drop("_h"), name, key, need, flag))
+    # One aggregate: rows below each boundary and rows tied at it.
+    counts = h.agg(*[e for i, g in enumerate(ranks) for e in (
+        F.count_if((name == g) & cond).alias(f"b{i}"), F.count_if(ties[g]).alias(f"t{i}"))]).first()
+    partial = {}
+    for i, g in enumerate(ranks):
+        need = want[g] - counts[f"b{i}"]
+        if need >= counts[f"t{i}"]:
+            cond = cond | ties[g]          # the whole tie is taken (the usual case: one boundary row)
+        elif need > 0:
+            partial[g] = need              # only part of a tie (duplicated keys): rank inside it
+    if not partial:
+        return h.withColumn(flag, cond).drop("_h")
+    tie_any = F.lit(False)
+    for g in partial:
+        tie_any = tie_any | ties[g]
+    plain = h.where(~tie_any).withColumn(flag, cond).drop("_h")
+    return plain.unionByName(_flag_ties(h.where(tie_any).drop("_h"), name, key, partial, flag))
 
 
 def _flag_ties(tied: DataFrame, name: Column, key: str, need: dict, flag: str) -> DataFrame:
