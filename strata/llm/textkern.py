@@ -91,10 +91,12 @@ class Words:
         self.ids = coded.indices.to_numpy(zero_copy_only=False)
         self.vocabulary = coded.dictionary
 
-    def hashes(self) -> np.ndarray:
-        """One 64-bit hash for each word, the same in every batch."""
-        table = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.vocabulary.to_pylist()), np.uint64,
-                            len(self.vocabulary))
+    def hashes(self, lower: bool = False) -> np.ndarray:
+        """One 64-bit hash for each word (letters A-Z lower-cased on demand), the same in every batch."""
+        distinct = self.vocabulary.to_pylist()
+        if lower:
+            distinct = map(bytes.lower, distinct)
+        table = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(self.vocabulary))
         return table[self.ids] if len(table) else np.zeros(0, np.uint64)
 
 
