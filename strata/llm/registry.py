@@ -9,7 +9,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = (
-    "token_counts",
+    "token_counts", "quality", "secrets", "pii",
 )
 
 
