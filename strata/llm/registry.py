@@ -9,7 +9,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = (
-    "token_counts", "quality", "secrets", "pii",
+    "line_dedup", "packing", "token_counts", "quality", "secrets", "pii",
 )
 
 
