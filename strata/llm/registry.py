@@ -9,7 +9,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = (
-    "line_dedup", "token_counts", "ngram_join", "sentencepieces", "packing", "quality", "secrets", "pii",
+    "line_dedup", "token_counts", "suffix_dedup", "ngram_join", "sentencepieces", "packing", "quality", "secrets", "pii",
 )
 
 
