@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .registry import register, table
-from .shared import landed
+from .shared import landed, text_digest
 
 MODULUS = 3  # a boundary after one line in three, on average
 MIN_LINES = 2
@@ -36,11 +36,6 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def _key(text: str) -> Column:
-    return F.md5(F.concat_ws("\x01", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-                             F.coalesce(F.col(text), F.lit(""))))
-
-
 def _held(**columns: Column) -> Column:
     """Generator of one row that holds ``columns``: evaluated once, whatever refers to them later."""
     return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
@@ -81,7 +76,7 @@ def line_dedup(docs: DataFrame, text_col: str = "text", modulus: int = MODULUS)
     """``docs`` with the text that is left, n_lines, n_removed_lines and n_removed_chunks."""
     names = ["n_lines", "n_removed_lines", "n_removed_chunks"]
     keep = [c for c in docs.columns if c not in names]
-    keyed = docs.select(*keep, _key(text_col).alias("__key"))
+    keyed = docs.select(*keep, text_digest("doc_id", text_col).alias("__key"))
     slim = with_chunks(keyed.select("doc_id", "__key", text_col), text_col, modulus).drop(text_col)
 
     # 1. places by hash; a chunk of one line is never a candidate

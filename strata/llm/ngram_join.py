@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import components, landed
+from .shared import components, landed, text_digest
 from .textkern import mix, shingle_sets
 
 BUCKET_BITS = 20
@@ -169,11 +169,13 @@ def forest(sets: list[np.ndarray], levels: np.ndarray, percent: int) -> list[tup
 
 def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text",
                      id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without its text, plus n_shingles, component_id and __key (digest of id and text)."""
+    """``docs`` without its text, plus n_shingles and component_id.
+
+    ``__key`` (digest of id and text) and ``__root`` (number of the component) serve later joins.
+    """
     spark = docs.sparkSession
-    keep = [c for c in docs.columns if c not in (text_col, "n_shingles", "component_id", "__key", "__row")]
-    keyed = docs.select(*keep, text_col, F.md5(F.concat_ws(
-        "\x01", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.coalesce(F.col(text_col), F.lit("")))).alias("__key"))
+    keep = [c for c in docs.columns if c not in (text_col, "n_shingles", "component_id", "__key", "__row", "__root")]
+    keyed = docs.select(*keep, text_col, text_digest(id_col, text_col).alias("__key"))
     levels = spark.sparkContext.broadcast(bucket_levels(docs, text_col, words))
 
     @F.arrow_udf(from_arrow_type(_SKETCH))
@@ -246,10 +248,23 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
         "root", F.coalesce("root", "cls", "__row"))
     placed = landed(placed.drop("cls", "__row"), "placed")
     least = placed.groupBy("root").agg(F.min(id_col).alias("component_id"))
-    return placed.join(least, "root").select(*keep, "n_shingles", "component_id", "__key")
+    return placed.join(least, "root").select(*keep, "n_shingles", "component_id", "__key", F.col("root").alias("__root"))
+
+
+def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text",
+                      id_col: str = "doc_id") -> DataFrame:
+    """``docs`` reduced to one row of each component: smallest id, then smallest text digest; null ids come last.
+
+    Rows equal in id and text count as one.
+    """
+    found = ngram_components(docs.select(id_col, text_col), words, percent, text_col, id_col)
+    best = found.groupBy("__root").agg(F.min(F.struct(F.col(id_col).isNull(), id_col, "__key")).alias("best"))
+    chosen = best.select(F.col("best.__key").alias("__key")).distinct()
+    keyed = docs.withColumn("__key", text_digest(id_col, text_col))
+    return keyed.join(chosen, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 @register("op4_ngram_join")
 def op4_ngram_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return ngram_components(docs, words=4, percent=85).drop("__key")
+    return ngram_components(docs, words=4, percent=85).drop("__key", "__root")

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import landed
+from .shared import landed, text_digest
 
 ROUNDS = 3
 MIN_CONFIDENCE = 0.8
@@ -215,10 +215,20 @@ def redact_text(text: str, spans: str) -> str:
 @F.arrow_udf(T.StringType())
 def redacted(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, spans in batches:
-        yield pa.array([t if not s else redact_text(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist())],
+        yield pa.array([t if not s else redact_text(t or "", s) for t, s in zip(texts.to_pylist(), spans.to_pylist())],
                        pa.string())
 
 
+def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with every span of its texts replaced by its kind."""
+    keyed = docs.withColumn("__key", text_digest(id_col, text_col))
+    spans = pii_spans(keyed.select("__key", text_col)).filter("spans <> ''")
+    spans = spans.groupBy("__key").agg(F.max("spans").alias("__spans"))  # equal texts have equal spans
+    joined = keyed.join(spans, "__key", "left")
+    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col("__spans")))
+    return joined.withColumn(text_col, text).select(*docs.columns)
+
+
 @register("op10_pii")
 def op10_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -20,9 +20,13 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_key(text: Column) -> Column:
-    """128-bit content key of a text; null counts as empty."""
-    return F.md5(F.coalesce(text, F.lit("")))
+def text_digest(id_col: str, text_col: str) -> Column:
+    """128-bit digest of a row's id and text, the key under which results are joined back to texts.
+
+    A null text counts as empty.  Rows equal in both have one key.
+    """
+    return F.md5(F.concat_ws("\x01", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
+                             F.coalesce(F.col(text_col), F.lit(""))))
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import landed
+from .shared import landed, text_digest
 from .textkern import blocks, mix
 
 SPAN = 200
@@ -363,9 +363,7 @@ def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     """``docs`` without its text, plus n_bytes, n_removed, n_spans, kept_sha256 and the removed spans."""
     names = [f.name for f in _RESULT]
     keep = [c for c in docs.columns if c not in [*names, text_col, "__key"]]
-    key = F.md5(F.concat_ws("\x01", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
-                            F.coalesce(F.col(text_col), F.lit(""))))
-    keyed = docs.select(*keep, text_col, key.alias("__key"))
+    keyed = docs.select(*keep, text_col, text_digest(id_col, text_col).alias("__key"))
 
     # cells whose gram occurs again
     listed = landed(keyed.select("__key", text_cells(F.col(text_col)).alias("c")), "cells")
