@@ -9,7 +9,8 @@
    Bin completion works on it: the longest length left is completed by a
    branch-and-bound over undominated fillings (longer lengths first, pruned by
    the waste of the incumbent, which starts as the best-fit filling), and the
-   filling is used as often as the counts allow.
+   filling is used as often as the counts allow.  Plans made with different
+   search efforts compete.
 3. Pieces of one length are interchangeable, so each takes its place from its
    rank among those of its length.  Ranks come from per-bucket counts and their
    running sums; no length, however frequent, meets in one task.
@@ -22,9 +23,10 @@ from __future__ import annotations
 
 import functools
 import os
+import random
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,8 @@ from .shared import landed
 CAPACITY = 2048
 END_ID = 0
 RANK_BUCKETS = 64  # buckets that share the ranking of one length
-SEARCH_NODES = 4000  # effort of one completion search; its incumbent is a valid filling at any time
+EFFORTS = (4000, 30, 100, 300, 1000, 10, 3)  # nodes of a completion search; its incumbent is valid at any time
+TRIES = 24  # plans that are compared
 CACHE_WORDS = 1 << 20  # distinct words remembered by one worker
 SLICE_ROWS = 2048  # texts whose ids are held together
 
@@ -139,7 +142,7 @@ def pieces_of(path: str, capacity: int):
     return cut
 
 
-def complete(room: int, lengths: list[int], left: list[int], nodes: int = SEARCH_NODES) -> list[tuple[int, int]]:
+def complete(room: int, lengths: list[int], left: list[int], nodes: int = EFFORTS[0]) -> list[tuple[int, int]]:
     """Best filling of ``room`` as (index, copies): depth-first over undominated fillings.
 
     ``lengths`` descend and ``left`` are their counts.  At each level the
@@ -190,13 +193,16 @@ def complete(room: int, lengths: list[int], left: list[int], nodes: int = SEARCH
     return best
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
-    """Rows (length, first rank, ranks, copies per sequence, first sequence, offset in it).
+Plan = list[tuple[int, int, int, int, int, int]]
+
+
+def plan_once(histogram: dict[int, int], capacity: int, effort: Callable[[], int]) -> tuple[int, Plan]:
+    """Number of sequences and plan; ``effort`` gives the nodes of each completion search.
 
     Each step takes the longest length left, completes it, and repeats the
-    filling while the counts of its lengths last, so each step but the last
-    few of a length uses some length up; the number of steps follows the number
-    of lengths, not of documents.
+    filling while the counts of its lengths last, so each step uses some length
+    up or spends a left-over of one; the number of steps follows the number of
+    lengths, not of documents.
     """
     lengths = sorted((n for n in histogram if histogram[n] > 0), reverse=True)
     left = [histogram[n] for n in lengths]
@@ -208,7 +214,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
             continue
         live = [i for i in range(top, len(lengths)) if left[i] - (i == top) > 0]
         room = capacity - lengths[top]
-        filling = complete(room, [lengths[i] for i in live], [left[i] - (i == top) for i in live])
+        filling = complete(room, [lengths[i] for i in live], [left[i] - (i == top) for i in live], effort())
         parts = {top: 1}
         for j, k in filling:
             parts[live[j]] = parts.get(live[j], 0) + k
@@ -221,7 +227,28 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
             left[i] -= times * k
             offset += k * lengths[i]
         sequence += times
-    return rows
+    return sequence, rows
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, tries: int = TRIES) -> Plan:
+    """Rows (length, first rank, ranks, copies per sequence, first sequence, offset in it).
+
+    A filling found with less effort wastes a little room but keeps short
+    lengths for later, so several efforts are tried, uniform ones first and then
+    mixed ones with fixed seeds.  The plan with the fewest sequences is kept; the
+    search ends when no plan can have fewer.
+    """
+    least = -(-sum(n * k for n, k in histogram.items()) // capacity)
+    best = None
+    for t in range(tries):
+        mixed = random.Random(t)
+        uniform = EFFORTS[t] if t < len(EFFORTS) else None
+        found = plan_once(histogram, capacity, lambda: uniform or mixed.choice(EFFORTS))
+        if best is None or found[0] < best[0]:
+            best = found
+        if best[0] <= least:
+            break
+    return best[1]
 
 
 class Places:
