@@ -1,17 +1,15 @@
 """Aggregate helpers that stay exact and bounded at any scale.
 
 ``exact_quantiles`` answers order statistics without ever holding a whole
-column in one task or the driver: it narrows a value window per column with
-``percentile_approx`` (whose rank error is bounded by n/accuracy), keeps the
-exact count of values below the window, and only collects the
-``(value, count)`` pairs of a window once it is at most ``max_collect``
-distinct values.  At test scale that is one job; at 100 TB a few rounds.
+column in one task or the driver: it narrows a value window per target by
+grouped histograms (combined map-side), keeping the exact count of values below
+the window.  The driver sees a fixed number of buckets a round, and nothing
+depends on the number of shuffle partitions.
 """
 
 from __future__ import annotations
 
 import math
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,117 +28,72 @@ def _long_form(df: DataFrame, cols: list[str]) -> DataFrame:
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def _in_window(name: str, lo, hi) -> Column:
-    """Rows of ``name`` strictly between the (exclusive) bounds."""
-    c = F.col("name") == name
-    if lo is not None:
-        c = c & (F.col("value") > lo)
-    if hi is not None:
-        c = c & (F.col("value") < hi)
-    return c
+BUCKETS = 1024  # histogram buckets of one open window
 
 
-def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], max_collect: int = 50_000,
-                    accuracy: int = 10_000, initial: dict | None = None) -> dict[str, dict[int, float]]:
+def _bucket(v: Column, lo: Column, hi: Column, buckets: int) -> Column:
+    """Histogram bucket of ``v`` in [lo, hi]: the two ends have buckets of their own,
+    so a window with two different values always splits."""
+    top = F.lit(1.7e308)
+    a, b = F.greatest(lo, -top), F.least(hi, top)
+    share = F.try_divide(v * 0.5 - a * 0.5, b * 0.5 - a * 0.5)  # halves: the width itself may overflow
+    inner = 1 + F.floor(F.coalesce(share, F.lit(0.0)) * (buckets - 2)).cast("int")
+    return (F.when(v <= lo, 0).when(v >= hi, buckets - 1)
+            .otherwise(F.greatest(F.lit(1), F.least(F.lit(buckets - 2), inner))))
+
+
+def _histogram(long_df: DataFrame, windows: list[tuple], buckets: int) -> list:
+    """Counts and value ranges of the buckets of each window (name, lo, hi): one pass
+    over the rows inside the windows, combined map-side.  The result has at most
+    len(windows) * buckets rows, whatever the size of the data."""
+    tagged = F.filter(F.array(*[
+        F.when((F.col("name") == n) & F.col("value").between(lo, hi),
+               F.struct(F.lit(i).alias("w"), F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi")))
+        for i, (n, lo, hi) in enumerate(windows)]), lambda x: x.isNotNull())
+    rows = long_df.select(F.explode(tagged).alias("x"), "value").select("x.*", "value")
+    b = _bucket(F.col("value"), F.col("lo"), F.col("hi"), buckets)
+    return (rows.groupBy("w", b.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
+                                                 F.max("value").alias("hi"))
+            .orderBy("w", "b").collect())
+
+
+def values_at_ranks(long_df: DataFrame, wanted: dict[str, list[int]], buckets: int = BUCKETS,
+                    initial: dict | None = None) -> dict[str, dict[int, float]]:
     """Exact value at each 0-based rank (ascending) per name of a (name, value) frame.
 
-    Every (name, rank) target keeps an open value window and the exact count of
-    values at or below its lower bound.  A candidate q is the answer iff
-    count(v < q) <= rank < count(v <= q).  Per round, one aggregate sizes all
-    windows; windows of at most ``max_collect`` rows are resolved from their
-    ``(value, count)`` pairs; for larger ones three ``percentile_approx``
-    candidates around the target are checked with exact counts, and the window
-    shrinks to the tightest candidates on either side (strict progress every
-    round).  Nothing unbounded is ever collected.  ``initial`` = {name: (rows,
-    approx distinct)} from the caller saves the first sizing pass."""
-    targets = [(n, r) for n, ranks in wanted.items() for r in sorted(set(ranks))]
-    win = {t: (None, None) for t in targets}
-    below = {t: 0 for t in targets}
+    Every (name, rank) target has an open value window and the exact count of
+    values below it, at first the whole column.  A round counts the values of the
+    open windows by histogram bucket and keeps, for each target, the bucket that
+    holds its rank; a bucket with one value answers it.  Rows outside the windows
+    are dropped before the count.  The ends of a window have their own buckets,
+    so every round makes progress.  ``initial`` = {name: (rows, min, max)} from
+    the caller saves the first pass."""
+    if initial is None:
+        initial = {r["name"]: (r["n"], r["lo"], r["hi"]) for r in long_df.groupBy("name").agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
     out: dict[str, dict[int, float]] = {n: {} for n in wanted}
-    todo = list(targets)
-    margin = 2.0 / accuracy
-    for _ in range(100):
+    todo: dict[tuple, tuple] = {}  # target -> (lo, hi, values below lo)
+    for n, ranks in wanted.items():
+        for r in set(ranks):
+            rows, lo, hi = initial.get(n, (0, None, None))
+            if not 0 <= r < rows:
+                raise ValueError(f"rank {r} of {n!r}, which has {rows} values")
+            todo[(n, r)] = (lo, hi, 0)
+    while todo:
+        for t in [t for t, (lo, hi, _) in todo.items() if lo == hi]:
+            out[t[0]][t[1]] = todo.pop(t)[0]
         if not todo:
             break
-        # Targets of one column that share a window share one scan slot and one collect.
-        groups: dict[tuple, list] = {}
-        for t in todo:
-            groups.setdefault((t[0], *win[t]), []).append(t)
-        gkeys = list(groups)
-        gconds = {g: _in_window(*g) for g in gkeys}
-        conds = {t: gconds[(t[0], *win[t])] for t in todo}
-        if initial is not None and all(g[1] is None and g[2] is None and g[0] in initial for g in gkeys):
-            sizes = {g: initial[g[0]][0] for g in gkeys}
-            dist = {g: initial[g[0]][1] for g in gkeys}
-        else:
-            sizes_row = long_df.agg(*[e for i, g in enumerate(gkeys) for e in (
-                F.count_if(gconds[g]).alias(f"s{i}"),
-                F.approx_count_distinct(F.when(gconds[g], F.col("value")), 0.05).alias(f"d{i}"))]).first()
-            sizes = {g: sizes_row[f"s{i}"] for i, g in enumerate(gkeys)}
-            dist = {g: sizes_row[f"d{i}"] for i, g in enumerate(gkeys)}
-        initial = None
-        # (value, count) pairs are bounded by distinct values: collect a window when
-        # its rows, or (with margin for the sketch error) its distinct values, are few.
-        small_g = [g for g in gkeys if sizes[g] <= max_collect or dist[g] <= max_collect // 2]
-        small = [t for g in small_g for t in groups[g]]
-        if small_g:
-            tag = F.filter(F.array(*[F.when(gconds[g], F.lit(i)) for i, g in enumerate(gkeys) if g in small_g]),
-                           lambda x: x.isNotNull())
-            pairs = (long_df.select(F.explode(tag).alias("gid"), "value").groupBy("gid", "value")
-                     .agg(F.count(F.lit(1)).alias("c")).collect())
-            by_gid: dict[int, list] = {}
-            for r in pairs:
-                by_gid.setdefault(r["gid"], []).append((r["value"], r["c"]))
-            for i, g in enumerate(gkeys):
-                if g not in small_g:
-                    continue
-                vals = sorted(by_gid.get(i, []))
-                for t in groups[g]:
-                    cum = below[t]
-                    for value, c in vals:
-                        if cum + c > t[1]:
-                            out[t[0]][t[1]] = value
-                            break
-                        cum += c
-        sizes = {t: sizes[(t[0], *win[t])] for t in todo}
-        todo = [t for t in todo if t not in small]
-        if not todo:
-            break
-        aggs = []
-        for i, t in enumerate(todo):
-            p = (t[1] - below[t] + 0.5) / sizes[t]
-            probes = [max(0.0, p - margin), p, min(1.0, p + margin)]
-            aggs.append(F.percentile_approx(F.when(conds[t], F.col("value")), F.array(*map(F.lit, probes)),
-                                            accuracy).alias(f"q{i}"))
-        qs = long_df.agg(*aggs).first()
-        counts = []
-        for i, t in enumerate(todo):
-            for j, q in enumerate(qs[f"q{i}"]):
-                counts += [F.count_if(conds[t] & (F.col("value") < q)).alias(f"lt{i}_{j}"),
-                           F.count_if(conds[t] & (F.col("value") <= q)).alias(f"le{i}_{j}")]
-        cnt = long_df.agg(*counts).first()
-        still = []
-        for i, t in enumerate(todo):
-            rel = t[1] - below[t]
-            lo, hi = win[t]
-            new_lo, new_below = lo, below[t]
-            done = False
-            for j, q in enumerate(qs[f"q{i}"]):
-                lt, le = cnt[f"lt{i}_{j}"], cnt[f"le{i}_{j}"]
-                if lt <= rel < le:
-                    out[t[0]][t[1]] = q
-                    done = True
+        windows = sorted({(n, lo, hi) for (n, _), (lo, hi, _) in todo.items()}, key=repr)
+        found: dict[int, list] = {}
+        for row in _histogram(long_df, windows, buckets):
+            found.setdefault(row["w"], []).append(row)
+        for t, (lo, hi, below) in list(todo.items()):
+            for row in found[windows.index((t[0], lo, hi))]:
+                if below + row["n"] > t[1]:
+                    todo[t] = (row["lo"], row["hi"], below)
                     break
-                if le <= rel and (new_lo is None or q > new_lo):
-                    new_lo, new_below = q, below[t] + le   # everything <= q lies below the target
-                if lt > rel and (hi is None or q < hi):
-                    hi = q                                  # the target lies below q
-            if not done:
-                win[t], below[t] = (new_lo, hi), new_below
-                still.append(t)
-        todo = still
-    if todo:
-        raise RuntimeError(f"exact selection did not converge for {todo}")
+                below += row["n"]
     return out
 
 
@@ -150,8 +103,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) ->
     NaN and null are skipped.  Returns ``{col: [q(p) for p in probs]}`` (None for an empty column).
     """
     long_df = _long_form(df, cols)
-    stats = {r["name"]: (r["n"], r["d"]) for r in long_df.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value", 0.05).alias("d")).collect()}
+    stats = {r["name"]: (r["n"], r["lo"], r["hi"]) for r in long_df.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
     n_by = {k: v[0] for k, v in stats.items()}
     wanted, plan = {}, {}
     for c in cols:
@@ -190,57 +143,56 @@ def exact_mode(df: DataFrame, col: str):
     return None if row is None else row[col]
 
 
-def to_float(v):
-    return float(v) if isinstance(v, Decimal) else v
-
-
-def running_sum_before(df: DataFrame, order_col: str, value_col: str, parts: int | None = None) -> DataFrame:
+PREFIX_PARTS = 256  # buckets of a prefix sum, whatever the number of shuffle partitions
+
+
+def balanced_cuts(df: DataFrame, col: str, parts: int = PREFIX_PARTS) -> list[float]:
+    """Cut points of a numeric column with about rows / parts rows between two of them.
+
+    Histogram rounds as in ``values_at_ranks``: only ranges that are still too full
+    are split again, so at most ``parts`` ranges are open at a time and nothing
+    that grows with the data is collected.  The cuts are plain numbers, fixed
+    before anything is dealt out by them."""
+    long_df = df.select(F.lit("c").alias("name"), F.col(col).cast("double").alias("value")).where(
+        F.col("value").isNotNull() & ~F.isnan("value"))
+    first = long_df.agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+    if not first["n"]:
+        return []
+    full = max(1, first["n"] // parts)
+    open_, done = [(first["lo"], first["hi"], first["n"])], []
+    while open_:
+        split = [w for w in open_ if w[2] > full and w[0] < w[1]]
+        done += [w for w in open_ if not (w[2] > full and w[0] < w[1])]
+        open_ = [(r["lo"], r["hi"], r["n"]) for r in _histogram(
+            long_df, [("c", lo, hi) for lo, hi, _ in split], 64)] if split else []
+    cuts, held = [], 0
+    for lo, _, n in sorted(done):
+        if held and held + n > full:
+            cuts.append(lo)
+            held = 0
+        held += n
+    return cuts
+
+
+def running_sum_before(df: DataFrame, order_col: str, value_col: str, parts: int = PREFIX_PARTS) -> DataFrame:
     """Adds ``<value_col>_before``: the sum of ``value_col`` over rows with a
-    smaller ``order_col`` (one row per distinct ``order_col`` expected).
+    smaller ``order_col`` (numeric, one row per distinct value expected).
 
-    A distributed prefix sum: the order values are cut into ``parts`` balanced
-    buckets at approximate quantiles (``Bucketizer``: a JVM binary search per
-    row), per-bucket totals (one row per bucket) become a literal offsets
-    array, and one window partitioned by bucket adds the local running sum.
-    Never a single-partition window over the whole input, and no join."""
+    A distributed prefix sum: ``balanced_cuts`` fixes the buckets, ``Bucketizer``
+    finds a row's bucket by binary search in the JVM, one window inside each
+    bucket gives the local running sum, and the totals of the buckets before it
+    are joined on (a table of at most a few times ``parts`` rows)."""
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql import Window
-    from pyspark.sql.types import NumericType
-
-    spark = df.sparkSession
-    p = max(1, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if not isinstance(df.schema[order_col].dataType, NumericType):
-        return _running_sum_before_by_range(df, order_col, value_col, p)
-    probs = [i / p for i in range(1, p)]
-    cuts = []
-    if probs:
-        q = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10_000)).first()[0] or []
-        cuts = sorted({float(v) for v in q if v is not None})
-    splits = [float("-inf"), *cuts, float("inf")]
+
+    splits = [float("-inf"), *balanced_cuts(df, order_col, parts), float("inf")]
     b = (Bucketizer(splits=splits, inputCol="_ord", outputCol="_b", handleInvalid="keep")
-         .transform(df.withColumn("_ord", F.col(order_col).cast("double"))))
-    totals = dict(b.groupBy("_b").agg(F.sum(value_col)).collect())  # one row per bucket
-    acc, offsets = 0, []
-    for i in range(len(splits)):  # bucket len(splits)-1 holds NaN (handleInvalid="keep")
-        offsets.append(acc)
-        acc += totals.get(float(i), 0) or 0
+         .transform(df.withColumn("_ord", F.col(order_col).cast("double"))))  # NaN has the last bucket
+    totals = b.groupBy("_b").agg(F.sum(value_col).alias("_tot"))
+    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_b", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_off"))
     local = Window.partitionBy("_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    off = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("_b").cast("int") + 1)
-    return (b.withColumn(f"{value_col}_before", F.coalesce(F.sum(value_col).over(local), F.lit(0)) + off)
-            .drop("_ord", "_b"))
-
-
-def _running_sum_before_by_range(df: DataFrame, order_col: str, value_col: str, p: int) -> DataFrame:
-    """Same prefix sum for any orderable type: range partitions, a window inside
-    each, and per-partition offsets (a table of ``p`` rows, broadcast)."""
-    from pyspark.sql import Window
-
-    r = df.repartitionByRange(p, order_col).withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    r = r.withColumn("_local", F.coalesce(F.sum(value_col).over(local), F.lit(0)))
-    totals = r.groupBy("_pid").agg(F.sum(value_col).alias("_tot"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    return (r.join(F.broadcast(offsets), "_pid")
+    return (b.withColumn("_local", F.coalesce(F.sum(value_col).over(local), F.lit(0)))
+            .join(F.broadcast(offsets), "_b")  # one row for each bucket: bounded by the number of cuts
             .withColumn(f"{value_col}_before", F.col("_local") + F.col("_off"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_ord", "_b", "_local", "_off"))

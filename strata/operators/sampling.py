@@ -5,7 +5,7 @@ Every row's fate depends only on ``md5(key)``, so sampling is a narrow filter
 *count* must be exact (a cap, ``n`` rows, a per-class share), the hash value
 at the boundary rank is found with the bounded exact selection of
 ``functions.stats`` and the rows are then filtered against it.  Only rows that
-tie exactly at the boundary (same 52-bit hash prefix) are ordered.
+tie exactly at the boundary (same 52-bit hash prefix) are numbered.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.stats import running_sum_before, values_at_ranks
+from ..functions.stats import values_at_ranks
+from ..session import scratch_path
 
 HEX_DIGITS = 8
+MAX_CLASSES = 1000  # classes of a ``by`` column; each is a condition of the plan
+NULL_CLASS = "null"
 
 
 def key_md5(key: str) -> Column:
@@ -42,22 +45,38 @@ def _h52(key: str) -> Column:
     return F.conv(F.substring(key_md5(key), 1, 13), 16, 10).cast("double")
 
 
+def class_name(col: str) -> Column:
+    """Text of a class label; null is a class of its own (no text equals it)."""
+    return F.when(F.col(col).isNull(), NULL_CLASS).otherwise(F.concat(F.lit("="), F.col(col).cast("string")))
+
+
+def class_sizes(df: DataFrame, col: str) -> dict[str, int]:
+    """Rows of each class; fails early when the column is no class label."""
+    rows = df.groupBy(class_name(col).alias("name")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{col} has more than {MAX_CLASSES} classes")
+    return {r["name"]: r["n"] for r in rows}
+
+
 def flag_first_by_hash(df: DataFrame, key: str, n, by: str | None = None, flag: str = "_in") -> DataFrame:
-    """Adds boolean ``flag``: row is among the ``n`` smallest ``(md5(key), key)``
-    (per ``by`` group when given; then ``n`` may be a dict {group: n}).  ``by``
-    is a class label with few values: one boundary per class is planned.
+    """Adds boolean ``flag``: row is among the ``n`` smallest ``md5(key)`` (per ``by``
+    group when given; then ``n`` may be a dict {class_name: n}).  ``by`` is a class
+    label with few values: one boundary per class is planned.
 
     One narrow comparison against the boundary hash of each group; rows that
-    tie exactly at a boundary (duplicated keys) take the skew-safe path below."""
+    tie exactly at a boundary (duplicated keys) are told apart by number."""
     h = df.withColumn("_h", _h52(key))
-    name = F.col(by).cast("string") if by else F.lit("all")
+    name = class_name(by) if by else F.lit("all")
     long = h.select(name.alias("name"), F.col("_h").alias("value"))
-    stats = {r["name"]: (r["n"], r["d"]) for r in long.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value", 0.05).alias("d")).collect()}
+    if by:
+        class_sizes(df, by)
+    stats = {r["name"]: (r["n"], r["lo"], r["hi"]) for r in long.groupBy("name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()}
     sizes = {g: v[0] for g, v in stats.items()}
     want = {g: (n.get(g, 0) if isinstance(n, dict) else n) for g in sizes}
+    # a null key has no hash: its rows come last
     ranks = {g: [want[g] - 1] for g, size in sizes.items() if 0 < want[g] < size}
-    bound = values_at_ranks(long, ranks, initial=stats) if ranks else {}
+    bound = values_at_ranks(long.where(F.col("value").isNotNull()), ranks, initial=stats) if ranks else {}
     cond = F.lit(False)
     ties: dict = {}
     for g, size in sizes.items():
@@ -78,47 +97,44 @@ def flag_first_by_hash(df: DataFrame, key: str, n, by: str | None = None, flag:
         if need >= counts[f"t{i}"]:
             cond = cond | ties[g]          # the whole tie is taken (the usual case: one boundary row)
         elif need > 0:
-            partial[g] = need              # only part of a tie (duplicated keys): rank inside it
+            partial[g] = need              # only part of a tie (duplicated keys): number its rows
     if not partial:
         return h.withColumn(flag, cond).drop("_h")
     tie_any = F.lit(False)
     for g in partial:
         tie_any = tie_any | ties[g]
     plain = h.where(~tie_any).withColumn(flag, cond).drop("_h")
-    return plain.unionByName(_flag_ties(h.where(tie_any).drop("_h"), name, key, partial, flag))
+    return plain.unionByName(_flag_ties(h.where(tie_any).drop("_h"), name, partial, flag))
 
 
-def _flag_ties(tied: DataFrame, name: Column, key: str, need: dict, flag: str) -> DataFrame:
+def _flag_ties(tied: DataFrame, name: Column, need: dict, flag: str) -> DataFrame:
     """Flag ``need[group]`` of the rows that tie at a group's hash boundary.
 
-    Skew-safe even when one duplicated key is a third of the data: identical
-    rows collapse in a partial aggregate, the distinct rows are ranked by
-    (group, md5(key), row hash) with a distributed prefix sum, and each distinct
-    row is re-expanded into ``take`` flagged and ``n - take`` unflagged copies."""
-    cols = tied.columns
-    g = (tied.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
-         .withColumn("_g", name)
-         .withColumn("_o", F.concat_ws("|", F.col("_g"), key_md5(key),
-                                       F.lpad(F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in cols])), 16, "0"))))
-    ranked = running_sum_before(g, "_o", "_n")
-    start = ranked.groupBy("_g").agg(F.min("_n_before").alias("_start"))  # one row per group
-    need_col = F.lit(0)
-    for grp, v in need.items():
-        need_col = F.when(F.col("_g") == grp, F.lit(v)).otherwise(need_col)
-    take = F.least(F.greatest(need_col - (F.col("_n_before") - F.col("_start")), F.lit(0)), F.col("_n"))
-    flags = F.concat(F.array_repeat(F.lit(True), take.cast("int")),
-                     F.array_repeat(F.lit(False), (F.col("_n") - take).cast("int")))
-    return (ranked.join(F.broadcast(start), "_g").select(*[F.col(f"`{c}`") for c in cols],
-                                                          F.explode(flags).alias(flag)))
+    The tied rows are numbered where they lie and landed in the shared folder, so
+    the numbers are the same however often a task runs.  The boundary number of
+    each group comes from the same histogram rounds; every row stays a row of its
+    own, so one key with a third of all rows is spread over as many tasks."""
+    spark = tied.sparkSession
+    path = scratch_path(spark, "ties")
+    numbered = tied.withColumn("_rid", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    numbered = spark.read.schema(numbered.schema).parquet(path)
+    # 2**53 numbers are exact in a double: partition number << 33, plus the place in it
+    long = numbered.select(name.alias("name"), F.col("_rid").cast("double").alias("value"))
+    bound = values_at_ranks(long, {g: [v - 1] for g, v in need.items()})
+    take = F.lit(False)
+    for g, v in need.items():
+        take = take | ((name == g) & (F.col("_rid").cast("double") <= bound[g][v - 1]))
+    return numbered.withColumn(flag, take).drop("_rid")
 
 
 def first_by_hash(df: DataFrame, key: str, n, by: str | None = None) -> DataFrame:
-    """The ``n`` rows with the smallest ``(md5(key), key)`` (per group with ``by``)."""
+    """The ``n`` rows with the smallest ``md5(key)`` (per group with ``by``)."""
     return flag_first_by_hash(df, key, n, by, "_in").where("_in").drop("_in")
 
 
-def sample_fraction_capped(df: DataFrame, key: str, fraction: float = 0.05, cap: int | None = 300_000) -> DataFrame:
-    """``fraction`` of the rows by hash, at most ``cap`` (the smallest hashes)."""
+def sample_fraction_capped(df: DataFrame, key: str, fraction: float = 0.05, cap: int | None = None) -> DataFrame:
+    """``fraction`` of the rows by hash; with ``cap`` at most that many (the smallest hashes)."""
     s = hash_sample(df, key, fraction)
     return s if cap is None else first_by_hash(s, key, cap)
 
@@ -134,9 +150,9 @@ def split_by_hash(df: DataFrame, key: str, test_fraction: float = 0.2) -> DataFr
 
 
 def split_stratified(df: DataFrame, key: str, label: str, test_fraction: float = 0.2) -> DataFrame:
-    """Adds ``is_test``: exactly ceil(test_fraction * n_c) rows of each class c."""
-    counts = dict(df.groupBy(F.col(label).cast("string")).agg(F.count(F.lit(1))).collect())
-    want = {g: math.ceil(test_fraction * c) for g, c in counts.items()}
+    """Adds ``is_test``: exactly ceil(test_fraction * n_c) rows of each class c; rows
+    with a null label are a class of their own."""
+    want = {g: math.ceil(test_fraction * c) for g, c in class_sizes(df, label).items()}
     return flag_first_by_hash(df, key, want, by=label, flag="is_test")
 
 

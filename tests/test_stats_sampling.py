@@ -16,20 +16,20 @@ def test_median_of_1_2_4_5(spark):
     assert exact_quantiles(df, ["x"], [0.5])["x"] == [3.0]
 
 
-@pytest.mark.parametrize("max_collect", [10, 1_000_000])
-def test_quantiles_match_numpy_in_several_rounds(spark, max_collect):
+@pytest.mark.parametrize("buckets", [4, 1024])
+def test_quantiles_match_numpy_in_several_rounds(spark, buckets):
     rnd = random.Random(7)
     xs = [rnd.gauss(0, 1) for _ in range(3000)] + [1.5] * 200
     ys = [float(rnd.randint(0, 9)) for _ in range(3200)]
     df = spark.createDataFrame(list(zip(xs, ys)), "x double, y double")
-    got = exact_quantiles(df, ["x", "y"], [0.0, 0.25, 0.5, 0.9, 1.0], max_collect=max_collect, accuracy=100)
+    got = exact_quantiles(df, ["x", "y"], [0.0, 0.25, 0.5, 0.9, 1.0], buckets=buckets)
     for c, vals in (("x", xs), ("y", ys)):
         assert got[c] == pytest.approx(list(np.quantile(vals, [0.0, 0.25, 0.5, 0.9, 1.0])), abs=1e-12)
 
 
 def test_values_at_ranks_skips_nothing(spark):
     df = spark.createDataFrame([("a", float(v)) for v in [5, 1, 3, 3, 2]], "name string, value double")
-    assert values_at_ranks(df, {"a": [0, 2, 3, 4]}, max_collect=1, accuracy=10) == {"a": {0: 1.0, 2: 3.0, 3: 3.0,
+    assert values_at_ranks(df, {"a": [0, 2, 3, 4]}, buckets=3) == {"a": {0: 1.0, 2: 3.0, 3: 3.0,
                                                                                           4: 5.0}}
 
 
@@ -88,3 +88,54 @@ def test_hot_duplicate_key_split_exact(spark):
     got = {r.v: r.n for r in out.where("is_test").groupBy("v").agg(F.count("*").alias("n")).collect()}
     assert got == {0: math.ceil(0.2 * 1400), 1: math.ceil(0.2 * 200), 2: math.ceil(0.2 * 200)}
     assert out.count() == 1800
+
+
+def test_selection_over_extreme_values(spark):
+    xs = [float("-inf"), -1.7e308, -1.0, -5e-324, 0.0, 5e-324, 1e-300, 1.0, 1.0 + 2**-52, 1.7e308, float("inf")]
+    df = spark.createDataFrame([("a", v) for v in xs], "name string, value double")
+    assert values_at_ranks(df, {"a": list(range(len(xs)))})["a"] == dict(enumerate(xs))
+    with pytest.raises(ValueError):
+        values_at_ranks(df, {"a": [11]})
+
+
+def test_no_one_task_sketch_and_flat_planning(spark):
+    """The plan does not follow the number of shuffle partitions."""
+    df = spark.range(0, 3000).select(F.col("id").cast("double").alias("k"), (F.col("id") % 3).alias("v"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    sizes = []
+    try:
+        for parts in ("8", "8000"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            plan = running_sum_before(df, "k", "v")._jdf.queryExecution().toString()
+            assert "percentile_approx" not in plan
+            sizes.append(len(plan))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sizes[1] < sizes[0] + 500
+
+
+def test_running_sum_over_skewed_values(spark):
+    ks = sorted({2.0 ** (i / 3) for i in range(-300, 300)} | {float(i) for i in range(500)})
+    df = spark.createDataFrame([(k, i % 7) for i, k in enumerate(ks)], "k double, v long")
+    got = {r.k: r.v_before for r in running_sum_before(df, "k", "v", parts=16).collect()}
+    acc = 0
+    for i, k in enumerate(ks):
+        assert got[k] == acc
+        acc += i % 7
+
+
+def test_null_label_is_a_class(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else "null" if i % 4 == 1 else "x") for i in range(400)],
+                               "k long, y string")
+    out = S.split_stratified(df, "k", "y", 0.2)
+    got = {r.y: r.n for r in out.where("is_test").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert got == {None: 20, "null": 20, "x": 40} and out.count() == 400
+    with pytest.raises(ValueError):
+        S.split_stratified(spark.range(2000), "id", "id")
+
+
+def test_hot_ties_hold_no_array_of_rows(spark):
+    df = spark.createDataFrame([(7, 1)] * 3000 + [(k, 0) for k in range(6000)], "k long, v long")
+    out = S.sample_n(df, "k", 2500)
+    assert out.count() == 2500
+    assert "array_repeat" not in out._jdf.queryExecution().toString()
