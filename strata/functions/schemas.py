@@ -31,9 +31,22 @@ ISO_Z_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 PREFERRED_SUFFIXES = ("official_data_en.csv", "official_en.csv")
 FALLBACK_RULE = ("datasets/", "official", ".csv")
 SCHEMA_VERSION = 1
+# (column, Spark SQL type) of the 32-column mobility snapshot, in file order.
+MOBILITY_COLUMNS = (
+    ("vehicle_id", "bigint"), ("route_id", "bigint"), ("lat", "double"), ("lng", "double"),
+    ("speed", "double"), ("dir", "double"), ("time_unix", "bigint"), ("ingest_date", "string"),
+    ("hour", "int"), ("speed_gps", "double"), ("dt_sec", "double"), ("dist_km", "double"),
+    ("day_of_week", "int"), ("period", "string"), ("lat_grid", "double"), ("lng_grid", "double"),
+    ("is_congested", "int"), ("is_alert", "int"), ("is_post_alert", "int"),
+    ("min_since_alert", "double"), ("temp_c", "double"), ("precip_mm", "double"),
+    ("rain_mm", "double"), ("snow_cm", "double"), ("snow_depth_m", "double"),
+    ("wind_kmh", "double"), ("visibility_m", "double"), ("cloud_pct", "double"),
+    ("is_freezing", "int"), ("is_snowing", "int"), ("is_raining", "int"), ("bad_visibility", "int"),
+)
+# Columns that a silver run adds to a row.
+LINEAGE = ("schema_v", "batch_id", "processed_author_surname", "processed_source")
 # --- end of fixed values ---------------------------------------------------
 
-DOMAINS = ("traffic", "weather", "alerts", "roads")
 STATIC_DOMAINS = ("alerts", "roads")
 
 MEASURES = ("temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m")
@@ -114,24 +127,8 @@ SILVER_WEATHER = T.StructType([
     T.StructField("processed_source", T.StringType()),
 ])
 
-# (column, Spark SQL type) of the 32-column mobility snapshot, in file order.
-MOBILITY_COLUMNS = (
-    ("vehicle_id", "bigint"), ("route_id", "bigint"), ("lat", "double"), ("lng", "double"),
-    ("speed", "double"), ("dir", "double"), ("time_unix", "bigint"), ("ingest_date", "string"),
-    ("hour", "int"), ("speed_gps", "double"), ("dt_sec", "double"), ("dist_km", "double"),
-    ("day_of_week", "int"), ("period", "string"), ("lat_grid", "double"), ("lng_grid", "double"),
-    ("is_congested", "int"), ("is_alert", "int"), ("is_post_alert", "int"),
-    ("min_since_alert", "double"), ("temp_c", "double"), ("precip_mm", "double"),
-    ("rain_mm", "double"), ("snow_cm", "double"), ("snow_depth_m", "double"),
-    ("wind_kmh", "double"), ("visibility_m", "double"), ("cloud_pct", "double"),
-    ("is_freezing", "int"), ("is_snowing", "int"), ("is_raining", "int"), ("bad_visibility", "int"),
-)
-
 _SQL_TO_TYPE = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
                 "string": T.StringType()}
 
 MOBILITY = T.StructType([T.StructField(n, _SQL_TO_TYPE[t]) for n, t in MOBILITY_COLUMNS])
 
-
-def struct_of(columns, extra_first=()) -> T.StructType:
-    return T.StructType([T.StructField(n, _SQL_TO_TYPE[t]) for n, t in (*extra_first, *columns)])

@@ -27,7 +27,7 @@ from ..functions.stats import exact_mode, exact_quantiles, running_sum_before
 
 # --- preprocessing fits --------------------------------------------------------
 def fit_medians(df: DataFrame, cols) -> dict[str, float]:
-    q = exact_quantiles(df, list(cols), [0.5])
+    q = exact_quantiles(df, list(cols), [0.5]) if cols else {}
     return {c: q[c][0] for c in cols}
 
 
@@ -41,6 +41,8 @@ def fit_scaler(df: DataFrame, cols, medians: dict | None = None) -> dict[str, tu
     def x(c):
         v = F.col(c).cast("double")
         return F.coalesce(v, F.lit(medians[c])) if medians.get(c) is not None else v
+    if not cols:
+        return {}
     row = df.agg(*[e for c in cols for e in (F.avg(x(c)).alias(f"{c}__m"), F.stddev_pop(x(c)).alias(f"{c}__s"))]).first()
     return {c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols}
 
@@ -126,7 +128,8 @@ def coefficients(model: PipelineModel, prep: Prep, spark) -> DataFrame:
     for c in prep.categorical:
         labels = idx[f"{c}_idx"].labels
         names += [f"cat__{c}_{v}" for v in labels]
-    names = names[:len(coefs)]
+    if len(names) != len(coefs):
+        raise ValueError(f"{len(coefs)} coefficients for the features {names}")
     return spark.createDataFrame(list(zip(names, [float(v) for v in coefs])), "feature string, coefficient double")
 
 
@@ -160,10 +163,18 @@ def fit_kmeans_best(data: DataFrame, k: int = 4, n_init: int = 20, seed: int = 4
         data.unpersist()
 
 
+def inertia(model, scored: DataFrame) -> float:
+    """Sum over all rows of the squared distance to the center of their cluster."""
+    centers = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()])
+    x = vector_to_array(F.col("features"))
+    gaps = F.zip_with(x, F.get(centers, F.col("cluster_id")), lambda a, b: (a - b) * (a - b))
+    return float(scored.agg(F.sum(F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g))).first()[0] or 0.0)
+
+
 def kmeans_metrics(model, scored: DataFrame) -> dict:
     sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id",
                               distanceMeasure="squaredEuclidean").evaluate(scored)
-    return {"inertia": float(model.summary.trainingCost), "silhouette_sq_euclidean": float(sil)}
+    return {"inertia": inertia(model, scored), "silhouette_sq_euclidean": float(sil)}
 
 
 def cluster_summary(scored: DataFrame) -> DataFrame:

@@ -116,8 +116,10 @@ def q_read_mobility_csv(spark, sf_dir):
 
 @register("drop_synthetic_columns", f"WITH {GOLD_CTES} SELECT * FROM typed")
 def q_drop_synthetic_columns(spark, sf_dir):
-    raw = read_csv_strings(spark, land_snapshot_csv(spark, sf_dir), infer=True)
-    return typed_mobility(drop_synthetic_columns(raw).withColumn("event_id", F.col("event_id").try_cast("bigint")), OWNER)
+    """The explicit schema, read by header name: no inference pass."""
+    raw = read_csv_typed(spark, land_snapshot_csv(spark, sf_dir), index_cols=("Unnamed: 0",),
+                         extra=(("event_id", "bigint"),))
+    return typed_mobility(drop_synthetic_columns(raw), OWNER)
 
 
 @register("read_mobility_typed", f"WITH {GOLD_CTES} SELECT * FROM typed")
@@ -130,25 +132,30 @@ def q_read_mobility_typed(spark, sf_dir):
 # --- gold sinks (#18, #15) ----------------------------------------------------
 def run_gold(spark: SparkSession, sf_dir: str, root: str | None = None, batch_id: str = BATCH_ID,
              owner: str = OWNER) -> dict[str, str]:
-    """Build the five metric tables from one cached clean frame and write them.
+    """Build the five metric tables from the two shared pre-aggregates and write them.
 
-    The clean frame feeds five aggregations, so it is persisted once (memory and
-    disk: executors may be lost and partitions are recomputed from the scan) and
-    released afterwards."""
+    Points are read twice, once for each pre-aggregate; the tables are made from
+    the aggregates, which are landed in the shared folder."""
     root = root or scratch_path(spark, "gold")
-    clean = clean_points(spark, sf_dir).persist()
     paths = {}
-    try:
-        for name, fn in M.GOLD_METRICS.items():
-            out = fn(clean).withColumns({"gold_author_surname": F.lit(owner), "schema_v": F.lit(1),
-                                          "batch_id": F.lit(batch_id)})
-            paths[name] = write_gold_csv(out, versioned_path(root, name, batch_id))
-            paths[name + ":columns"] = out.columns
-    finally:
-        clean.unpersist()
+    for name, table in M.gold_tables(*landed_aggregates(clean_points(spark, sf_dir))).items():
+        # a batch id of its own for every metric
+        out = table.withColumns({"gold_author_surname": F.lit(owner), "schema_v": F.lit(1),
+                                 "batch_id": F.lit(f"{batch_id}-{name}")})
+        paths[name] = write_gold_csv(out, versioned_path(root, name, f"{batch_id}-{name}"))
+        paths[name + ":columns"] = out.columns
     return paths
 
 
+def landed_aggregates(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    spark, out = points.sparkSession, []
+    for name, df in (("gold-cells", M.cells(points, M.CELL, M.ALL_MEASURES)), ("gold-visits", M.visits(points))):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        out.append(spark.read.schema(df.schema).parquet(path))
+    return out[0], out[1]
+
+
 _GOLD_RUNS: dict = {}
 
 

@@ -24,9 +24,10 @@ from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators.projections import CLUSTER_FEATURES, NUMERIC_FEATURES, drop_synthetic_columns, typed_mobility
 from ..operators.quality import cluster_input, mobility_condition, quality_counts, valid_modeling
-from ..operators.sampling import head_preview, sample_fraction_capped, sample_n, split_by_hash, split_stratified
+from ..operators.sampling import head_preview, split_by_hash, split_stratified
 from ..sinks.writers import versioned_path, write_csv, write_gold_csv, write_json_rows, write_layout
 from ..sources.readers import metric_file_summary, read_csv_strings
+from .gold_queries import landed_aggregates
 from .silver_queries import run_silver
 
 
@@ -48,42 +49,37 @@ def gold_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, batc
     batch_id = batch_id or str(uuid.uuid4())
     typed = read_snapshot(spark, csv_path, owner)
     counts = quality_counts(typed, mobility_condition()).first().asDict()
-    clean = typed.filter(mobility_condition()).persist(StorageLevel.MEMORY_AND_DISK)
     written = {}
-    try:
-        for name, fn in M.GOLD_METRICS.items():
-            out = fn(clean).withColumns({"gold_author_surname": F.lit(owner), "schema_v": F.lit(1),
-                                          "batch_id": F.lit(batch_id)})
-            path = write_gold_csv(out, versioned_path(out_root, name, batch_id))
-            written[name] = {"path": path, **metric_file_summary(spark, path, out.columns).first().asDict()}
-    finally:
-        clean.unpersist()
+    for name, table in M.gold_tables(*landed_aggregates(typed.filter(mobility_condition()))).items():
+        out = table.withColumns({"gold_author_surname": F.lit(owner), "schema_v": F.lit(1),
+                                 "batch_id": F.lit(f"{batch_id}-{name}")})
+        path = write_gold_csv(out, versioned_path(out_root, name, f"{batch_id}-{name}"))
+        written[name] = {"path": path, **metric_file_summary(spark, path, out.columns).first().asDict()}
     return {"batch_id": batch_id, **counts, "metrics": written}
 
 
 def ml_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, run_id: str | None = None,
-           n_init: int = 20, map_sample: int = 100_000, kmeans_fit_cap: int | None = 300_000) -> dict:
+           n_init: int = 20) -> dict:
+    """Models are fitted and scored on all rows; ``n_init`` K-means restarts each read them all."""
     run_id = run_id or str(uuid.uuid4())
     typed = read_snapshot(spark, csv_path, owner)
     model = (valid_modeling(typed.withColumn("event_ts", epoch_to_ts(F.col("time_unix"))))
              .withColumn("model_author_surname", F.lit(owner)))
     key = "event_id" if "event_id" in model.columns else "time_unix"
     model = model.persist(StorageLevel.MEMORY_AND_DISK)
+    cls = split_stratified(model, key, "is_congested", 0.2).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_csv(model.drop("event_ts"), f"{out_root}/processed/traffic_modeling_dataset")
         reg = split_by_hash(model, key, 0.2)
         reg_train, reg_test = reg.where(~F.col("is_test")), reg.where(F.col("is_test"))
         linear = ML.fit_linear_regression(reg_train, ML.fit_preprocessing(reg_train, NUMERIC_FEATURES, ("period",)),
                                           "speed")
-        cls = split_stratified(model, key, "is_congested", 0.2).persist(StorageLevel.MEMORY_AND_DISK)
         cls_train, cls_test = cls.where(~F.col("is_test")), cls.where(F.col("is_test"))
         logistic = ML.fit_logistic_regression(
             cls_train, ML.fit_preprocessing(cls_train, NUMERIC_FEATURES, ("period",)), "is_congested")
         crow = cluster_input(model, CLUSTER_FEATURES)
-        # restarts on a bounded hash sample (all rows when fewer than the cap); score every row
-        fit_rows = sample_fraction_capped(crow, key, 1.0, kmeans_fit_cap)
-        cprep = Pipeline(stages=ML.fit_preprocessing(fit_rows, CLUSTER_FEATURES).stages).fit(fit_rows)
-        km = ML.fit_kmeans_best(cprep.transform(fit_rows), k=4, n_init=n_init)
+        cprep = Pipeline(stages=ML.fit_preprocessing(crow, CLUSTER_FEATURES).stages).fit(crow)
+        km = ML.fit_kmeans_best(cprep.transform(crow), k=4, n_init=n_init)
         scored_clusters = km.transform(cprep.transform(crow))
         lin_m = ML.regression_metrics(linear.transform(reg_test), "speed", "prediction").first().asDict()
         t = logistic.transform(cls_test).withColumn("p1", ML.positive_probability()).withColumn(
@@ -101,7 +97,7 @@ def ml_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, run_id
         preview = head_preview(model.select(key, "lat_grid", "lng_grid", "speed", "is_congested", "temp_c",
                                             "precip_mm", "visibility_m"), 5000, key)
         write_csv(preview, f"{out_root}/processed/prediction_sample_{run_id}")
-        s = sample_n(model, key, map_sample)
+        s = model
         base = s.columns
         s = linear.transform(s).select(*base, F.col("prediction").alias("predicted_speed"))
         base = s.columns
@@ -114,3 +110,4 @@ def ml_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, run_id
         return {"run_id": run_id, "metrics": metrics, "center": center}
     finally:
         model.unpersist()
+        cls.unpersist()

@@ -11,7 +11,7 @@ from ..functions.stats import stable_dec6
 from ..operators import ml as ML
 from ..operators.projections import CLUSTER_FEATURES, NUMERIC_FEATURES
 from ..operators.quality import cluster_input
-from ..operators.sampling import hex_threshold, sample_fraction_capped, sample_n, split_by_hash, split_stratified
+from ..operators.sampling import hex_threshold, split_by_hash, split_stratified
 from ..session import scratch_path
 from ..sinks.writers import write_json_rows
 from ..sources.adapters import OWNER
@@ -21,10 +21,6 @@ from .registry import register
 
 _STATE: dict = {}
 RUN_ID = "run-0001"
-MAP_SAMPLE = 100_000
-# Rows the K-means restarts are fitted on (the reference fits its models on at
-# most this many rows); every row is still scored, in one pass.
-KMEANS_FIT_CAP = 300_000
 _MD5 = "md5(CAST(event_id AS VARCHAR))"
 _TRAIN = f"train AS (SELECT * FROM model WHERE NOT (substr({_MD5}, 1, 8) < '{hex_threshold(0.2)}'))"
 
@@ -85,37 +81,27 @@ class MLState:
     def cluster_rows(self):
         return cluster_input(self.model, CLUSTER_FEATURES)
 
-    @property
-    def cluster_fit_rows(self):
-        """At most KMEANS_FIT_CAP rows, chosen by hash (all rows when fewer): the
-        20 restarts cost 20 x iterations passes, so they run on a bounded set."""
-        return self._get("cluster_fit_rows", lambda: sample_fraction_capped(
-            self.cluster_rows, "event_id", 1.0, KMEANS_FIT_CAP))
-
     @property
     def cluster_prep(self):
         def fit():
-            rows = self.cluster_fit_rows
+            rows = self.cluster_rows
             prep = ML.fit_preprocessing(rows, CLUSTER_FEATURES)
             return Pipeline(stages=prep.stages).fit(rows)
         return self._get("cluster_prep", fit)
 
     @property
     def kmeans(self):
+        """Scaler, medians and every restart are fitted on all rows."""
         return self._get("kmeans", lambda: ML.fit_kmeans_best(
-            self.cluster_prep.transform(self.cluster_fit_rows), k=4, n_init=20, seed=42))
+            self.cluster_prep.transform(self.cluster_rows), k=4, n_init=20, seed=42))
 
     def cluster_scored(self) -> DataFrame:
         return self.kmeans.transform(self.cluster_prep.transform(self.cluster_rows))
 
-    def map_sample(self) -> DataFrame:
-        return self._get("map_sample", lambda: sample_n(self.model, "event_id", MAP_SAMPLE)
-                         .persist(StorageLevel.MEMORY_AND_DISK))
-
     def scored_map(self) -> DataFrame:
-        """The map sample scored by all three models in one narrow chain: each
+        """All rows scored by all three models in one narrow chain: each
         PipelineModel adds its columns, and only the prediction is kept before the next."""
-        s = self.map_sample()
+        s = self.model
         base = s.columns
         s = self.linear.transform(s).select(*base, F.col("prediction").alias("predicted_speed"))
         base = s.columns
@@ -172,10 +158,8 @@ def q_standard_scale(spark, sf_dir):
       THEN (SELECT count(*) FROM cats WHERE p < model.period) ELSE -1 END AS INTEGER) AS hot_index FROM model""")
 def q_one_hot(spark, sf_dir):
     st = state(spark, sf_dir)
-    stages = [s for s in st.linear.stages[:-2]]  # SQL impute/scale, indexer, encoder
-    enc = st.model
-    for s in stages:
-        enc = s.transform(enc)
+    # mode, indexer and encoder of the category alone: no numeric fit, no model
+    enc = Pipeline(stages=ML.fit_preprocessing(st.reg_train, (), ("period",)).stages[:-1]).fit(st.reg_train).transform(st.model)
     arr = vector_to_array(F.col("period_ohe"))
     return enc.select("event_id", "period", (F.array_position(arr, 1.0) - 1).cast("int").alias("hot_index"))
 
@@ -312,28 +296,27 @@ def q_grid_map(spark, sf_dir):
     return ML.grid_map(state(spark, sf_dir).scored_map())
 
 
-_MAP = f"ms AS (SELECT * FROM model ORDER BY {_MD5}, event_id LIMIT {MAP_SAMPLE})"
 _GRID_ACTUAL = f"""grid AS (SELECT lat_grid, lng_grid, {_d('avg(speed)')} AS actual_avg_speed,
-    {_d('avg(is_congested)')} AS actual_congestion_rate FROM ms GROUP BY ALL),
-    cc AS (SELECT lat_grid, lng_grid, route_id % 4 AS k, count(*) AS n FROM ms GROUP BY ALL),
+    {_d('avg(is_congested)')} AS actual_congestion_rate FROM model GROUP BY ALL),
+    cc AS (SELECT lat_grid, lng_grid, route_id % 4 AS k, count(*) AS n FROM model GROUP BY ALL),
     md AS (SELECT lat_grid, lng_grid, arg_max(k, n * 1000 - k) AS dominant_cluster FROM cc GROUP BY ALL)"""
 
 
-@register("grid_map_actual", f"""WITH {MODEL_CTES}, {_MAP}, {_GRID_ACTUAL}
+@register("grid_map_actual", f"""WITH {MODEL_CTES}, {_GRID_ACTUAL}
     SELECT grid.*, coalesce(CAST(md.dominant_cluster AS INTEGER), -1) AS dominant_cluster
     FROM grid LEFT JOIN md USING (lat_grid, lng_grid)""")
 def q_grid_map_actual(spark, sf_dir):
     """Grid map without models: the dominant-cluster logic runs on ``route_id % 4``
     as a stand-in cluster label so the mode rule is SQL-checked."""
-    s = state(spark, sf_dir).map_sample().withColumn("stand_in", (F.col("route_id") % 4).cast("int"))
+    s = state(spark, sf_dir).model.withColumn("stand_in", (F.col("route_id") % 4).cast("int"))
     g = ML.grid_map(s, "stand_in", None, None)
     return g.withColumns({c: stable_dec6(F.col(c)) for c in ("actual_avg_speed", "actual_congestion_rate")})
 
 
-@register("grid_center", f"""WITH {MODEL_CTES}, {_MAP}, {_GRID_ACTUAL}
+@register("grid_center", f"""WITH {MODEL_CTES}, {_GRID_ACTUAL}
     SELECT {_d('avg(lat_grid)')} AS center_lat, {_d('avg(lng_grid)')} AS center_lng FROM grid""")
 def q_grid_center(spark, sf_dir):
-    s = state(spark, sf_dir).map_sample()
+    s = state(spark, sf_dir).model
     c = ML.grid_center(ML.grid_map(s, "route_id", None, None))
     return c.select(stable_dec6(F.col("center_lat")).alias("center_lat"),
                     stable_dec6(F.col("center_lng")).alias("center_lng"))

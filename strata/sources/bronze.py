@@ -44,8 +44,8 @@ def shape_weather_current(payloads: DataFrame, raw: str = "raw", fetched_at: str
     items = parse_items(F.col(raw), CURRENT_ITEM)
     paired = payloads.select(
         *keep, F.col(fetched_at).alias("_fetched"),
-        F.posexplode(F.transform(city_array(), lambda c, i: F.struct(c.alias("c"), F.get(items, i).alias("it"))))
-        .alias("city_pos", "p"))
+        F.posexplode(F.zip_with(city_array(), F.slice(items, 1, len(CITIES)),
+                                lambda c, it: F.struct(c.alias("c"), it.alias("it")))).alias("city_pos", "p"))
     c, it = F.col("p.c"), F.col("p.it")
     payload = F.struct(
         c["city"].alias("city"),
