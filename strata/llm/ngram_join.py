@@ -2,17 +2,22 @@
 
 Texts whose word-shingle sets have a Jaccard similarity of ``percent``/100 or
 more are linked; the result is the connected component of every text.  The
-filter is exact: two sets this similar share a token in their *prefixes* (the
-first n - ceil(t n) + 1 tokens) under **every** global order of the tokens.
+filter is exact: two sets this similar share k or more tokens in their *prefixes*
+(the first n - ceil(t n) + k tokens) under **every** global order of the tokens.
+``k`` is a twentieth of the smaller set, at least one.
 
 * Orders.  All put tokens of unusually full hash buckets last (a table of
   2**BUCKET_BITS counts over all texts, whose size does not depend on the data)
   and differ in the hash that ranks the others.
-* Candidates.  Under the first order, each prefix token points to the smallest
-  text that has it, its pivot (grouped min, combined map-side).  All texts with
-  a token are candidates of the token's pivot, so any pair that shares a token
-  meets in a pivot's group.  The join is on tokens, never on all pairs.
-* Verification.  A group gets the sets of its texts.  Only texts not yet known
+* Texts.  Under the first order, a text needs as many prefix tokens that other
+  texts have as it would share with its smallest possible partner.  Texts that
+  only have a passage in common with others do not get past this.
+* Candidates.  Under the first order, each prefix token of a size class points to
+  the smallest text that has it, its pivot (grouped min, combined map-side).  All
+  texts with a token are candidates of the token's pivot, so any pair that shares
+  a token, and is close enough in size, meets in a pivot's group.  The join is on
+  tokens, never on all pairs.
+* Verification.  A group gets its texts.  Only texts not yet known
   to be connected are compared; a pair must pass the size bound and share prefix
   tokens under every order before its intersection is counted.  Groups larger
   than ``BLOCK`` are dealt out in pairs of blocks, so a hot pivot is many tasks.
@@ -27,6 +32,7 @@ of a component (null where all are null).
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -92,26 +98,34 @@ def order_keys(tokens: np.ndarray, levels: np.ndarray, salt: int) -> np.ndarray:
     return (level << np.uint64(56)) | (mix(tokens ^ np.uint64(salt)) >> np.uint64(8))
 
 
-def prefix_size(n, percent: int):
-    return n - (n * percent + 99) // 100 + 1
+def shared_least(n):
+    """k: tokens that two linked sets share in their prefixes, from the size of the smaller one."""
+    return np.maximum(1, n // 20)
+
+
+def partner_least(n: int, percent: int) -> int:
+    """Size of the smallest set that can be linked to one of size ``n``."""
+    return (n * percent + 99) // 100
 
 
 def prefix(tokens: np.ndarray, levels: np.ndarray, salt: int, percent: int) -> np.ndarray:
-    """Tokens of the prefix of a set; any set similar enough has one of them in its own prefix."""
-    p = prefix_size(len(tokens), percent)
+    """Tokens of the prefix of a set."""
+    n = len(tokens)
+    p = n - partner_least(n, percent) + int(shared_least(n))
     if len(tokens) == 0 or p >= len(tokens):
         return tokens
     return tokens[np.argpartition(order_keys(tokens, levels, salt), p - 1)[:p]]
 
 
-_SKETCH = pa.struct([("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+_SKETCH = pa.struct([("n", pa.int64()), ("need", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
 
 def sketch(texts: pa.Array, words: int, percent: int, levels: np.ndarray) -> pa.StructArray:
-    """Set size, 128-bit identity of the set, prefix under the first order."""
-    n, s1, s2, parts, offs = [], [], [], [], [0]
+    """Set size, shared tokens it needs, 128-bit identity of the set, prefix under the first order."""
+    n, need, s1, s2, parts, offs = [], [], [], [], [], [0]
     for s in shingle_sets(texts, words):
         n.append(len(s))
+        need.append(int(shared_least(partner_least(len(s), percent))))
         s1.append(int(mix(s ^ np.uint64(ORDERS[1])).sum(dtype=np.uint64).astype(np.int64)))
         s2.append(int(mix(s ^ np.uint64(ORDERS[2])).sum(dtype=np.uint64).astype(np.int64)))
         p = prefix(s, levels, ORDERS[0], percent)
@@ -119,7 +133,7 @@ def sketch(texts: pa.Array, words: int, percent: int, levels: np.ndarray) -> pa.
         offs.append(offs[-1] + len(p))
     flat = np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)
     return pa.StructArray.from_arrays(
-        [pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+        [pa.array(n, pa.int64()), pa.array(need, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
          pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat))], fields=list(_SKETCH))
 
 
@@ -147,6 +161,7 @@ def forest(sets: list[np.ndarray], levels: np.ndarray, percent: int) -> list[tup
         parts = [prefix(s, levels, salt, percent) for s in sets]
         filters.append(csr([np.sort(p) for p in parts]))
     group = np.arange(len(sets))
+    least = shared_least(sizes)
     links = []
     for q in range(len(sets)):
         # sizes ascend: partners after q are not smaller, and at most 100/percent as large
@@ -155,7 +170,7 @@ def forest(sets: list[np.ndarray], levels: np.ndarray, percent: int) -> list[tup
         rows = rows[group[rows] != group[q]]
         for offs, tokens in filters:
             if len(rows):
-                rows = rows[_shares(offs, tokens, tokens[offs[q]:offs[q + 1]], rows) > 0]
+                rows = rows[_shares(offs, tokens, tokens[offs[q]:offs[q + 1]], rows) >= least[q]]
         if not len(rows):
             continue
         both = _shares(*full, sets[q], rows)
@@ -187,12 +202,32 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
                                sketches(F.col(text_col)).alias("s")).select(*keep, "__key", "__row", "s.*"), "sketches")
 
     # texts with the same set are one class, named by its smallest row
-    classes = rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("__row").alias("cls"))
+    classes = landed(rows.filter("n > 0").groupBy("s1", "s2").agg(F.min("__row").alias("cls")), "sets")
     of_row = landed(rows.select("__row", "s1", "s2").join(classes, ["s1", "s2"]).select("__row", "cls"), "classes")
 
-    tokens = rows.select("__row", F.explode("prefix").alias("tok"))
-    pivots = tokens.groupBy("tok").agg(F.min("__row").alias("pivot"), F.max("__row").alias("hi")).filter("pivot < hi")
-    star = tokens.join(pivots.select("tok", "pivot"), "tok").filter("__row <> pivot").select("pivot", "__row").distinct()
+    # sizes of linked sets differ by a factor of at most 100/percent, so by at most one class of sizes
+    ratio = math.log(100 / percent) + 1e-9
+    level = F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio)).cast("int")
+    tokens = rows.select("__row", level.alias("lv"), "need", F.explode("prefix").alias("tok"))
+    again = tokens.groupBy("tok").agg(F.min("__row").alias("lo"), F.max("__row").alias("hi")).filter("lo < hi").select("tok")
+    again = landed(again, "tokens")  # so that the join has exchanges of its own and a frequent token can be split
+    hits = landed(tokens.join(again, "tok"), "repeated-tokens")
+
+    def met(some: DataFrame) -> DataFrame:
+        """Tokens with the pivot of their size class, where two texts or more have them."""
+        sized = some.select("tok", "__row", "need", F.explode(F.array(F.col("lv"), F.col("lv") + 1)).alias("lv"))
+        pivots = sized.groupBy("tok", "lv").agg(F.min("__row").alias("pivot"), F.max("__row").alias("hi"))
+        return sized.join(landed(pivots.filter("pivot < hi").drop("hi"), "pivots"), ["tok", "lv"])
+
+    def enough(some: DataFrame) -> DataFrame:
+        """Hits of the texts that have as many tokens in ``some`` as they need."""
+        alive = some.groupBy("__row").agg(F.countDistinct("tok").alias("k"), F.max("need").alias("need"))
+        alive = landed(alive.filter("k >= need").select("__row"), "alive")
+        return landed(hits.join(alive, "__row", "left_semi"), "hits")
+
+    hits = enough(hits)
+    hits = enough(met(hits))  # texts that are gone, or of another size, no longer count
+    star = met(hits).filter("__row <> pivot").select("pivot", "__row").distinct()
     star = star.join(of_row, "__row").select("pivot", F.col("cls").alias("m"))
     star = star.join(of_row.select(F.col("__row").alias("pivot"), F.col("cls").alias("p")), "pivot").select("p", "m")
     star = landed(star.filter("p <> m").distinct(), "candidates")
@@ -207,14 +242,10 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
     wanted = dealt.groupBy("m").agg(F.collect_list("g").alias("groups"))
     wanted = wanted.join(rows.select(F.col("__row").alias("m"), "__key"), "m")
 
-    @F.arrow_udf("binary")
-    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array([s.tobytes() for s in shingle_sets(texts, words)], pa.binary())
-
+    # the text travels, not its set: it is smaller than eight bytes for each word
     sent = keyed.select("__key", text_col).join(wanted, "__key").select(
-        "m", "groups", sets(F.col(text_col)).alias("set")).select("m", "set", F.explode("groups").alias("g"))
-    sent = sent.select("g.*", "m", "set").repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "m")
+        "m", F.col(text_col).alias("text"), F.explode("groups").alias("g"))
+    sent = sent.select("g.*", "m", "text").repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "m")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def linked(ids, group):
@@ -224,13 +255,13 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
         key, ids, group, out = None, [], [], []
         for batch in batches:
             p, i, j, m = (batch.column(k).to_pylist() for k in range(4))
-            for k in range(len(m)):
+            for k, s in enumerate(shingle_sets(batch.column(4), words)):
                 if (p[k], i[k], j[k]) != key:
                     out += linked(ids, group)
                     key, ids, group = (p[k], i[k], j[k]), [], []
                 if not ids or ids[-1] != m[k]:  # a repeated row is there once
                     ids.append(m[k])
-                    group.append(np.frombuffer(batch.column(4)[k].as_py(), np.uint64))
+                    group.append(s)
             if out:
                 yield pa.record_batch([pa.array([x[0] for x in out], pa.int64()),
                                        pa.array([x[1] for x in out], pa.int64())], names=["u", "v"])
@@ -247,7 +278,7 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
     placed = placed.join(root.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls", "__row"))
     placed = landed(placed.drop("cls", "__row"), "placed")
-    least = placed.groupBy("root").agg(F.min(id_col).alias("component_id"))
+    least = landed(placed.groupBy("root").agg(F.min(id_col).alias("component_id")), "roots")
     return placed.join(least, "root").select(*keep, "n_shingles", "component_id", "__key", F.col("root").alias("__root"))
 
 
