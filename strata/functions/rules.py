@@ -41,6 +41,3 @@ def not_nan(*names: str) -> list[tuple[str, Column]]:
 def all_of(rules) -> Column:
     return reduce(lambda a, b: a & b, (c for _, c in rules), F.lit(True))
 
-
-def rule_names(rules) -> list[str]:
-    return [n for n, _ in rules]

@@ -36,9 +36,9 @@ def typed_mobility(df: DataFrame, owner: str, schema_v: int = SCHEMA_VERSION,
                      F.lit(schema_v).alias("schema_v"))
 
 
-def lineage_columns(df: DataFrame, batch_id: str, owner: str, processed_source: Column | str | None = None,
+def lineage_columns(df: DataFrame, batch_id: Column | str, owner: str, processed_source: Column | str | None = None,
                     schema_v: int = SCHEMA_VERSION) -> DataFrame:
-    cols = {"schema_v": F.lit(schema_v), "batch_id": F.lit(batch_id),
+    cols = {"schema_v": F.lit(schema_v), "batch_id": batch_id if isinstance(batch_id, Column) else F.lit(batch_id),
             "processed_author_surname": F.lit(owner)}
     if processed_source is not None:
         cols["processed_source"] = (processed_source if isinstance(processed_source, Column)
@@ -56,6 +56,9 @@ def normalize_weather(bronze: DataFrame, batch_id: str, owner: str,
     """
     if processed_source is None:
         processed_source = F.nullif(F.regexp_extract("file_path", r"source=([^/]+)", 1), F.lit(""))
+    # a batch id of its own for every source
+    label = processed_source if isinstance(processed_source, Column) else F.lit(processed_source)
+    batch = F.concat_ws("-", F.lit(batch_id), label)
     in_payload = set(WEATHER_PAYLOAD.fieldNames())
     derived = {"author_surname": F.col("metadata.author_surname"), "ingest_ts": parse_iso_ts(F.col("ingest_ts")),
                "event_ts": local_to_utc(F.col("payload.event_time"))}
@@ -67,7 +70,7 @@ def normalize_weather(bronze: DataFrame, batch_id: str, owner: str,
         return F.col(f"payload.{f.name}").try_cast(f.dataType) if f.name in in_payload else F.col(f.name)
 
     stored = [f for f in SILVER_WEATHER.fields if f.name not in LINEAGE]
-    return lineage_columns(bronze.select(*[value(f).alias(f.name) for f in stored]), batch_id, owner, processed_source)
+    return lineage_columns(bronze.select(*[value(f).alias(f.name) for f in stored]), batch, owner, processed_source)
 
 
 # --- fixed values: feature lists of the models ---

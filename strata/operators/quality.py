@@ -25,6 +25,13 @@ def weather_rules(owner: str, as_of: Column | str | None = None, domain: str = "
     )
 
 
+def source_gate(df: DataFrame, condition: Column, source: str = "processed_source") -> DataFrame:
+    """Rows, valid rows and the write gate of each source: one without a valid row is skipped."""
+    return (df.groupBy(F.col(source).alias("source"))
+            .agg(F.count(F.lit(1)).alias("rows_total"), F.count_if(condition).alias("rows_valid"))
+            .withColumn("skipped", F.col("rows_valid") == 0))
+
+
 def valid_weather(df: DataFrame, owner: str, as_of=None) -> DataFrame:
     return df.filter(R.all_of(weather_rules(owner, as_of)))
 

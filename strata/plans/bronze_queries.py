@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..functions.schemas import MEASURES, envelope
+from ..functions.schemas import ALERTS_ENVELOPE, MEASURES, envelope
 from ..session import scratch_path
-from ..sinks.writers import land_text, write_csv
+from ..sinks.writers import land_blobs, land_text, write_csv, write_sidecars
 from ..sources import adapters as A
-from ..sources.bronze import (binary_files, csv_rows_to_envelopes, document_envelope, history_window, manifest,
-                              preferred_file, shape_weather_archive, shape_weather_current)
-from ..sources.readers import read_bronze, read_csv_strings
+from ..sources.bronze import (binary_files, csv_rows_to_envelopes, document_envelope, envelope_json, history_window,
+                              manifest, partition_columns, preferred_file, shape_weather_archive, shape_weather_current)
+from ..sources.readers import (BRONZE_GLOB, landed_files, path_value, read_bronze, read_csv_dialect,
+                               read_sidecar_table)
 from .oracle_sql import WEATHER
 from .registry import register
 from .silver_queries import land_weather_bronze
@@ -39,11 +40,10 @@ def archive_rows(spark, sf_dir):
 _CURRENT_CTES = f"""w AS ({WEATHER}),
 r AS (SELECT event_id // 10 AS response_id, max(ingest_ts) AS fetched_at FROM w GROUP BY 1),
 it AS (SELECT *, event_id // 10 AS response_id,
-       row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS pos FROM w WHERE event_id % 7 <> 3),
-it2 AS (SELECT * FROM it WHERE response_id % 5 <> 0 OR pos = 0),
+       row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1 AS pos FROM w),
 joined AS (SELECT r.response_id, cities.pos AS city_pos, r.fetched_at, cities.city, cities.city_lat,
-       cities.city_lon, it2.* EXCLUDE (response_id, city, pos) FROM r CROSS JOIN {CITIES_SQL}
-       LEFT JOIN it2 ON it2.response_id = r.response_id AND it2.pos = cities.pos)"""
+       cities.city_lon, it.* EXCLUDE (response_id, city, pos) FROM r CROSS JOIN {CITIES_SQL}
+       LEFT JOIN it ON it.response_id = r.response_id AND it.pos = cities.pos)"""
 
 _CURRENT_SELECT = """response_id, city_pos, fetched_at AS ingest_ts, 'current_api' AS source, 'weather' AS domain,
   'owner' AS author_surname, city, coalesce(latitude, city_lat) AS latitude, coalesce(longitude, city_lon) AS longitude,
@@ -98,8 +98,10 @@ def q_parallel_array_zip(spark, sf_dir):
 
 # --- alerts: header CSV -> envelope JSON lines (#3) ----------------------------
 ALERTS_SQL = """SELECT CAST(event_id AS @S@) AS alert_id, concat('region_', CAST(user_id % 25 AS @S@)) AS region,
-  strftime_placeholder AS started_at, CAST(event_id % 120 AS @S@) AS duration_min
-  FROM {events} WHERE event_type = 'error'"""
+  strftime_placeholder AS started_at, CAST(event_id % 120 AS @S@) AS duration_min,
+  CASE event_id % 4 WHEN 0 THEN concat('line one', chr(10), 'line "two"') WHEN 1 THEN 'say "hi", ok' WHEN 2 THEN ''
+       ELSE event_type END AS note
+  FROM {events}"""
 
 
 def _alerts_sql(engine: str) -> str:
@@ -108,6 +110,7 @@ def _alerts_sql(engine: str) -> str:
     return A.render(ALERTS_SQL.replace("strftime_placeholder", fmt), engine)
 
 
+ALERT_COLUMNS = ("alert_id", "region", "started_at", "duration_min", "note")
 _ALERTS_CSV: dict = {}
 
 
@@ -121,15 +124,23 @@ def land_alerts_csv(spark: SparkSession, sf_dir: str) -> str:
 
 def alerts_envelopes(spark: SparkSession, csv_path: str, fetched_at: str = A.FETCHED_AT,
                      source: str = "alerts_csv", owner: str = A.OWNER) -> DataFrame:
-    return csv_rows_to_envelopes(read_csv_strings(spark, csv_path), fetched_at, source, owner)
+    return csv_rows_to_envelopes(read_csv_dialect(spark, csv_path), fetched_at, source, owner)
+
+
+def land_alerts(spark: SparkSession, csv_path: str) -> str:
+    """Alert envelopes as JSON lines under ``domain=/source=/ingest_date=/hour=``."""
+    env = alerts_envelopes(spark, csv_path)
+    lines = env.select(envelope_json().alias("value"), "domain", "source", *partition_columns(F.col("ingest_ts")))
+    return land_text(lines, "value", scratch_path(spark, "alerts"), ["domain", "source", "ingest_date", "hour"])
 
 
 @register("bronze_alerts_csv", f"""SELECT '{A.FETCHED_AT}' AS ingest_ts, 'alerts_csv' AS source, 'alerts' AS domain,
-    'owner' AS author_surname, alert_id, region, started_at, duration_min FROM ({_alerts_sql('duckdb')}) t""")
+    'owner' AS author_surname, alert_id, region, started_at, duration_min, note FROM ({_alerts_sql('duckdb')}) t""")
 def q_bronze_alerts_csv(spark, sf_dir):
-    env = alerts_envelopes(spark, land_alerts_csv(spark, sf_dir))
+    """CSV rows with quoted line ends, doubled quotes and empty fields, landed as envelopes and read back."""
+    env = read_bronze(spark, land_alerts(spark, land_alerts_csv(spark, sf_dir)), ALERTS_ENVELOPE)
     return env.select("ingest_ts", "source", "domain", F.col("metadata.author_surname").alias("author_surname"),
-                      "payload.*")
+                      *[F.col("payload")[c].alias(c) for c in ALERT_COLUMNS])
 
 
 # --- whole JSON documents, pretty-printed, one per file (#4) -------------------
@@ -144,7 +155,7 @@ _DOCS: dict = {}
 
 
 def land_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Raw documents (JSON text) -> envelopes -> pretty JSON, one file per document.
+    """Raw documents (JSON text) -> one-line envelopes, many to a file.
 
     A document groups 1000 consecutive events, so its size is bounded."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -157,10 +168,8 @@ def land_documents(spark: SparkSession, sf_dir: str) -> str:
                 .select("doc_id", F.to_json(F.struct(F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
                                                      .alias("generator"), "elements")).alias("raw")))
         env = document_envelope(docs, "raw", ROADS_PAYLOAD, A.FETCHED_AT, "roads_osm", A.OWNER)
-        pretty = env.select(F.to_json(F.struct("ingest_ts", "source", "domain", "metadata", "payload"),
-                                      {"pretty": "true"}).alias("value"),
-                            F.regexp_extract(F.col("payload.generator"), "doc-([0-9]+)", 1).alias("doc"))
-        _DOCS[key] = land_text(pretty, "value", scratch_path(spark, "roads"), ["doc"])
+        lines = env.select(envelope_json().alias("value"), "domain", "source", *partition_columns(F.col("ingest_ts")))
+        _DOCS[key] = land_text(lines, "value", scratch_path(spark, "roads"), ["domain", "source", "ingest_date", "hour"])
     return _DOCS[key]
 
 
@@ -176,7 +185,7 @@ def read_documents(spark: SparkSession, root: str, payload=ROADS_PAYLOAD, glob:
     'roads' AS domain, 'roads_osm' AS source, 'owner' AS author_surname, '{A.FETCHED_AT}' AS ingest_ts
     FROM w GROUP BY event_id // {ROADS_DOC_DIV}""")
 def q_bronze_json_document(spark, sf_dir):
-    d = read_documents(spark, land_documents(spark, sf_dir))
+    d = read_bronze(spark, land_documents(spark, sf_dir), envelope(ROADS_PAYLOAD))
     ids = F.transform("payload.elements", lambda e: e["id"])
     return d.select("payload.generator", F.size("payload.elements").cast("bigint").alias("n_elements"),
                     F.array_min(ids).alias("min_id"), F.array_max(ids).alias("max_id"), "domain", "source",
@@ -185,24 +194,32 @@ def q_bronze_json_document(spark, sf_dir):
 
 @register("bronze_binary_landing")
 def q_bronze_binary_landing(spark, sf_dir):
-    """The driver's parquet files as opaque blobs: name, size, content digest."""
-    b = binary_files(spark, f"{sf_dir}/*.parquet")
-    return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length",
-                    F.md5("content").alias("content_md5"))
+    """The driver's parquet files as opaque blobs, landed and compared with their source by digest."""
+    named = F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name")
+    source = binary_files(spark, f"{sf_dir}/*.parquet").select(named, "length", "content")
+    path = land_blobs(source, scratch_path(spark, "blobs"))
+    landed = spark.read.schema(source.schema).parquet(path).select("file_name", F.md5("content").alias("landed_md5"))
+    return (source.select("file_name", "length", F.md5("content").alias("content_md5")).join(landed, "file_name", "left")
+            .withColumn("unchanged", F.col("content_md5").eqNullSafe(F.col("landed_md5"))).drop("landed_md5"))
 
 
 @register("bronze_manifest", f"""WITH w AS ({WEATHER}) SELECT 'owner' AS author_surname, domain, source,
     CASE source WHEN 'current_api' THEN 'https://example.invalid/current'
                 ELSE 'https://example.invalid/archive' END AS source_url,
-    max(ingest_ts) AS fetched_at, 'application/json' AS content_type, ingest_date, hour, 'txt' AS stored_ext
-    FROM w GROUP BY domain, source, ingest_date, hour""")
+    concat(ingest_date, 'T', hour, ':00:00Z') AS fetched_at, 'application/json' AS content_type, ingest_date, hour,
+    'txt' AS stored_ext, false AS orphan FROM w GROUP BY domain, source, ingest_date, hour""")
 def q_bronze_manifest(spark, sf_dir):
-    b = read_bronze(spark, land_weather_bronze(spark, sf_dir))
-    per_file = b.groupBy("file_path", "ingest_date", "hour").agg(F.max("ingest_ts").alias("fetched_at"))
-    m = manifest(per_file, A.OWNER, {"current_api": "https://example.invalid/current",
-                                     "archive_api": "https://example.invalid/archive"}, "application/json",
-                 keep=("ingest_date", "hour"))
+    """Sidecar records from the listing, landed, read back and matched with the files."""
+    files = landed_files(spark, land_weather_bronze(spark, sf_dir), BRONZE_GLOB)
+    date, hour = (path_value(F.col("file_path"), k) for k in ("ingest_date", "hour"))
+    listing = files.select("file_path", F.concat(date, F.lit("T"), hour, F.lit(":00:00Z")).alias("fetched_at"))
+    records = manifest(listing, A.OWNER, {"current_api": "https://example.invalid/current",
+                                          "archive_api": "https://example.invalid/archive"}, "application/json")
+    sidecars = read_sidecar_table(spark, write_sidecars(records, scratch_path(spark, "sidecars")))
+    m = (files.select("file_path", date.alias("ingest_date"), hour.alias("hour")).join(sidecars, "file_path", "left")
+         .withColumn("orphan", F.col("stored_file").isNull()))
     return m.select(
+        "orphan",
         "author_surname", "domain", "source", "source_url", "fetched_at", "content_type", "ingest_date", "hour",
         F.regexp_extract("stored_file", r"\.([a-z]+)$", 1).alias("stored_ext"))
 

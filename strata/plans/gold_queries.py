@@ -180,14 +180,14 @@ def q_write_gold_csv(spark, sf_dir):
 
 @register("read_gold_metric", f"""WITH {GOLD_CTES}, r AS ({_METRIC_SQL['traffic_activity_daily']})
     SELECT 'traffic_activity_daily' AS metric, count(*) AS total_rows,
-           count(DISTINCT ingest_date) AS n_partitions FROM r""")
+           count(DISTINCT ingest_date) AS n_partitions, min(ingest_date) AS first_date, max(ingest_date) AS last_date,
+           true AS files_of_each_date FROM r""")
 def q_read_gold_metric(spark, sf_dir):
     runs = gold_paths(spark, sf_dir)
     back = read_gold_metric(spark, runs["traffic_activity_daily"], runs["traffic_activity_daily:columns"])
     return back.agg(F.lit("traffic_activity_daily").alias("metric"), F.count(F.lit(1)).alias("total_rows"),
-                    F.countDistinct("p_ingest_date").alias("n_partitions"))
+                    F.countDistinct("p_ingest_date").alias("n_partitions"), F.min("ingest_date").alias("first_date"),
+                    F.max("ingest_date").alias("last_date"),
+                    # every date has files of its own
+                    (F.countDistinct("file_path") >= F.countDistinct("p_ingest_date")).alias("files_of_each_date"))
 
-
-def gold_preview(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    """First ``n`` rows of a written metric in key order (file order is undefined)."""
-    return read_gold_metric(spark, path).orderBy("ingest_date").limit(n)

@@ -326,17 +326,18 @@ def q_grid_center(spark, sf_dir):
 def q_write_metrics_json(spark, sf_dir):
     """run id + the three models' metrics as one JSON record, written and read back."""
     st = state(spark, sf_dir)
-    lin = ML.regression_metrics(st.linear.transform(st.reg_test), "speed", "prediction")
+    lin = ML.regression_metrics(st.linear.transform(st.reg_test), "speed", "prediction").first().asDict()
     test = st.logistic.transform(st.cls_split.where(F.col("is_test"))).withColumn(
         "p1", ML.positive_probability()).withColumn("yhat", F.col("prediction").cast("int"))
-    cls = ML.classification_metrics(test, "is_congested", "yhat").crossJoin(ML.roc_auc(test, "is_congested", "p1"))
+    cls = (ML.classification_metrics(test, "is_congested", "yhat").first().asDict()
+           | ML.roc_auc(test, "is_congested", "p1").first().asDict())
     km = ML.kmeans_metrics(st.kmeans, st.cluster_scored())
-    rec = (lin.select(F.struct("mae", "rmse", "r2").alias("linear_regression"))
-           .crossJoin(cls.select(F.struct("accuracy", "precision", "recall", "f1", "roc_auc")
-                                 .alias("logistic_regression")))
-           .select(F.lit(OWNER).alias("author_surname"), F.lit(RUN_ID).alias("run_id"), "linear_regression",
-                   "logistic_regression",
-                   F.struct(F.lit(km["inertia"]).alias("inertia"),
-                            F.lit(km["silhouette_sq_euclidean"]).alias("silhouette_sq_euclidean")).alias("kmeans")))
+    rec = spark.createDataFrame(
+        [(OWNER, RUN_ID, tuple(lin[c] for c in ("mae", "rmse", "r2")),
+          tuple(cls[c] for c in ("accuracy", "precision", "recall", "f1", "roc_auc")),
+          (km["inertia"], km["silhouette_sq_euclidean"]))],
+        "author_surname string, run_id string, linear_regression struct<mae: double, rmse: double, r2: double>, "
+        "logistic_regression struct<accuracy: double, precision: double, recall: double, f1: double, roc_auc: double>, "
+        "kmeans struct<inertia: double, silhouette_sq_euclidean: double>")
     path = write_json_rows(rec, scratch_path(spark, "model_metrics"))
     return spark.read.schema(rec.schema).json(path)

@@ -9,12 +9,12 @@ from ..functions.schemas import MEASURES
 from ..functions.timefmt import local_to_utc, parse_iso_ts
 from ..operators.profile import rows_by_city_top, rows_by_source, silver_distincts
 from ..operators.projections import normalize_weather
-from ..operators.quality import audit_silver, valid_weather, weather_rules
+from ..operators.quality import audit_silver, source_gate, valid_weather, weather_rules
 from ..session import scratch_path
 from ..sinks.writers import land_text, write_silver_jsonl, write_silver_parquet
 from ..sources.adapters import AS_OF, BATCH_ID, OWNER, weather_records
 from ..sources.bronze import partition_columns, partition_dir
-from ..sources.readers import read_bronze, read_silver
+from ..sources.readers import landed_sources, read_bronze, read_silver
 from .oracle_sql import WEATHER
 from .registry import register
 
@@ -51,26 +51,38 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_weather(read_bronze(spark, land_weather_bronze(spark, sf_dir)), BATCH_ID, OWNER)
 
 
-def run_silver(spark: SparkSession, bronze_root: str, out_root: str, batch_id: str = BATCH_ID,
-               owner: str = OWNER, as_of=AS_OF, fmt: str = "parquet") -> dict:
-    """All sources in one plan: count (one aggregate pass), gate, write.
+SILVER_PARTITIONS = ("source", "schema_v", "batch_id", "ingest_date", "hour")
+
 
-    Output layout: ``<out>/schema_v=1/batch_id=<id>/domain=weather/source=<s>/ingest_date=<d>/hour=<h>``.
-    ``source`` moves to the path (read back from there); every other column stays in the record.
+def run_silver(spark: SparkSession, bronze_root: str, out_root: str, batch_id: str = BATCH_ID,
+               owner: str = OWNER, as_of=AS_OF, fmt: str = "parquet", domain: str = "weather",
+               sources: list[str] | None = None) -> dict:
+    """The sources of a domain in one plan: count (one aggregate pass), gate, write.
+
+    Only files of ``domain`` and ``sources`` (default: all landed ones) are read; a
+    source without landed files is an error.  Each source has a batch id of its own,
+    and one without valid rows writes nothing.  Layout:
+    ``<out>/domain=<d>/source=<s>/schema_v=1/batch_id=<id>-<s>/ingest_date=<d>/hour=<h>``;
+    the columns of the path are read back from there.
     """
-    norm = normalize_weather(read_bronze(spark, bronze_root), batch_id, owner)
+    landed = landed_sources(spark, bronze_root, domain)
+    wanted = landed if sources is None else list(sources)
+    if missing := sorted(set(wanted) - set(landed)) or ([domain] if not wanted else []):
+        raise FileNotFoundError(f"No bronze JSON-lines files of {missing} found under {bronze_root}")
+    folders = [f"{bronze_root}/domain={domain}/source={s}" for s in wanted]
+    norm = normalize_weather(read_bronze(spark, folders), batch_id, owner)
     cond = R.all_of(weather_rules(owner, as_of))
-    counts = {r["processed_source"]: (r["total"], r["valid"]) for r in norm.groupBy("processed_source").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(cond).alias("valid")).collect()}
-    path = f"{out_root}/schema_v=1/batch_id={batch_id}/domain=weather"
-    written = sum(v for _, v in counts.values()) > 0
+    gate = {r["source"]: r for r in source_gate(norm, cond).collect()}  # one row for each source
+    path = f"{out_root}/domain={domain}"
+    written = [s for s, r in gate.items() if not r["skipped"]]
     if written:
         valid = norm.filter(cond)
         if fmt == "parquet":
-            write_silver_parquet(valid, path, ("source", "ingest_date", "hour"))
+            write_silver_parquet(valid, path, SILVER_PARTITIONS)
         else:
-            write_silver_jsonl(valid, path, ("source", "ingest_date", "hour"))
-    return {"path": path, "counts": counts, "written": written}
+            write_silver_jsonl(valid, path, SILVER_PARTITIONS)
+    return {"path": path, "counts": {s: (r["rows_total"], r["rows_valid"]) for s, r in gate.items()},
+            "written": bool(written), "written_sources": sorted(written)}
 
 
 def silver_run(spark: SparkSession, sf_dir: str, fmt: str) -> dict:
@@ -81,10 +93,7 @@ def silver_run(spark: SparkSession, sf_dir: str, fmt: str) -> dict:
 
 
 def silver_back(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFrame:
-    df = read_silver(spark, silver_run(spark, sf_dir, fmt)["path"], fmt)
-    # ``source`` lives in the path of the written layout.
-    return df.withColumn("source", F.coalesce("source", F.nullif(
-        F.regexp_extract("silver_file", "source=([^/]+)", 1), F.lit(""))))
+    return read_silver(spark, silver_run(spark, sf_dir, fmt)["path"], fmt)
 
 
 SILVER_OUT = ["author_surname", "domain", "source", "ingest_ts", "event_ts", "city", "latitude", "longitude",
@@ -98,7 +107,7 @@ norm AS (SELECT author_surname, domain, source,
   timezone('UTC', timezone('Europe/Kyiv', try_strptime(event_time, '%Y-%m-%dT%H:%M'))) AS event_ts,
   city, latitude, longitude, elevation, timezone, timezone_abbreviation,
   temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m, ingest_date, hour,
-  1 AS schema_v, 'batch-0001' AS batch_id, 'owner' AS processed_author_surname, source AS processed_source
+  1 AS schema_v, concat('batch-0001-', source) AS batch_id, 'owner' AS processed_author_surname, source AS processed_source
   FROM w),
 valid AS (SELECT * FROM norm WHERE author_surname IS NOT NULL AND domain IS NOT NULL AND source IS NOT NULL
   AND ingest_ts IS NOT NULL AND event_ts IS NOT NULL AND city IS NOT NULL AND latitude IS NOT NULL
@@ -184,16 +193,17 @@ def q_multi_source_run(spark, sf_dir):
             .withColumn("rows_rejected", F.col("rows_total") - F.col("rows_valid")))
 
 
-@register("skip_empty", f"""WITH {_NORM}, t AS (SELECT DISTINCT processed_source AS source FROM norm),
+@register("skip_empty", f"""WITH {_NORM}, t AS (SELECT processed_source AS source, count(*) AS n FROM norm GROUP BY 1),
     v AS (SELECT processed_source AS source, count(*) AS n FROM valid GROUP BY 1)
-    SELECT t.source, coalesce(v.n, 0) AS rows_valid, coalesce(v.n, 0) = 0 AS skipped
-    FROM t LEFT JOIN v USING (source)""")
+    SELECT t.source, t.n AS rows_total, coalesce(v.n, 0) AS rows_valid, coalesce(v.n, 0) = 0 AS skipped
+    FROM t LEFT JOIN v USING (source)
+    UNION ALL SELECT 'replay_api', count(*), 0, true FROM norm HAVING count(*) > 0""")
 def q_skip_empty(spark, sf_dir):
-    """The write gate as data: a source is skipped when it has no valid row."""
-    cond = R.all_of(weather_rules(OWNER, AS_OF))
-    return (normalized(spark, sf_dir).groupBy(F.col("processed_source").alias("source"))
-            .agg(F.count_if(cond).alias("rows_valid"))
-            .withColumn("skipped", F.col("rows_valid") == 0))
+    """The write gate of a run: a source is skipped when it has no valid row, like
+    the replay folder here, whose records name other sources."""
+    norm = normalized(spark, sf_dir)
+    replay = norm.withColumn("processed_source", F.lit("replay_api"))
+    return source_gate(norm.unionByName(replay), R.all_of(weather_rules(OWNER, AS_OF)))
 
 
 @register("lineage_columns", f"""WITH {_NORM} SELECT schema_v, batch_id, processed_author_surname,
@@ -214,17 +224,18 @@ def q_write_silver_jsonl(spark, sf_dir):
 
 
 @register("read_silver", f"""WITH {_NORM} SELECT {_SILVER_SELECT},
-    concat('source=', source, '/ingest_date=', ingest_date, '/hour=', hour) AS silver_partition FROM valid""")
+    concat('batch_id=', batch_id, '/ingest_date=', ingest_date, '/hour=', hour) AS silver_partition FROM valid""")
 def q_read_silver(spark, sf_dir):
     back = silver_back(spark, sf_dir, "json")
-    part = F.regexp_extract("silver_file", r"(source=[^/]+/ingest_date=[^/]+/hour=[^/]+)/", 1)
+    part = F.regexp_extract("silver_file", r"(batch_id=[^/]+/ingest_date=[^/]+/hour=[^/]+)/", 1)
     return ts_text(back.select(*SILVER_OUT, part.alias("silver_partition")), "ingest_ts", "event_ts")
 
 
 @register("audit_silver", f"""WITH {_NORM} SELECT count(*) AS valid_rows, CAST(0 AS BIGINT) AS invalid_rows,
     count(*) > 0 AS passed FROM valid""")
 def q_audit_silver(spark, sf_dir):
-    return audit_silver(silver_back(spark, sf_dir, "json"), OWNER)
+    """The columnar form is audited: only the columns of the rules are read."""
+    return audit_silver(silver_back(spark, sf_dir, "parquet"), OWNER)
 
 
 @register("rows_by_source", f"WITH {_NORM} SELECT source, count(*) AS rows FROM valid GROUP BY source")
@@ -246,8 +257,10 @@ def q_silver_distincts(spark, sf_dir):
     return silver_distincts(silver_back(spark, sf_dir, "json"))
 
 
-@register("write_layout", f"""WITH {_NORM} SELECT source, ingest_date, hour, count(*) AS rows FROM valid
-    GROUP BY ALL""")
+@register("write_layout", f"""WITH {_NORM} SELECT concat('weather/source=', source, '/schema_v=1/batch_id=', batch_id)
+    AS folder, ingest_date, hour, count(*) AS rows FROM valid GROUP BY ALL""")
 def q_write_layout(spark, sf_dir):
+    """Rows by the folder they were written to, and whether the folder is the one their own columns name."""
     back = silver_back(spark, sf_dir, "parquet")
-    return back.groupBy("source", "ingest_date", "hour").agg(F.count(F.lit(1)).alias("rows"))
+    folder = F.regexp_extract("silver_file", r"domain=([^/]+/source=[^/]+/schema_v=[^/]+/batch_id=[^/]+)/", 1)
+    return back.groupBy(folder.alias("folder"), "ingest_date", "hour").agg(F.count(F.lit(1)).alias("rows"))

@@ -76,7 +76,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and landed tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir); only when unset, create a local one and register it.
+    dir); only when unset, and only on a local master, create one and register it.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -87,6 +87,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    if not sc.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(local)
     return local

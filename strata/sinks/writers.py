@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.schemas import ISO_Z_FORMAT, SCHEMA_VERSION
+from ..functions.schemas import SCHEMA_VERSION
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -32,14 +32,15 @@ def versioned_path(root: str, name: str | None, batch_id: str, schema_v: int = S
 
 
 def write_silver_parquet(df: DataFrame, path: str, partition_cols=("ingest_date", "hour")) -> str:
-    _writer(df, list(partition_cols), "overwrite").parquet(path)
+    (_writer(df, list(partition_cols), "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
     return path
 
 
 def write_silver_jsonl(df: DataFrame, path: str, partition_cols=("ingest_date", "hour")) -> str:
     """One JSON object per line, partition columns moved to the path.  Timestamps
-    are written in UTC with an explicit format (independent of the driver's zone)."""
-    (_writer(df, list(partition_cols), "append")
+    are written in UTC with an explicit format (independent of the driver's zone).
+    A rerun of a batch replaces the folders it writes."""
+    (_writer(df, list(partition_cols), "overwrite").option("partitionOverwriteMode", "dynamic")
      .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
      .option("ignoreNullFields", "false")
      .json(path))
@@ -54,7 +55,8 @@ def write_gold_csv(df: DataFrame, path: str, partition_col: str = "ingest_date")
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    _writer(df, [], "overwrite").option("header", True).csv(path)
+    """Header CSV; quotes inside a field are doubled, as Python's csv module writes them."""
+    _writer(df, [], "overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -70,5 +72,13 @@ def land_text(df: DataFrame, value_col: str, path: str, partition_cols) -> str:
     return path
 
 
-def iso_z_now(df: DataFrame) -> DataFrame:
-    return df.withColumn("written_at", F.date_format(F.current_timestamp(), ISO_Z_FORMAT))
+def write_sidecars(records: DataFrame, path: str) -> str:
+    """Sidecar records of landed files, as JSON lines beside the data root."""
+    records.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return path
+
+
+def land_blobs(blobs: DataFrame, path: str) -> str:
+    """Opaque files (file_name, length, content) landed as they are, one row each."""
+    blobs.select("file_name", "length", "content").write.mode("overwrite").parquet(path)
+    return path

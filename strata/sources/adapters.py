@@ -139,9 +139,9 @@ def cities_values_sql() -> str:
 
 
 # --- raw API-shaped payloads built from the weather observations -----------
-# "current" responses: 10 consecutive events form one response; items whose
-# event_id % 7 = 3 are left out (short arrays), and every 5th response is a
-# single object instead of an array.  Group size <= 10 by construction.
+# "current" responses: 10 consecutive events form one response, so every event is
+# an item of one (short arrays and single objects are cases of the unit tests).
+# Group size <= 10 by construction.
 CURRENT_RESPONSE_DIV = 10
 # "archive" responses: 100 consecutive events; item c = event_id % 12 (so items
 # 10 and 11 are extra and must be dropped); per item, hourly arrays ordered by
@@ -162,14 +162,12 @@ def current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("%").alias("relative_humidity_2m"), F.lit("mm").alias("precipitation"),
                  F.lit("km/h").alias("wind_speed_10m")).alias("current_units"))
     keyed = w.select(F.expr(f"event_id div {CURRENT_RESPONSE_DIV}").alias("response_id"), "event_id",
-                     "ingest_ts", F.when(F.col("event_id") % 7 != 3, F.struct("event_id", item.alias("item")))
-                     .alias("entry"))
+                     "ingest_ts", F.struct("event_id", item.alias("item")).alias("entry"))
     resp = keyed.groupBy("response_id").agg(
         F.max("ingest_ts").alias("fetched_at"),
         F.sort_array(F.collect_list("entry")).alias("entries"))
     items = F.transform("entries", lambda e: e["item"])
-    raw = F.when(F.col("response_id") % 5 == 0, F.to_json(F.get(items, 0))).otherwise(F.to_json(items))
-    return resp.select("response_id", "fetched_at", raw.alias("raw"))
+    return resp.select("response_id", "fetched_at", F.to_json(items).alias("raw"))
 
 
 def archive_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from ..functions.schemas import (ARCHIVE_ITEM, CITIES, CURRENT_ITEM, FALLBACK_RULE, PREFERRED_SUFFIXES,
-                                 WEATHER_PAYLOAD, envelope)
+from ..functions.schemas import ARCHIVE_ITEM, CITIES, CURRENT_ITEM, FALLBACK_RULE, PREFERRED_SUFFIXES
 from ..functions.timefmt import partition_date, partition_hour, parse_iso_ts
-from .readers import file_path_col, path_value
+from .readers import path_value
 
 
 def city_array() -> Column:
@@ -41,7 +40,7 @@ def shape_weather_current(payloads: DataFrame, raw: str = "raw", fetched_at: str
     """One envelope row per city of the dimension; city i takes item i of the
     response (array or single object).  A missing item keeps the city's own
     coordinates and nulls elsewhere; items beyond the dimension are dropped."""
-    items = parse_items(F.col(raw), CURRENT_ITEM)
+    items = F.coalesce(parse_items(F.col(raw), CURRENT_ITEM), F.array().cast(T.ArrayType(CURRENT_ITEM)))
     paired = payloads.select(
         *keep, F.col(fetched_at).alias("_fetched"),
         F.posexplode(F.zip_with(city_array(), F.slice(items, 1, len(CITIES)),
@@ -90,8 +89,8 @@ def shape_weather_archive(payloads: DataFrame, raw: str = "raw", fetched_at: str
                         *envelope_cols(F.col("_fetched"), source, "weather", owner), payload.alias("payload"))
 
 
-def envelope_json(df: DataFrame) -> Column:
-    """Serialise an envelope row to one JSON line."""
+def envelope_json() -> Column:
+    """An envelope row as one JSON line."""
     return F.to_json(F.struct("ingest_ts", "source", "domain", "metadata", "payload"))
 
 
@@ -108,8 +107,8 @@ def partition_dir(domain: Column, source: Column, ingest_date: Column, hour: Col
 
 def csv_rows_to_envelopes(rows: DataFrame, fetched_at: str, source: str, owner: str,
                           domain: str = "alerts") -> DataFrame:
-    """Header-CSV rows (all strings) -> envelope rows whose payload is the row."""
-    payload = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    """Header-CSV rows (all strings) -> envelope rows whose payload maps header to value."""
+    payload = F.create_map(*[x for c in rows.columns for x in (F.lit(c), F.col(f"`{c}`"))])
     return rows.select(*envelope_cols(F.lit(fetched_at), source, domain, owner), payload.alias("payload"))
 
 
@@ -122,8 +121,8 @@ def document_envelope(docs: DataFrame, raw: str, payload_schema: T.DataType, fet
 
 def manifest(landed: DataFrame, owner: str, source_urls: dict[str, str], content_type: str,
              keep: tuple[str, ...] = ()) -> DataFrame:
-    """Sidecar records, one per landed file, from a file-level listing with
-    ``file_path`` and the max ``ingest_ts`` of the file."""
+    """Sidecar records, one per landed file, from a listing with ``file_path`` and
+    ``fetched_at`` (which the folder names tell, so no file is opened)."""
     fp = F.col("file_path")
     url = F.lit(None).cast("string")
     for s, u in source_urls.items():
@@ -170,11 +169,3 @@ def history_window(df: DataFrame, ts_col: str, end_date: str, days: int) -> Data
 def binary_files(spark, path_glob: str) -> DataFrame:
     """Opaque landed blobs (path, modificationTime, length, content)."""
     return spark.read.format("binaryFile").load(path_glob)
-
-
-def weather_envelope_schema() -> T.StructType:
-    return envelope(WEATHER_PAYLOAD)
-
-
-def file_listing(df: DataFrame) -> DataFrame:
-    return df.select(file_path_col().alias("file_path"))

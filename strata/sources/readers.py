@@ -31,18 +31,31 @@ def read_bronze(spark: SparkSession, root: str, schema: T.StructType = WEATHER_E
     """Landed envelope JSON lines -> rows + file_path, ingest_date, hour (strings).
 
     PERMISSIVE: a malformed line becomes an all-null row (and is then rejected
-    by the rules) instead of failing the job."""
+    by the rules) instead of failing the job.  ``require`` looks at the listing:
+    a landed file without lines is found, a missing one is not."""
     df = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
           .option("pathGlobFilter", glob).json(root))
     fp = file_path_col()
     out = df.select("*", fp.alias("file_path"),
                     path_value(fp, "ingest_date", r"[0-9\-]+").alias("ingest_date"),
                     path_value(fp, "hour", "[0-9]{2}").alias("hour"))
-    if require and out.isEmpty():
+    if require and not df.inputFiles():
         raise FileNotFoundError(f"No bronze JSON-lines files found under {root}")
     return out
 
 
+def landed_sources(spark: SparkSession, root: str, domain: str, glob: str = BRONZE_GLOB) -> list[str]:
+    """Source names with landed files of a domain, from the listing."""
+    names = landed_files(spark, root, glob).where(path_value(F.col("file_path"), "domain") == domain)
+    return sorted(r[0] for r in names.select(path_value(F.col("file_path"), "source")).distinct().collect())
+
+
+def read_sidecar_table(spark: SparkSession, root: str) -> DataFrame:
+    """Sidecar records that ``write_sidecars`` landed: one line for each data file."""
+    schema = T.StructType([*MANIFEST.fields, T.StructField("file_path", T.StringType())])
+    return spark.read.schema(schema).json(root)
+
+
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """The ``*.meta.json`` sidecars (one pretty-printed object per file) + their path."""
     df = (spark.read.schema(MANIFEST).option("multiLine", True).option("recursiveFileLookup", True)
@@ -73,7 +86,10 @@ def read_silver(spark: SparkSession, path: str, fmt: str = "json",
     else:
         df = reader.schema(data_schema).parquet(path)
     fp = file_path_col()
-    return df.select("*", path_value(fp, "ingest_date", r"[0-9\-]+").alias("ingest_date"),
+    in_path = {c: F.nullif(path_value(fp, c), F.lit("")) for c in ("source", "schema_v", "batch_id")}
+    stored = [F.coalesce(F.col(c), in_path[c].cast(df.schema[c].dataType)).alias(c) if c in in_path else F.col(c)
+              for c in df.columns]
+    return df.select(*stored, path_value(fp, "ingest_date", r"[0-9\-]+").alias("ingest_date"),
                      path_value(fp, "hour", "[0-9]{2}").alias("hour"), fp.alias("silver_file"))
 
 
@@ -83,6 +99,16 @@ def read_csv_strings(spark: SparkSession, path: str, infer: bool = False) -> Dat
             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path))
 
 
+def read_csv_dialect(spark: SparkSession, path: str) -> DataFrame:
+    """Header CSV in the dialect of Python's csv module: quoted fields may hold
+    separators, line ends and doubled quotes; an empty field is the empty string.
+
+    Line ends inside quotes keep a file in one task, so land such files in pieces."""
+    df = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path))
+    return df.fillna("")
+
+
 def read_csv_typed(spark: SparkSession, path: str, index_cols=(), extra=()) -> DataFrame:
     """Header CSV read with the explicit 32-column snapshot schema (single pass)."""
     lead = [T.StructField(c, T.StringType()) for c in index_cols]

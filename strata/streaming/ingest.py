@@ -85,6 +85,21 @@ def start_ingest(spark: SparkSession, streams: list[DomainStream], once: bool =
     return out
 
 
+def retry_failed(spark: SparkSession, streams: list[DomainStream], running: dict[str, StreamingQuery | str],
+                 every_pass: bool = False, interval: str = POLL_INTERVAL) -> dict[str, StreamingQuery | str]:
+    """The next pass: domains that failed to start, or whose query ended with an error,
+    are started again from their checkpoint; the others go on untouched.  A static
+    domain is retried only with ``every_pass``, as its one pass is over."""
+    out = dict(running)
+    for d in streams:
+        q = running.get(d.domain)
+        failed = isinstance(q, str) or q is not None and not q.isActive and q.exception() is not None
+        static = d.static if d.static is not None else d.domain in STATIC_DOMAINS
+        if failed and (every_pass or not static):
+            out |= start_ingest(spark, [d], False, every_pass, interval)
+    return out
+
+
 def run_ingest(spark: SparkSession, streams: list[DomainStream], every_pass: bool = False,
                interval: str = POLL_INTERVAL) -> dict[str, str | None]:
     """One pass over everything landed (availableNow for every domain); waits

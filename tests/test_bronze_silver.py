@@ -1,8 +1,10 @@
 """Bronze shaping and silver rules on hand-made payloads and files."""
 
+import csv
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.schemas import CITIES
@@ -11,9 +13,9 @@ from strata.operators.projections import drop_synthetic_columns, normalize_weath
 from strata.operators.quality import valid_weather
 from strata.plans.silver_queries import run_silver
 from strata.session import local_path, scratch_path
-from strata.sources.bronze import (csv_rows_to_envelopes, history_window, manifest, orphan_files, preferred_file,
-                                   shape_weather_archive, shape_weather_current)
-from strata.sources.readers import read_bronze, read_csv_strings
+from strata.sources.bronze import (csv_rows_to_envelopes, envelope_json, history_window, manifest, orphan_files,
+                                   preferred_file, shape_weather_archive, shape_weather_current)
+from strata.sources.readers import read_bronze, read_csv_dialect, read_silver
 
 
 def item(lat=None, t="2024-01-01T10:00", temp=1.0):
@@ -55,11 +57,21 @@ def test_archive_arrays_driven_by_time(spark):
 def test_empty_csv_gives_empty_output(spark, tmp_path):
     p = tmp_path / "alerts.csv"
     p.write_text("id,region\n")
-    env = csv_rows_to_envelopes(read_csv_strings(spark, str(tmp_path)), "F", "alerts_csv", "owner")
+    env = csv_rows_to_envelopes(read_csv_dialect(spark, str(tmp_path)), "F", "alerts_csv", "owner")
     assert env.count() == 0
     p.write_text('id,region\n1,"a, b"\n')
-    row = csv_rows_to_envelopes(read_csv_strings(spark, str(tmp_path)), "F", "alerts_csv", "owner").first()
-    assert row.payload.region == "a, b" and row.domain == "alerts"
+    row = csv_rows_to_envelopes(read_csv_dialect(spark, str(tmp_path)), "F", "alerts_csv", "owner").first()
+    assert row.payload["region"] == "a, b" and row.domain == "alerts"
+
+
+def test_csv_dialect_of_the_csv_module(spark, tmp_path):
+    rows = [["1", "line one\nline two", 'say "hi", ok'], ["2", "", "x"], ["3", "a,b", ""]]
+    with open(tmp_path / "alerts.csv", "w", newline="") as fh:
+        csv.writer(fh).writerows([["id", "note", "more"], *rows])
+    env = csv_rows_to_envelopes(read_csv_dialect(spark, str(tmp_path)), "F", "alerts_csv", "owner")
+    assert sorted([r.payload["id"], r.payload["note"], r.payload["more"]] for r in env.collect()) == rows
+    line = json.loads(env.select(envelope_json().alias("j")).orderBy("j").first().j)
+    assert line["payload"] == dict(zip(("id", "note", "more"), rows[0])) and line["domain"] == "alerts"
 
 
 def _land(root, rel, lines):
@@ -103,6 +115,32 @@ def test_all_rejected_batch_is_not_written(spark, tmp_path):
     assert not os.path.exists(local_path(res["path"]))
 
 
+def test_silver_run_by_source(spark, tmp_path):
+    root, out = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    part = "ingest_date=2024-01-01/hour=09/part-1.jsonl"
+    _land(root, f"domain=weather/source=s1/{part}", [env(), env()])
+    _land(root, f"domain=weather/source=s2/{part}", [env(owner="nobody")])
+    _land(root, f"domain=alerts/source=s1/{part}", [env(), env(), env()])  # another domain is not read
+    as_of = "2024-06-01 00:00:00"
+    for fmt in ("json", "parquet"):
+        for _ in range(2):  # a rerun of the batch replaces its rows
+            res = run_silver(spark, root, f"{out}/{fmt}", "b", as_of=as_of, fmt=fmt)
+        assert res["counts"] == {"s1": (2, 2), "s2": (1, 0)} and res["written_sources"] == ["s1"]
+        back = read_silver(spark, res["path"], fmt)
+        assert [(r.source, r.schema_v, r.batch_id) for r in back.collect()] == [("s1", 1, "b-s1")] * 2
+        assert "/domain=weather/source=s1/schema_v=1/batch_id=b-s1/ingest_date=2024-01-01/hour=09/" in back.first().silver_file
+    with pytest.raises(FileNotFoundError):
+        run_silver(spark, root, out, sources=["s1", "s3"], as_of=as_of)
+    with pytest.raises(FileNotFoundError):
+        run_silver(spark, root, out, domain="traffic", as_of=as_of)
+
+
+def test_null_payload_keeps_the_cities(spark):
+    df = spark.createDataFrame([(1, "F", None)], "response_id long, fetched_at string, raw string")
+    out = shape_weather_current(df).select("payload.city", "payload.temperature_2m").collect()
+    assert [r.city for r in out] == [c[0] for c in CITIES] and all(r.temperature_2m is None for r in out)
+
+
 def test_dst_gap_and_fold(spark):
     df = spark.createDataFrame([("2024-03-31T03:30",), ("2024-10-27T03:30",), ("bad",)], "t string")
     got = [r.u for r in df.select(F.date_format(local_to_utc(F.col("t")), "yyyy-MM-dd HH:mm").alias("u")).collect()]
@@ -111,8 +149,8 @@ def test_dst_gap_and_fold(spark):
 
 
 def test_drop_synthetic_columns(spark):
-    df = spark.createDataFrame([(1, 2, 3, 4)], "`Unnamed: 0` int, _c5 int, a int, `` int")
-    assert drop_synthetic_columns(df).columns == ["a"]
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], "`Unnamed: 0` int, _c5 int, a int, `` int, _city int")
+    assert drop_synthetic_columns(df).columns == ["a", "_city"]
 
 
 def test_preferred_file_priority_and_none(spark):

@@ -26,8 +26,7 @@ def test_silver_job(spark):
 
 def test_ml_job(spark):
     out = scratch_path(spark, "ml_job")
-    res = ml_job(spark, land_snapshot_csv(spark, SF_SMALL), out, "owner", "r1", n_init=2, map_sample=500,
-                 kmeans_fit_cap=300)  # restarts on 300 hash-chosen rows, all rows scored
+    res = ml_job(spark, land_snapshot_csv(spark, SF_SMALL), out, "owner", "r1", n_init=2)
     m = res["metrics"]
     assert 0.0 <= m["logistic_regression"]["roc_auc"] <= 1.0 and m["kmeans"]["inertia"] > 0
     assert os.path.isdir(local_path(f"{out}/models/r1/linear_regression"))

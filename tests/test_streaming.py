@@ -67,3 +67,22 @@ def test_archive_option_runs(spark, tmp_path):
     d = DomainStream("weather", landing, f"{base}/sink", f"{base}/ck", archive_dir=str(tmp_path / "archive"))
     assert run_ingest(spark, [d]) == {"weather": None}
     assert spark.read.parquet(d.sink).count() == 1
+
+
+def test_failed_realtime_domain_is_retried(spark, tmp_path):
+    from strata.streaming.ingest import retry_failed, start_ingest
+
+    landing, base = str(tmp_path / "late"), scratch_path(spark, "stream_retry")
+    rt = DomainStream("weather", landing, f"{base}/w", f"{base}/cw")
+    static = DomainStream("alerts", str(tmp_path / "none"), f"{base}/a", f"{base}/ca")
+    first = start_ingest(spark, [rt, static], interval="1 second")
+    assert isinstance(first["weather"], str) and isinstance(first["alerts"], str)  # nothing has landed yet
+    _land(landing, "domain=weather/source=s1/ingest_date=2024-01-01/hour=09/a.jsonl", [env()])
+    second = retry_failed(spark, [rt, static], first, interval="1 second")
+    try:
+        assert second["alerts"] == first["alerts"]  # a static domain has had its pass
+        second["weather"].processAllAvailable()
+        assert spark.read.parquet(rt.sink).count() == 1
+        assert retry_failed(spark, [rt, static], second)["weather"] is second["weather"]  # a healthy query goes on
+    finally:
+        second["weather"].stop()
