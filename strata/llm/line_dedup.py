@@ -88,6 +88,7 @@ def line_dedup(docs: DataFrame, text_col: str = "text", modulus: int = MODULUS)
     places = landed(places, "chunk-places")
     again = places.groupBy("__h").agg(F.min(_place()).alias("lo"), F.max(_place()).alias("hi")).filter(
         "lo <> hi").select("__h")
+    again = landed(again, "chunk-hashes")  # so that the join has exchanges of its own and a frequent chunk can be split
     wanted = places.join(again, "__h", "left_semi").groupBy("__key").agg(F.collect_set("__at").alias("__wanted"))
 
     # 2. bodies of the candidates: grouping by the body itself compares bytes
@@ -99,7 +100,7 @@ def line_dedup(docs: DataFrame, text_col: str = "text", modulus: int = MODULUS)
         "doc_id", "__key", F.col("c.at").alias("__at"), F.xxhash64("c.body").alias("__h"), F.col("c.body").alias("__body"),
         F.col("c.n").alias("__n")).filter(_eligible(F.col("__n"), F.col("__body"))).drop("__n")
     bodies = landed(bodies, "chunk-bodies")
-    first = bodies.groupBy("__h", "__body").agg(F.min(_place()).alias("__first"))
+    first = landed(bodies.groupBy("__h", "__body").agg(F.min(_place()).alias("__first")), "chunk-firsts")
     gone = bodies.join(first, ["__h", "__body"]).filter(_place() != F.col("__first"))
     gone = gone.groupBy("__key").agg(F.collect_set("__at").alias("__gone"))
 
