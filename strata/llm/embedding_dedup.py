@@ -185,7 +185,7 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, tables:
         "cls", "__label", "dim", "t", F.explode(F.array_distinct("b")).alias("bucket"))
     where = ["__label", "dim", "t", "bucket"]
     sizes = entries.groupBy(*where).agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = sizes.withColumn("nb", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")).drop("n")
+    sizes = landed(sizes.withColumn("nb", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")).drop("n"), "bucket-sizes")
     dealt = entries.join(sizes, where).withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     dealt = dealt.select(*where, F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cls")
@@ -229,7 +229,7 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, tables:
                          F.coalesce("others", F.lit(0)).alias("others"))
     placed = rows.join(known, ["__label", "__x"], "left").withColumn("root", F.coalesce("root", "__row"))
     placed = landed(placed.drop("__x", "__label"), "vectors-placed")
-    least = placed.groupBy("root").agg(F.min(id_col).cast(T.LongType()).alias("component_id"))
+    least = landed(placed.groupBy("root").agg(F.min(id_col).cast(T.LongType()).alias("component_id")), "vector-roots")
     out = placed.join(least, "root")
     n_links = F.when(F.col("cls").isNull(), 0).otherwise(F.col("others") + F.col("w") - 1).cast("long")
     return out.select(*keep, n_links.alias("n_links"), "component_id",
