@@ -171,7 +171,8 @@ def good_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float
             best = edges.join(pats.filter("p_conf > 0"), "pattern").groupBy("instance").agg(
                 F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("p_conf"))).alias("conf"))
             score = best
-    return pats.filter((F.col("p_conf") >= min_confidence) & (F.col("seeds") >= min_seeds)).select("pattern")
+    return landed(pats.filter((F.col("p_conf") >= min_confidence) & (F.col("seeds") >= min_seeds)).select("pattern"),
+                  "pii-good")
 
 
 def pii_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
