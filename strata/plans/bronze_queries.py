@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.schemas import ALERTS_ENVELOPE, MEASURES, envelope
-from ..session import scratch_path
+from ..session import input_key, scratch_path
 from ..sinks.writers import land_blobs, land_text, write_csv, write_sidecars
 from ..sources import adapters as A
 from ..sources.bronze import (binary_files, csv_rows_to_envelopes, document_envelope, envelope_json, history_window,
@@ -115,7 +115,7 @@ _ALERTS_CSV: dict = {}
 
 
 def land_alerts_csv(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _ALERTS_CSV:
         rows = spark.sql(_alerts_sql("spark"), events=A.table(spark, sf_dir, "events"))
         _ALERTS_CSV[key] = write_csv(rows, scratch_path(spark, "alerts_csv"))
@@ -158,7 +158,7 @@ def land_documents(spark: SparkSession, sf_dir: str) -> str:
     """Raw documents (JSON text) -> one-line envelopes, many to a file.
 
     A document groups 1000 consecutive events, so its size is bounded."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _DOCS:
         w = A.weather_records(spark, sf_dir)
         el = F.struct(F.lit("node").alias("type"), F.col("event_id").alias("id"),

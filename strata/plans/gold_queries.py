@@ -10,7 +10,7 @@ from ..operators import metrics as M
 from ..operators.projections import drop_synthetic_columns, typed_mobility
 from ..operators.quality import (having_min_points, mobility_condition, quality_counts, rejected_mobility,
                                  valid_mobility)
-from ..session import scratch_path
+from ..session import input_key, scratch_path
 from ..sinks.writers import versioned_path, write_csv, write_gold_csv
 from ..sources.adapters import BATCH_ID, OWNER, mobility_points
 from ..sources.readers import read_csv_strings, read_csv_typed, read_gold_metric
@@ -100,7 +100,7 @@ _SNAPSHOT_CACHE: dict = {}
 def land_snapshot_csv(spark: SparkSession, sf_dir: str) -> str:
     """Land the mobility snapshot as a header CSV with a leading pandas-style
     index column, like the notebooks' input.  Landed once per session+input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _SNAPSHOT_CACHE:
         mp = mobility_points(spark, sf_dir)
         snap = mp.select(F.col("event_id").alias("Unnamed: 0"), "event_id", *[n for n, _ in MOBILITY_COLUMNS])
@@ -160,7 +160,7 @@ _GOLD_RUNS: dict = {}
 
 
 def gold_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _GOLD_RUNS:
         _GOLD_RUNS[key] = run_gold(spark, sf_dir)
     return _GOLD_RUNS[key]

@@ -12,7 +12,7 @@ from ..operators import ml as ML
 from ..operators.projections import CLUSTER_FEATURES, NUMERIC_FEATURES
 from ..operators.quality import cluster_input
 from ..operators.sampling import hex_threshold, split_by_hash, split_stratified
-from ..session import scratch_path
+from ..session import input_key, scratch_path
 from ..sinks.writers import write_json_rows
 from ..sources.adapters import OWNER
 from .oracle_sql import MODEL_CTES
@@ -113,7 +113,7 @@ class MLState:
 
 
 def state(spark: SparkSession, sf_dir: str) -> MLState:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _STATE:
         _STATE[key] = MLState(spark, sf_dir)
     return _STATE[key]

@@ -12,7 +12,7 @@ from ..operators import sampling as S
 from ..operators.profile import describe_numeric, null_profile, schema_profile
 from ..operators.projections import CLUSTER_FEATURES, FEATURES, feature_projection, typed_mobility
 from ..operators.quality import cluster_input, valid_modeling
-from ..session import scratch_path
+from ..session import input_key, scratch_path
 from ..sinks.writers import write_csv
 from ..sources.adapters import OWNER, mobility_points
 from ..sources.readers import read_csv_typed
@@ -41,7 +41,7 @@ def modeling_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The modeling set, persisted once per session (memory, spilling to disk;
     recomputable from lineage if an executor is lost): profiles, samples,
     splits and every model fit read it several times."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _MODEL_CACHE:
         m = modeling_set(spark, sf_dir)
         # Iterative fits run one task per partition: a small input (one file) is
@@ -131,7 +131,7 @@ _MODEL_CSV: dict = {}
 
 
 def modeling_csv(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _MODEL_CSV:
         _MODEL_CSV[key] = write_csv(modeling_set(spark, sf_dir).select("event_id", *NAMES),
                                     scratch_path(spark, "modeling_csv"))

@@ -10,7 +10,7 @@ from ..functions.timefmt import local_to_utc, parse_iso_ts
 from ..operators.profile import rows_by_city_top, rows_by_source, silver_distincts
 from ..operators.projections import normalize_weather
 from ..operators.quality import audit_silver, source_gate, valid_weather, weather_rules
-from ..session import scratch_path
+from ..session import input_key, scratch_path
 from ..sinks.writers import land_text, write_silver_jsonl, write_silver_parquet
 from ..sources.adapters import AS_OF, BATCH_ID, OWNER, weather_records
 from ..sources.bronze import partition_columns, partition_dir
@@ -39,7 +39,7 @@ def weather_envelopes(w: DataFrame) -> DataFrame:
 def land_weather_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Land the weather observations as bronze JSON lines under
     ``domain=/source=/ingest_date=/hour=`` (once per session and input)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     if key not in _LANDED:
         root = scratch_path(spark, "bronze")
         land_text(weather_envelopes(weather_records(spark, sf_dir)), "value", root, BRONZE_PARTITIONS)
@@ -86,7 +86,7 @@ def run_silver(spark: SparkSession, bronze_root: str, out_root: str, batch_id: s
 
 
 def silver_run(spark: SparkSession, sf_dir: str, fmt: str) -> dict:
-    key = (spark.sparkContext.applicationId, sf_dir, fmt)
+    key = (*input_key(spark, sf_dir), fmt)
     if key not in _SILVER:
         _SILVER[key] = run_silver(spark, land_weather_bronze(spark, sf_dir), scratch_path(spark, "silver"), fmt=fmt)
     return _SILVER[key]

@@ -100,6 +100,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/strata/{name}/{uuid.uuid4().hex}"
 
 
+def input_key(spark: SparkSession, sf_dir: str, table: str = "events") -> tuple:
+    """Key under which a session keeps what it landed or fitted from a table: the
+    application, the folder, and name, length and time of the table's files, so a
+    changed input is never answered from an old copy."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{table}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+    return spark.sparkContext.applicationId, sf_dir, files
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for python-side checks in tests."""
     if path.startswith("file:"):
