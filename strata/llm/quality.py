@@ -7,11 +7,13 @@ toxicity) over hashed word and character n-grams:
 * features: frequencies of word 1- and 2-grams and of byte 5- and 7-grams, hashed
   into 2**BITS buckets each.  A text's margin is the bias plus the mean weight of its
   grams of each family, so scoring is one gather and needs no sort;
-* fit: at most ``FIT_ROWS`` labelled rows, those with the smallest hash of their
-  id (a fixed choice, not a prefix).  One executor task fits (the bound on rows
+* fit: at most ``FIT_ROWS`` labelled rows, shared out over the combinations of the
+  two labels as evenly as their counts allow; of each combination those with the
+  smallest hash of their id (a fixed choice, not a prefix).  One executor task fits (the bound on rows
   bounds it) and returns two weight tables of fixed size, which are broadcast;
 * calibration: a Platt curve fitted on the fifth of the rows that the weights
-  never saw; thresholds are fixed probabilities.
+  never saw, each row weighed by how many labelled rows it stands for, so the
+  probabilities are those of the table; thresholds are fixed probabilities.
 
 Every row of ``documents`` is scored on its whole text.  Null text has no words
 and fails the base rules.  Rows keep their own results when repeated; labels
@@ -21,6 +23,7 @@ class the classifier abstains and the base rules decide alone.
 
 from __future__ import annotations
 
+import functools
 import pickle
 from collections.abc import Iterator
 
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
+from .shared import landed
 from .textkern import IS_SPACE, LOWER, Words, blocks, mix, window_hashes
 
 FIT_ROWS = 5000  # bound on labelled rows used to fit
@@ -179,16 +183,17 @@ def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ids).astype(np.int32), np.concatenate(freq).astype(np.float32)
 
 
-def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of P(y | margin), by damped Newton steps on smoothed targets."""
+    weight = weight / weight.mean()
     pos, neg = y.sum(), len(y) - y.sum()
     t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x = np.stack([margin, np.ones_like(margin)], axis=1)
     b = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, x.T @ (p - t) + 1e-3 * (b - [1.0, 0.0]))
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hess, x.T @ (weight * (p - t)) + 1e-3 * (b - [1.0, 0.0]))
         b = b - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -234,11 +239,13 @@ def fit_head(ids: np.ndarray, freq: np.ndarray, rows: np.ndarray, y: np.ndarray,
     return table, b, margins()
 
 
-def fit(texts: list[str], labels: np.ndarray, held: np.ndarray) -> list:
+def fit(texts: list[str], labels: np.ndarray, held: np.ndarray, weight: np.ndarray | None = None) -> list:
     """(weights, bias, slope, offset) of each head, None for one with too few rows of a class.
 
-    ``held`` marks the rows kept for calibration; a label that is null leaves the row out of that head.
+    ``held`` marks the rows kept for calibration, where ``weight`` is what a row
+    stands for; a label that is null leaves the row out of that head.
     """
+    weight = np.ones(len(texts)) if weight is None else weight
     parts = [counts_of(t) for t in texts]
     rows = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
     ids = np.concatenate([np.zeros(0, np.int32), *(p[0] for p in parts)])
@@ -255,7 +262,7 @@ def fit(texts: list[str], labels: np.ndarray, held: np.ndarray) -> list:
             continue
         w, b, margin = fit_head(ids, freq, rows, y, train, l2, rate, steps)
         use = calm if enough(calm) else train
-        heads.append((w.reshape(FAMILIES, -1).astype(np.float32), b, *_platt(margin[use], y[use])))
+        heads.append((w.reshape(FAMILIES, -1).astype(np.float32), b, *_platt(margin[use], y[use], weight[use])))
     return heads
 
 
@@ -269,20 +276,41 @@ def assemble(heads: list) -> Scorer:
     return Scorer(weights, bias, platt, fitted)
 
 
+def shares(counts: dict, total: int) -> dict:
+    """``total`` shared out as evenly as the counts allow; whole numbers, never above a count."""
+    out, left = {}, total
+    for k, (name, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], repr(x[0])))):
+        out[name] = min(n, left // (len(counts) - k))
+        left -= out[name]
+    return out
+
+
 def fit_scorer(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
     """Fit on at most ``fit_rows`` labelled rows, one task for each head."""
     rank = F.xxhash64("doc_id")
     chosen = labels.select("doc_id", "quality", "toxic").filter(
         "doc_id is not null and (quality is not null or toxic is not null)")
-    # the smallest hashes are ids spread evenly over the table
     chosen = chosen.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    chosen = chosen.orderBy(rank, "doc_id").limit(fit_rows)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(
-        rank.alias("rank"), "doc_id", "quality", "toxic", "text", F.lit(1).alias("one"))
+    chosen = landed(chosen.select("doc_id", (F.col("quality") > 0).alias("quality"), (F.col("toxic") > 0).alias("toxic")),
+                    "labels")
+    # at most nine combinations of two labels that may be null
+    counts = {(r["quality"], r["toxic"]): r["count"] for r in chosen.groupBy("quality", "toxic").count().collect()}
+    quota = shares(counts, fit_rows)
+    parts = [
+        # the smallest hashes are ids spread evenly over the table
+        chosen.filter(F.col("quality").eqNullSafe(F.lit(q)) & F.col("toxic").eqNullSafe(F.lit(t)))
+        .orderBy(rank, "doc_id").limit(n).withColumn("weight", F.lit(counts[(q, t)] / n))
+        for (q, t), n in sorted(quota.items(), key=repr) if n]
+    if not parts:
+        return assemble([None, None])
+    rows = docs.select("doc_id", "text").join(functools.reduce(DataFrame.union, parts), "doc_id").select(
+        rank.alias("rank"), "doc_id", F.col("quality").cast("double").alias("quality"),
+        F.col("toxic").cast("double").alias("toxic"), "weight", "text", F.lit(1).alias("one"))
 
     def one_fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["rank", "doc_id", "text"]).drop_duplicates("doc_id")
-        got = fit(list(pdf.text), pdf[["quality", "toxic"]].to_numpy(float), np.arange(len(pdf)) % 5 == 0)
+        got = fit(list(pdf.text), pdf[["quality", "toxic"]].to_numpy(float), np.arange(len(pdf)) % 5 == 0,
+                  pdf.weight.to_numpy(float))
         return pd.DataFrame({"model": [pickle.dumps(got)]})
 
     # the bound on rows makes this one group bounded whatever the size of the tables

@@ -92,3 +92,18 @@ def test_accuracy_on_given_labels():
     kept = np.array(got.field("p_quality")) >= 0.5
     assert kept[y[cut:, 0] == 1].mean() > 0.93
     assert kept[y[cut:, 0] == 0].mean() < 0.5
+
+
+def test_rows_are_shared_out_evenly():
+    assert Q.shares({"a": 3, "b": 100, "c": 100}, 43) == {"a": 3, "b": 20, "c": 20}
+    assert Q.shares({"a": 1, "b": 2}, 10) == {"a": 1, "b": 2}
+    assert Q.shares({}, 10) == {}
+
+
+def test_weights_restore_the_share_of_a_class():
+    rng = np.random.default_rng(0)
+    y = (np.arange(4000) % 2).astype(float)  # half of the sample, a tenth of the table
+    margin = rng.normal(2 * y - 1, 1.5)
+    slope, offset = Q._platt(margin, y, np.where(y > 0, 1.0, 9.0))
+    p = 1 / (1 + np.exp(-(slope * margin + offset)))
+    assert abs(np.average(p, weights=np.where(y > 0, 1.0, 9.0)) - 0.1) < 0.01
