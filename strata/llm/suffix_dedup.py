@@ -12,13 +12,14 @@ such a neighbour are sorted, in groups that are sure to hold the neighbour too.
 2. Grams that occur once in the corpus are dropped by a grouped count (combined
    map-side).  Where all cells of a gram are the same, each is a repeat as a
    whole.  Only cells that share a gram and differ are looked at closer.
-3. Their bytes are grouped by value; cells that occur twice are repeats.  The
-   suffixes of the distinct cells of a gram are sorted by mergesort.  Two
+3. Their bytes meet by gram; cells that occur twice are repeats.  The suffixes
+   of the distinct cells of a gram are sorted by mergesort.  Two
    suffixes are compared by their longest common extension, found by binary
    search over prefix polynomial hashes, in a logarithmic number of steps.
    Neighbours with SPAN bytes in common are repeats once the bytes are compared.
-   Grams with more than CELL_LIMIT distinct cells are not sorted in one task:
-   their strings are spread over the cluster by two hashes and counted.
+   Grams with more than CELL_LIMIT cells are not sorted in one task: their
+   distinct cells are grouped by bytes, and the strings of these are spread over
+   the cluster by two hashes and counted.
 4. Spans are joined back to the texts; results are counted in bytes.
 
 Null text counts as empty.  Repeated rows are places of their own, so each is a
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +46,8 @@ from .textkern import blocks, mix
 
 SPAN = 200
 GRAM = 32
-CHUNK_BYTES = 4 << 20  # bytes hashed together; longer texts are read in overlapping chunks
-CELL_LIMIT = 4096  # distinct cells of one gram that are sorted in one task
+CHUNK_BYTES = 1 << 20  # bytes hashed together; longer texts are read in overlapping chunks
+CELL_LIMIT = 16384  # cells of one gram that are sorted in one task
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _MASK = (1 << 64) - 1
@@ -277,10 +279,12 @@ _GROUP_BYTES = 2 << 20  # bytes of cells that are sorted together, whole grams a
 
 
 def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gram, cell, shape, n, bytes) in order of gram -> (gram, cell, shape, spans) of cells with repeats."""
+    """Rows (gram, cell, shape, bytes) in order of gram -> (gram, cell, shape, spans) of cells with repeats."""
 
     def flush(rows):
-        gram, cell, shape, n, raw = zip(*rows)
+        distinct = Counter(rows)  # equal cells have equal bytes
+        gram, cell, shape, raw = zip(*distinct)
+        n = list(distinct.values())
         spans = repeated_spans(np.array(gram), np.array(shape, np.int64), np.array(n), list(raw))
         some = [i for i, x in enumerate(spans) if x]
         return pa.record_batch([
@@ -291,12 +295,12 @@ def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     rows, size = [], 0
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+        for row in zip(*(batch.column(k).to_pylist() for k in range(4))):
             if size >= _GROUP_BYTES and row[0] != rows[-1][0]:
                 yield flush(rows)
                 rows, size = [], 0
             rows.append(row)
-            size += len(row[4])
+            size += len(row[3])
     if rows:
         yield flush(rows)
 
@@ -366,19 +370,26 @@ def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     keyed = docs.select(*keep, text_col, text_digest(id_col, text_col).alias("__key"))
 
     # cells whose gram occurs again
-    listed = landed(keyed.select("__key", text_cells(F.col(text_col)).alias("c")), "cells")
-    cells = listed.select("__key", F.explode("c").alias("c")).select("__key", "c.*")
+    listed = landed(keyed.select("__key", F.monotonically_increasing_id().alias("__row"),
+                                 text_cells(F.col(text_col)).alias("c")), "cells")
+    # the number of a text travels with its cells, its digest does not
+    cells = listed.select("__row", F.explode("c").alias("c")).select("__row", "c.*")
     grams = cells.groupBy("gram").agg(F.min("cell").alias("lo"), F.max("cell").alias("hi"), F.count("*").alias("n"))
-    grams = grams.filter("n > 1").select("gram", (F.col("lo") == F.col("hi")).alias("same"))
+    # landed, so that the join has exchanges of its own and a frequent gram can be split
+    grams = landed(grams.filter("n > 1").select("gram", (F.col("lo") == F.col("hi")).alias("same"),
+                                                 (F.col("n") > CELL_LIMIT).alias("hot")), "grams")
     again = cells.join(grams, "gram")
     end = F.col("start") + F.shiftright("shape", 16)
-    per_text = again.groupBy("__key").agg(
-        F.collect_set(F.when(F.col("same"), F.struct(F.col("start").alias("s"), end.alias("e")))).alias("whole"),
-        F.collect_set(F.when(~F.col("same"), F.struct("start", "shape", "gram", "cell"))).alias("unsure"))
+    per_row = again.groupBy("__row").agg(
+        F.collect_list(F.when(F.col("same"), F.struct(F.col("start").alias("s"), end.alias("e")))).alias("whole"),
+        F.collect_list(F.when(~F.col("same"), F.struct("start", "shape", "gram", "cell", "hot"))).alias("unsure"))
+    # repeated rows have equal lists: one is enough
+    per_text = per_row.join(listed.select("__row", "__key"), "__row").groupBy("__key").agg(
+        F.min_by(F.struct("whole", "unsure"), "__row").alias("x")).select("__key", "x.*")
 
     # texts with cells to look at closer travel on, all others are done
     met = keyed.join(per_text, "__key", "left")
-    unsure = F.size(F.coalesce("unsure", F.array().cast("array<struct<start:long,shape:int,gram:long,cell:long>>"))) > 0
+    unsure = F.size(F.coalesce("unsure", F.array().cast("array<struct<start:long,shape:int,gram:long,cell:long,hot:boolean>>"))) > 0
     none = F.lit(None).cast(_INTERVALS)
     # the result of a text that travels on is made later, so no bytes are hashed for it here
     done = apply_spans(F.when(unsure, F.lit(None)).otherwise(F.col(text_col)),
@@ -386,24 +397,29 @@ def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     met = landed(met.select(*keep, "__key", F.when(unsure, F.col(text_col)).alias("__text"), "unsure",
                             F.when(unsure, F.col("whole")).alias("whole"), unsure.alias("__open"), done.alias("__r")), "met")
 
-    # distinct cells by bytes, then the sort in the groups of their grams
+    # cells by bytes, sorted in the groups of their grams: the bytes are dealt out once
     open_ = met.filter("__open")
-    raw = open_.select(F.explode(cell_bytes(F.col("__text"), F.col("unsure"))).alias("c")).select("c.*")
-    distinct = landed(raw.groupBy("gram", "cell", "shape", "raw").agg(F.count("*").alias("n")), "distinct-cells")
-    groups = distinct.groupBy("gram").agg(F.count("*").alias("__m"))
-    sized = distinct.join(groups, "gram")
-    small = sized.filter(F.col("__m") <= CELL_LIMIT).select("gram", "cell", "shape", "n", "raw")
+
+    def raw_cells(which) -> DataFrame:
+        some = open_.select("__text", F.filter("unsure", which).alias("c")).filter(F.size("c") > 0)
+        return some.select(F.explode(cell_bytes(F.col("__text"), F.col("c"))).alias("c")).select("c.*")
+
     schema = "gram long, cell long, shape int, spans array<struct<s: int, e: int>>"
-    found = small.repartition("gram").sortWithinPartitions("gram", "cell", "shape").mapInArrow(sort_groups, schema)
+    found = raw_cells(lambda c: ~c["hot"]).repartition("gram").sortWithinPartitions("gram").mapInArrow(
+        sort_groups, schema)
 
-    # a gram with very many distinct cells: strings by two hashes, counted map-side first
-    large = sized.filter(F.col("__m") > CELL_LIMIT)
+    # a gram with very many cells: distinct cells, then their strings by two hashes, counted map-side first
+    large = landed(raw_cells(lambda c: c["hot"]).groupBy("gram", "cell", "shape", "raw").agg(F.count("*").alias("n")),
+                   "hot-cells")
     strings = large.select("gram", "cell", "shape", "n", F.explode(strings_of(F.col("raw"))).alias("w")).select(
         "gram", "cell", "shape", "n", "w.*")
-    twice = strings.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2")
-    spread = strings.join(twice, ["h1", "h2"], "left_semi").groupBy("gram", "cell", "shape").agg(
+    twice = landed(strings.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2"), "strings")
+    # a cell that occurs twice is a repeat as a whole; only the others need their strings back
+    spread = strings.filter("n = 1").join(twice, ["h1", "h2"], "left_semi").groupBy("gram", "cell", "shape").agg(
         F.collect_list(F.struct("s", (F.col("s") + SPAN).alias("e"))).alias("spans"))
-    found = landed(found.union(spread), "found-spans")
+    whole = large.filter("n > 1").select("gram", "cell", "shape", F.array(
+        F.struct(F.lit(0).alias("s"), F.shiftright("shape", 16).alias("e"))).alias("spans"))
+    found = landed(found.union(spread).union(whole), "found-spans")
 
     # back to the texts
     placed = open_.select("__key", F.explode("unsure").alias("c")).select("__key", "c.*").join(
