@@ -3,6 +3,9 @@
 Every stage works on all its predecessor kept and is written as Parquet before
 the next one reads it.  All stages but the last return the columns of
 ``documents``; ``n_chars`` follows the text where a stage changes it.
+
+Byte-equal copies leave with the first stage: line dedup would take only their
+repeated chunks and pass the lines between them on as documents of their own.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from strata.llm.ngram_join import one_per_component
 from strata.llm.packing import best_fit_packing
 from strata.llm.pii import redact
 from strata.llm.quality import quality_rules
-from strata.llm.shared import landed
+from strata.llm.shared import landed, text_digest
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -28,10 +31,21 @@ def _measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
+def _without_copies(docs: DataFrame, of: DataFrame) -> DataFrame:
+    """``docs`` without the texts that another row of ``of`` has under a smaller id; null ids come last.
+
+    Rows equal in id and text are one document and stay together.
+    """
+    key = text_digest("doc_id", "text")
+    same = of.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256)).agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key.alias("__key"))).alias("first"))
+    return docs.withColumn("__key", key).join(same.select("first.__key"), "__key", "left_semi").select(*docs.columns)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, one of each text (the rules judge the text alone)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_rules(docs, labels).filter("kept").select(*docs.columns)
+    return _without_copies(quality_rules(docs, labels).filter("kept").select(*docs.columns), docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

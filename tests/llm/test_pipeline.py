@@ -1,7 +1,7 @@
 import corpus_pipeline as C
 from strata.llm.shared import landed
 
-from .conftest import SF
+from .conftest import SF, frame
 from .test_line_dedup import brute as lines_left
 from .test_ngram_join import brute as groups
 from .test_pii import base as personal
@@ -49,3 +49,30 @@ def test_stages_against_brute_force(spark):
 def test_run_is_the_stages(spark):
     out = C.run(spark, SF)
     assert out.count() > 0 and "sequence_id" in out.columns
+
+
+def test_nothing_is_left_of_a_multi_line_copy(spark):
+    import random
+    rng = random.Random(12)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    texts = {}
+    for r in rows:
+        if r.text and r.text.count("\n") > 2 and len(r.text.split()) > 40:
+            texts.setdefault(r.text, r)
+    chosen = rng.sample(list(texts.values()), 12)
+    planted = [r.asDict() | {"doc_id": 10**9 + k} for k, r in enumerate(chosen + chosen[:4])]
+    docs = spark.createDataFrame([r.asDict() for r in rows] + planted, spark.read.parquet(f"{SF}/documents.parquet").schema)
+    for name, stage in C.STAGES:
+        docs = landed(stage(spark, docs, SF), f"planted-{name}")
+        if name == "quality_rules":
+            kept = {r.doc_id for r in docs.collect()}
+            assert sum(r.doc_id in kept for r in chosen) > 3  # the first of a text stays
+        if name == "ngram_join":
+            break
+    assert not [r.doc_id for r in docs.collect() if r.doc_id >= 10**9]
+
+
+def test_the_first_of_a_text_stays(spark):
+    docs = frame(spark, ["a b", "a b", "a b", "a b", "c", None, ""], [7, 3, 3, None, None, 5, 4])
+    assert sorted((r.doc_id or -1, r.text) for r in C._without_copies(docs, docs).collect()) == [
+        (-1, "c"), (3, "a b"), (3, "a b"), (4, "")]
