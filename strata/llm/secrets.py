@@ -16,6 +16,9 @@ and no pairs are written out.
 * an access identifier is reported when such a linked secret, or a strong
   secret, and an endpoint fall in its interval.
 
+A base span of kind access is an access identifier too: it completes weak
+secrets, is no strong secret, and is not reported a second time.
+
 Null and empty texts have no spans.  Offsets are code points, end exclusive.
 Repeated rows are scanned row by row; every row keeps its own result.
 """
@@ -155,18 +158,18 @@ def scan(texts: pa.Array) -> dict[str, list]:
         p = s[mine] - later[s[mine]]
         base[r] += [(int(a), 2, int(b)) for a, b in zip(p, p + (e - s)[mine])]
 
-    ids, weak, ends, strong = [], [], [], []
-    for r in has(_MAYBE_WEAK):
-        r = int(r)
+    ids, weak, ends, strong, access = [], [], [], [], []
+    for r in sorted({*has(_MAYBE_WEAK).tolist(), *(r for r in range(n) if any(k == 1 for _, k, _ in base[r]))}):
         a, b, c = weak_parts(r, texts[r].as_py())
         ids += a
         weak += b
         ends += c
-        strong += [(r, s, e, s, e) for s, _, e in base[r]]
+        strong += [(r, s, e, s, e) for s, k, e in base[r] if k != 1]
+        access += [(r, s, e, s, e) for s, k, e in base[r] if k == 1]
     taken: dict[int, list] = {}
-    linked, named = link(ids, weak, strong, ends)
+    linked, named = link(ids + access, weak, strong, ends)  # ids come first: only they are reported below
     for kind, parts, mask in (("weak_secret", weak, linked), ("weak_id", ids, named)):
-        for k in np.flatnonzero(mask):
+        for k in np.flatnonzero(mask[:len(parts)]):
             r, s, e = parts[k][:3]
             taken.setdefault(r, []).append((s, kind, e))
 
