@@ -3,7 +3,8 @@
 1. One scan extracts the base kinds (email, ip, card, phone) and, for every
    identifier-like token, its lexical context: the two words before it, lower
    case, digits folded.  A base entity is a *seed* instance of its context, an
-   unclaimed token a *candidate* instance.  The result, without texts, is
+   unclaimed token a *candidate* instance.  Groups of one identifier (a phone, a
+   card, a bank account), each a single space apart, are one token.  The result, without texts, is
    landed in the shared folder.
 2. The distinct (pattern, instance) edges form a bipartite graph.  Spark scores
    it iteratively: seeds have confidence 1; a pattern's confidence is the mean
@@ -50,6 +51,12 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"(?<!\S)\S*[0-9@]\S*")
 _STRIP = ".,;:!?\"'()[]{}<>"
 
+# Groups of one identifier stand a single space apart; the first and the last hold a digit.
+_PIECE = r"(?:[0-9]+|[A-Za-z0-9]{1,4})(?![A-Za-z0-9])"
+GROUP = re.compile(r"[(\[]*" + _PIECE + r"(?:[-./()\[\]]+" + _PIECE + r")*[)\]]*[-.,;:!?\"'>}]*")
+LETTERS = re.compile(r"[A-Z]{2,4}(?!\S)")  # a bank's letters between the groups
+_CLOSES = {"(": ")", "[": "]"}
+
 
 def emails(text: str) -> list[tuple[int, int]]:
     """Leftmost non-overlapping matches, found from the at signs so that long runs are read once."""
@@ -104,28 +111,58 @@ def context(text: str, start: int) -> int | None:
     return xxhash.xxh64_intdigest(key) - (1 << 63)
 
 
-def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool, int, int]]:
-    """(pattern, instance, seed, start, end) of base entities and of unclaimed identifier-like tokens."""
-    out = []
-    claimed = sorted((s, e) for _, s, e in base)
-    for s, e in claimed:
-        if (p := context(text, s)) is not None:
-            out.append((p, xxhash.xxh64_intdigest(text[s:e]) - (1 << 63), True, s, e))
+def bare(text: str, s: int, e: int) -> tuple[int, int]:
+    """A span without the punctuation around it; a bracket stays where its partner lies inside."""
+    first, last = s, e
+    while s < e and text[s] in _STRIP:
+        s += 1
+    while s < e and text[e - 1] in _STRIP:
+        e -= 1
+    if s > first and (close := _CLOSES.get(text[s - 1])) and text.count(close, s, e) > text.count(text[s - 1], s, e):
+        s -= 1
+    if e < last and (head := {v: k for k, v in _CLOSES.items()}.get(text[e])) and text.count(head, s, e) > text.count(text[e], s, e):
+        e += 1
+    return s, e
+
+
+def runs(text: str, claimed: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of identifier-like tokens outside the sorted ``claimed`` spans; groups of one identifier are one span."""
+    out: list[tuple[int, int]] = []
+    begin, open_until = 0, -1  # where the last run begins, and where its next group may start
     k, reach = 0, 0
     for m in TOKEN.finditer(text):
         s, e = m.span()
-        while s < e and text[s] in _STRIP:
-            s += 1
-        while s < e and text[e - 1] in _STRIP:
-            e -= 1
-        if e - s < MIN_TOKEN:
-            continue
+        a, b = bare(text, s, e)
         while k < len(claimed) and claimed[k][0] < e:
             reach = max(reach, claimed[k][1])
             k += 1
-        if reach > s or (p := context(text, s)) is None:
+        if a >= b or reach > s:
+            open_until = -1
             continue
-        out.append((p, xxhash.xxh64_intdigest(text[s:e]) - (1 << 63), False, s, e))
+        group = GROUP.fullmatch(text, s, e)
+        if group and s == open_until:
+            out[-1] = bare(text, begin, e)
+        else:
+            begin = s
+            out.append((a, b))
+        open_until = -1
+        if group and text[e:e + 1] == " " and (text[e - 1].isalnum() or text[e - 1] in ")]"):
+            open_until = e + 1
+            if (letters := LETTERS.match(text, e + 1)) and text[letters.end():letters.end() + 1] == " ":
+                open_until = letters.end() + 1
+    return out
+
+
+def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool, int, int]]:
+    """(pattern, instance, seed, start, end) of base entities and of unclaimed identifier-like tokens."""
+    out = []
+    claimed = sorted((s, e) for _, s, e in base)
+    for s, e in claimed:
+        if (p := context(text, s)) is not None:
+            out.append((p, xxhash.xxh64_intdigest(text[s:e]) - (1 << 63), True, s, e))
+    for s, e in runs(text, claimed):
+        if e - s - text.count(" ", s, e) >= MIN_TOKEN and (p := context(text, s)) is not None:
+            out.append((p, xxhash.xxh64_intdigest(text[s:e]) - (1 << 63), False, s, e))
     return out
 
 

@@ -109,3 +109,28 @@ def test_redaction(spark):
     texts = ["mail a@b.co and +1 (372) 555-7739.", None, "none", "1.2.3.4"]
     got = {r.doc_id: r.text for r in P.redact(frame(spark, texts)).collect()}
     assert got == {0: "mail [EMAIL] and [PHONE].", 1: None, 2: "none", 3: "[IP]"}
+
+
+def found(text):
+    return [text[s:e] for *_, s, e in P.instances(text, P.base_spans(text))]
+
+
+def test_groups_of_one_identifier_are_one_instance():
+    for x in ("(555) 010-4477", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "123 45 6789",
+              "4111 1111 1111 1112", "[555]010 4477", "12 34 56", "acct-990817", "(555)010-4477"):
+        for text in (f"please call at {x} today", f"please call at {x}", f"please call at ({x}), or", f"please call at {x}. 12"):
+            assert found(text) == [x], text
+    assert found("call me at 12 34") == [] and found("in the year 2019 3 times") == []
+    assert found("a b 1234567, 7654321 c") == ["1234567", "7654321"]
+    assert found("a b AB123456 2 of these") == ["AB123456"]
+    assert found("a b handle_77@intranet 55 c") == ["handle_77@intranet"]
+    assert found("a b 123 45\n6789 c") == [] and found("a b 123  45  6789") == []
+    assert found("mail to x@y.org 12 34 56 now") == ["x@y.org", "12 34 56"]
+    assert len(found("a b " + "(1 2 " * 20000)) <= 20000
+
+
+def test_a_phone_without_plus_is_found(spark):
+    seeds = [f"for help please call +1 ({200 + i}) 555-77{10 + i} today" for i in range(20)]
+    hidden = ["for help please call (555) 010-4477 today", "for help please call 123 45 6789."]
+    got = {r.doc_id: r.spans for r in P.pii_spans(frame(spark, seeds + hidden)).collect()}
+    assert [got[20], got[21]] == ["context:21:35", "context:21:32"]
