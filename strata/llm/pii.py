@@ -2,7 +2,9 @@
 
 1. One scan extracts the base kinds (email, ip, card, phone) and, for every
    identifier-like token, its lexical context: the two words before it, lower
-   case, digits folded.  A base entity is a *seed* instance of its context, an
+   case, digits folded.  The start of a line counts as a word, so one label is a
+   context; a line that begins with the entity takes the last words of the last
+   line before it that has any.  A base entity is a *seed* instance of its context, an
    unclaimed token a *candidate* instance.  Groups of one identifier (a phone, a
    card, a bank account), each a single space apart, are one token.  The result, without texts, is
    landed in the shared folder.
@@ -102,12 +104,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def context(text: str, start: int) -> int | None:
-    """Pattern before ``start``: the last two words, lower case, digits folded; None without two words."""
+    """Pattern before ``start``: the last two words, lower case, digits folded; None where nothing is before it.
+
+    A line end stands for the start of the line that follows it.
+    """
     low = max(0, start - 160)
-    words = text[max(low, text.rfind("\n", low, start) + 1):start].split()
+    line = text.rfind("\n", low, start) + 1
+    words = text[max(low, line):start].split()
     if len(words) < 2:
-        return None
-    key = re.sub("[0-9]", "0", " ".join(words[-2:]).lower())
+        if low and not line:
+            return None  # the line began farther back
+        if words:
+            words = ["\n", *words]
+        else:
+            above = text[low:line].rstrip()
+            from_ = above.rfind("\n") + 1
+            words = above[from_:].split()[-2:]
+            if not words or low and not from_ and len(words) < 2:
+                return None
+            words = [*["\n"][:2 - len(words)], *words, "\n"]
+    else:
+        words = words[-2:]
+    key = re.sub("[0-9]", "0", " ".join(words).lower())
     return xxhash.xxh64_intdigest(key) - (1 << 63)
 
 

@@ -134,3 +134,20 @@ def test_a_phone_without_plus_is_found(spark):
     hidden = ["for help please call (555) 010-4477 today", "for help please call 123 45 6789."]
     got = {r.doc_id: r.spans for r in P.pii_spans(frame(spark, seeds + hidden)).collect()}
     assert [got[20], got[21]] == ["context:21:35", "context:21:32"]
+
+
+def test_a_label_on_a_line_is_a_context():
+    at = lambda text: P.context(text, text.index("X"))
+    assert at("Phone: X") == at("name: bob\n  phone:  X") == at("9 lines\r\nPhone: X") is not None
+    assert at("Phone: X") not in (at("the Phone: X"), at("Fax: X"), at("Phone:\nX"))
+    assert at("E-mail\nX") == at("name\ne-mail\r\n\r\n  X") is not None
+    assert at("your work mail\nX") == at("a b\nthe work mail\nX") != at("work mail X")
+    assert at("X") is None and at("\n \nX") is None
+    assert at("a" * 200 + " X") is None and at("a" * 200 + "\nX") is None and at("a" * 200 + "\nphone: X") == at("phone: X")
+
+
+def test_fields_of_forms_are_found(spark):
+    seeds = [f"Name: someone\nPhone: +1 ({200 + i}) 555-77{10 + i}\nContact\nuser{i}@site{i}.org\n" for i in range(20)]
+    hidden = ["Phone: 555-010-4477\nStreet: none", "Contact\nhandle_77@intranet", "Lot: B-1001077"]
+    got = {r.doc_id: r.spans for r in P.pii_spans(frame(spark, seeds + hidden)).collect()}
+    assert [got[20], got[21], got[22]] == ["context:7:19", "context:8:26", ""]
