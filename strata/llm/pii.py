@@ -15,6 +15,9 @@
    grouped aggregations with map-side combine.
 3. Patterns with confidence >= MIN_CONFIDENCE and at least MIN_SEEDS distinct
    seed instances extract their candidates as spans of kind ``context``.
+4. Instances of such patterns become seeds, with the confidence of their best
+   pattern, and steps 2 and 3 are made again, until no pattern is added or
+   ``HOPS`` times.
 
 Null and empty texts have no spans.  Offsets are code points, end exclusive.
 Every row keeps its own result, repeated rows and null ids included.
@@ -38,6 +41,7 @@ from .registry import register, table
 from .shared import landed, text_digest
 
 ROUNDS = 3
+HOPS = 8  # times that instances of good patterns become seeds
 MIN_CONFIDENCE = 0.8
 MIN_SEEDS = 8
 MIN_TOKEN = 6  # characters of an identifier-like token
@@ -209,14 +213,9 @@ def pii_scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield scan(texts)
 
 
-def good_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
-                  min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """(pattern) with high confidence, from rows (pattern, instance, seed)."""
-    # copies of a text add nothing: an edge counts once, as a seed if it is one anywhere
-    edges = found.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    # a pattern without any seed can only reach confidence through instances seen under other patterns
-    edges = landed(edges, "pii-edges")
-    score = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("conf"))
+def _accepted(edges: DataFrame, rounds: int, min_confidence: float, min_seeds: int) -> DataFrame:
+    """(pattern, p_conf) with high confidence, from edges (pattern, instance, seed, weight); a seed's confidence is its weight."""
+    score = edges.groupBy("instance").agg(F.max("weight").alias("conf"))
     for k in range(rounds):
         joined = edges.join(score, "instance")
         pats = joined.groupBy("pattern").agg(
@@ -224,10 +223,43 @@ def good_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float
         pats = landed(pats, "pii-patterns")
         if k + 1 < rounds:
             best = edges.join(pats.filter("p_conf > 0"), "pattern").groupBy("instance").agg(
-                F.max(F.when(F.col("seed"), 1.0).otherwise(F.col("p_conf"))).alias("conf"))
+                F.max(F.when(F.col("seed"), F.col("weight")).otherwise(F.col("p_conf"))).alias("conf"))
             score = best
-    return landed(pats.filter((F.col("p_conf") >= min_confidence) & (F.col("seeds") >= min_seeds)).select("pattern"),
-                  "pii-good")
+    good = pats.filter((F.col("p_conf") >= min_confidence) & (F.col("seeds") >= min_seeds))
+    return landed(good.select("pattern", "p_conf"), "pii-good")
+
+
+def _edges(found: DataFrame) -> DataFrame:
+    # copies of a text add nothing: an edge counts once, as a seed if it is one anywhere
+    edges = found.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    # a pattern without any seed can only reach confidence through instances seen under other patterns
+    return landed(edges.withColumn("weight", F.col("seed").cast("double")), "pii-edges")
+
+
+def good_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
+                  min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """(pattern) with high confidence and base seeds, from rows (pattern, instance, seed)."""
+    return _accepted(_edges(found), rounds, min_confidence, min_seeds).select("pattern")
+
+
+def bootstrapped(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
+                 min_seeds: int = MIN_SEEDS, hops: int = HOPS) -> DataFrame:
+    """``good_patterns``, and those that instances of good patterns bring in, until there are no more or ``hops`` are made."""
+    edges = _edges(found)
+    good = _accepted(edges, rounds, min_confidence, min_seeds)
+    fresh = good
+    for _ in range(hops):
+        # candidates of the patterns found last become seeds; their confidence is that of the best such pattern
+        new = edges.filter("not seed").join(fresh, "pattern").groupBy("instance").agg(F.max("p_conf").alias("w"))
+        new = landed(new, "pii-promoted")
+        if not edges.join(new, "instance", "left_semi").join(good, "pattern", "left_anti").limit(1).count():
+            break  # no other pattern has any of them
+        edges = landed(edges.join(new, "instance", "left").select(
+            "pattern", "instance", (F.col("seed") | F.col("w").isNotNull()).alias("seed"),
+            F.greatest("weight", F.coalesce("w", F.lit(0.0))).alias("weight")), "pii-edges")
+        fresh = landed(_accepted(edges, rounds, min_confidence, min_seeds).join(good, "pattern", "left_anti"), "pii-good")
+        good = landed(good.union(fresh), "pii-good")
+    return good.select("pattern")
 
 
 def pii_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -241,7 +273,7 @@ def pii_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     scanned = docs.select(*keep, F.monotonically_increasing_id().alias("__row"), pii_scan(F.col(text_col)).alias("__f"))
     scanned = landed(scanned.select(*keep, "__row", "__f.*"), "pii-scan")
     found = scanned.select("__row", F.explode("found").alias("x")).select("__row", "x.*")
-    good = good_patterns(found.select("pattern", "instance", "seed"))
+    good = bootstrapped(found.select("pattern", "instance", "seed"))
     more = found.filter("not seed").join(good, "pattern", "left_semi").groupBy("__row").agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("more"))
     out = scanned.drop("found").join(more, "__row", "left")

@@ -151,3 +151,26 @@ def test_fields_of_forms_are_found(spark):
     hidden = ["Phone: 555-010-4477\nStreet: none", "Contact\nhandle_77@intranet", "Lot: B-1001077"]
     got = {r.doc_id: r.spans for r in P.pii_spans(frame(spark, seeds + hidden)).collect()}
     assert [got[20], got[21], got[22]] == ["context:7:19", "context:8:26", ""]
+
+
+def test_instances_of_good_patterns_induce_others(spark):
+    seeds, _, plain = contexts()
+    first = [f"please write mail to acct-99{i}081 today" for i in range(10)]
+    second = [f"his member number was acct-99{i}081 then" for i in range(10)]
+    second += [f"his member number was mem-{i}4407 then" for i in range(2)]
+    third = [f"we refer to mem-{i}4407 here" for i in range(2)] + ["we refer to ref-77120 here"]  # two seeds are too few
+    texts = seeds + first + second + third + plain
+    got = {r.doc_id: r.n_context for r in P.pii_spans(frame(spark, texts)).collect()}
+    at = len(seeds)
+    assert [got[i] for i in range(at, len(texts))] == [1] * (len(first) + len(second)) + [0] * (len(third) + len(plain))
+
+
+def test_hops_go_on_until_no_pattern_is_added(spark):
+    edges = [(0, 50000 + i, True) for i in range(100)]
+    for p in range(4):  # every pattern shares 40 instances with the one before it
+        edges += [(p, 1000 * p + k, False) for k in range(40)] + [(p + 1, 1000 * p + k, False) for k in range(40)]
+    edges += [(p, 9000 + 10 * p + k, False) for p in (8, 9) for k in range(10)]
+    rows = spark.createDataFrame(edges, "pattern long, instance long, seed boolean")
+    assert {r.pattern for r in P.good_patterns(rows).collect()} == {0}
+    hop = [{r.pattern for r in P.bootstrapped(rows, min_confidence=0.5, hops=h).collect()} for h in (0, 1, 8)]
+    assert hop[0] == {0} and hop[1] == {0, 1} and hop[2] >= {0, 1, 2} and not hop[2] & {8, 9}
