@@ -7,10 +7,10 @@
 2. The lengths alone decide how to pack, and there are at most ``CAPACITY``
    different ones: a histogram of fixed size, whatever the number of documents.
    Bin completion works on it: the longest length left is completed by a
-   branch-and-bound over undominated fillings (longer lengths first, pruned by
-   the waste of the incumbent, which starts as the best-fit filling), and the
-   filling is used as often as the counts allow.  Plans made with different
-   search efforts compete.
+   branch-and-bound over fillings (longer lengths first, pruned by the waste of
+   the incumbent, without a dominance test, ended after a number of nodes), and
+   the filling is used as often as the counts allow; a sequence once made is not
+   reconsidered.  Plans made with different search efforts compete.
 3. Pieces of one length are interchangeable, so each takes its place from its
    rank among those of its length.  Ranks come from per-bucket counts and their
    running sums; no length, however frequent, meets in one task.
@@ -143,13 +143,11 @@ def pieces_of(path: str, capacity: int):
 
 
 def complete(room: int, lengths: list[int], left: list[int], nodes: int = EFFORTS[0]) -> list[tuple[int, int]]:
-    """Best filling of ``room`` as (index, copies): depth-first over undominated fillings.
+    """Filling of ``room`` as (index, copies): the best that a depth-first search of ``nodes`` nodes meets.
 
     ``lengths`` descend and ``left`` are their counts.  At each level the
-    longest copies are tried first; leaving out a copy that fits is only worth
-    while what is put instead is not dominated by it (a single shorter length
-    never replaces a longer one that fits).  A branch is cut when the smallest
-    length cannot improve on the waste of the incumbent.
+    longest copies are tried first.  Dominated fillings are not left out; a
+    branch is cut when even all that is left wastes no less than the incumbent.
     """
     n = len(lengths)
     # most that the lengths from i on can still add
