@@ -9,7 +9,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = (
-    "line_dedup", "token_counts", "suffix_dedup", "ngram_join", "embedding_dedup", "sentencepieces", "packing", "quality", "secrets", "pii", "nearest", "hard_negatives",
+    "line_dedup", "token_counts", "suffix_dedup", "ngram_join", "embedding_dedup", "sentencepieces", "packing", "quality", "secrets", "pii", "nearest", "hard_negatives", "spelling",
 )
 
 
