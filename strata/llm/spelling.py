@@ -10,8 +10,9 @@
 3. One edit spoils at most one of two disjoint pivots.  So of two near words, the
    one whose prefix ends earlier in the order has a pivot in the prefix of the
    other, and not any place will do: a bigram before the edit keeps its place, one
-   behind it moves with the change in length.  Pivots, copied to the five cases of
-   (change in length, move), join the prefixes by bigram, place and length.
+   behind it moves with the change in length, and what lies on the other side of it is
+   the same in both words.  Pivots, copied to the six cases of (change in length,
+   side of the edit), join the prefixes by bigram, place, length and that other side.
 4. Pairs are verified inside the join, so no candidate that fails becomes a row.
 
 A word's form is its near word with the largest count, if that is at least
@@ -111,18 +112,22 @@ def near_pairs(words: DataFrame) -> DataFrame:
             yield pa.StructArray.from_arrays([pa.array([o[c] for o in out], kind[c].type) for c in range(4)], fields=list(kind))
 
     signed = landed(words.select("word", F.length("word").alias("n"), keys("word").alias("k")).select("word", "n", "k.*"), "spelling-keys")
+    gram, at = F.col("e.grams"), F.col("e.places")
+    whole = {"before": F.expr("substring(word, 1, e.places)"), "behind": F.expr("substring(word, e.places + 3)")}
+
+    def key(place: Column, length: Column, side: str) -> Column:
+        """Bigram, place and length in the other word, and the side of the word that is the same; pairs are verified later."""
+        return F.xxhash64(gram, place, length, F.lit(side), whole[side])
+
     prefix = signed.select("word", "n", "last", F.explode(F.arrays_zip("places", "grams")).alias("e")).select(
-        F.col("word").alias("theirs"), F.col("last").alias("their_last"), F.col("n").alias("len"),
-        F.col("e.grams").alias("gram"), F.col("e.places").alias("at"))
-    # cases of one edit: equal length and place; one letter more or less, before or behind the bigram
-    cases = F.array(*(F.struct(F.lit(d).alias("longer"), F.lit(m).alias("move")) for d, m in
-                      ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))))
+        F.col("word").alias("theirs"), F.col("last").alias("their_last"),
+        F.explode(F.array(*(key(at, F.col("n"), side) for side in whole))).alias("key"))
+    # one edit: the other word is as long, a letter longer or a letter shorter, and the edit lies on one side
+    cases = [key(at + (d if side == "behind" else 0), F.col("n") + d, side) for d in (0, 1, -1) for side in whole]
     pivots = signed.select("word", "n", "last", F.explode(F.filter(
         F.arrays_zip("places", "grams"), lambda e: F.array_contains("pivots", e["places"]))).alias("e"))
-    pivots = pivots.select("word", "n", "last", "e", F.explode(cases).alias("c")).select(
-        "word", "last", (F.col("n") + F.col("c.longer")).alias("len"), F.col("e.grams").alias("gram"),
-        (F.col("e.places") + F.col("c.move")).alias("at"))
-    found = pivots.join(prefix, ["gram", "at", "len"]).filter(
+    pivots = pivots.select("word", "last", F.explode(F.array(*cases)).alias("key"))
+    found = pivots.join(prefix, "key").filter(
         # the pivot's word has the earlier end; of equal ends either way finds the pair
         (F.col("last") <= F.col("their_last")) & (F.col("word") != F.col("theirs"))
         & (F.levenshtein("word", "theirs", EDITS) == EDITS))
