@@ -13,7 +13,9 @@
    behind it moves with the change in length, and what lies on the other side of it is
    the same in both words.  Pivots, copied to the six cases of (change in length,
    side of the edit), join the prefixes by bigram, place, length and that other side.
-4. Pairs are verified inside the join, so no candidate that fails becomes a row.
+4. Pairs are verified inside the join, so no candidate that fails becomes a row:
+   first by the sets of their letters (one edit changes at most two letters), then by
+   the distance itself.
 
 A word's form is its near word with the largest count, if that is at least
 RATIO times its own; the root follows forms to the last one by doubling the steps
@@ -89,6 +91,14 @@ def prefix_and_pivots(word: str, count: dict[str, int]) -> tuple[str, list[int],
     return last, places, list(ready[EDITS + 1][1])
 
 
+def letter_set(word: str) -> int:
+    """63 bits; a letter sets the one of its code point modulo 63."""
+    bits = 0
+    for c in word:
+        bits |= 1 << ord(c) % 63
+    return bits
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, b) with a < b in code-point order: distinct words exactly one edit apart.  ``words`` has a column word."""
     grams = words.select(F.explode(F.transform(
@@ -99,17 +109,17 @@ def near_pairs(words: DataFrame) -> DataFrame:
     spark = words.sparkSession
     shared = spark.sparkContext.broadcast((count, rank))
     kind = pa.struct([("last", pa.int32()), ("places", pa.list_(pa.int32())), ("grams", pa.list_(pa.int32())),
-                      ("pivots", pa.list_(pa.int32()))])
+                      ("pivots", pa.list_(pa.int32())), ("letters", pa.int64())])
 
-    @F.arrow_udf("struct<last: int, places: array<int>, grams: array<int>, pivots: array<int>>")
+    @F.arrow_udf("struct<last: int, places: array<int>, grams: array<int>, pivots: array<int>, letters: long>")
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count, rank = shared.value
         for batch in batches:
             out = []
             for word in batch.to_pylist():
                 last, places, pivots = prefix_and_pivots(word, count)
-                out.append((rank[last], places, [rank[word[p:p + 2]] for p in places], pivots))
-            yield pa.StructArray.from_arrays([pa.array([o[c] for o in out], kind[c].type) for c in range(4)], fields=list(kind))
+                out.append((rank[last], places, [rank[word[p:p + 2]] for p in places], pivots, letter_set(word)))
+            yield pa.StructArray.from_arrays([pa.array([o[c] for o in out], kind[c].type) for c in range(5)], fields=list(kind))
 
     signed = landed(words.select("word", F.length("word").alias("n"), keys("word").alias("k")).select("word", "n", "k.*"), "spelling-keys")
     gram, at = F.col("e.grams"), F.col("e.places")
@@ -119,17 +129,18 @@ def near_pairs(words: DataFrame) -> DataFrame:
         """Bigram, place and length in the other word, and the side of the word that is the same; pairs are verified later."""
         return F.xxhash64(gram, place, length, F.lit(side), whole[side])
 
-    prefix = signed.select("word", "n", "last", F.explode(F.arrays_zip("places", "grams")).alias("e")).select(
-        F.col("word").alias("theirs"), F.col("last").alias("their_last"),
+    prefix = signed.select("word", "n", "last", "letters", F.explode(F.arrays_zip("places", "grams")).alias("e")).select(
+        F.col("word").alias("theirs"), F.col("last").alias("their_last"), F.col("letters").alias("their_letters"),
         F.explode(F.array(*(key(at, F.col("n"), side) for side in whole))).alias("key"))
     # one edit: the other word is as long, a letter longer or a letter shorter, and the edit lies on one side
     cases = [key(at + (d if side == "behind" else 0), F.col("n") + d, side) for d in (0, 1, -1) for side in whole]
-    pivots = signed.select("word", "n", "last", F.explode(F.filter(
+    pivots = signed.select("word", "n", "last", "letters", F.explode(F.filter(
         F.arrays_zip("places", "grams"), lambda e: F.array_contains("pivots", e["places"]))).alias("e"))
-    pivots = pivots.select("word", "last", F.explode(F.array(*cases)).alias("key"))
+    pivots = pivots.select("word", "last", "letters", F.explode(F.array(*cases)).alias("key"))
     found = pivots.join(prefix, "key").filter(
         # the pivot's word has the earlier end; of equal ends either way finds the pair
         (F.col("last") <= F.col("their_last")) & (F.col("word") != F.col("theirs"))
+        & (F.bit_count(F.col("letters").bitwiseXOR(F.col("their_letters"))) <= 2 * EDITS)
         & (F.levenshtein("word", "theirs", EDITS) == EDITS))
     return found.select(F.least("word", "theirs").alias("a"), F.greatest("word", "theirs").alias("b")).distinct()
 
