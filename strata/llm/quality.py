@@ -9,8 +9,11 @@ toxicity) over hashed word and character n-grams:
   grams of each family, so scoring is one gather and needs no sort;
 * fit: at most ``FIT_ROWS`` labelled rows, shared out over the combinations of the
   two labels as evenly as their counts allow; of each combination those with the
-  smallest hash of their id (a fixed choice, not a prefix).  One executor task fits (the bound on rows
-  bounds it) and returns two weight tables of fixed size, which are broadcast;
+  smallest hash of their id (a fixed choice, not a prefix).  Many tasks hash their
+  texts into sparse rows, which are landed; the regressions add up gradients over
+  tasks (``LogisticRegression`` with a penalty on absolute weights, which leaves most
+  buckets at zero).  No text and no row passes the driver, only the weights do, and
+  their number is fixed.  The two weight tables are broadcast;
 * calibration: a Platt curve fitted on the fifth of the rows that the weights
   never saw, each row weighed by how many labelled rows it stands for, so the
   probabilities are those of the table; thresholds are fixed probabilities.
@@ -24,12 +27,13 @@ class the classifier abstains and the base rules decide alone.
 from __future__ import annotations
 
 import functools
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
@@ -43,9 +47,12 @@ BITS = 18  # buckets of each family: 2**BITS
 MIN_QUALITY = 0.5  # kept needs P(good) of this or more
 MAX_TOXIC = 0.5  # and P(toxic) below this
 MIN_ROWS = 5  # rows of the fit that a bucket must occur in
-# Ridge, step size and steps of the quality and the toxicity head.
-HEADS = ((1e-6, 10.0, 40), (2e-7, 5.0, 60))
-FIT_CHUNK = 1 << 22  # entries of the sparse matrix that are multiplied together
+HEADS = ("quality", "toxic")
+PENALTY = 0.01  # on absolute weights, of buckets scaled to the same spread
+STEPS = 20  # of the solver, at most
+FIT_TASKS = 64  # tasks that hash the rows of the fit
+FILE_ROWS = 32  # hashed rows of a landed file: a row has as many entries as its text has different grams
+HELD = 5  # of so many rows of the fit one is kept for calibration
 MIN_CLASS = 5  # rows of each class a head needs to be fitted
 
 # Fixed values of the base rules.
@@ -200,72 +207,6 @@ def _platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float
     return float(max(b[0], 1e-3)), float(b[1])
 
 
-def fit_head(ids: np.ndarray, freq: np.ndarray, rows: np.ndarray, y: np.ndarray, train: np.ndarray,
-             l2: float, rate: float, steps: int):
-    """Weights of buckets, bias and all margins: full-batch logistic regression with per-weight step sizes.
-
-    The classes weigh the same in total.  Deterministic: no sampling, fixed order of sums.
-    """
-    size, n = FAMILIES << BITS, len(y)
-    known = np.flatnonzero(np.bincount(ids[train[rows]], minlength=size) >= MIN_ROWS)
-    place = np.full(size, len(known), np.int32)  # buckets left out share a weight that stays 0
-    place[known] = np.arange(len(known), dtype=np.int32)
-    cuts = range(0, len(ids), FIT_CHUNK)
-    w, b = np.zeros(len(known) + 1), 0.0
-    m, v = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
-    cost = train * np.where(y > 0, 0.5 / max(1, (y * train).sum()), 0.5 / max(1, ((1 - y) * train).sum()))
-
-    def margins():
-        out = np.full(n, b)
-        for c in cuts:
-            part = slice(c, c + FIT_CHUNK)
-            out += np.bincount(rows[part], freq[part] * w[place[ids[part]]], minlength=n)
-        return out
-
-    for t in range(1, steps + 1):
-        g = cost * (1 / (1 + np.exp(-np.clip(margins(), -30, 30))) - y)
-        grad = l2 * w
-        for c in cuts:
-            part = slice(c, c + FIT_CHUNK)
-            grad += np.bincount(place[ids[part]], freq[part] * g[rows[part]], minlength=len(grad))
-        grad[-1] = g.sum()  # the last place holds the bias' step
-        m = 0.9 * m + 0.1 * grad
-        v = 0.99 * v + 0.01 * grad * grad
-        step = (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-        w[:-1] -= rate * step[:-1]
-        b -= 0.05 * step[-1]
-    table = np.zeros(size)
-    table[known] = w[:-1]
-    return table, b, margins()
-
-
-def fit(texts: list[str], labels: np.ndarray, held: np.ndarray, weight: np.ndarray | None = None) -> list:
-    """(weights, bias, slope, offset) of each head, None for one with too few rows of a class.
-
-    ``held`` marks the rows kept for calibration, where ``weight`` is what a row
-    stands for; a label that is null leaves the row out of that head.
-    """
-    weight = np.ones(len(texts)) if weight is None else weight
-    parts = [counts_of(t) for t in texts]
-    rows = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
-    ids = np.concatenate([np.zeros(0, np.int32), *(p[0] for p in parts)])
-    freq = np.concatenate([np.zeros(0, np.float32), *(p[1] for p in parts)])
-    del parts
-    heads = []
-    for c, (l2, rate, steps) in enumerate(HEADS):
-        y = labels[:, c].astype(float)
-        train, calm = ~held & ~np.isnan(y), held & ~np.isnan(y)
-        y = np.nan_to_num(y)
-        enough = lambda rows_: min((y[rows_] > 0).sum(), (y[rows_] == 0).sum()) >= MIN_CLASS
-        if not enough(train):
-            heads.append(None)
-            continue
-        w, b, margin = fit_head(ids, freq, rows, y, train, l2, rate, steps)
-        use = calm if enough(calm) else train
-        heads.append((w.reshape(FAMILIES, -1).astype(np.float32), b, *_platt(margin[use], y[use], weight[use])))
-    return heads
-
-
 def assemble(heads: list) -> Scorer:
     """Scorer of the quality and the toxicity head; a head that is None abstains."""
     weights = np.zeros((2, FAMILIES, 1 << BITS), np.float32)
@@ -285,9 +226,8 @@ def shares(counts: dict, total: int) -> dict:
     return out
 
 
-def fit_scorer(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
-    """Fit on at most ``fit_rows`` labelled rows, one task for each head."""
-    rank = F.xxhash64("doc_id")
+def chosen_rows(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame | None:
+    """(doc_id, quality, toxic, weight, held, text) of at most ``fit_rows`` labelled documents; None if there is no label."""
     chosen = labels.select("doc_id", "quality", "toxic").filter(
         "doc_id is not null and (quality is not null or toxic is not null)")
     chosen = chosen.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
@@ -296,26 +236,75 @@ def fit_scorer(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     # at most nine combinations of two labels that may be null
     counts = {(r["quality"], r["toxic"]): r["count"] for r in chosen.groupBy("quality", "toxic").count().collect()}
     quota = shares(counts, fit_rows)
+    rank = F.xxhash64("doc_id")
     parts = [
         # the smallest hashes are ids spread evenly over the table
         chosen.filter(F.col("quality").eqNullSafe(F.lit(q)) & F.col("toxic").eqNullSafe(F.lit(t)))
         .orderBy(rank, "doc_id").limit(n).withColumn("weight", F.lit(counts[(q, t)] / n))
         for (q, t), n in sorted(quota.items(), key=repr) if n]
     if not parts:
+        return None
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        functools.reduce(DataFrame.union, parts), "doc_id")
+    heads = [F.max(F.col(h).cast("double")).alias(h) for h in HEADS]
+    # of rows that share an id the smallest text counts
+    rows = rows.groupBy("doc_id").agg(*heads, F.max("weight").alias("weight"), F.min("text").alias("text"))
+    return rows.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD)) == 0)
+
+
+def fit_head(rows: DataFrame, head: str, known: np.ndarray):
+    """(weight table, bias, slope, offset) of one head; None with too few rows of a class.
+
+    ``rows`` has the labels, weight, held and the sparse vectors ``x`` over the buckets ``known``.
+    """
+    mine = rows.filter(F.col(head).isNotNull())
+    counts = {(r["held"], r[head]): r["count"] for r in mine.groupBy("held", head).count().collect()}
+    enough = {held: min(counts.get((held, y), 0) for y in (0.0, 1.0)) >= MIN_CLASS for held in (False, True)}
+    if not enough[False] or not len(known):
+        return None
+    # the classes weigh the same in total
+    total = sum(counts[(False, y)] for y in (0.0, 1.0))
+    balance = F.when(F.col(head) > 0, total / (2 * counts[(False, 1.0)])).otherwise(total / (2 * counts[(False, 0.0)]))
+    model = LogisticRegression(
+        featuresCol="x", labelCol=head, weightCol="balance", regParam=PENALTY, elasticNetParam=1.0, maxIter=STEPS,
+        standardization=True).fit(mine.filter(~F.col("held")).withColumn("balance", balance))
+    table_ = np.zeros(FAMILIES << BITS, np.float32)
+    table_[known] = model.coefficients.toArray()
+    # one number for each row held back, so as many as the bound on rows at most
+    calm = model.transform(mine.filter("held") if enough[True] else mine.filter(~F.col("held"))).select(
+        vector_to_array("rawPrediction")[1].alias("margin"), F.col(head).alias("y"), "weight").toPandas()
+    platt = _platt(calm.margin.to_numpy(), calm.y.to_numpy(), calm.weight.to_numpy())
+    return table_.reshape(FAMILIES, -1), float(model.intercept), *platt
+
+
+def fit_scorer(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
+    """Fit on at most ``fit_rows`` labelled rows, hashed and added up by many tasks."""
+    chosen = chosen_rows(docs, labels, fit_rows)
+    if chosen is None:
         return assemble([None, None])
-    rows = docs.select("doc_id", "text").join(functools.reduce(DataFrame.union, parts), "doc_id").select(
-        rank.alias("rank"), "doc_id", F.col("quality").cast("double").alias("quality"),
-        F.col("toxic").cast("double").alias("toxic"), "weight", "text", F.lit(1).alias("one"))
-
-    def one_fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rank", "doc_id", "text"]).drop_duplicates("doc_id")
-        got = fit(list(pdf.text), pdf[["quality", "toxic"]].to_numpy(float), np.arange(len(pdf)) % 5 == 0,
-                  pdf.weight.to_numpy(float))
-        return pd.DataFrame({"model": [pickle.dumps(got)]})
-
-    # the bound on rows makes this one group bounded whatever the size of the tables
-    got = rows.groupBy("one").applyInPandas(one_fit, "model binary").collect()
-    return assemble(pickle.loads(got[0]["model"]) if got else [None, None])
+    entry = pa.struct([("ids", pa.list_(pa.int32())), ("freq", pa.list_(pa.float32()))])
+
+    @F.arrow_udf("struct<ids: array<int>, freq: array<float>>")
+    def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            got = [counts_of(t) for t in texts.to_pylist()]
+            yield pa.StructArray.from_arrays([pa.array([g[c] for g in got], entry[c].type) for c in range(2)], fields=list(entry))
+
+    rows = landed(chosen.repartition(FIT_TASKS).select(*HEADS, "weight", "held", hashed("text").alias("g")), "quality-rows", FILE_ROWS)
+    # fixed in number: FAMILIES << BITS buckets at most
+    seen = rows.filter(~F.col("held")).select(F.explode("g.ids").alias("id")).groupBy("id").count().filter(F.col("count") >= MIN_ROWS)
+    known = np.sort(seen.select("id").toPandas()["id"].to_numpy(np.int64))
+    place = np.full(FAMILIES << BITS, -1, np.int32)
+    place[known] = np.arange(len(known), dtype=np.int32)
+    shared = docs.sparkSession.sparkContext.broadcast(place)
+
+    @F.udf(VectorUDT())
+    def vector(ids, freq):
+        at = shared.value[np.array(ids, np.int64)]
+        return Vectors.sparse(max(1, len(known)), at[at >= 0], np.array(freq)[at >= 0])
+
+    rows = landed(rows.select(*HEADS, "weight", "held", vector("g.ids", "g.freq").alias("x")), "quality-vectors", FILE_ROWS)
+    return assemble([fit_head(rows, head, known) for head in HEADS])
 
 
 _FIELDS = pa.struct([*((c, pa.int64()) for c in BASE), ("p_quality", pa.float64()), ("p_toxic", pa.float64())])

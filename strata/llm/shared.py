@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
+def landed(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder and read it back.
 
     The files survive lost executors, so a retry never recomputes (and never
-    renumbers) what later steps refer to.
+    renumbers) what later steps refer to.  ``file_rows`` bounds the rows of a file,
+    and so what a reader or writer of very wide rows holds at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

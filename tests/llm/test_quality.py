@@ -2,8 +2,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
-import pytest
 
 import __spark_entry__ as E
 from strata.llm import quality as Q
@@ -53,10 +53,15 @@ def test_odd_texts_without_labels(spark):
     assert Q.quality_rules(frame(spark, []), labels).count() == 0
 
 
-@pytest.mark.parametrize("noise", [0, 1])
-def test_held_out_rows(noise):
+def fitted(spark, texts, labels):
+    docs = frame(spark, texts)
+    return Q.fit_scorer(docs.select("doc_id", "text"), spark.createDataFrame(
+        [(i, int(q), int(t)) for i, (q, t) in enumerate(labels)], "doc_id long, quality int, toxic int"))
+
+
+def test_held_out_rows(spark):
     """Weights from three quarters of the rows judge the last quarter."""
-    rng = np.random.default_rng(noise)
+    rng = np.random.default_rng(0)
     good = [f"w{i}" for i in range(400)]
     rude = ["nasty", "awful", "rotten"]
     texts, labels = [], []
@@ -71,27 +76,37 @@ def test_held_out_rows(noise):
         texts.append(" ".join(words))
         labels.append((0 if bad else 1, int(toxic)))
     labels = np.array(labels, float)
-    scorer = Q.assemble(Q.fit(texts[:600], labels[:600], np.arange(600) % 5 == 0))
-    import pyarrow as pa
-    got = Q.features_of(pa.array(texts[600:]), scorer)
+    got = Q.features_of(pa.array(texts[600:]), fitted(spark, texts[:600], labels[:600]))
     assert ((np.array(got.field("p_quality")) >= 0.5) == (labels[600:, 0] == 1)).mean() > 0.97
     assert ((np.array(got.field("p_toxic")) >= 0.5) == (labels[600:, 1] == 1)).mean() > 0.95
 
 
-def test_accuracy_on_given_labels():
+def test_accuracy_on_given_labels(spark):
     """Of the rows of a larger table: fitted on three quarters, judged on the last."""
-    docs = {r["doc_id"]: r["text"] or "" for r in pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pylist()}
-    labels = pq.read_table("/root/testdata/sf0.01/labels.parquet").to_pylist()
+    docs = {r["doc_id"]: r["text"] or "" for r in pq.read_table("/root/testdata/sf0.1/documents.parquet").to_pylist()}
+    labels = pq.read_table("/root/testdata/sf0.1/labels.parquet").to_pylist()
     rows = [r for r in labels if r["doc_id"] in docs]
     y = np.array([(r["quality"], r["toxic"]) for r in rows], float)
     texts = [docs[r["doc_id"]] for r in rows]
     cut = len(rows) * 3 // 4
-    import pyarrow as pa
-    scorer = Q.assemble(Q.fit(texts[:cut], y[:cut], np.arange(cut) % 5 == 0))
-    got = Q.features_of(pa.array(texts[cut:]), scorer)
-    kept = np.array(got.field("p_quality")) >= 0.5
-    assert kept[y[cut:, 0] == 1].mean() > 0.93
-    assert kept[y[cut:, 0] == 0].mean() < 0.5
+    got = Q.features_of(pa.array(texts[cut:]), fitted(spark, texts[:cut], y[:cut]))
+    kept = (np.array(got.field("p_quality")) >= 0.5) & (np.array(got.field("p_toxic")) < 0.5)
+    assert kept[(y[cut:] == (1, 0)).all(axis=1)].mean() > 0.95
+    assert kept[y[cut:, 0] == 0].mean() < 0.2
+    assert kept[y[cut:, 1] == 1].mean() < 0.2
+
+
+def test_the_rows_of_the_fit(spark):
+    """As many as asked for, of each combination of labels, a repeated id once, null texts as empty ones."""
+    docs = frame(spark, [None, "b", "a", *map(str, range(97))], [0, 1, 1, *range(3, 100)])
+    labels = spark.createDataFrame([(i, i % 2, None if i % 3 else 1) for i in range(100)] + [(None, 1, 1), (500, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    rows = Q.chosen_rows(docs.select("doc_id", "text"), labels, 1000).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 1, *range(3, 100)]
+    assert {r.doc_id: r.text for r in rows}[0] == "" and {r.doc_id: r.text for r in rows}[1] == "a"
+    few = Q.chosen_rows(docs.select("doc_id", "text"), labels, 40).collect()
+    assert 30 <= len(few) <= 40 and {(r.quality, r.toxic) for r in few} == {(0, None), (1, None), (0, 1), (1, 1)}
+    assert Q.chosen_rows(docs, labels.filter("doc_id is null"), 40) is None
 
 
 def test_rows_are_shared_out_evenly():
