@@ -37,13 +37,13 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
 from .shared import landed
+from .textkern import Remembered
 
 CAPACITY = 2048
 END_ID = 0
 RANK_BUCKETS = 64  # buckets that share the ranking of one length
 EFFORTS = (4000, 30, 100, 300, 1000, 10, 3)  # nodes of a completion search; its incumbent is valid at any time
 TRIES = 24  # plans that are compared
-CACHE_WORDS = 1 << 20  # distinct words remembered by one worker
 SLICE_ROWS = 2048  # texts whose ids are held together
 
 _PIECE = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -66,18 +66,16 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}  # 32-bit ids
+        self.known = Remembered()  # 32-bit ids
 
     def learn(self, words: set[str]) -> None:
         new = list(words)
         for i in range(0, len(new), 4096):
             call = new[i:i + 4096]
             for w, e in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False)):
-                self.known[w] = array("I", e.ids).tobytes()
+                self.known.learn(w, array("I", e.ids).tobytes())
 
     def ids_of(self, words: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
         split = []
         for w in words:
             core = w.rstrip(self.TAIL)
@@ -86,7 +84,9 @@ class WordEncoder:
             split.append((w, "") if whole else (core, w[at:]))
         known = self.known
         self.learn({p for parts in split for p in parts if p not in known})
-        return [known[a] + known[b] if b else known[a] for a, b in split]
+        out = [known[a] + known[b] if b else known[a] for a, b in split]
+        known.settle()
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32), each text closed by the end id, and offsets."""
@@ -113,7 +113,7 @@ class WordEncoder:
 
 @functools.lru_cache(maxsize=1)
 def encoder_of(path: str) -> WordEncoder:
-    """The encoder of a Python worker; its words stay known from task to task."""
+    """The encoder of a Python worker; the words it remembers are bounded by bytes, whatever the number of tasks."""
     return WordEncoder(path)
 
 

@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
+from .textkern import Remembered
 
 MARK = "▁"
-CACHE_WORDS = 1 << 20  # distinct words remembered by one worker
-CACHE_PAIRS = 1 << 21
+CACHE_PAIRS = 1 << 18
 SLICE_ROWS = 2048  # texts whose ids are held together
 UNKNOWN = -2  # forward state after a character that has no piece
 START = -1
@@ -67,7 +67,7 @@ class PieceModel:
                 self.score[p] = sp.get_score(i)
         self.unk = sp.unk_id()
         self.longest = max(map(len, self.ids), default=0)
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered()
         self.follows: dict[tuple[int, int], bool] = {}
         # bytes each id stands for when decoding
         raw = [p.replace(MARK, " ").encode() for p in self.pieces]
@@ -136,14 +136,14 @@ class PieceModel:
                 else:
                     out.append(last[j])
                 j -= size[j]
-            self.known[word] = np.array(out[::-1], np.uint32).tobytes()
+            self.known.learn(word, np.array(out[::-1], np.uint32).tobytes())
             before = word
 
     def ids_of(self, words: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
         self.learn([w for w in words if w not in self.known])
-        return [self.known[w] for w in words]
+        out = [self.known[w] for w in words]
+        self.known.settle()
+        return out
 
     def words_of(self, text: str) -> list[str]:
         """Marked words of a text, runs of marks kept together with what follows."""
@@ -193,7 +193,7 @@ class PieceModel:
 
 @functools.lru_cache(maxsize=1)
 def model_of(path: str) -> PieceModel:
-    """The model of a Python worker; its words stay known from task to task."""
+    """The model of a Python worker; the words it remembers are bounded by bytes, whatever the number of tasks."""
     return PieceModel(path)
 
 

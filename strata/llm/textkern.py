@@ -53,6 +53,28 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np.
         i = j
 
 
+class Remembered(dict):
+    """What a worker has found out about words, bounded by bytes: ``settle`` forgets all once they are too many.
+
+    It is called after each batch, so the batch's own words are the only ones beyond the bound.
+    """
+
+    LIMIT = 64 << 20
+    ENTRY = 200  # bytes of an entry besides its characters
+
+    def __init__(self):
+        self.bytes = 0
+
+    def learn(self, word: str, value) -> None:
+        self[word] = value
+        self.bytes += self.ENTRY + (len(word) if word.isascii() else 4 * len(word)) + (len(value) if isinstance(value, bytes) else 0)
+
+    def settle(self) -> None:
+        if self.bytes > self.LIMIT:
+            self.clear()
+            self.bytes = 0
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalising bit mixer of 64-bit values (wraps modulo 2**64)."""
     h = h ^ (h >> np.uint64(32))

@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .registry import register, table
+from .textkern import Remembered
 
 CALL_BYTES = 1 << 20  # bytes handed to the encoder in one call
-CACHE_PIECES = 1 << 20  # distinct pieces remembered by one worker
 LIMIT = 1024
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -45,14 +45,14 @@ class PieceCounter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, int] = {}
+        self.known = Remembered()
 
     def encode_lengths(self, pieces: list[str]) -> None:
         """Count pieces that are new, in calls balanced by bytes."""
         call, size = [], 0
         for p in pieces:
             call.append(p)
-            size += len(p)
+            size += len(p) if p.isascii() else len(p.encode())
             if size >= CALL_BYTES:
                 self._call(call)
                 call, size = [], 0
@@ -61,13 +61,14 @@ class PieceCounter:
     def _call(self, call: list[str]) -> None:
         if call:
             got = self.tokenizer.encode_batch_fast(call, add_special_tokens=False)
-            self.known.update(zip(call, map(len, got)))
+            for p, e in zip(call, got):
+                self.known.learn(p, len(e))
 
     def lengths(self, distinct: list[str]) -> np.ndarray:
-        if len(self.known) > CACHE_PIECES:
-            self.known = {}
         self.encode_lengths([p for p in distinct if p not in self.known])
-        return np.fromiter((self.known[p] for p in distinct), np.int64, len(distinct))
+        out = np.fromiter((self.known[p] for p in distinct), np.int64, len(distinct))
+        self.known.settle()
+        return out
 
     def counts(self, texts: pa.Array) -> np.ndarray:
         texts = pc.fill_null(texts, "")

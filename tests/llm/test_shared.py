@@ -27,3 +27,22 @@ def test_components(spark, kind):
              "loops": [(1, 1), (2, 3), (3, 2)]}[kind]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == brute([e for e in edges if e[0] != e[1]])
+
+
+def test_remembered_words_are_bounded_by_bytes(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from strata.llm.packing import WordEncoder
+    from strata.llm.sentencepieces import PieceModel
+    from strata.llm.textkern import Remembered
+    from strata.llm.token_counts import PieceCounter
+
+    monkeypatch.setattr(Remembered, "LIMIT", 1 << 20)
+    makers = [(WordEncoder(public_tokenizers.path("word_bpe_49k.json")), "encode"),
+              (PieceModel(public_tokenizers.path("piece_bpe_32k.model")), "encode"),
+              (PieceCounter(public_tokenizers.path("byte_bpe_50k.json")), "counts")]
+    for model, call in makers:
+        for k in range(8):  # one "word" of 200 kB each
+            getattr(model, call)(pa.array(["語" * 50000 + str(k), "few words"]))
+            assert sum(len(w.encode()) for w in model.known) <= 1 << 20
