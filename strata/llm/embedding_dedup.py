@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .registry import register, table
-from .shared import components, landed
+from .shared import boxed, components, landed, other_columns, quoted, unboxed
 
 MIN_COSINE = 0.93
 TABLES = 12
@@ -151,16 +151,17 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, tables:
                     probes: int = PROBES, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label") -> DataFrame:
     """``vectors`` without the vector column, plus n_links, component_id and kept."""
-    keep = [c for c in vectors.columns if c not in (vec_col, "n_links", "component_id", "kept", "__row", "__x")]
+    own = other_columns(vectors, vec_col, "n_links", "component_id", "kept")
+    vectors = vectors.select(boxed(own), *(F.col(quoted(c)).alias(f"__{n}") for c, n in (
+        (id_col, "id"), (vec_col, "vector"), (label_col, "label"))))
 
     @F.arrow_udf("binary")
     def doubles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for v in batches:
             yield usable(v)
 
-    x = F.when(F.col(label_col).isNotNull(), doubles(F.col(vec_col).cast("array<double>")))
-    rows = landed(vectors.select(*keep, F.monotonically_increasing_id().alias("__row"), F.col(label_col).alias("__label"),
-                                 x.alias("__x")), "vectors")
+    x = F.when(F.col("__label").isNotNull(), doubles(F.col("__vector").cast("array<double>")))
+    rows = landed(vectors.select("__own", "__id", F.monotonically_increasing_id().alias("__row"), "__label", x.alias("__x")), "vectors")
 
     # classes of equal vectors; a length is part of the value, so vectors of other lengths never meet
     classes = landed(rows.filter("__x is not null").groupBy("__label", "__x").agg(
@@ -229,11 +230,11 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, tables:
                          F.coalesce("others", F.lit(0)).alias("others"))
     placed = rows.join(known, ["__label", "__x"], "left").withColumn("root", F.coalesce("root", "__row"))
     placed = landed(placed.drop("__x", "__label"), "vectors-placed")
-    least = landed(placed.groupBy("root").agg(F.min(id_col).cast(T.LongType()).alias("component_id")), "vector-roots")
+    least = landed(placed.groupBy("root").agg(F.min("__id").cast(T.LongType()).alias("component_id")), "vector-roots")
     out = placed.join(least, "root")
     n_links = F.when(F.col("cls").isNull(), 0).otherwise(F.col("others") + F.col("w") - 1).cast("long")
-    return out.select(*keep, n_links.alias("n_links"), "component_id",
-                      F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)).alias("kept"))
+    return out.select(*unboxed(own), n_links.alias("n_links"), "component_id",
+                      F.coalesce(F.col("__id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 @register("op7_embedding_dedup")

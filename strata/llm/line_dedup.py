@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .registry import register, table
-from .shared import landed, text_digest
+from .shared import boxed, landed, other_columns, quoted, text_digest
 
 MODULUS = 3  # a boundary after one line in three, on average
 MIN_LINES = 2
@@ -75,8 +75,10 @@ def _place() -> Column:
 def line_dedup(docs: DataFrame, text_col: str = "text", modulus: int = MODULUS) -> DataFrame:
     """``docs`` with the text that is left, n_lines, n_removed_lines and n_removed_chunks."""
     names = ["n_lines", "n_removed_lines", "n_removed_chunks"]
-    keep = [c for c in docs.columns if c not in names]
-    keyed = docs.select(*keep, text_digest("doc_id", text_col).alias("__key"))
+    own, named = other_columns(docs, *names), text_col
+    keyed = docs.select(boxed([c for c in own if c != named]), "doc_id", F.col(quoted(named)).alias("__text"),
+                        text_digest("doc_id", named).alias("__key"))
+    text_col = "__text"
     slim = with_chunks(keyed.select("doc_id", "__key", text_col), text_col, modulus).drop(text_col)
 
     # 1. places by hash; a chunk of one line is never a candidate
@@ -107,14 +109,14 @@ def line_dedup(docs: DataFrame, text_col: str = "text", modulus: int = MODULUS)
     # 3. texts without the chunks to remove
     out = with_chunks(keyed.join(gone, "__key", "left"), text_col, modulus)
     numbers = F.sequence(F.lit(0), F.size("__chunks") - 1)
-    out = out.select(*keep, "__lines", "__chunks", "__gone", _held(__kept=F.array_except(numbers, F.col("__gone"))))
+    out = out.select("__own", text_col, "__lines", "__chunks", "__gone", _held(__kept=F.array_except(numbers, F.col("__gone"))))
     rest = F.array_join(F.transform("__kept", lambda i: _body(F.get("__chunks", i))), "\n")
     removed = F.aggregate(F.coalesce("__gone", F.array().cast("array<int>")), F.lit(0).cast("long"),
                           lambda s, i: s + F.get("__chunks", i)["n"])
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(rest)
     n_gone = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long")
     return out.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in keep], F.size("__lines").cast("long").alias("n_lines"),
+        *[text.alias(c) if c == named else F.col("__own").getField(c).alias(c) for c in own], F.size("__lines").cast("long").alias("n_lines"),
         removed.alias("n_removed_lines"), n_gone.alias("n_removed_chunks"))
 
 

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import components, landed, text_digest
+from .shared import boxed, components, landed, other_columns, quoted, text_digest, unboxed
 from .textkern import mix, shingle_sets
 
 BUCKET_BITS = 20
@@ -189,9 +189,11 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
     ``__key`` (digest of id and text) and ``__root`` (number of the component) serve later joins.
     """
     spark = docs.sparkSession
-    keep = [c for c in docs.columns if c not in (text_col, "n_shingles", "component_id", "__key", "__row", "__root")]
-    keyed = docs.select(*keep, text_col, text_digest(id_col, text_col).alias("__key"))
-    levels = spark.sparkContext.broadcast(bucket_levels(docs, text_col, words))
+    own, keep = other_columns(docs, text_col, "n_shingles", "component_id", "__key", "__root"), ["__own", "__id"]
+    keyed = docs.select(boxed(own), F.col(quoted(id_col)).alias("__id"), F.col(quoted(text_col)).alias("__t"),
+                        text_digest(id_col, text_col).alias("__key"))
+    text_col = "__t"
+    levels = spark.sparkContext.broadcast(bucket_levels(keyed, text_col, words))
 
     @F.arrow_udf(from_arrow_type(_SKETCH))
     def sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -278,8 +280,8 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
     placed = placed.join(root.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls", "__row"))
     placed = landed(placed.drop("cls", "__row"), "placed")
-    least = landed(placed.groupBy("root").agg(F.min(id_col).alias("component_id")), "roots")
-    return placed.join(least, "root").select(*keep, "n_shingles", "component_id", "__key", F.col("root").alias("__root"))
+    least = landed(placed.groupBy("root").agg(F.min("__id").alias("component_id")), "roots")
+    return placed.join(least, "root").select(*unboxed(own), "n_shingles", "component_id", "__key", F.col("root").alias("__root"))
 
 
 def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80, text_col: str = "text",
@@ -288,11 +290,12 @@ def one_per_component(docs: DataFrame, words: int = 5, percent: int = 80, text_c
 
     Rows equal in id and text count as one.
     """
-    found = ngram_components(docs.select(id_col, text_col), words, percent, text_col, id_col)
-    best = found.groupBy("__root").agg(F.min(F.struct(F.col(id_col).isNull(), id_col, "__key")).alias("best"))
+    found = ngram_components(docs.select(quoted(id_col), quoted(text_col)), words, percent, text_col, id_col)
+    mine = F.col(quoted(id_col))
+    best = found.groupBy("__root").agg(F.min(F.struct(mine.isNull(), mine, "__key")).alias("best"))
     chosen = best.select(F.col("best.__key").alias("__key")).distinct()
-    keyed = docs.withColumn("__key", text_digest(id_col, text_col))
-    return keyed.join(chosen, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    keyed = docs.select(boxed(docs.columns), text_digest(id_col, text_col).alias("__key"))
+    return keyed.join(chosen, "__key", "left_semi").dropDuplicates(["__key"]).select(*unboxed(docs.columns))
 
 
 @register("op4_ngram_join")

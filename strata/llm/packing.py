@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import landed
+from .shared import boxed, landed, other_columns, quoted, unboxed
 from .textkern import Remembered
 
 CAPACITY = 2048
@@ -267,8 +267,8 @@ def best_fit_packing(docs: DataFrame, path: str, capacity: int = CAPACITY, text_
     """One row for each piece: the other columns of ``docs`` plus piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
     names = ["piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    keep = [c for c in docs.columns if c not in [*names, text_col]]
-    cut = docs.select(*keep, F.posexplode(pieces_of(path, capacity)(F.col(text_col))).alias("piece", "__p"))
+    own, keep = other_columns(docs, *names, text_col), ["__own"]
+    cut = docs.select(boxed(own), F.posexplode(pieces_of(path, capacity)(F.col(quoted(text_col)))).alias("piece", "__p"))
     # the bucket spreads even one frequent length; it is landed, so ranks refer to fixed rows
     bucket = F.pmod(F.xxhash64("ids_crc32", "start", F.monotonically_increasing_id()), F.lit(RANK_BUCKETS))
     pieces = landed(cut.select(*keep, "piece", "__p.*").withColumn("__bucket", bucket.cast("int"))
@@ -291,7 +291,7 @@ def best_fit_packing(docs: DataFrame, path: str, capacity: int = CAPACITY, text_
     within = F.row_number().over(Window.partitionBy("length", "__bucket").orderBy("__row")) - 1
     ranked = pieces.withColumn("__within", within).join(sizes, ["length", "__bucket"])
     placed = ranked.withColumn("__at", place(F.col("length"), F.col("__before") + F.col("__within")))
-    return placed.select(*keep, F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "__at.*")
+    return placed.select(*unboxed(own), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "__at.*")
 
 
 @register("op6_best_fit_packing")

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import landed, text_digest
+from .shared import boxed, landed, other_columns, quoted, text_digest, unboxed
 
 ROUNDS = 3
 HOPS = 8  # times that instances of good patterns become seeds
@@ -268,10 +268,10 @@ def pii_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ``spans`` holds the base spans and the contextual ones as kind:start:end.
     Columns with these names are replaced.
     """
-    drop = [f.name for f in _FIELDS] + ["spans", "n_context", "__row"]
-    keep = [c for c in docs.columns if c not in drop and c != text_col]
-    scanned = docs.select(*keep, F.monotonically_increasing_id().alias("__row"), pii_scan(F.col(text_col)).alias("__f"))
-    scanned = landed(scanned.select(*keep, "__row", "__f.*"), "pii-scan")
+    results = [f.name for f in _FIELDS if f.name not in ("base", "found")] + ["spans", "n_context"]
+    own = other_columns(docs, *results, text_col)
+    scanned = docs.select(boxed(own), F.monotonically_increasing_id().alias("__row"), pii_scan(F.col(quoted(text_col))).alias("__f"))
+    scanned = landed(scanned.select("__own", "__row", "__f.*"), "pii-scan")
     found = scanned.select("__row", F.explode("found").alias("x")).select("__row", "x.*")
     good = bootstrapped(found.select("pattern", "instance", "seed"))
     more = found.filter("not seed").join(good, "pattern", "left_semi").groupBy("__row").agg(
@@ -283,7 +283,7 @@ def pii_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.withColumns({
         "spans": spans,
         "n_context": F.when(F.col("more").isNull(), 0).otherwise(F.size("more")).cast("long"),
-    }).drop("more", "base", "__row")
+    }).select(*unboxed(own), *results)
 
 
 def redact_text(text: str, spans: str) -> str:
@@ -309,12 +309,13 @@ def redacted(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
 
 def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with every span of its texts replaced by its kind."""
-    keyed = docs.withColumn("__key", text_digest(id_col, text_col))
-    spans = pii_spans(keyed.select("__key", text_col)).filter("spans <> ''")
+    keyed = docs.select(boxed(docs.columns), F.col(quoted(text_col)).alias("__t"), text_digest(id_col, text_col).alias("__key"))
+    spans = pii_spans(keyed.select("__key", "__t"), "__t").filter("spans <> ''")
     spans = spans.groupBy("__key").agg(F.max("spans").alias("__spans"))  # equal texts have equal spans
     joined = keyed.join(spans, "__key", "left")
-    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col("__spans")))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    text = F.when(F.col("__spans").isNull(), F.col("__t")).otherwise(redacted(F.col("__t"), F.col("__spans")))
+    return joined.withColumn("__t", text).select(
+        *(F.col("__t").alias(c) if c == text_col else F.col("__own").getField(c).alias(c) for c in docs.columns))
 
 
 @register("op10_pii")

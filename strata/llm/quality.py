@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import landed
+from .shared import boxed, landed, other_columns, quoted, unboxed
 from .textkern import IS_SPACE, LOWER, Words, blocks, mix, window_hashes
 
 FIT_ROWS = 5000  # bound on labelled rows used to fit
@@ -327,7 +327,7 @@ def features_of(texts: pa.Array, scorer: Scorer) -> pa.StructArray:
 def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
     """``docs`` with the base features, base_failed, p_quality, p_toxic and kept; clashing names are replaced."""
     model = docs.sparkSession.sparkContext.broadcast(
-        fit_scorer(docs.select("doc_id", F.col(text_col).alias("text")), labels, fit_rows))
+        fit_scorer(docs.select("doc_id", F.col(quoted(text_col)).alias("text")), labels, fit_rows))
 
     @F.arrow_udf(from_arrow_type(_FIELDS))
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -335,8 +335,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", fi
             yield features_of(texts, model.value)
 
     names = [*BASE, "p_quality", "p_toxic"]
-    keep = [c for c in docs.columns if c not in [*names, "base_failed", "kept", "__q"]]
-    scored = docs.select(*keep, score(F.col(text_col)).alias("__q")).select(*keep, *[f"__q.{c}" for c in names])
+    own = other_columns(docs, *names, "base_failed", "kept")
+    scored = docs.select(boxed(own), score(F.col(quoted(text_col))).alias("__q")).select(
+        *unboxed(own), *[F.col(f"__q.{c}") for c in names])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("p_quality") >= MIN_QUALITY) & (F.col("p_toxic") < MAX_TOXIC))

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
+from .shared import boxed, other_columns, quoted, unboxed
 from .textkern import utf8
 
 REACH = 240  # code points between the parts of one credential in a paragraph of one line
@@ -211,10 +212,10 @@ def secret_spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def secret_scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_assign, n_access, n_hex, base_sha256, spans and n_weak (clashing names are replaced); no shuffle."""
-    found = docs.withColumn("__found", secret_spans(F.col(text_col)))
     names = [f.name for f in _FIELDS]
-    keep = [c for c in docs.columns if c not in names]
-    return found.select(*keep, *[F.col("__found")[c].alias(c) for c in names])
+    own = other_columns(docs, *names)
+    found = docs.select(boxed(own), secret_spans(F.col(quoted(text_col))).alias("__found"))
+    return found.select(*unboxed(own), *[F.col("__found")[c].alias(c) for c in names])
 
 
 @register("op9_secret_scan")

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
+from .shared import boxed, other_columns, quoted, unboxed
 from .textkern import Remembered
 
 MARK = "▁"
@@ -242,8 +243,9 @@ def decoder(path: str):
 def encode_pieces(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ids, n_tokens, ids_crc32 (32-bit little-endian ids) and round_trip; clashing names are replaced."""
     names = [f.name for f in _CODED]
-    keep = [c for c in docs.columns if c not in names]
-    return docs.select(*keep, encoder(path)(F.col(text_col)).alias("__coded")).select(*keep, "__coded.*")
+    own = other_columns(docs, *names)
+    coded = docs.select(boxed(own), encoder(path)(F.col(quoted(text_col))).alias("__coded"))
+    return coded.select(*unboxed(own), "__coded.*")
 
 
 def decode_pieces(coded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:

@@ -21,13 +21,34 @@ def landed(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def other_columns(df: DataFrame, *taken: str) -> list[str]:
+    """The caller's columns without those of the names ``taken`` (results replace them), which differ by more than case."""
+    gone = {c.lower() for c in taken}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
+def boxed(names: list[str]) -> Column:
+    """The caller's columns as one struct ``__own``, so that their names meet none of the operator's own."""
+    if not names:
+        return F.lit(None).cast("boolean").alias("__own")  # a struct without fields cannot be written
+    return F.struct(*(F.col(quoted(c)) for c in names)).alias("__own")
+
+
+def unboxed(names: list[str]) -> list[Column]:
+    return [F.col("__own").getField(c).alias(c) for c in names]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_digest(id_col: str, text_col: str) -> Column:
     """128-bit digest of a row's id and text, the key under which results are joined back to texts.
 
     A null text counts as empty.  Rows equal in both have one key.
     """
-    return F.md5(F.concat_ws("\x01", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
-                             F.coalesce(F.col(text_col), F.lit(""))))
+    return F.md5(F.concat_ws("\x01", F.coalesce(F.col(quoted(id_col)).cast("string"), F.lit("null")),
+                             F.coalesce(F.col(quoted(text_col)), F.lit(""))))
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
-from .shared import landed, text_digest
+from .shared import boxed, landed, other_columns, quoted, text_digest, unboxed
 from .textkern import blocks, mix
 
 SPAN = 200
@@ -366,8 +366,9 @@ def cell_bytes(texts: pa.Array, cells: pa.Array) -> pa.Array:
 def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` without its text, plus n_bytes, n_removed, n_spans, kept_sha256 and the removed spans."""
     names = [f.name for f in _RESULT]
-    keep = [c for c in docs.columns if c not in [*names, text_col, "__key"]]
-    keyed = docs.select(*keep, text_col, text_digest(id_col, text_col).alias("__key"))
+    own, keep = other_columns(docs, *names, text_col), ["__own"]
+    keyed = docs.select(boxed(own), text_digest(id_col, text_col).alias("__key"), F.col(quoted(text_col)).alias("__t"))
+    text_col = "__t"
 
     # cells whose gram occurs again
     listed = landed(keyed.select("__key", F.monotonically_increasing_id().alias("__row"),
@@ -430,7 +431,7 @@ def suffix_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     opened = open_.drop("__r").join(placed, "__key", "left")
     opened = opened.select(*keep, apply_spans(F.col("__text"), F.col("whole"), F.col("more")).alias("__r")).select(
         *keep, "__r.*")
-    return closed.union(opened)
+    return closed.union(opened).select(*unboxed(own), *names)
 
 
 @register("op3_suffix_dedup")
