@@ -19,7 +19,7 @@ from strata.llm.ngram_join import one_per_component
 from strata.llm.packing import best_fit_packing
 from strata.llm.pii import redact
 from strata.llm.quality import quality_rules
-from strata.llm.shared import landed, text_digest
+from strata.llm.shared import boxed, landed, quoted, text_digest, unboxed
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -39,19 +39,20 @@ def _without_copies(docs: DataFrame, of: DataFrame) -> DataFrame:
     key = text_digest("doc_id", "text")
     same = of.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256)).agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", key.alias("__key"))).alias("first"))
-    return docs.withColumn("__key", key).join(same.select("first.__key"), "__key", "left_semi").select(*docs.columns)
+    keyed = docs.select(boxed(docs.columns), key.alias("__key"))
+    return keyed.join(same.select("first.__key"), "__key", "left_semi").select(*unboxed(docs.columns))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, one of each text (the rules judge the text alone)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without_copies(quality_rules(docs, labels).filter("kept").select(*docs.columns), docs)
+    return _without_copies(quality_rules(docs, labels).filter("kept").select(*map(quoted, docs.columns)), docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated chunks of lines; documents of which no word is left go."""
     left = line_dedup(docs).filter((F.col("n_removed_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return _measured(left.select(*docs.columns))
+    return _measured(left.select(*map(quoted, docs.columns)))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
