@@ -4,7 +4,7 @@ Base features are counted over whole Arrow batches with numpy.  The verdict for
 rows that pass the base rules comes from two logistic regressions (quality and
 toxicity) over hashed word and character n-grams:
 
-* features: frequencies of word 1- and 2-grams and of byte 5- and 7-grams, hashed
+* features: frequencies of word 1- and 2-grams and of byte 5-grams, hashed
   into 2**BITS buckets each.  A text's margin is the bias plus the mean weight of its
   grams of each family, so scoring is one gather and needs no sort;
 * fit: at most ``FIT_ROWS`` labelled rows, shared out over the combinations of the
@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -49,9 +50,10 @@ MAX_TOXIC = 0.5  # and P(toxic) below this
 MIN_ROWS = 5  # rows of the fit that a bucket must occur in
 HEADS = ("quality", "toxic")
 PENALTY = 0.01  # on absolute weights, of buckets scaled to the same spread
-STEPS = 20  # of the solver, at most
+STEPS = 15  # of the solver, at most
 FIT_TASKS = 64  # tasks that hash the rows of the fit
-FILE_ROWS = 32  # hashed rows of a landed file: a row has as many entries as its text has different grams
+SUM_TASKS = 4  # tasks that add up gradients: each sends one of fixed size, so few of them
+FILE_ROWS = 64  # hashed rows of a landed file: a row has as many entries as its text has different grams
 HELD = 5  # of so many rows of the fit one is kept for calibration
 MIN_CLASS = 5  # rows of each class a head needs to be fitted
 
@@ -60,7 +62,7 @@ MIN_WORDS = 20
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
-CHAR_GRAMS = (5, 7)
+CHAR_GRAMS = (5,)
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
@@ -173,21 +175,38 @@ class Scorer:
         return p
 
 
-def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse feature row of one text: ids in FAMILIES x 2**BITS and frequencies."""
-    ids, freq = [], []
-    data = np.frombuffer((text or "").encode(), np.uint8)
-    offs = np.array([0, len(data)])
-    words = Words(data, offs, lower=True)
-    for k, (bucket, lo, hi) in enumerate(grams(data, offs, words.hashes(), words.offs)):
-        n = min(int(hi[0]), len(bucket)) - int(lo[0])
-        if n > 0:
-            u, c = np.unique(bucket[lo[0]:hi[0]], return_counts=True)
+def hashed_rows(texts: pa.Array) -> pa.StructArray:
+    """Sparse feature rows: gaps between the ascending ids in FAMILIES x 2**BITS, counts, and the grams of each family.
+
+    Gaps and counts are small numbers, which Parquet packs well.
+    """
+    out = []
+    for text in texts.to_pylist():
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        offs = np.array([0, len(data)])
+        words = Words(data, offs, lower=True)
+        ids, counts, totals = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+        for k, (bucket, lo, hi) in enumerate(grams(data, offs, words.hashes(), words.offs)):
+            n = max(0, min(int(hi[0]), len(bucket)) - int(lo[0]))
+            totals.append(n)
+            u, c = np.unique(bucket[lo[0]:lo[0] + n], return_counts=True)
             ids.append(u + (k << BITS))
-            freq.append(c / n)
-    if not ids:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    return np.concatenate(ids).astype(np.int32), np.concatenate(freq).astype(np.float32)
+            counts.append(c)
+        out.append((np.diff(np.concatenate(ids), prepend=0).astype(np.int32), np.concatenate(counts).astype(np.int32), totals))
+    return pa.StructArray.from_arrays([pa.array([o[c] for o in out], f.type) for c, f in enumerate(_HASHED)], fields=list(_HASHED))
+
+
+_HASHED = pa.struct([("gaps", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("totals", pa.list_(pa.int64()))])
+
+
+def bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, rows of the task that have it), from batches of gaps."""
+    seen = np.zeros(FAMILIES << BITS, np.int64)
+    for batch in batches:
+        for gaps in batch.column(0):
+            seen[np.cumsum(gaps.values.to_numpy())] += 1
+    some = np.flatnonzero(seen)
+    yield pa.record_batch([pa.array(some, pa.int64()), pa.array(seen[some], pa.int64())], names=["id", "n"])
 
 
 def _platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -267,7 +286,7 @@ def fit_head(rows: DataFrame, head: str, known: np.ndarray):
     balance = F.when(F.col(head) > 0, total / (2 * counts[(False, 1.0)])).otherwise(total / (2 * counts[(False, 0.0)]))
     model = LogisticRegression(
         featuresCol="x", labelCol=head, weightCol="balance", regParam=PENALTY, elasticNetParam=1.0, maxIter=STEPS,
-        standardization=True).fit(mine.filter(~F.col("held")).withColumn("balance", balance))
+        standardization=True).fit(mine.filter(~F.col("held")).withColumn("balance", balance).coalesce(SUM_TASKS))
     table_ = np.zeros(FAMILIES << BITS, np.float32)
     table_[known] = model.coefficients.toArray()
     # one number for each row held back, so as many as the bound on rows at most
@@ -282,29 +301,33 @@ def fit_scorer(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     chosen = chosen_rows(docs, labels, fit_rows)
     if chosen is None:
         return assemble([None, None])
-    entry = pa.struct([("ids", pa.list_(pa.int32())), ("freq", pa.list_(pa.float32()))])
 
-    @F.arrow_udf("struct<ids: array<int>, freq: array<float>>")
+    @F.arrow_udf(from_arrow_type(_HASHED))
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            got = [counts_of(t) for t in texts.to_pylist()]
-            yield pa.StructArray.from_arrays([pa.array([g[c] for g in got], entry[c].type) for c in range(2)], fields=list(entry))
+            yield hashed_rows(texts)
 
     rows = landed(chosen.repartition(FIT_TASKS).select(*HEADS, "weight", "held", hashed("text").alias("g")), "quality-rows", FILE_ROWS)
     # fixed in number: FAMILIES << BITS buckets at most
-    seen = rows.filter(~F.col("held")).select(F.explode("g.ids").alias("id")).groupBy("id").count().filter(F.col("count") >= MIN_ROWS)
-    known = np.sort(seen.select("id").toPandas()["id"].to_numpy(np.int64))
+    seen = rows.filter(~F.col("held")).select("g.gaps").mapInArrow(bucket_rows, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    known = np.sort(seen.filter(F.col("n") >= MIN_ROWS).select("id").toPandas()["id"].to_numpy(np.int64))
     place = np.full(FAMILIES << BITS, -1, np.int32)
     place[known] = np.arange(len(known), dtype=np.int32)
     shared = docs.sparkSession.sparkContext.broadcast(place)
 
     @F.udf(VectorUDT())
-    def vector(ids, freq):
-        at = shared.value[np.array(ids, np.int64)]
-        return Vectors.sparse(max(1, len(known)), at[at >= 0], np.array(freq)[at >= 0])
-
-    rows = landed(rows.select(*HEADS, "weight", "held", vector("g.ids", "g.freq").alias("x")), "quality-vectors", FILE_ROWS)
-    return assemble([fit_head(rows, head, known) for head in HEADS])
+    def vector(gaps, counts, totals):
+        ids = np.cumsum(np.array(gaps, np.int64))
+        at = shared.value[ids]
+        freq = np.array(counts) / np.array(totals)[ids >> BITS]
+        return Vectors.sparse(max(1, len(known)), at[at >= 0], freq[at >= 0])
+
+    # both heads read the vectors more than once; they are made again from the landed rows where an executor is lost
+    rows = rows.select(*HEADS, "weight", "held", vector("g.gaps", "g.counts", "g.totals").alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return assemble([fit_head(rows, head, known) for head in HEADS])
+    finally:
+        rows.unpersist()
 
 
 _FIELDS = pa.struct([*((c, pa.int64()) for c in BASE), ("p_quality", pa.float64()), ("p_toxic", pa.float64())])
