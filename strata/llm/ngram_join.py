@@ -45,7 +45,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
 from .shared import boxed, components, landed, other_columns, quoted, text_digest, unboxed
-from .textkern import mix, shingle_sets
+from .textkern import giving_back, mix, shingle_sets
 
 BUCKET_BITS = 20
 PARTS = 64  # pieces in which the table of counts travels
@@ -57,6 +57,7 @@ def bucket_levels(docs: DataFrame, text: str, words: int) -> np.ndarray:
     """Per hash bucket 0, or how far its count exceeds what an even spread explains."""
     size = 1 << BUCKET_BITS
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, some = np.zeros(size, np.int64), False
         for batch in batches:
@@ -196,6 +197,7 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
     levels = spark.sparkContext.broadcast(bucket_levels(keyed, text_col, words))
 
     @F.arrow_udf(from_arrow_type(_SKETCH))
+    @giving_back
     def sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield sketch(texts, words, percent, levels.value)
@@ -249,6 +251,7 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, text_co
         "m", F.col(text_col).alias("text"), F.explode("groups").alias("g"))
     sent = sent.select("g.*", "m", "text").repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "m")
 
+    @giving_back
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def linked(ids, group):
             pairs = forest(group, levels.value, percent) if len(ids) > 1 else []

@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
 from .shared import boxed, landed, other_columns, quoted, unboxed
-from .textkern import Remembered
+from .textkern import Remembered, giving_back
 
 CAPACITY = 2048
 END_ID = 0
@@ -121,6 +121,7 @@ def pieces_of(path: str, capacity: int):
     """Arrow function: text -> its pieces (start, length, checksum of the ids)."""
 
     @F.arrow_udf(from_arrow_type(pa.list_(_PIECE)))
+    @giving_back
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = encoder_of(path)
         for texts in batches:

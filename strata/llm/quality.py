@@ -41,13 +41,14 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
 from .shared import boxed, landed, other_columns, quoted, unboxed
-from .textkern import IS_SPACE, LOWER, Words, blocks, mix, window_hashes
+from .textkern import IS_SPACE, LOWER, Words, blocks, giving_back, mix, window_hashes
 
 FIT_ROWS = 5000  # bound on labelled rows used to fit
 BITS = 18  # buckets of each family: 2**BITS
 MIN_QUALITY = 0.5  # kept needs P(good) of this or more
 MAX_TOXIC = 0.5  # and P(toxic) below this
-MIN_ROWS = 5  # rows of the fit that a bucket must occur in
+MIN_ROWS = 5  # rows of the fit that a bucket must occur in,
+MIN_SHARE = 0.003  # and share of them
 HEADS = ("quality", "toxic")
 PENALTY = 0.01  # on absolute weights, of buckets scaled to the same spread
 STEPS = 15  # of the solver, at most
@@ -199,6 +200,7 @@ def hashed_rows(texts: pa.Array) -> pa.StructArray:
 _HASHED = pa.struct([("gaps", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("totals", pa.list_(pa.int64()))])
 
 
+@giving_back
 def bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, rows of the task that have it), from batches of gaps."""
     seen = np.zeros(FAMILIES << BITS, np.int64)
@@ -303,14 +305,17 @@ def fit_scorer(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
         return assemble([None, None])
 
     @F.arrow_udf(from_arrow_type(_HASHED))
+    @giving_back
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield hashed_rows(texts)
 
     rows = landed(chosen.repartition(FIT_TASKS).select(*HEADS, "weight", "held", hashed("text").alias("g")), "quality-rows", FILE_ROWS)
     # fixed in number: FAMILIES << BITS buckets at most
-    seen = rows.filter(~F.col("held")).select("g.gaps").mapInArrow(bucket_rows, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    known = np.sort(seen.filter(F.col("n") >= MIN_ROWS).select("id").toPandas()["id"].to_numpy(np.int64))
+    fitted = rows.filter(~F.col("held"))
+    least = max(MIN_ROWS, MIN_SHARE * fitted.count())
+    seen = fitted.select("g.gaps").mapInArrow(bucket_rows, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    known = np.sort(seen.filter(F.col("n") >= least).select("id").toPandas()["id"].to_numpy(np.int64))
     place = np.full(FAMILIES << BITS, -1, np.int32)
     place[known] = np.arange(len(known), dtype=np.int32)
     shared = docs.sparkSession.sparkContext.broadcast(place)
@@ -353,6 +358,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, text_col: str = "text", fi
         fit_scorer(docs.select("doc_id", F.col(quoted(text_col)).alias("text")), labels, fit_rows))
 
     @F.arrow_udf(from_arrow_type(_FIELDS))
+    @giving_back
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield features_of(texts, model.value)

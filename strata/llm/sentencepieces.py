@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from .registry import register, table
 from .shared import boxed, other_columns, quoted, unboxed
-from .textkern import Remembered
+from .textkern import Remembered, giving_back
 
 MARK = "▁"
 CACHE_PAIRS = 1 << 18
@@ -206,6 +206,7 @@ def encoder(path: str):
     """Arrow function: text -> ids, their number and checksum, and whether decoding gives the text back."""
 
     @F.arrow_udf(from_arrow_type(_CODED))
+    @giving_back
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(path)
         for texts in batches:

@@ -7,6 +7,8 @@ a text longer than the bound forms a block of its own.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,13 +55,26 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np.
         i = j
 
 
+def giving_back(fn):
+    """Decorator of an Arrow function: at its end a worker, which Spark keeps for later stages, frees what it no longer uses."""
+    @functools.wraps(fn)
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+    return run
+
+
 class Remembered(dict):
     """What a worker has found out about words, bounded by bytes: ``settle`` forgets all once they are too many.
 
     It is called after each batch, so the batch's own words are the only ones beyond the bound.
     """
 
-    LIMIT = 64 << 20
+    LIMIT = 32 << 20
     ENTRY = 200  # bytes of an entry besides its characters
 
     def __init__(self):
