@@ -44,7 +44,7 @@ END_ID = 0
 RANK_BUCKETS = 64  # buckets that share the ranking of one length
 EFFORTS = (4000, 30, 100, 300, 1000, 10, 3)  # nodes of a completion search; its incumbent is valid at any time
 TRIES = 24  # plans that are compared
-SLICE_ROWS = 2048  # texts whose ids are held together
+SLICE_ROWS = 1024  # texts whose ids are held together
 
 _PIECE = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 

@@ -26,6 +26,7 @@ Every row keeps its own result, repeated rows and null ids included.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -41,7 +42,6 @@ from .registry import register, table
 from .shared import boxed, landed, other_columns, quoted, text_digest, unboxed
 
 ROUNDS = 3
-HOPS = 8  # times that instances of good patterns become seeds
 MIN_CONFIDENCE = 0.8
 MIN_SEEDS = 8
 MIN_TOKEN = 6  # characters of an identifier-like token
@@ -107,28 +107,36 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def words_before(text: str, end: int, n: int = 2) -> tuple[list[str], int]:
+    """The last ``n`` words before ``end`` on its line, whatever their length, and where the search stopped."""
+    words: list[str] = []
+    while len(words) < n:
+        while end > 0 and text[end - 1].isspace() and text[end - 1] != "\n":
+            end -= 1
+        if end == 0 or text[end - 1] == "\n":
+            break
+        last = end
+        while end > 0 and not text[end - 1].isspace():
+            end -= 1
+        words.insert(0, text[end:last])
+    return words, end
+
+
 def context(text: str, start: int) -> int | None:
     """Pattern before ``start``: the last two words, lower case, digits folded; None where nothing is before it.
 
     A line end stands for the start of the line that follows it.
     """
-    low = max(0, start - 160)
-    line = text.rfind("\n", low, start) + 1
-    words = text[max(low, line):start].split()
-    if len(words) < 2:
-        if low and not line:
-            return None  # the line began farther back
-        if words:
-            words = ["\n", *words]
-        else:
-            above = text[low:line].rstrip()
-            from_ = above.rfind("\n") + 1
-            words = above[from_:].split()[-2:]
-            if not words or low and not from_ and len(words) < 2:
-                return None
-            words = [*["\n"][:2 - len(words)], *words, "\n"]
-    else:
-        words = words[-2:]
+    words, at = words_before(text, start)
+    if len(words) == 1:
+        words = ["\n", *words]
+    elif not words:
+        while at > 0 and text[at - 1].isspace():
+            at -= 1
+        words, _ = words_before(text, at)
+        if not words:
+            return None
+        words = [*["\n"][:2 - len(words)], *words, "\n"]
     key = re.sub("[0-9]", "0", " ".join(words).lower())
     return xxhash.xxh64_intdigest(key) - (1 << 63)
 
@@ -243,12 +251,15 @@ def good_patterns(found: DataFrame, rounds: int = ROUNDS, min_confidence: float
 
 
 def bootstrapped(found: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
-                 min_seeds: int = MIN_SEEDS, hops: int = HOPS) -> DataFrame:
-    """``good_patterns``, and those that instances of good patterns bring in, until there are no more or ``hops`` are made."""
+                 min_seeds: int = MIN_SEEDS, hops: int | None = None) -> DataFrame:
+    """``good_patterns``, and those that instances of good patterns bring in, until there are no more (or ``hops`` are made).
+
+    Every hop adds a pattern, and each pattern is added once, so this ends.
+    """
     edges = _edges(found)
     good = _accepted(edges, rounds, min_confidence, min_seeds)
     fresh = good
-    for _ in range(hops):
+    for _ in itertools.count() if hops is None else range(hops):
         # candidates of the patterns found last become seeds; their confidence is that of the best such pattern
         new = edges.filter("not seed").join(fresh, "pattern").groupBy("instance").agg(F.max("p_conf").alias("w"))
         new = landed(new, "pii-promoted")
@@ -258,6 +269,8 @@ def bootstrapped(found: DataFrame, rounds: int = ROUNDS, min_confidence: float =
             "pattern", "instance", (F.col("seed") | F.col("w").isNotNull()).alias("seed"),
             F.greatest("weight", F.coalesce("w", F.lit(0.0))).alias("weight")), "pii-edges")
         fresh = landed(_accepted(edges, rounds, min_confidence, min_seeds).join(good, "pattern", "left_anti"), "pii-good")
+        if not fresh.limit(1).count():
+            break
         good = landed(good.union(fresh), "pii-good")
     return good.select("pattern")
 

@@ -5,12 +5,13 @@ parts are collected: access identifiers (user names, client or key ids),
 secrets that are too short or too plain to stand alone, and endpoints (URLs,
 hosts).  A weak part says little by itself; it is reported only when its
 complements occur near it.  Parts are linked by an interval join: the interval
-of a weak part is its scope, a paragraph (text between blank lines), and is
-joined with the starts of the complementary parts of the same text and scope.
-A paragraph of one line is running text, not a record; there the interval is
-the part widened by ``REACH`` code points.  The join is one sorted
-``searchsorted`` over a whole Arrow batch, so its cost is n log n in the parts
-and no pairs are written out.
+of a weak part is its scope, a paragraph (text between blank lines) of any length,
+and is joined with the starts of the complementary parts of the same text and
+scope.  The join is one sorted ``searchsorted`` over a whole Arrow batch, so its
+cost is n log n in the parts and no pairs are written out.
+
+A URL with user information (``scheme://user:secret@host``) is an endpoint that
+holds an access identifier and a secret.
 
 A keyword may stand behind a prefix (``aws_``, ``DB_``) and before one of a few
 suffixes (``_id``, ``_url``); the span begins at the keyword.
@@ -44,8 +45,6 @@ from .registry import register, table
 from .shared import boxed, other_columns, quoted, unboxed
 from .textkern import utf8
 
-REACH = 240  # code points between the parts of one credential in a paragraph of one line
-
 
 def _either(word: str) -> str:
     return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -61,7 +60,7 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 # Weak parts; the value is group 1 where there is one.  An underscore may precede a keyword, a letter or digit may not.
 _HEAD = r"(?<![^\W_])"
-_ID_WORDS = r"(?:access_?key_?id|access_?id|client_?id|key_?id|user_?name|user|login|account)(?:[_-](?:id|name|e?mail|[0-9]+))*"
+_ID_WORDS = r"(?:access_?key_?id|access_?id|client_?id|key_?id|user_?name|user|uid|login|account)(?:[\x20_-](?:id|name|e?mail|[0-9]+))*"
 _SECRET_WORDS = (r"(?:pass|pwd|passphrase|passcode|key|auth|credential|cred|pin|signature)"
                  r"(?:[_-](?:value|string|data|b64|base64|[0-9]+))*")
 _END_WORDS = (r"(?:host|hostname|endpoint|server|url|uri|database)"
@@ -73,11 +72,12 @@ WEAK_SECRET = re.compile(
 ENDPOINT = re.compile(
     r"""\b[a-z][a-z0-9+.-]{1,10}://[^\s"'<>]+|""" + _HEAD + "(?i:" + _END_WORDS
     + r""")["']?\x20*[:=]\x20*["']?[A-Za-z0-9./:_-]{3,}""")
+USER_INFO = re.compile(r"""\b[a-z][a-z0-9+.-]{1,10}://([^\s:/@?#"'<>]+):([^\s/@?#"'<>]+)@""")
 PARAGRAPH = re.compile(r"\n[ \t\r]*\n")
 
 # One automaton pass tells which texts can hold an assignment or weak part at all.
 _MAYBE_ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']? *[:=]"
-_MAYBE_WEAK = "(?i)" + _ID_WORDS + r"[\"']? *[:=]"
+_MAYBE_WEAK = "(?i)" + _ID_WORDS + r"[\"']? *[:=]|://[^\s:/@]+:[^\s/@]+@"
 
 _IS_HEX = np.zeros(256, bool)
 _IS_HEX[list(b"0123456789abcdef")] = True
@@ -112,16 +112,17 @@ _PART = np.dtype([("row", np.int64), ("start", np.int64), ("end", np.int64), ("l
 
 
 def weak_parts(row: int, text: str) -> tuple[list, list, list]:
-    """Identifiers, weak secrets and endpoints of a text, each with the reach of its interval in its scope."""
+    """Identifiers, weak secrets and endpoints of a text, each with its scope as its interval."""
     ids, secrets, ends = [], [], []
     cuts = [0, *(m.end() for m in PARAGRAPH.finditer(text)), len(text)]
-    reach = [len(text) if "\n" in text[a:b].strip() else REACH for a, b in zip(cuts, cuts[1:])]
-    for pattern, to in ((IDENTIFIER, ids), (WEAK_SECRET, secrets), (ENDPOINT, ends)):
+    for pattern, *to in ((IDENTIFIER, (0, ids)), (WEAK_SECRET, (0, secrets)), (ENDPOINT, (0, ends)),
+                         (USER_INFO, (1, ids), (2, secrets))):
         at = 0
         for m in pattern.finditer(text):
             while cuts[at + 1] <= m.start() and at + 2 < len(cuts):
                 at += 1
-            to.append((row, m.start(), m.end(), max(cuts[at], m.start() - reach[at]), min(cuts[at + 1], m.end() + reach[at])))
+            for group, parts in to:
+                parts.append((row, *m.span(group), cuts[at], cuts[at + 1]))
     return ids, secrets, ends
 
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 # The separators of words, \x20 and \x09-\x0D.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)

@@ -172,5 +172,27 @@ def test_hops_go_on_until_no_pattern_is_added(spark):
     edges += [(p, 9000 + 10 * p + k, False) for p in (8, 9) for k in range(10)]
     rows = spark.createDataFrame(edges, "pattern long, instance long, seed boolean")
     assert {r.pattern for r in P.good_patterns(rows).collect()} == {0}
-    hop = [{r.pattern for r in P.bootstrapped(rows, min_confidence=0.5, hops=h).collect()} for h in (0, 1, 8)]
+    hop = [{r.pattern for r in P.bootstrapped(rows, min_confidence=0.5, hops=h).collect()} for h in (0, 1, None)]
     assert hop[0] == {0} and hop[1] == {0, 1} and hop[2] >= {0, 1, 2} and not hop[2] & {8, 9}
+
+
+def test_context_has_no_reach():
+    word = "w" * 5000
+    for gap in (" ", " " * 400, "\t \t"):
+        assert P.context(f"{word}{gap}before it 1", len(word + gap + "before it ")) == P.context("x before it 1", 12)
+        assert P.context(f"a {word}{gap}1", len(f"a {word}{gap}")) == P.context(f"b a {word} 1", len(f"b a {word} "))
+        assert P.context(f"Label:\n{gap}1", 7 + len(gap)) == P.context("Label:\n1", 7)
+    assert P.context("\n \n 1", 4) is None and P.context("1", 0) is None
+
+
+def test_recall_of_unseen_identifiers(spark):
+    """Identifiers that no base pattern catches, in contexts that seeds have shown; and clean texts of the same words."""
+    import random
+    rng = random.Random(4)
+    leads = ["please write mail to", "you can reach me at", "my personal contact is", "send the invoice to"]
+    seeds = [f"{rng.choice(leads)} user{i}@site{i}.org before noon" for i in range(120)]
+    unseen = [f"{rng.choice(leads)} {rng.choice('abcdefgh')}handle_{rng.randrange(10**6)}@intranet before noon" for i in range(60)]
+    clean = [f"the {rng.choice(['part', 'order', 'page'])} number {rng.randrange(10**7, 10**8)} was found in the list" for i in range(60)]
+    got = {r.doc_id: r.n_context for r in P.pii_spans(frame(spark, seeds + unseen + clean)).collect()}
+    found = [got[120 + i] for i in range(60)]
+    assert sum(found) >= 0.9 * len(found) and sum(got[180 + i] for i in range(60)) == 0

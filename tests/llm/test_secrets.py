@@ -55,10 +55,15 @@ def spans(*texts):
 def test_weak_parts_need_their_complements():
     linked = "user: bob\nkey: s3cr\nhttps://x.y/z"
     apart = "user: bob\n\nkey: s3cr\n\nhttps://x.y/z"  # scopes of their own
-    far = "user: bob " + "word " * 100 + "key: s3cr https://x.y/z"
+    far = "user: bob " + "word " * 10000 + "key: s3cr https://x.y/z"
     partial = "user: bob key: s3cr"
     got = spans(linked, apart, far, partial, linked)
-    assert got == ["weak_id:0:9,weak_secret:10:19", "", "", "", "weak_id:0:9,weak_secret:10:19"]
+    assert got == ["weak_id:0:9,weak_secret:10:19", "", "weak_id:0:9,weak_secret:50010:50019", "", "weak_id:0:9,weak_secret:10:19"]
+
+
+def test_credentials_in_one_line():
+    assert spans("see postgres://bob:hunter2@host/x for it", "Server=db1;User ID=bob;Pwd=x1y2;", "http://a.b:80/c@d", "mail://bob@host") == [
+        "weak_id:15:18,weak_secret:19:26", "weak_id:11:22,weak_secret:23:31", "", ""]
 
 
 def test_strong_secret_names_its_identifier():
