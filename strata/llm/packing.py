@@ -68,8 +68,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.known = Remembered()  # 32-bit ids
 
-    def learn(self, words: set[str]) -> None:
-        new = list(words)
+    def learn(self, new: list[str]) -> None:
         for i in range(0, len(new), 4096):
             call = new[i:i + 4096]
             for w, e in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False)):
@@ -83,7 +82,7 @@ class WordEncoder:
             whole = at in (0, len(w)) or not (w[at - 1].isalpha() or w[at - 1].isdecimal())
             split.append((w, "") if whole else (core, w[at:]))
         known = self.known
-        self.learn({p for parts in split for p in parts if p not in known})
+        self.learn(known.unknown({p for parts in split for p in parts}))
         out = [known[a] + known[b] if b else known[a] for a, b in split]
         known.settle()
         return out

@@ -141,7 +141,7 @@ class PieceModel:
             before = word
 
     def ids_of(self, words: list[str]) -> list[bytes]:
-        self.learn([w for w in words if w not in self.known])
+        self.learn(self.known.unknown(dict.fromkeys(words)))
         out = [self.known[w] for w in words]
         self.known.settle()
         return out

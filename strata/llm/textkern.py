@@ -69,23 +69,37 @@ def giving_back(fn):
 
 
 class Remembered(dict):
-    """What a worker has found out about words, bounded by bytes: ``settle`` forgets all once they are too many.
+    """What a worker has found out about words, bounded by bytes.
 
-    It is called after each batch, so the batch's own words are the only ones beyond the bound.
+    Two generations: ``settle``, called after each batch, turns a full one into the
+    old one and drops the one before.  Words in use move on to the young one, so
+    frequent words stay; a batch's own words are the only ones beyond the bound.
     """
 
-    LIMIT = 32 << 20
+    LIMIT = 48 << 20  # bytes of a generation
     ENTRY = 200  # bytes of an entry besides its characters
 
     def __init__(self):
-        self.bytes = 0
+        self.bytes, self.old = 0, {}
 
     def learn(self, word: str, value) -> None:
         self[word] = value
         self.bytes += self.ENTRY + (len(word) if word.isascii() else 4 * len(word)) + (len(value) if isinstance(value, bytes) else 0)
 
+    def unknown(self, words) -> list[str]:
+        """Those of the distinct ``words`` that are in neither generation; all others are in the young one then."""
+        out = []
+        for w in [w for w in words if w not in self]:
+            value = self.old.get(w)
+            if value is None:
+                out.append(w)
+            else:
+                self.learn(w, value)
+        return out
+
     def settle(self) -> None:
         if self.bytes > self.LIMIT:
+            self.old = dict(self) if self.bytes <= 2 * self.LIMIT else {}  # one batch of very long words is not kept
             self.clear()
             self.bytes = 0
 

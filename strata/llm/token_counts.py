@@ -65,7 +65,7 @@ class PieceCounter:
                 self.known.learn(p, len(e))
 
     def lengths(self, distinct: list[str]) -> np.ndarray:
-        self.encode_lengths([p for p in distinct if p not in self.known])
+        self.encode_lengths(self.known.unknown(dict.fromkeys(distinct)))
         out = np.fromiter((self.known[p] for p in distinct), np.int64, len(distinct))
         self.known.settle()
         return out
