@@ -22,10 +22,20 @@ def test_without_the_corpus_subpackage(monkeypatch, missing):
     assert set(E.queries()) == set(own) and set(E.oracle_sql()) == set(oracle)
 
 
-def test_other_import_errors_are_not_swallowed(monkeypatch):
+@pytest.mark.parametrize("missing", ["xxhash", "public_tokenizers"])
+def test_without_a_package_that_the_corpus_queries_need(monkeypatch, missing):
     pytest.importorskip("corpus_pipeline")
     for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("strata.llm")]:
         monkeypatch.delitem(sys.modules, name)
-    monkeypatch.setitem(sys.modules, "xxhash", None)
-    with pytest.raises(ModuleNotFoundError):
+    monkeypatch.setitem(sys.modules, missing, None)
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(E.queries()) == set(load_all()[0])
+
+
+def test_import_errors_of_the_rest_are_raised(monkeypatch):
+    pytest.importorskip("corpus_pipeline")
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("strata.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "strata.session", None)
+    with pytest.raises(ImportError):
         E.queries()
