@@ -9,7 +9,7 @@ from ..functions.schemas import ALERTS_ENVELOPE, MEASURES, envelope
 from ..session import input_key, scratch_path
 from ..sinks.writers import land_blobs, land_text, write_csv, write_sidecars
 from ..sources import adapters as A
-from ..sources.bronze import (binary_files, csv_rows_to_envelopes, document_envelope, envelope_json, history_window,
+from ..sources.bronze import (binary_files, csv_rows_to_envelopes, document_envelope, document_field, envelope_json, history_window,
                               manifest, partition_columns, preferred_file, shape_weather_archive, shape_weather_current)
 from ..sources.readers import (BRONZE_GLOB, landed_files, path_value, read_bronze, read_csv_dialect,
                                read_sidecar_table)
@@ -145,12 +145,6 @@ def q_bronze_alerts_csv(spark, sf_dir):
 
 # --- whole JSON documents, pretty-printed, one per file (#4) -------------------
 ROADS_DOC_DIV = 1000
-ROADS_PAYLOAD = T.StructType([
-    T.StructField("generator", T.StringType()),
-    T.StructField("elements", T.ArrayType(T.StructType([
-        T.StructField("type", T.StringType()), T.StructField("id", T.LongType()),
-        T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())]))),
-])
 _DOCS: dict = {}
 
 
@@ -162,18 +156,21 @@ def land_documents(spark: SparkSession, sf_dir: str) -> str:
     if key not in _DOCS:
         w = A.weather_records(spark, sf_dir)
         el = F.struct(F.lit("node").alias("type"), F.col("event_id").alias("id"),
-                      F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+                      F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
+                      F.struct("source").alias("tags"))
         docs = (w.groupBy(F.expr(f"event_id div {ROADS_DOC_DIV}").alias("doc_id"))
                 .agg(F.sort_array(F.collect_list(el)).alias("elements"))
-                .select("doc_id", F.to_json(F.struct(F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
-                                                     .alias("generator"), "elements")).alias("raw")))
-        env = document_envelope(docs, "raw", ROADS_PAYLOAD, A.FETCHED_AT, "roads_osm", A.OWNER)
+                .select("doc_id", F.to_json(F.struct(
+                    F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("generator"),
+                    F.struct(F.col("doc_id").alias("revision"), F.array("doc_id", F.lit(0)).alias("history")).alias("meta"),
+                    "elements")).alias("raw")))
+        env = document_envelope(docs, "raw", A.FETCHED_AT, "roads_osm", A.OWNER)
         lines = env.select(envelope_json().alias("value"), "domain", "source", *partition_columns(F.col("ingest_ts")))
         _DOCS[key] = land_text(lines, "value", scratch_path(spark, "roads"), ["domain", "source", "ingest_date", "hour"])
     return _DOCS[key]
 
 
-def read_documents(spark: SparkSession, root: str, payload=ROADS_PAYLOAD, glob: str = "*{Z.json,.txt}") -> DataFrame:
+def read_documents(spark: SparkSession, root: str, payload: T.DataType = T.VariantType(), glob: str = "*{Z.json,.txt}") -> DataFrame:
     """Each file is one (multi-line) JSON value.  The default glob takes landed
     ``part-<stamp>Z.json`` documents and our text-sink files, never ``*.meta.json`` sidecars."""
     return (spark.read.schema(envelope(payload)).option("multiLine", True)
@@ -181,13 +178,21 @@ def read_documents(spark: SparkSession, root: str, payload=ROADS_PAYLOAD, glob:
 
 
 @register("bronze_json_document", f"""WITH w AS ({WEATHER}) SELECT concat('doc-', CAST(event_id // {ROADS_DOC_DIV}
-    AS VARCHAR)) AS generator, count(*) AS n_elements, min(event_id) AS min_id, max(event_id) AS max_id,
+    AS VARCHAR)) AS generator, event_id // {ROADS_DOC_DIV} AS revision, concat('[', CAST(event_id // {ROADS_DOC_DIV} AS VARCHAR),
+    ',0]') AS history, count(*) AS n_elements, count(*) FILTER (source = 'current_api') AS n_current, min(event_id) AS min_id, max(event_id) AS max_id,
     'roads' AS domain, 'roads_osm' AS source, 'owner' AS author_surname, '{A.FETCHED_AT}' AS ingest_ts
     FROM w GROUP BY event_id // {ROADS_DOC_DIV}""")
 def q_bronze_json_document(spark, sf_dir):
-    d = read_bronze(spark, land_documents(spark, sf_dir), envelope(ROADS_PAYLOAD))
-    ids = F.transform("payload.elements", lambda e: e["id"])
-    return d.select("payload.generator", F.size("payload.elements").cast("bigint").alias("n_elements"),
+    """Documents landed whole and read back as VARIANT; fields are looked up by path, nested ones among them."""
+    d = read_bronze(spark, land_documents(spark, sf_dir), envelope(T.VariantType()))
+    p = F.col("payload")
+    elements = document_field(p, "$.elements", "array<struct<id: bigint, tags: map<string, string>>>")
+    ids = F.transform(elements, lambda e: e["id"])
+    current = F.filter(elements, lambda e: e["tags"]["source"] == "current_api")
+    return d.select(document_field(p, "$.generator", "string").alias("generator"),
+                    document_field(p, "$.meta.revision", "bigint").alias("revision"),
+                    F.to_json(document_field(p, "$.meta.history", "variant")).alias("history"),
+                    F.size(elements).cast("bigint").alias("n_elements"), F.size(current).cast("bigint").alias("n_current"),
                     F.array_min(ids).alias("min_id"), F.array_max(ids).alias("max_id"), "domain", "source",
                     F.col("metadata.author_surname").alias("author_surname"), "ingest_ts")
 

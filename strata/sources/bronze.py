@@ -112,11 +112,19 @@ def csv_rows_to_envelopes(rows: DataFrame, fetched_at: str, source: str, owner:
     return rows.select(*envelope_cols(F.lit(fetched_at), source, domain, owner), payload.alias("payload"))
 
 
-def document_envelope(docs: DataFrame, raw: str, payload_schema: T.DataType, fetched_at: str, source: str,
-                      owner: str, domain: str = "roads") -> DataFrame:
-    """A whole JSON document as the payload of one envelope record."""
+def document_envelope(docs: DataFrame, raw: str, fetched_at: str, source: str, owner: str, domain: str = "roads") -> DataFrame:
+    """A whole JSON document as the VARIANT payload of one envelope record.
+
+    No schema is named, so every field of the document is kept, known or not;
+    text that does not begin with a JSON value gives a null payload (Spark's parser
+    ignores what follows the value)."""
     return docs.select(*envelope_cols(F.lit(fetched_at), source, domain, owner),
-                       F.from_json(F.col(raw), payload_schema).alias("payload"))
+                       F.try_parse_json(F.col(raw)).alias("payload"))
+
+
+def document_field(payload: Column, path: str, kind: str) -> Column:
+    """A field of a VARIANT payload, null where it is missing or of another kind."""
+    return F.try_variant_get(payload, path, kind)
 
 
 def manifest(landed: DataFrame, owner: str, source_urls: dict[str, str], content_type: str,

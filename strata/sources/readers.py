@@ -9,7 +9,7 @@ a caller asks for the notebooks' inference behaviour.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from ..functions.schemas import MANIFEST, MOBILITY, SILVER_WEATHER, WEATHER_ENVELOPE
@@ -99,14 +99,67 @@ def read_csv_strings(spark: SparkSession, path: str, infer: bool = False) -> Dat
             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path))
 
 
+def csv_records(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """Records of CSV files whose quoted fields may hold line ends: (record, header), one file read by many tasks.
+
+    Files are read as lines, in byte ranges.  Quotes come in pairs, so whether a
+    line begins inside a field follows from the number of quotes before it: their
+    parity over the lines of a chunk, and over the chunks before it, of which only
+    one row each is looked at.  Lines that are a record by themselves stay as they
+    are; only the others are put together, by the place of their record's first line.
+
+    A quote that is neither around a field nor doubled inside one is an error of the
+    file that this reader does not see.  Blank lines outside of fields are no records."""
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("chunk"),
+                     F.monotonically_increasing_id().alias("at")))
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    in_chunk = Window.partitionBy("file", "chunk").orderBy("at")
+    # parity within the chunk, before the line, and after it
+    lines = lines.withColumn("after", (F.sum(odd).over(in_chunk) % 2).cast("int")).withColumn("odd", odd)
+    lines = lines.withColumn("before", (F.col("after") + F.col("odd")) % 2)
+
+    # one row a chunk: its parity, and where records begin last under either parity before it
+    chunks = lines.groupBy("file", "chunk").agg(
+        F.min("at").alias("first"), F.max_by("after", "at").alias("parity"),
+        *(F.max(F.when(F.col("before") == p, F.col("at"))).alias(f"last{p}") for p in (0, 1)))
+    earlier = Window.partitionBy("file").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("inside", (F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2).cast("int"))
+    begun = F.when(F.col("inside") == 0, F.col("last0")).otherwise(F.col("last1"))
+    chunks = chunks.withColumn("begun", F.last(begun, True).over(earlier)).withColumn(
+        "top", F.min(F.struct("chunk", "first")).over(Window.partitionBy("file"))["first"])
+
+    placed = lines.join(chunks.select("file", "chunk", "inside", "begun", "top"), ["file", "chunk"])
+    starts = F.col("before") == F.col("inside")  # outside of a field
+    ends = F.col("after") == F.col("inside")
+    home = F.coalesce(F.last(F.when(starts, F.col("at")), True).over(in_chunk), F.col("begun"))
+    placed = placed.withColumn("home", home).withColumn("alone", starts & ends)
+    alone = placed.filter("alone").select("value", (F.col("home") == F.col("top")).alias("header"))
+    # the order of lines is that of their chunks, then of the lines in them
+    split = placed.filter("not alone").groupBy("file", "home").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "at", "value"))), lambda x: x["value"]), "\n").alias("value"),
+        F.min("top").alias("top")).select("value", (F.col("home") == F.col("top")).alias("header"))
+    record = F.regexp_replace("value", "\r$", "")
+    return alone.union(split).select(record.alias("record"), "header").filter("record <> '' or header")
+
+
 def read_csv_dialect(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV in the dialect of Python's csv module: quoted fields may hold
     separators, line ends and doubled quotes; an empty field is the empty string.
-
-    Line ends inside quotes keep a file in one task, so land such files in pieces."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path))
-    return df.fillna("")
+    A short record has empty fields, and what a long one has too much is dropped.
+
+    A file is read by many tasks (``csv_records``).  The names are those of the
+    first file's header; every file's header is left out."""
+    names = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)).columns
+    if not names:
+        return spark.createDataFrame([], T.StructType())
+    schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(names))])
+    # fields have no length limit here: a record is bounded by its file
+    options = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "mode": "PERMISSIVE", "emptyValue": ""}
+    row = F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    rows = csv_records(spark, path).filter(~F.col("header")).select(row.alias("r"))
+    return rows.select(*(F.coalesce(F.col(f"r.c{k}"), F.lit("")).alias(n) for k, n in enumerate(names)))
 
 
 def read_csv_typed(spark: SparkSession, path: str, index_cols=(), extra=()) -> DataFrame:
