@@ -16,17 +16,21 @@ def not_null(*names: str) -> list[tuple[str, Column]]:
     return [(f"{n}_not_null", F.col(n).isNotNull()) for n in names]
 
 
-def between(name: str, lo, hi) -> tuple[str, Column]:
-    return (f"{name}_between", F.col(name).between(lo, hi))
-
-
-def at_least(name: str, lo, strict: bool = False) -> tuple[str, Column]:
-    c = F.col(name) > lo if strict else F.col(name) >= lo
-    return (f"{name}_{'gt' if strict else 'ge'}", c)
-
-
-def at_most(name: str, hi) -> tuple[str, Column]:
-    return (f"{name}_le", F.col(name) <= hi)
+def limits(name: str, least=None, most=None, above: bool = False) -> list[tuple[str, Column]]:
+    """The range of a column; with ``above`` the lower limit must be exceeded."""
+    out = []
+    if least is not None:
+        out.append((f"{name}_from_{least}", F.col(name) > least if above else F.col(name) >= least))
+    if most is not None:
+        out.append((f"{name}_to_{most}", F.col(name) <= most))
+    return out
+
+
+def from_table(table, which: str, above=()) -> list[tuple[str, Column]]:
+    """Rules of the set ``which`` from rows (column, least, most, sets that require the column)."""
+    mine = [row for row in table if which in row[3].split()]
+    required = not_null(*(row[0] for row in mine))
+    return required + [rule for name, least, most, _ in mine for rule in limits(name, least, most, name in above)]
 
 
 def equals(name: str, value) -> tuple[str, Column]:

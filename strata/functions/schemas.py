@@ -45,11 +45,67 @@ MOBILITY_COLUMNS = (
 )
 # Columns that a silver run adds to a row.
 LINEAGE = ("schema_v", "batch_id", "processed_author_surname", "processed_source")
-# --- end of fixed values ---------------------------------------------------
-
+# Domains whose payloads do not change from pass to pass.
 STATIC_DOMAINS = ("alerts", "roads")
-
+# Measured values of a weather payload.
 MEASURES = ("temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m")
+# Fields of a sidecar record.
+MANIFEST_FIELDS = ("author_surname", "domain", "source", "source_url", "fetched_at", "content_type", "stored_file")
+# Validity of weather rows: (column, least, most, rule sets that require the column).
+WEATHER_VALIDITY = (
+    ("author_surname", None, None, "silver audit"),
+    ("domain", None, None, "silver audit"),
+    ("source", None, None, "silver audit"),
+    ("ingest_ts", None, None, "silver audit"),
+    ("event_ts", None, None, "silver audit"),
+    ("city", None, None, "silver audit"),
+    ("latitude", -90, 90, "silver audit"),
+    ("longitude", -180, 180, "silver audit"),
+    ("temperature_2m", -100, 100, "silver audit"),
+    ("relative_humidity_2m", 0, 100, "silver audit"),
+    ("precipitation", 0, None, "silver audit"),
+    ("wind_speed_10m", 0, None, "silver audit"),
+    ("ingest_date", None, None, "silver"),
+    ("hour", None, None, "silver"),
+    ("schema_v", None, None, "audit"),
+    ("batch_id", None, None, "audit"),
+)
+# Validity of mobility rows: (column, least, most, rule sets that require the column);
+# a limit in ABOVE must be exceeded, not only reached.
+MOBILITY_VALIDITY = (
+    ("vehicle_id", None, None, "gold modeling"),
+    ("route_id", None, None, "gold modeling"),
+    ("lat", -90, 90, "gold modeling"),
+    ("lng", -180, 180, "gold modeling"),
+    ("speed", 0, 150, "gold modeling"),
+    ("dir", None, None, "modeling"),
+    ("ingest_date", None, None, "gold modeling"),
+    ("hour", 0, 23, "gold modeling"),
+    ("dt_sec", 0, None, "gold modeling"),
+    ("dist_km", 0, None, "gold modeling"),
+    ("day_of_week", None, None, "modeling"),
+    ("period", None, None, "gold modeling"),
+    ("lat_grid", None, None, "gold modeling"),
+    ("lng_grid", None, None, "gold modeling"),
+    ("is_congested", None, None, "gold modeling"),
+    ("is_alert", None, None, "gold"),
+    ("is_post_alert", None, None, "gold"),
+    ("temp_c", -60, 100, "gold modeling"),
+    ("precip_mm", 0, None, "gold modeling"),
+    ("rain_mm", 0, None, "gold modeling"),
+    ("snow_cm", 0, None, "gold modeling"),
+    ("snow_depth_m", 0, None, "gold modeling"),
+    ("wind_kmh", 0, None, "gold modeling"),
+    ("visibility_m", 0, None, "gold modeling"),
+    ("cloud_pct", 0, 100, "gold modeling"),
+    ("is_freezing", None, None, "gold modeling"),
+    ("is_snowing", None, None, "gold modeling"),
+    ("is_raining", None, None, "gold modeling"),
+    ("bad_visibility", None, None, "gold modeling"),
+    ("event_ts", None, None, "modeling"),
+)
+ABOVE = ("dt_sec",)
+# --- end of fixed values ---------------------------------------------------
 
 LOCATION_FIELDS = [
     T.StructField("latitude", T.DoubleType()),
@@ -99,8 +155,7 @@ WEATHER_ENVELOPE = envelope(WEATHER_PAYLOAD)
 # Alerts rows are header-driven CSV rows: any header -> string value.
 ALERTS_ENVELOPE = envelope(T.MapType(T.StringType(), T.StringType()))
 
-MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in (
-    "author_surname", "domain", "source", "source_url", "fetched_at", "content_type", "stored_file")])
+MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in MANIFEST_FIELDS])
 
 SILVER_WEATHER = T.StructType([
     T.StructField("author_surname", T.StringType()),

@@ -10,19 +10,25 @@ with a single ``transform``).  Metrics are SQL aggregates over
 from __future__ import annotations
 
 import concurrent.futures as cf
+import math
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 from pyspark import StorageLevel
 
 from ..functions.stats import exact_mode, exact_quantiles, running_sum_before
+from ..session import scratch_path
 
 
 # --- preprocessing fits --------------------------------------------------------
@@ -96,11 +102,73 @@ def fit_preprocessing(train: DataFrame, numeric, categorical=()) -> Prep:
     return prep
 
 
+class LeastSquares(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Linear model over ``features``: adds ``prediction``."""
+
+    weights = Param(Params._dummy(), "weights", "one weight for each feature", TypeConverters.toListFloat)
+    offset = Param(Params._dummy(), "offset", "prediction of a row of zeros", TypeConverters.toFloat)
+
+    def __init__(self, weights=None, offset=None):
+        super().__init__()
+        if weights is not None:
+            self._set(weights=list(map(float, weights)), offset=float(offset))
+
+    @property
+    def coefficients(self):
+        return Vectors.dense(self.getOrDefault(self.weights))
+
+    @property
+    def intercept(self) -> float:
+        return self.getOrDefault(self.offset)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        weights = F.array(*(F.lit(w) for w in self.getOrDefault(self.weights)))
+        products = F.zip_with(vector_to_array("features"), weights, lambda x, w: x * w)
+        return dataset.withColumn("prediction", F.aggregate(products, F.lit(self.intercept), lambda s, p: s + p))
+
+
+def moments(df: DataFrame, features: str, label: str, size: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and centred second moments of the features and, last, the label: two aggregates whose size is fixed.
+
+    The means come first, so that large offsets cost no digits."""
+    x = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y")).select(
+        *(F.get("x", F.lit(i)).alias(f"c{i}") for i in range(size)), F.col("y").alias(f"c{size}"))
+    names = x.columns
+    first = x.agg(F.count(F.lit(1)).alias("n"), *(F.avg(c).alias(c) for c in names)).first()
+    if not first["n"]:
+        raise ValueError("no rows to fit")
+    mean = np.array([first[c] for c in names], float)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    gap = [F.col(c) - F.lit(float(m)) for c, m in zip(names, mean)]
+    sums = x.agg(*(F.sum(gap[i] * gap[j]).alias(f"s{k}") for k, (i, j) in enumerate(pairs))).first()
+    second = np.zeros((len(names), len(names)))
+    for k, (i, j) in enumerate(pairs):
+        second[i, j] = second[j, i] = sums[k]
+    return first["n"], mean, second
+
+
+def minimum_norm(second: np.ndarray, rank_tol: float = 1e-10) -> np.ndarray:
+    """Least-squares weights from centred moments (label last); of all solutions the one of least norm.
+
+    Directions whose share of the largest eigenvalue is below ``rank_tol`` are those in
+    which the features do not vary, as among the dummies of one category."""
+    values, vectors = np.linalg.eigh(second[:-1, :-1])
+    some = values > rank_tol * max(values.max(initial=0.0), 1e-300)
+    v = vectors[:, some]
+    return v @ ((v.T @ second[:-1, -1]) / values[some])
+
+
 def fit_linear_regression(train: DataFrame, prep: Prep, label: str) -> PipelineModel:
-    """Ordinary least squares (no penalty), intercept fitted."""
-    lr = LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, elasticNetParam=0.0,
-                          predictionCol="prediction")
-    return Pipeline(stages=[*prep.stages, lr]).fit(train)
+    """Ordinary least squares (no penalty), intercept fitted, from one distributed moment matrix.
+
+    The design has all dummies of a category besides the intercept, so its rank is
+    deficient; the solution of least norm is the one that ``lstsq`` gives."""
+    ready = Pipeline(stages=prep.stages).fit(train)
+    rows = ready.transform(train)
+    size = rows.schema["features"].metadata["ml_attr"]["num_attrs"]
+    _, mean, second = moments(rows, "features", label, size)
+    weights = minimum_norm(second)
+    return PipelineModel(stages=[*ready.stages, LeastSquares(weights, mean[-1] - mean[:-1] @ weights)])
 
 
 def fit_logistic_regression(train: DataFrame, prep: Prep, label: str, c: float = 1.0, max_iter: int = 1000,
@@ -171,10 +239,64 @@ def inertia(model, scored: DataFrame) -> float:
     return float(scored.agg(F.sum(F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g))).first()[0] or 0.0)
 
 
-def kmeans_metrics(model, scored: DataFrame) -> dict:
+SILHOUETTE_POINTS = 1000  # sampled points of a cluster
+SILHOUETTE_BLOCKS = 16
+SILHOUETTE_MISS = 0.01  # chance that the true value lies outside the bound
+
+
+def silhouette(scored: DataFrame, size: int, key: str, points: int = SILHOUETTE_POINTS) -> tuple[float | None, float | None]:
+    """Euclidean silhouette over all rows and a bound on its error; exact (bound 0) for clusters of up to ``points`` rows.
+
+    Of larger clusters a sample by the hash of ``key`` stands for the rest.  The
+    sampled points meet in pairs of blocks: a point is sent to every block, a block
+    holds a share of the sample, so the work is bounded whatever the table.  The bound
+    adds Hoeffding's, for the mean over sampled points of each cluster, to the normal
+    one for the mean distances that a point's value rests on.  Null with fewer than two
+    clusters."""
+    counts = {r["cluster_id"]: r["count"] for r in scored.groupBy("cluster_id").count().collect()}
+    if len(counts) < 2:
+        return None, None
+    share = F.lit(1.0)
+    for c, n in counts.items():
+        share = F.when(F.col("cluster_id") == c, F.lit(points / n)).otherwise(share)
+    spread = F.pmod(F.xxhash64(key, F.lit("silhouette")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    x = vector_to_array("features")
+    path = scratch_path(scored.sparkSession, "silhouette")
+    scored.filter(spread < share).select(
+        "cluster_id", F.pmod(F.xxhash64(key), F.lit(SILHOUETTE_BLOCKS)).cast("int").alias("block"),
+        F.monotonically_increasing_id().alias("row"), *(F.get(x, F.lit(i)).alias(f"x{i}") for i in range(size))).write.parquet(path)
+    sample = scored.sparkSession.read.parquet(path)
+    mine = sample.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(SILHOUETTE_BLOCKS - 1))))
+    other = sample.select("block", F.col("cluster_id").alias("to"), F.col("row").alias("at"), *(F.col(f"x{i}").alias(f"z{i}") for i in range(size)))
+    squares = [(F.col(f"x{i}") - F.col(f"z{i}")) * (F.col(f"x{i}") - F.col(f"z{i}")) for i in range(size)]
+    far = mine.join(other, "block").filter("row <> at").select("row", "cluster_id", "to", F.sqrt(sum(squares[1:], squares[0])).alias("d"))
+    means = far.groupBy("row", "cluster_id", "to").agg(F.avg("d").alias("d"), F.coalesce(F.stddev_samp("d"), F.lit(0.0)).alias("sd"), F.count("*").alias("n"))
+    whole = F.lit(False)
+    for c, n in counts.items():
+        whole = whole | (F.col("to") == c) & F.lit(n <= points)
+    miss = F.when(whole, 0.0).otherwise(NormalDist().inv_cdf(1 - SILHOUETTE_MISS / 2) * F.col("sd") / F.sqrt("n"))
+    means = means.withColumn("miss", miss)
+    a = F.struct("d", "miss")
+    per_row = means.groupBy("row", "cluster_id").agg(
+        F.max(F.when(F.col("to") == F.col("cluster_id"), a)).alias("a"), F.min(F.when(F.col("to") != F.col("cluster_id"), a)).alias("b"))
+    top = F.greatest("a.d", "b.d")
+    # a point alone in its cluster has no distance within, and the value 0; so have points that are all equal
+    value = F.when(F.col("a").isNull() | (top == 0), 0.0).otherwise((F.col("b.d") - F.col("a.d")) / top)
+    unsure = F.when(F.col("a").isNull() | (top == 0), 0.0).otherwise((F.col("a.miss") + F.col("b.miss")) / top)
+    got = per_row.groupBy("cluster_id").agg(F.avg(value).alias("s"), F.avg(unsure).alias("u"), F.count("*").alias("m")).collect()
+    total = sum(counts.values())
+    weight = {r["cluster_id"]: counts[r["cluster_id"]] / total for r in got}
+    mean = sum(weight[r["cluster_id"]] * r["s"] for r in got)
+    outer = sum(weight[r["cluster_id"]] ** 2 / r["m"] for r in got if counts[r["cluster_id"]] > points)
+    return mean, (2 * math.log(2 / SILHOUETTE_MISS) * outer) ** 0.5 + sum(weight[r["cluster_id"]] * r["u"] for r in got)
+
+
+def kmeans_metrics(model, scored: DataFrame, key: str) -> dict:
+    """Inertia over all rows, the Euclidean silhouette with the bound on its error, and the squared Euclidean one."""
     sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id",
                               distanceMeasure="squaredEuclidean").evaluate(scored)
-    return {"inertia": inertia(model, scored), "silhouette_sq_euclidean": float(sil)}
+    mean, bound = silhouette(scored, len(model.clusterCenters()[0]), key)
+    return {"inertia": inertia(model, scored), "silhouette": mean, "silhouette_bound": bound, "silhouette_sq_euclidean": float(sil)}
 
 
 def cluster_summary(scored: DataFrame) -> DataFrame:
@@ -229,23 +351,20 @@ def grid_map(scored: DataFrame, cluster_col: str = "predicted_cluster_id",
     """Per grid cell: actual/predicted averages and the dominant cluster
     (most frequent, ties -> smallest; -1 if none).
 
-    The mode is computed as counts per (cell, cluster) then a max over
-    (count, -cluster) per cell: two small aggregates instead of buffering each
-    cell's values."""
+    The rows are aggregated once, by (cell, cluster), to sums and counts; averages and
+    the mode of a cell are both finished from these few rows."""
     keys = ["lat_grid", "lng_grid"]
-    aggs = [F.avg("speed").alias("actual_avg_speed"), F.avg("is_congested").alias("actual_congestion_rate")]
+    means = {"actual_avg_speed": "speed", "actual_congestion_rate": "is_congested"}
     if pred_speed:
-        aggs.append(F.avg(pred_speed).alias("predicted_avg_speed"))
+        means["predicted_avg_speed"] = pred_speed
     if pred_prob:
-        aggs.append(F.avg(pred_prob).alias("predicted_congestion_rate"))
-    base = scored.groupBy(*keys).agg(*aggs)
-    counts = (scored.where(F.col(cluster_col).isNotNull()).groupBy(*keys, cluster_col)
-              .agg(F.count(F.lit(1)).alias("_n")))
-    mode = counts.groupBy(*keys).agg(F.max(F.struct(F.col("_n"), (-F.col(cluster_col)).alias("_neg")))
-                                     .alias("_best"))
-    mode = mode.select(*keys, (-F.col("_best._neg")).cast("int").alias("dominant_cluster"))
-    return (base.join(mode, keys, "left")
-            .withColumn("dominant_cluster", F.coalesce(F.col("dominant_cluster"), F.lit(-1))))
+        means["predicted_congestion_rate"] = pred_prob
+    parts = [e for out, c in means.items() for e in (F.sum(F.col(c).cast("double")).alias(f"_s_{out}"), F.count(c).alias(f"_n_{out}"))]
+    cells = scored.groupBy(*keys, F.col(cluster_col).alias("_cluster")).agg(*parts, F.count(F.lit(1)).alias("_n"))
+    best = F.max(F.when(F.col("_cluster").isNotNull(), F.struct(F.col("_n"), (-F.col("_cluster")).alias("_neg"))))
+    return cells.groupBy(*keys).agg(
+        *(F.try_divide(F.sum(f"_s_{out}"), F.sum(f"_n_{out}")).alias(out) for out in means), best.alias("_best")).select(
+        *keys, *means, F.coalesce((-F.col("_best._neg")).cast("int"), F.lit(-1)).alias("dominant_cluster"))
 
 
 def grid_center(grid: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def ml_job(spark: SparkSession, csv_path: str, out_root: str, owner: str, run_id
             "yhat", F.col("prediction").cast("int"))
         log_m = {**ML.classification_metrics(t, "is_congested", "yhat").first().asDict(),
                  **ML.roc_auc(t, "is_congested", "p1").first().asDict()}
-        km_m = ML.kmeans_metrics(km, scored_clusters)
+        km_m = ML.kmeans_metrics(km, scored_clusters, key)
         metrics = {"author_surname": owner, "run_id": run_id, "linear_regression": lin_m,
                    "logistic_regression": log_m, "kmeans": km_m}
         write_json_rows(spark.createDataFrame([(run_id, json.dumps(metrics))], "run_id string, metrics string"),

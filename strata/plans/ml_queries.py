@@ -259,12 +259,14 @@ def q_kmeans_sectors(spark, sf_dir):
     return state(spark, sf_dir).cluster_scored().select("event_id", "cluster_id")
 
 
+KMEANS_METRICS = ("inertia", "silhouette", "silhouette_bound", "silhouette_sq_euclidean")
+
+
 @register("kmeans_metrics")
 def q_kmeans_metrics(spark, sf_dir):
     st = state(spark, sf_dir)
-    m = ML.kmeans_metrics(st.kmeans, st.cluster_scored())
-    return spark.createDataFrame([(m["inertia"], m["silhouette_sq_euclidean"])],
-                                 "inertia double, silhouette_sq_euclidean double")
+    m = ML.kmeans_metrics(st.kmeans, st.cluster_scored(), "event_id")
+    return spark.createDataFrame([tuple(m[c] for c in KMEANS_METRICS)], ", ".join(f"{c} double" for c in KMEANS_METRICS))
 
 
 @register("cluster_summary")
@@ -331,13 +333,13 @@ def q_write_metrics_json(spark, sf_dir):
         "p1", ML.positive_probability()).withColumn("yhat", F.col("prediction").cast("int"))
     cls = (ML.classification_metrics(test, "is_congested", "yhat").first().asDict()
            | ML.roc_auc(test, "is_congested", "p1").first().asDict())
-    km = ML.kmeans_metrics(st.kmeans, st.cluster_scored())
+    km = ML.kmeans_metrics(st.kmeans, st.cluster_scored(), "event_id")
     rec = spark.createDataFrame(
         [(OWNER, RUN_ID, tuple(lin[c] for c in ("mae", "rmse", "r2")),
           tuple(cls[c] for c in ("accuracy", "precision", "recall", "f1", "roc_auc")),
-          (km["inertia"], km["silhouette_sq_euclidean"]))],
+          tuple(km[c] for c in KMEANS_METRICS))],
         "author_surname string, run_id string, linear_regression struct<mae: double, rmse: double, r2: double>, "
         "logistic_regression struct<accuracy: double, precision: double, recall: double, f1: double, roc_auc: double>, "
-        "kmeans struct<inertia: double, silhouette_sq_euclidean: double>")
+        f"kmeans struct<{', '.join(f'{c}: double' for c in KMEANS_METRICS)}>")
     path = write_json_rows(rec, scratch_path(spark, "model_metrics"))
     return spark.read.schema(rec.schema).json(path)

@@ -19,6 +19,78 @@ def st(spark):
     return Q.state(spark, SF_SMALL)
 
 
+def direct_silhouette(x, labels):
+    """All pairs."""
+    out, ids = [], np.unique(labels)
+    for lo in range(0, len(x), 500):
+        far = np.sqrt(((x[lo:lo + 500, None, :] - x[None]) ** 2).sum(2))
+        sums = np.stack([far[:, labels == c].sum(1) for c in ids], axis=1)
+        counts = np.array([(labels == c).sum() for c in ids])
+        own = np.searchsorted(ids, labels[lo:lo + 500])
+        r = np.arange(len(far))
+        a = sums[r, own] / np.maximum(counts[own] - 1, 1)
+        rest = sums / counts
+        rest[r, own] = np.inf
+        b = rest.min(1)
+        out.append(np.where((counts[own] == 1) | (np.maximum(a, b) == 0), 0, (b - a) / np.maximum(np.maximum(a, b), 1e-300)))
+    return float(np.concatenate(out).mean())
+
+
+def points(spark, x, labels):
+    from pyspark.ml.linalg import Vectors
+    return spark.createDataFrame([(i, int(c), Vectors.dense(v)) for i, (v, c) in enumerate(zip(x.tolist(), labels))],
+                                 ["id", "cluster_id", "features"])
+
+
+def test_silhouette_is_exact_on_small_tables(spark):
+    rng = np.random.default_rng(2)
+    labels = np.array([0] * 150 + [1] * 120 + [2] * 40 + [3])  # one point alone
+    x = rng.normal(size=(len(labels), 3)) + labels[:, None] * 1.5
+    x[:30] = x[0]  # copies
+    mean, bound = ML.silhouette(points(spark, x, labels), 3, "id")
+    assert bound == 0 and mean == pytest.approx(direct_silhouette(x, labels), abs=1e-12)
+    assert ML.silhouette(points(spark, x, np.zeros(len(x), int)), 3, "id") == (None, None)
+
+
+def test_silhouette_of_a_sample_keeps_its_bound(spark):
+    rng = np.random.default_rng(3)
+    labels = rng.choice(3, 4000, p=[0.6, 0.35, 0.05])
+    x = rng.normal(size=(len(labels), 2)) + labels[:, None]
+    mean, bound = ML.silhouette(points(spark, x, labels), 2, "id", points=250)
+    assert 0 < bound < 0.5 and abs(mean - direct_silhouette(x, labels)) <= bound
+
+
+def test_coefficients_are_those_of_lstsq(spark, st):
+    """The one-hot design is rank-deficient: centred lstsq gives the solution of least norm."""
+    x, rows = features(st.linear, st.reg_train, "speed")
+    y = np.array([r.speed for r in rows])
+    assert np.linalg.matrix_rank(x - x.mean(0)) < x.shape[1]
+    want = np.linalg.lstsq(x - x.mean(0), y - y.mean(), rcond=1e-8)[0]
+    model = st.linear.stages[-1]
+    assert np.allclose(model.coefficients.toArray(), want, atol=1e-7)
+    assert model.intercept == pytest.approx(y.mean() - x.mean(0) @ want)
+
+
+def test_least_squares_keeps_its_digits_and_is_saved(spark, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+    rng = np.random.default_rng(4)
+    a = rng.normal(size=(500, 3)) * [1, 1e-3, 10] + [1e6, 5, -1e5]
+    rows = [(*map(float, r), float(r @ [2, -300, 0.1] + 7 + e)) for r, e in zip(a, rng.normal(size=500) * 0.01)]
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(spark.createDataFrame(rows, "a double, b double, c double, y double"))
+    n, mean, second = ML.moments(df, "features", "y", 3)
+    w = ML.minimum_norm(second)
+    x, y = np.array(rows)[:, :3], np.array(rows)[:, 3]
+    want = np.linalg.lstsq(x - x.mean(0), y - y.mean(), rcond=None)[0]
+    assert n == 500 and np.allclose(w, want, rtol=1e-6)
+    model = ML.LeastSquares(w, mean[-1] - mean[:-1] @ w)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = ML.LeastSquares.load(str(tmp_path / "m"))
+    got = [r.prediction for r in again.transform(df).collect()]
+    assert again.coefficients == model.coefficients and np.allclose(got, x @ w + model.intercept)
+    with pytest.raises(ValueError):
+        ML.moments(df.filter("false"), "features", "y", 3)
+
+
 def features(model, df, *cols):
     rows = model.transform(df).select(vector_to_array("features").alias("x"), *cols).collect()
     return np.array([r.x for r in rows]), rows
@@ -75,6 +147,7 @@ def test_every_row_is_in_the_nearest_cluster(spark, st):
         r.event_id: r.cluster_id for r in rows}
     m = QUERIES["kmeans_metrics"](spark, SF_SMALL).first()
     assert m.inertia == pytest.approx(mine.sum()) and -1 <= m.silhouette_sq_euclidean <= 1
+    assert abs(m.silhouette - direct_silhouette(x, np.array([r.cluster_id for r in rows]))) <= m.silhouette_bound + 1e-9 < 0.3
     summary = {r.cluster_id: r["rows"] for r in QUERIES["cluster_summary"](spark, SF_SMALL).collect()}
     assert summary == {int(k): int(n) for k, n in zip(*np.unique([r.cluster_id for r in rows], return_counts=True))}
     back = {r.event_id: r.cluster_id for r in QUERIES["assign_clusters_back"](spark, SF_SMALL).collect()}
