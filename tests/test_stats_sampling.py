@@ -139,3 +139,35 @@ def test_hot_ties_hold_no_array_of_rows(spark):
     out = S.sample_n(df, "k", 2500)
     assert out.count() == 2500
     assert "array_repeat" not in out._jdf.queryExecution().toString()
+
+
+EXTREME = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.0, 1.0 + 2**-52, 1.0 - 2**-53, 2.0, 3.0, -1.5, 8.0, 0.1, 1e300,
+           1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), 2.0**1023, 2.0**-1074, 2.0**60, 2.0**60 - 128]
+
+
+def test_keys_have_the_order_of_the_doubles(spark):
+    import numpy as np
+    from strata.functions import stats as S
+    rng = np.random.default_rng(1)
+    bits = rng.integers(0, 2**63, 4000, dtype=np.uint64) | (rng.integers(0, 2, 4000, dtype=np.uint64) << np.uint64(63))
+    values = [v for v in bits.view(np.float64).tolist() if v == v] + EXTREME + [s * 2.0**e for e in range(-1074, 1024) for s in (1, -1)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", S.ordered_key(F.col("v")).alias("k")).collect()
+    assert all(r.k == S.key_of(r.v) for r in rows)
+    ordered = sorted(rows, key=lambda r: r.k)
+    assert all(a.v < b.v or a.v == b.v and a.k == b.k for a, b in zip(ordered, ordered[1:]))
+
+
+def test_seven_passes_whatever_the_spread(spark, monkeypatch):
+    import numpy as np
+    from strata.functions import stats as S
+    rng = np.random.default_rng(2)
+    wide = (rng.choice([-1.0, 1.0], 5000) * 10.0 ** rng.uniform(-300, 300, 5000)).tolist()
+    wide += [1e-320, 1e308, -1e308, 0.0] + [1.0 + k * 2**-52 for k in range(200)]
+    passes = []
+    one = S._histogram
+    monkeypatch.setattr(S, "_histogram", lambda *a: passes.append(len(a[1])) or one(*a))
+    df = spark.createDataFrame([("a", v) for v in wide] + [("b", float(k % 7)) for k in range(1000)], "name string, value double")
+    ranks = [0, 17, 2500, 2600, 2700, 4000, len(wide) - 1]
+    got = S.values_at_ranks(df, {"a": ranks, "b": [0, 500, 999]})
+    assert got["a"] == {r: sorted(wide)[r] for r in ranks} and got["b"] == {0: 0.0, 500: 3.0, 999: 6.0}
+    assert len(passes) <= 7
