@@ -76,7 +76,7 @@ class Remembered(dict):
     frequent words stay; a batch's own words are the only ones beyond the bound.
     """
 
-    LIMIT = 48 << 20  # bytes of a generation
+    LIMIT = 112 << 20  # bytes of a generation
     ENTRY = 200  # bytes of an entry besides its characters
 
     def __init__(self):
