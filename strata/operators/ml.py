@@ -9,7 +9,6 @@ with a single ``transform``).  Metrics are SQL aggregates over
 
 from __future__ import annotations
 
-import concurrent.futures as cf
 import math
 from dataclasses import dataclass, field
 from statistics import NormalDist
@@ -17,7 +16,6 @@ from statistics import NormalDist
 import numpy as np
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -206,29 +204,106 @@ def top_coefficients(coefs: DataFrame, n: int = 20) -> DataFrame:
 
 
 # --- K-means -----------------------------------------------------------------------
-def kmeans_tol(k: int, tol: float = 1e-4, mean_variance: float = 1.0) -> float:
-    """Spark's per-center movement bound equivalent to stopping when the summed
-    squared center shift is <= tol * mean feature variance (1 for standardized
-    features): every center moving less than sqrt(tol * var / k) guarantees it."""
-    return (tol * mean_variance / k) ** 0.5
+class Centers(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """K-means model over ``features``: adds ``cluster_id``, the nearest center (ties: the first)."""
+
+    flat = Param(Params._dummy(), "flat", "coordinates of the centers, one center after another", TypeConverters.toListFloat)
+    k = Param(Params._dummy(), "k", "number of centers", TypeConverters.toInt)
+
+    def __init__(self, centers=None):
+        super().__init__()
+        if centers is not None:
+            self._set(flat=[float(v) for c in centers for v in c], k=len(centers))
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return list(np.array(self.getOrDefault(self.flat)).reshape(self.getOrDefault(self.k), -1))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        x = vector_to_array("features")
+        gaps = [F.aggregate(F.zip_with(x, F.lit(c.tolist()), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, g: s + g)
+                for c in self.clusterCenters()]
+        # array_position gives the first of equal ones
+        nearest = F.transform(F.array(F.array(*gaps)), lambda g: F.array_position(g, F.array_min(g)).cast("int") - 1)
+        return dataset.withColumn("cluster_id", F.get(nearest, F.lit(0)))
+
+
+def with_restarts(points: DataFrame, centers: dict[int, np.ndarray]) -> DataFrame:
+    """Every point once for each restart: its columns, ``restart``, ``cluster`` (nearest center) and ``cost`` (its squared distance).
+
+    ``centers`` is a literal of the plan, of restarts x centers numbers."""
+    cols, k = points.columns, len(next(iter(centers.values())))
+    rows = ", ".join(
+        f"named_struct('restart', {r}, " + ", ".join(f"'m{j}_{i}', {float(v)!r}D" for j, c in enumerate(m) for i, v in enumerate(c)) + ")"
+        for r, m in centers.items())
+    gaps = [" + ".join(f"({c} - m{j}_{i}) * ({c} - m{j}_{i})" for i, c in enumerate(cols)) + f" AS d{j}" for j in range(k)]
+    far = points.selectExpr(*cols, f"inline(array({rows}))").selectExpr(*cols, "restart", *gaps)
+    cost = f"least({', '.join(f'd{j}' for j in range(k))})" if k > 1 else "d0"
+    far = far.selectExpr(*cols, "restart", *(f"d{j}" for j in range(k)), f"{cost} AS cost")
+    cluster = "CASE " + " ".join(f"WHEN d{j} = cost THEN {j}" for j in range(k)) + " END"
+    return far.selectExpr(*cols, "restart", f"{cluster} AS cluster", "cost")
+
+
+def seed_centers(points: DataFrame, k: int, restarts: int, seed: int) -> dict[int, np.ndarray]:
+    """k-means++ seeds of every restart: k passes over all rows, each one aggregate of a row for each restart.
+
+    A row is drawn with a chance proportional to its squared distance to the restart's
+    centers so far: of independent exponential times, that of the row with weight w
+    having mean 1/w, the row with the first one is taken.  With fewer distinct rows
+    than k there are as many centers as distinct rows."""
+    cols = points.columns
+    at = F.struct(*cols)
+    time = -F.log(1.0 - F.rand(seed))
+    drawn = points.select(at.alias("at"), F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")).select(
+        "at", "restart", time.alias("time")).groupBy("restart").agg(F.min_by("at", "time").alias("at")).collect()
+    if not drawn:
+        raise ValueError("no rows to fit")
+    centers = {r["restart"]: np.array([list(r["at"])], float) for r in sorted(drawn, key=lambda r: r["restart"])}
+    for step in range(1, k):
+        far = with_restarts(points, centers).filter("cost > 0").select(
+            "restart", at.alias("at"), (-F.log(1.0 - F.rand(seed + step)) / F.col("cost")).alias("time"))
+        drawn = {r["restart"]: list(r["at"]) for r in far.groupBy("restart").agg(F.min_by("at", "time").alias("at")).collect()}
+        if len(drawn) < len(centers):
+            break  # every row lies on a center
+        centers = {r: np.vstack([m, drawn[r]]) for r, m in centers.items()}
+    return centers
 
 
 def fit_kmeans_best(data: DataFrame, k: int = 4, n_init: int = 20, seed: int = 42, max_iter: int = 300,
-                    tol: float = 1e-4, parallel: int | None = None):
-    """Best of ``n_init`` K-means fits (lowest training cost).  The input is
-    persisted once (memory, spilling to disk) and the fits run as concurrent
-    Spark jobs from a small thread pool."""
-    parallel = parallel or min(n_init, data.sparkSession.sparkContext.defaultParallelism)
-    data = data.select("features").persist(StorageLevel.MEMORY_AND_DISK)  # only what the fits read
+                    tol: float = 1e-4) -> Centers:
+    """Best of ``n_init`` K-means fits (lowest sum of squared distances over all rows; ties: the first).
+
+    All restarts share each pass over the data: one aggregate of (restart, cluster)
+    sums, so the passes are those of the longest restart.  A restart ends when its
+    centers moved, in sum of squares, by at most ``tol`` times the mean variance of the
+    features; then it leaves the plan.  A center that no row is nearest to stays.  The
+    input is persisted once (memory, spilling to disk) as plain columns."""
+    size = data.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
+    x = vector_to_array("features")
+    if size is None:
+        one = data.select(x.alias("x")).first()
+        if one is None:
+            raise ValueError("no rows to fit")
+        size = len(one["x"])
+    points = data.select(x.alias("x")).select(*(F.get("x", F.lit(i)).alias(f"x{i}") for i in range(size))).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        def one(i):
-            return KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=kmeans_tol(k, tol), featuresCol="features",
-                          predictionCol="cluster_id").fit(data)
-        with cf.ThreadPoolExecutor(max_workers=max(1, parallel)) as ex:
-            models = list(ex.map(one, range(n_init)))
-        return min(models, key=lambda m: (m.summary.trainingCost, models.index(m)))
+        centers = seed_centers(points, k, n_init, seed)
+        spread = points.agg(*(F.var_pop(c).alias(c) for c in points.columns)).first()
+        limit = tol * float(np.mean(list(spread)))
+        moving = dict(centers)
+        for _ in range(max_iter):
+            sums = with_restarts(points, moving).groupBy("restart", "cluster").agg(*(F.avg(c).alias(c) for c in points.columns)).collect()
+            moved = {r: m.copy() for r, m in moving.items()}
+            for row in sums:
+                moved[row["restart"]][row["cluster"]] = row[2:]
+            centers |= moved
+            moving = {r: m for r, m in moved.items() if ((m - moving[r]) ** 2).sum() > limit}
+            if not moving:
+                break
+        costs = dict(with_restarts(points, centers).groupBy("restart").agg(F.sum("cost")).collect())
+        return Centers(centers[min(costs, key=lambda r: (costs[r], r))])
     finally:
-        data.unpersist()
+        points.unpersist()
 
 
 def inertia(model, scored: DataFrame) -> float:

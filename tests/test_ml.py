@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from strata.operators import ml as ML
@@ -95,7 +97,7 @@ def test_kmeans_best_of_n_and_grid_mode(spark):
     prep = ML.fit_preprocessing(df, ["a", "b"])
     from pyspark.ml import Pipeline
     feats = Pipeline(stages=prep.stages).fit(df).transform(df)
-    km = ML.fit_kmeans_best(feats, k=4, n_init=3, seed=1, parallel=2)
+    km = ML.fit_kmeans_best(feats, k=4, n_init=3, seed=1)
     scored = km.transform(feats)
     assert scored.select("cluster_id").distinct().count() == 4
     g = spark.createDataFrame([(1.0, 1.0, 2, 1.0, 0), (1.0, 1.0, 1, 1.0, 0), (1.0, 1.0, 2, 1.0, 0),
@@ -105,6 +107,59 @@ def test_kmeans_best_of_n_and_grid_mode(spark):
     assert m == {1.0: 1, 2.0: -1}  # tie -> smallest; no cluster -> -1
 
 
+def plain_lloyd(x, centers, limit):
+    while True:
+        near = ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+        moved = np.array([x[near == j].mean(0) if (near == j).any() else c for j, c in enumerate(centers)])
+        done = ((moved - centers) ** 2).sum() <= limit
+        centers = moved
+        if done:
+            return centers, ((x[:, None] - centers[None]) ** 2).sum(2).min(1).sum()
+
+
+def test_restarts_that_share_passes_are_single_runs(spark):
+    """Same centers and inertia as the best of single runs from the same seeds; passes are those of the longest."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 3)) * [1, 5, 0.2] + rng.integers(0, 3, (3000, 1)) * [4, 0, 1]
+    df = spark.createDataFrame([(Vectors.dense(r),) for r in x], ["features"])
+    points = df.select(*(F.get(vector_to_array("features"), F.lit(i)).alias(f"x{i}") for i in range(3)))
+    seeds = ML.seed_centers(points, 5, 6, 11)
+    assert list(seeds) == list(range(6)) and all(len({tuple(c) for c in m}) == 5 for m in seeds.values())
+    rows = {tuple(r) for r in x}
+    assert all(tuple(c) in rows for m in seeds.values() for c in m)
+    limit = 1e-4 * x.var(0).mean()
+    runs = [plain_lloyd(x, m, limit) for m in seeds.values()]
+    best = min(runs, key=lambda r: r[1])
+    model = ML.fit_kmeans_best(df, k=5, n_init=6, seed=11)
+    assert np.allclose(np.array(model.clusterCenters()), best[0])
+    assert ML.inertia(model, model.transform(df)) == pytest.approx(best[1])
+
+
+def test_seeds_are_drawn_by_squared_distance(spark):
+    """Two far groups: the second seed lies in the other group nearly always; repeated rows weigh as often as they occur."""
+    df = spark.createDataFrame([(0.0, 0.0)] * 60 + [(0.1, 0.0)] * 60 + [(50.0, 0.0)] * 120, "x0 double, x1 double")
+    seeds = ML.seed_centers(df, 2, 60, 3)
+    assert all((m[0, 0] > 25) != (m[1, 0] > 25) for m in seeds.values())
+    assert 15 <= sum(m[0, 0] > 25 for m in seeds.values()) <= 45
+
+
+def test_kmeans_on_few_distinct_rows_and_none(spark):
+    df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 7 + [(Vectors.dense([3.0, 2.0]),)] * 2, ["features"])
+    model = ML.fit_kmeans_best(df, k=4, n_init=3)
+    assert sorted(c.tolist() for c in model.clusterCenters()) == [[1.0, 2.0], [3.0, 2.0]]
+    assert {r.cluster_id for r in model.transform(df).collect()} == {0, 1}
+    with pytest.raises(ValueError):
+        ML.fit_kmeans_best(df.limit(0), k=2, n_init=2)
+
+
+def test_centers_are_saved_and_loaded(spark, tmp_path):
+    model = ML.Centers([[1.0, 2.0], [3.0, 2.0], [3.0, 2.0]])
+    model.write().overwrite().save(f"file://{tmp_path}/km")
+    back = ML.Centers.load(f"file://{tmp_path}/km")
+    df = spark.createDataFrame([(Vectors.dense([2.9, 2.0]),), (Vectors.dense([2.0, 0.0]),)], ["features"])
+    assert [r.cluster_id for r in back.transform(df).collect()] == [1, 0]  # ties: the first center
+
+
 def test_undefined_metrics_are_null_not_errors(spark):
     df = spark.createDataFrame([(1, 0.2, 3.0, 3.5), (1, 0.7, 3.0, 2.5)], "y int, s double, t double, p double")
     assert ML.roc_auc(df, "y", "s").first().roc_auc is None          # one class only
