@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import rules as R
-from ..functions.schemas import MEASURES
+from ..functions.schemas import MEASURES, SILVER_WEATHER
 from ..functions.timefmt import local_to_utc, parse_iso_ts
 from ..operators.profile import rows_by_city_top, rows_by_source, silver_distincts
 from ..operators.projections import normalize_weather
 from ..operators.quality import audit_silver, source_gate, valid_weather, weather_rules
 from ..session import input_key, scratch_path
-from ..sinks.writers import land_text, write_silver_jsonl, write_silver_parquet
+from ..sinks.writers import (batch_folder, delete_folders, existing_folders, land_text, write_silver_jsonl,
+                             write_silver_parquet)
 from ..sources.adapters import AS_OF, BATCH_ID, OWNER, weather_records
 from ..sources.bronze import partition_columns, partition_dir
-from ..sources.readers import landed_sources, read_bronze, read_silver
+from ..sources.readers import landed_sources, read_bronze, read_rejected, read_silver
 from .oracle_sql import WEATHER
 from .registry import register
 
@@ -57,13 +58,16 @@ SILVER_PARTITIONS = ("source", "schema_v", "batch_id", "ingest_date", "hour")
 def run_silver(spark: SparkSession, bronze_root: str, out_root: str, batch_id: str = BATCH_ID,
                owner: str = OWNER, as_of=AS_OF, fmt: str = "parquet", domain: str = "weather",
                sources: list[str] | None = None) -> dict:
-    """The sources of a domain in one plan: count (one aggregate pass), gate, write.
+    """The sources of a domain in one write: each line is parsed and judged once.
 
     Only files of ``domain`` and ``sources`` (default: all landed ones) are read; a
     source without landed files is an error.  Each source has a batch id of its own,
-    and one without valid rows writes nothing.  Layout:
+    and one without valid rows writes none.  Layout:
     ``<out>/domain=<d>/source=<s>/schema_v=1/batch_id=<id>-<s>/ingest_date=<d>/hour=<h>``;
-    the columns of the path are read back from there.
+    the columns of the path are read back from there.  Rejected rows land beside them
+    under ``domain=<d>_rejected``, with the domain and source they were found with in
+    ``found_domain`` and ``found_source`` (null in valid rows).  A rerun replaces its
+    batch.  Rows are counted in what was written, for Parquet from the footers.
     """
     landed = landed_sources(spark, bronze_root, domain)
     wanted = landed if sources is None else list(sources)
@@ -71,18 +75,24 @@ def run_silver(spark: SparkSession, bronze_root: str, out_root: str, batch_id: s
         raise FileNotFoundError(f"No bronze JSON-lines files of {missing} found under {bronze_root}")
     folders = [f"{bronze_root}/domain={domain}/source={s}" for s in wanted]
     norm = normalize_weather(read_bronze(spark, folders), batch_id, owner)
-    cond = R.all_of(weather_rules(owner, as_of))
-    gate = {r["source"]: r for r in source_gate(norm, cond).collect()}  # one row for each source
-    path = f"{out_root}/domain={domain}"
-    written = [s for s, r in gate.items() if not r["skipped"]]
-    if written:
-        valid = norm.filter(cond)
-        if fmt == "parquet":
-            write_silver_parquet(valid, path, SILVER_PARTITIONS)
-        else:
-            write_silver_jsonl(valid, path, SILVER_PARTITIONS)
-    return {"path": path, "counts": {s: (r["rows_total"], r["rows_valid"]) for s, r in gate.items()},
-            "written": bool(written), "written_sources": sorted(written)}
+    valid = F.coalesce(R.all_of(weather_rules(owner, as_of)), F.lit(False))
+    rejected = f"{domain}_rejected"
+    split = norm.withColumn("valid", valid).withColumns({
+        **{f"found_{c}": F.when(~F.col("valid"), F.col(c)) for c in ("domain", "source")},
+        "domain": F.when(F.col("valid"), domain).otherwise(rejected), "source": F.col("processed_source")}).drop("valid")
+
+    batches = [batch_folder(out_root, d, s, batch_id) for d in (domain, rejected) for s in wanted]
+    delete_folders(spark, batches)
+    write = write_silver_parquet if fmt == "parquet" else write_silver_jsonl
+    write(split, out_root, ("domain", *SILVER_PARTITIONS))
+    rows = {}
+    if there := existing_folders(spark, batches):
+        kept = spark.read.schema("domain string, source string").option("basePath", out_root).format(fmt).load(there)
+        rows = {(r["domain"], r["source"]): r["count"] for r in kept.groupBy("domain", "source").count().collect()}
+    counts = {s: (rows.get((domain, s), 0) + rows.get((rejected, s), 0), rows.get((domain, s), 0)) for _, s in rows}
+    written = sorted(s for s, (_, n) in counts.items() if n)
+    return {"path": f"{out_root}/domain={domain}", "counts": counts, "written": bool(written), "written_sources": written,
+            "rejected_path": f"{out_root}/domain={rejected}" if any(d == rejected for d, _ in rows) else None}
 
 
 def silver_run(spark: SparkSession, sf_dir: str, fmt: str) -> dict:
@@ -96,11 +106,24 @@ def silver_back(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFram
     return read_silver(spark, silver_run(spark, sf_dir, fmt)["path"], fmt)
 
 
+def rejected_back(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> DataFrame:
+    """Rows that the run turned away; none where it turned none away."""
+    path = silver_run(spark, sf_dir, fmt)["rejected_path"]
+    return read_rejected(spark, path, fmt) if path else spark.createDataFrame([], SILVER_WEATHER)
+
+
 SILVER_OUT = ["author_surname", "domain", "source", "ingest_ts", "event_ts", "city", "latitude", "longitude",
               "elevation", "timezone", "timezone_abbreviation", *MEASURES, "ingest_date", "hour", "schema_v",
               "batch_id", "processed_author_surname", "processed_source"]
 
 # --- oracle fragments ---------------------------------------------------------
+_RULES = """author_surname IS NOT NULL AND domain IS NOT NULL AND source IS NOT NULL
+  AND ingest_ts IS NOT NULL AND event_ts IS NOT NULL AND city IS NOT NULL AND latitude IS NOT NULL
+  AND longitude IS NOT NULL AND temperature_2m IS NOT NULL AND relative_humidity_2m IS NOT NULL
+  AND precipitation IS NOT NULL AND wind_speed_10m IS NOT NULL AND ingest_date IS NOT NULL AND hour IS NOT NULL
+  AND author_surname = 'owner' AND domain = 'weather'
+  AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND temperature_2m BETWEEN -100 AND 100
+  AND relative_humidity_2m BETWEEN 0 AND 100 AND precipitation >= 0 AND wind_speed_10m >= 0"""
 _NORM = f"""w AS ({WEATHER}),
 norm AS (SELECT author_surname, domain, source,
   CAST(try_strptime(ingest_ts, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS ingest_ts,
@@ -109,14 +132,9 @@ norm AS (SELECT author_surname, domain, source,
   temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m, ingest_date, hour,
   1 AS schema_v, concat('batch-0001-', source) AS batch_id, 'owner' AS processed_author_surname, source AS processed_source
   FROM w),
-valid AS (SELECT * FROM norm WHERE author_surname IS NOT NULL AND domain IS NOT NULL AND source IS NOT NULL
-  AND ingest_ts IS NOT NULL AND event_ts IS NOT NULL AND city IS NOT NULL AND latitude IS NOT NULL
-  AND longitude IS NOT NULL AND temperature_2m IS NOT NULL AND relative_humidity_2m IS NOT NULL
-  AND precipitation IS NOT NULL AND wind_speed_10m IS NOT NULL AND ingest_date IS NOT NULL AND hour IS NOT NULL
-  AND author_surname = 'owner' AND domain = 'weather' AND source = processed_source
-  AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND temperature_2m BETWEEN -100 AND 100
-  AND relative_humidity_2m BETWEEN 0 AND 100 AND precipitation >= 0 AND wind_speed_10m >= 0
-  AND event_ts <= TIMESTAMP '{AS_OF}')"""
+valid AS (SELECT * FROM norm WHERE {_RULES} AND source = processed_source AND event_ts <= TIMESTAMP '{AS_OF}'),
+rejected AS (SELECT * FROM norm
+  WHERE ({_RULES} AND source = processed_source AND event_ts <= TIMESTAMP '{AS_OF}') IS NOT TRUE)"""
 
 
 def _ts(expr: str) -> str:
@@ -264,3 +282,17 @@ def q_write_layout(spark, sf_dir):
     back = silver_back(spark, sf_dir, "parquet")
     folder = F.regexp_extract("silver_file", r"domain=([^/]+/source=[^/]+/schema_v=[^/]+/batch_id=[^/]+)/", 1)
     return back.groupBy(folder.alias("folder"), "ingest_date", "hour").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("rejected_weather", f"WITH {_NORM} SELECT {_SILVER_SELECT} FROM rejected")
+def q_rejected_weather(spark, sf_dir):
+    """What the silver run turned away, read back from where it landed."""
+    return ts_text(rejected_back(spark, sf_dir).select(*SILVER_OUT), "ingest_ts", "event_ts")
+
+
+@register("audit_rejected", f"""WITH {_NORM} SELECT count(*) FILTER ({_RULES}) AS valid_rows,
+    count(*) FILTER (({_RULES}) IS NOT TRUE) AS invalid_rows,
+    count(*) FILTER (({_RULES}) IS NOT TRUE) = 0 AND count(*) > 0 AS passed FROM rejected""")
+def q_audit_rejected(spark, sf_dir):
+    """The audit on rows that are to fail it (all but those whose time alone lay ahead)."""
+    return audit_silver(rejected_back(spark, sf_dir), OWNER)

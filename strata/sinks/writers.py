@@ -10,7 +10,7 @@ every partition folder and has no answer for skew.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.schemas import SCHEMA_VERSION
 
@@ -31,6 +31,26 @@ def versioned_path(root: str, name: str | None, batch_id: str, schema_v: int = S
     return f"{base}/schema_v={schema_v}/batch_id={batch_id}"
 
 
+def batch_folder(root: str, domain: str, source: str, batch_id: str, schema_v: int = SCHEMA_VERSION) -> str:
+    """Where the silver rows of a batch and source lie."""
+    return versioned_path(f"{root}/domain={domain}", f"source={source}", f"{batch_id}-{source}", schema_v)
+
+
+def _on_file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def existing_folders(spark: SparkSession, folders: list[str]) -> list[str]:
+    return [f for f in folders if (lambda fs, path: fs.exists(path))(*_on_file_system(spark, f))]
+
+
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    for folder in existing_folders(spark, folders):
+        fs, path = _on_file_system(spark, folder)
+        fs.delete(path, True)
+
+
 def write_silver_parquet(df: DataFrame, path: str, partition_cols=("ingest_date", "hour")) -> str:
     (_writer(df, list(partition_cols), "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
     return path

@@ -1,14 +1,16 @@
 """Readers for landed and written layers.
 
-Partition values are taken from the file path with ``regexp_extract`` and
-``recursiveFileLookup`` turns partition discovery off: discovery would infer
-``hour=09`` as the integer 9 and let path values silently override same-named
-record fields.  Schemas are always explicit (no inference pass), except where
+Bronze partition values are taken from the file path with ``regexp_extract`` and
+``recursiveFileLookup`` turns partition discovery off: path values would silently
+override same-named record fields.  Silver, whose path columns are not in its files,
+is read with partition columns of fixed types.  Schemas are always explicit (no inference pass), except where
 a caller asks for the notebooks' inference behaviour.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
@@ -75,22 +77,34 @@ def landed_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
         ~F.col("stored_file").endswith(".meta.json"))
 
 
+def partition_root(path: str) -> str:
+    """The part of a path before its first ``key=value`` folder: the root of the table it is a part of."""
+    return re.split("/(?=[^/=]+=)", path.rstrip("/"), maxsplit=1)[0]
+
+
 def read_silver(spark: SparkSession, path: str, fmt: str = "json",
                 schema: T.StructType = SILVER_WEATHER) -> DataFrame:
-    """Silver rows read back; partition folders become string columns and
-    ``silver_file`` records the file each row came from."""
-    data_schema = T.StructType([f for f in schema.fields if f.name not in ("ingest_date", "hour")])
-    reader = spark.read.option("recursiveFileLookup", True)
+    """Silver rows read back; ``silver_file`` records the file each row came from.
+
+    ``path`` is the table or any folder of it.  Columns of the path are partition
+    columns of the types that ``schema`` gives (an hour stays ``09``), so a filter on
+    them prunes the folders that are read.  A row from a folder without them, or with
+    an empty value, has the empty string as its date or hour."""
+    reader = spark.read.schema(schema).option("basePath", partition_root(path))
     if fmt == "json":
-        df = reader.schema(data_schema).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+        df = reader.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
     else:
-        df = reader.schema(data_schema).parquet(path)
-    fp = file_path_col()
-    in_path = {c: F.nullif(path_value(fp, c), F.lit("")) for c in ("source", "schema_v", "batch_id")}
-    stored = [F.coalesce(F.col(c), in_path[c].cast(df.schema[c].dataType)).alias(c) if c in in_path else F.col(c)
-              for c in df.columns]
-    return df.select(*stored, path_value(fp, "ingest_date", r"[0-9\-]+").alias("ingest_date"),
-                     path_value(fp, "hour", "[0-9]{2}").alias("hour"), fp.alias("silver_file"))
+        df = reader.parquet(path)
+    days = ("ingest_date", "hour")
+    stored = [F.coalesce(c, F.lit("")).alias(c) if c in days else F.col(c) for c in schema.fieldNames()]
+    return df.select(*stored, file_path_col().alias("silver_file"))
+
+
+def read_rejected(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Rows that a silver run turned away, with the domain and source that they were found with."""
+    found = [T.StructField(f"found_{c}", T.StringType()) for c in ("domain", "source")]
+    df = read_silver(spark, path, fmt, T.StructType([*SILVER_WEATHER.fields, *found]))
+    return df.withColumns({c: F.col(f"found_{c}") for c in ("domain", "source")}).drop("found_domain", "found_source")
 
 
 def read_csv_strings(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:

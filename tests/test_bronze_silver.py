@@ -15,7 +15,7 @@ from strata.plans.silver_queries import run_silver
 from strata.session import local_path, scratch_path
 from strata.sources.bronze import (csv_rows_to_envelopes, envelope_json, history_window, manifest, orphan_files,
                                    preferred_file, shape_weather_archive, shape_weather_current)
-from strata.sources.readers import read_bronze, read_csv_dialect, read_silver
+from strata.sources.readers import read_bronze, read_csv_dialect, read_rejected, read_silver
 
 
 def item(lat=None, t="2024-01-01T10:00", temp=1.0):
@@ -129,12 +129,38 @@ def test_silver_run_by_source(spark, tmp_path):
         back = read_silver(spark, res["path"], fmt)
         assert [(r.source, r.schema_v, r.batch_id) for r in back.collect()] == [("s1", 1, "b-s1")] * 2
         assert "/domain=weather/source=s1/schema_v=1/batch_id=b-s1/ingest_date=2024-01-01/hour=09/" in back.first().silver_file
+        turned = read_rejected(spark, res["rejected_path"], fmt).collect()
+        assert [(r.author_surname, r.domain, r.source, r.batch_id, r.hour) for r in turned] == [
+            ("nobody", "weather", "s1", "b-s2", "09")]  # what the record says, and the batch of the folder it was found in
+        _land(root, f"domain=weather/source=s1/{part}", [env(), env(owner="nobody"), "no json"])
+        again = run_silver(spark, root, f"{out}/{fmt}", "b", as_of=as_of, fmt=fmt)
+        assert again["counts"] == {"s1": (3, 1), "s2": (1, 0)}  # the folders of the batch hold this run's rows only
+        assert read_silver(spark, res["path"], fmt).count() == 1 and read_rejected(spark, res["rejected_path"], fmt).count() == 3
+        _land(root, f"domain=weather/source=s1/{part}", [env(), env()])
     with pytest.raises(FileNotFoundError):
         run_silver(spark, root, out, sources=["s1", "s3"], as_of=as_of)
     with pytest.raises(FileNotFoundError):
         run_silver(spark, root, out, domain="traffic", as_of=as_of)
 
 
+def test_silver_reads_are_pruned_by_the_path(spark, tmp_path):
+    root, out = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    for source in ("s1", "s2"):
+        for hour in ("09", "10"):
+            _land(root, f"domain=weather/source={source}/ingest_date=2024-01-01/hour={hour}/part-1.jsonl", [env(source)])
+    for fmt in ("json", "parquet"):
+        path = run_silver(spark, root, f"{out}/{fmt}", "b", as_of="2024-06-01 00:00:00", fmt=fmt)["path"]
+        back = read_silver(spark, path, fmt)
+        nine = back.filter("hour = '09' AND source = 's2'")
+        assert [(r.source, r.hour, r.ingest_date, r.domain) for r in nine.collect()] == [("s2", "09", "2024-01-01", "weather")]
+        plan = nine._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters:"):].split("]")[0]
+        assert "hour" in filters and "source" in filters
+        assert sorted((r.source, r.hour) for r in back.collect()) == [("s1", "09"), ("s1", "10"), ("s2", "09"), ("s2", "10")]
+        one = read_silver(spark, f"{path}/source=s1", fmt)  # a folder of the table has its path columns too
+        assert {(r.domain, r.source, r.schema_v, r.batch_id) for r in one.collect()} == {("weather", "s1", 1, "b-s1")}
+
+
 def test_null_payload_keeps_the_cities(spark):
     df = spark.createDataFrame([(1, "F", None)], "response_id long, fetched_at string, raw string")
     out = shape_weather_current(df).select("payload.city", "payload.temperature_2m").collect()
