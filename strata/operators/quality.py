@@ -28,6 +28,23 @@ def source_gate(df: DataFrame, condition: Column, source: str = "processed_sourc
             .withColumn("skipped", F.col("rows_valid") == 0))
 
 
+def rejected_domain(domain: str) -> str:
+    return f"{domain}_rejected"
+
+
+def split_by_validity(df: DataFrame, condition: Column, domain: str) -> DataFrame:
+    """Every row with the ``domain`` and ``source`` of the folder it is to be written to.
+
+    Rows that fail ``condition`` go to the rejected domain, under the source folder
+    they were landed in; what they were found with is kept in ``found_domain`` and
+    ``found_source``, which are null in valid rows."""
+    valid = F.coalesce(condition, F.lit(False))
+    return df.withColumn("__valid", valid).withColumns({
+        **{f"found_{c}": F.when(~F.col("__valid"), F.col(c)) for c in ("domain", "source")},
+        "domain": F.when(F.col("__valid"), domain).otherwise(rejected_domain(domain)),
+        "source": F.col("processed_source")}).drop("__valid")
+
+
 def valid_weather(df: DataFrame, owner: str, as_of=None) -> DataFrame:
     return df.filter(R.all_of(weather_rules(owner, as_of)))
 

@@ -9,9 +9,9 @@ from ..functions.schemas import MEASURES, SILVER_WEATHER
 from ..functions.timefmt import local_to_utc, parse_iso_ts
 from ..operators.profile import rows_by_city_top, rows_by_source, silver_distincts
 from ..operators.projections import normalize_weather
-from ..operators.quality import audit_silver, source_gate, valid_weather, weather_rules
+from ..operators.quality import audit_silver, rejected_domain, source_gate, split_by_validity, valid_weather, weather_rules
 from ..session import input_key, scratch_path
-from ..sinks.writers import (batch_folder, delete_folders, existing_folders, land_text, write_silver_jsonl,
+from ..sinks.writers import (SILVER_PARTITIONS, batch_folder, delete_folders, existing_folders, land_text, write_silver_jsonl,
                              write_silver_parquet)
 from ..sources.adapters import AS_OF, BATCH_ID, OWNER, weather_records
 from ..sources.bronze import partition_columns, partition_dir
@@ -52,9 +52,6 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_weather(read_bronze(spark, land_weather_bronze(spark, sf_dir)), BATCH_ID, OWNER)
 
 
-SILVER_PARTITIONS = ("source", "schema_v", "batch_id", "ingest_date", "hour")
-
-
 def run_silver(spark: SparkSession, bronze_root: str, out_root: str, batch_id: str = BATCH_ID,
                owner: str = OWNER, as_of=AS_OF, fmt: str = "parquet", domain: str = "weather",
                sources: list[str] | None = None) -> dict:
@@ -75,16 +72,12 @@ def run_silver(spark: SparkSession, bronze_root: str, out_root: str, batch_id: s
         raise FileNotFoundError(f"No bronze JSON-lines files of {missing} found under {bronze_root}")
     folders = [f"{bronze_root}/domain={domain}/source={s}" for s in wanted]
     norm = normalize_weather(read_bronze(spark, folders), batch_id, owner)
-    valid = F.coalesce(R.all_of(weather_rules(owner, as_of)), F.lit(False))
-    rejected = f"{domain}_rejected"
-    split = norm.withColumn("valid", valid).withColumns({
-        **{f"found_{c}": F.when(~F.col("valid"), F.col(c)) for c in ("domain", "source")},
-        "domain": F.when(F.col("valid"), domain).otherwise(rejected), "source": F.col("processed_source")}).drop("valid")
+    split, rejected = split_by_validity(norm, R.all_of(weather_rules(owner, as_of)), domain), rejected_domain(domain)
 
     batches = [batch_folder(out_root, d, s, batch_id) for d in (domain, rejected) for s in wanted]
     delete_folders(spark, batches)
     write = write_silver_parquet if fmt == "parquet" else write_silver_jsonl
-    write(split, out_root, ("domain", *SILVER_PARTITIONS))
+    write(split, out_root, SILVER_PARTITIONS)
     rows = {}
     if there := existing_folders(spark, batches):
         kept = spark.read.schema("domain string, source string").option("basePath", out_root).format(fmt).load(there)

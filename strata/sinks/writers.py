@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.schemas import SCHEMA_VERSION
 
 MAX_RECORDS_PER_FILE = 5_000_000
+SILVER_PARTITIONS = ("domain", "source", "schema_v", "batch_id", "ingest_date", "hour")
 
 
 def write_layout(df: DataFrame, partition_cols=()) -> DataFrame:

@@ -10,22 +10,34 @@ per domain over the landing folder:
 * the checkpoint (in the shared checkpoint folder) replaces the iteration
   counter: a restarted or retried query resumes exactly where it stopped,
   and the file sink commits each micro-batch atomically;
-* queries are independent, so one domain's failure is isolated.
+* queries are independent, so one domain's failure is isolated, and ``supervise``
+  starts a failed one again on its next pass.
+
+``start_silver`` runs the silver operators on the same stream: rows are normalized,
+judged and split into the valid and the rejected domain in one write.
 """
 
 from __future__ import annotations
 
+import time
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import rules as R
 from ..functions.schemas import STATIC_DOMAINS, WEATHER_ENVELOPE
+from ..operators.projections import normalize_weather
+from ..operators.quality import split_by_validity, weather_rules
 from ..plans.registry import register
+from ..plans.silver_queries import (_NORM, _SILVER_SELECT, SILVER_OUT, land_weather_bronze, ts_text)
 from ..session import scratch_path
-from ..sources.readers import BRONZE_GLOB, path_value
+from ..sinks.writers import SILVER_PARTITIONS
+from ..sources.adapters import AS_OF, BATCH_ID, OWNER
+from ..sources.readers import BRONZE_GLOB, path_value, read_silver
 
 POLL_INTERVAL = "300 seconds"
 
@@ -100,6 +112,32 @@ def retry_failed(spark: SparkSession, streams: list[DomainStream], running: dict
     return out
 
 
+def supervise(spark: SparkSession, streams: list[DomainStream], running: dict[str, StreamingQuery | str],
+              go_on: Callable[[dict], bool], every_pass: bool = False, interval: str = POLL_INTERVAL,
+              wait: float = 300.0) -> dict[str, StreamingQuery | str]:
+    """Passes over the domains, ``wait`` seconds apart, while ``go_on(running)`` says so;
+    on each, those that failed are started again (``retry_failed``)."""
+    while go_on(running):
+        time.sleep(wait)
+        running = retry_failed(spark, streams, running, every_pass, interval)
+    return running
+
+
+def start_silver(spark: SparkSession, d: DomainStream, out_root: str, owner: str, as_of=None, batch_id: str = "stream",
+                 once: bool = False, interval: str = POLL_INTERVAL) -> StreamingQuery:
+    """Landed envelopes of a domain -> silver, continuously: the operators and the layout of the batch run.
+
+    ``d.checkpoint`` is that of this query.  The sink's log under ``out_root`` names
+    the files of committed batches, so a batch that is run again after a failure
+    replaces what its first run left; read the table by ``out_root`` and filter on
+    ``domain``, as a reader of single folders does not see that log."""
+    rows = normalize_weather(envelope_stream(spark, d.landing, d.schema, d.archive_dir), batch_id, owner)
+    split = split_by_validity(rows, R.all_of(weather_rules(owner, as_of)), d.domain)
+    w = (split.writeStream.format("parquet").option("path", out_root).option("checkpointLocation", d.checkpoint)
+         .partitionBy(*SILVER_PARTITIONS).queryName(f"silver_{d.domain}_{zlib.crc32(d.checkpoint.encode()):08x}"))
+    return (w.trigger(availableNow=True) if once else w.trigger(processingTime=interval)).start()
+
+
 def run_ingest(spark: SparkSession, streams: list[DomainStream], every_pass: bool = False,
                interval: str = POLL_INTERVAL) -> dict[str, str | None]:
     """One pass over everything landed (availableNow for every domain); waits
@@ -122,8 +160,6 @@ def run_ingest(spark: SparkSession, streams: list[DomainStream], every_pass: boo
     FROM events) SELECT source, ingest_date, hour, count(*) AS rows FROM w GROUP BY ALL""")
 def q_bronze_stream_ingest(spark, sf_dir):
     """Stream the landed weather bronze once (availableNow) into a parquet sink; read the sink."""
-    from ..plans.silver_queries import land_weather_bronze
-
     landing = land_weather_bronze(spark, sf_dir)
     base = scratch_path(spark, "stream")
     d = DomainStream("weather", landing, f"{base}/sink", f"{base}/checkpoint")
@@ -135,3 +171,12 @@ def q_bronze_stream_ingest(spark, sf_dir):
                         F.date_format(F.col("ingest_date").cast("date"), "yyyy-MM-dd").alias("ingest_date"),
                         F.lpad(F.col("hour").cast("string"), 2, "0").alias("hour"))
             .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("silver_stream", f"WITH {_NORM} SELECT {_SILVER_SELECT} FROM valid")
+def q_silver_stream(spark, sf_dir):
+    """Stream the landed weather bronze once into silver; read the valid rows back."""
+    base = scratch_path(spark, "silver-stream")
+    d = DomainStream("weather", land_weather_bronze(spark, sf_dir), base, f"{base}-checkpoint")
+    start_silver(spark, d, base, OWNER, AS_OF, BATCH_ID, once=True).awaitTermination()
+    return ts_text(read_silver(spark, base, "parquet").filter("domain = 'weather'").select(*SILVER_OUT), "ingest_ts", "event_ts")
