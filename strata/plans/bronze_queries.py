@@ -7,12 +7,13 @@ from pyspark.sql import types as T
 
 from ..functions.schemas import ALERTS_ENVELOPE, MEASURES, envelope
 from ..session import input_key, scratch_path
-from ..sinks.writers import land_blobs, land_text, write_csv, write_sidecars
+from ..sinks.files import land_files, write_sidecar_files
+from ..sinks.writers import land_text, write_csv
 from ..sources import adapters as A
-from ..sources.bronze import (binary_files, csv_rows_to_envelopes, document_envelope, document_field, envelope_json, history_window,
+from ..sources.bronze import (csv_rows_to_envelopes, document_envelope, document_field, envelope_json, history_window,
                               manifest, partition_columns, preferred_file, shape_weather_archive, shape_weather_current)
 from ..sources.readers import (BRONZE_GLOB, landed_files, path_value, read_bronze, read_csv_dialect,
-                               read_sidecar_table)
+                               read_manifests)
 from .oracle_sql import WEATHER
 from .registry import register
 from .silver_queries import land_weather_bronze
@@ -199,13 +200,12 @@ def q_bronze_json_document(spark, sf_dir):
 
 @register("bronze_binary_landing")
 def q_bronze_binary_landing(spark, sf_dir):
-    """The driver's parquet files as opaque blobs, landed and compared with their source by digest."""
-    named = F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name")
-    source = binary_files(spark, f"{sf_dir}/*.parquet").select(named, "length", "content")
-    path = land_blobs(source, scratch_path(spark, "blobs"))
-    landed = spark.read.schema(source.schema).parquet(path).select("file_name", F.md5("content").alias("landed_md5"))
-    return (source.select("file_name", "length", F.md5("content").alias("content_md5")).join(landed, "file_name", "left")
-            .withColumn("unchanged", F.col("content_md5").eqNullSafe(F.col("landed_md5"))).drop("landed_md5"))
+    """The files of the tables as opaque blobs: landed by name, read again and compared by digest."""
+    root = scratch_path(spark, "blobs")
+    files = landed_files(spark, f"{sf_dir}/*.parquet")
+    listing = files.select("file_path", F.concat(F.lit(f"{root}/files/"), "stored_file").alias("target"))
+    return land_files(listing, f"{root}/log").select(
+        F.regexp_extract("target", r"([^/]+)$", 1).alias("file_name"), "length", "content_md5", "unchanged")
 
 
 @register("bronze_manifest", f"""WITH w AS ({WEATHER}) SELECT 'owner' AS author_surname, domain, source,
@@ -214,13 +214,15 @@ def q_bronze_binary_landing(spark, sf_dir):
     concat(ingest_date, 'T', hour, ':00:00Z') AS fetched_at, 'application/json' AS content_type, ingest_date, hour,
     'txt' AS stored_ext, false AS orphan FROM w GROUP BY domain, source, ingest_date, hour""")
 def q_bronze_manifest(spark, sf_dir):
-    """Sidecar records from the listing, landed, read back and matched with the files."""
-    files = landed_files(spark, land_weather_bronze(spark, sf_dir), BRONZE_GLOB)
+    """A sidecar file beside each landed file, read back and matched with the files."""
+    root = land_weather_bronze(spark, sf_dir)
+    files = landed_files(spark, root, BRONZE_GLOB)
     date, hour = (path_value(F.col("file_path"), k) for k in ("ingest_date", "hour"))
     listing = files.select("file_path", F.concat(date, F.lit("T"), hour, F.lit(":00:00Z")).alias("fetched_at"))
     records = manifest(listing, A.OWNER, {"current_api": "https://example.invalid/current",
                                           "archive_api": "https://example.invalid/archive"}, "application/json")
-    sidecars = read_sidecar_table(spark, write_sidecars(records, scratch_path(spark, "sidecars")))
+    write_sidecar_files(records)
+    sidecars = read_manifests(spark, root)
     m = (files.select("file_path", date.alias("ingest_date"), hour.alias("hour")).join(sidecars, "file_path", "left")
          .withColumn("orphan", F.col("stored_file").isNull()))
     return m.select(

@@ -91,15 +91,3 @@ def land_text(df: DataFrame, value_col: str, path: str, partition_cols) -> str:
     _writer(df.select(F.col(value_col).alias("value"), *partition_cols), list(partition_cols),
             "append").text(path)
     return path
-
-
-def write_sidecars(records: DataFrame, path: str) -> str:
-    """Sidecar records of landed files, as JSON lines beside the data root."""
-    records.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    return path
-
-
-def land_blobs(blobs: DataFrame, path: str) -> str:
-    """Opaque files (file_name, length, content) landed as they are, one row each."""
-    blobs.select("file_name", "length", "content").write.mode("overwrite").parquet(path)
-    return path

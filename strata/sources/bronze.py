@@ -172,8 +172,3 @@ def history_window(df: DataFrame, ts_col: str, end_date: str, days: int) -> Data
     stop = F.date_add(F.lit(end_date).cast("date"), 1)
     ts = F.col(ts_col)
     return df.where((ts >= start.cast("timestamp_ntz")) & (ts < stop.cast("timestamp_ntz")))
-
-
-def binary_files(spark, path_glob: str) -> DataFrame:
-    """Opaque landed blobs (path, modificationTime, length, content)."""
-    return spark.read.format("binaryFile").load(path_glob)

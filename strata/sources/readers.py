@@ -52,12 +52,6 @@ def landed_sources(spark: SparkSession, root: str, domain: str, glob: str = BRON
     return sorted(r[0] for r in names.select(path_value(F.col("file_path"), "source")).distinct().collect())
 
 
-def read_sidecar_table(spark: SparkSession, root: str) -> DataFrame:
-    """Sidecar records that ``write_sidecars`` landed: one line for each data file."""
-    schema = T.StructType([*MANIFEST.fields, T.StructField("file_path", T.StringType())])
-    return spark.read.schema(schema).json(root)
-
-
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     """The ``*.meta.json`` sidecars (one pretty-printed object per file) + their path."""
     df = (spark.read.schema(MANIFEST).option("multiLine", True).option("recursiveFileLookup", True)
@@ -69,7 +63,7 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def landed_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Listing of landed data files (no content is read: only path/length are selected)."""
+    """Listing of landed data files (no content is read: only path/length are selected).  Spark lists no empty files."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
           .load(root))
     return df.select(F.col("path").alias("file_path"), "length",

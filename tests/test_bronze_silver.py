@@ -255,3 +255,56 @@ def test_reference_style_landing(spark, tmp_path):
     assert sorted(r.file_path.split("/domain=")[1] for r in orphans.collect()) == [
         "alerts/source=a/ingest_date=2026-04-21/hour=09/part-20260421T094116Z.jsonl",
         "traffic/source=gtfs/ingest_date=2026-04-21/hour=09/part-20260421T094116Z.pb"]
+
+
+def test_sidecar_files_beside_the_data(spark, tmp_path):
+    """After a write that failed in one of its tasks and a second one, every file has its sidecar and nothing else is left."""
+    from strata.sinks.files import write_sidecar_files
+    from strata.sources.readers import landed_files, read_manifests
+
+    root = str(tmp_path / "bronze")
+    for k in range(12):
+        _land(root, f"domain=weather/source=s{k % 3}/ingest_date=2024-01-0{k % 4 + 1}/hour=09/part-{k}.jsonl", [env()])
+    files = landed_files(spark, root, "*.jsonl").select("file_path", F.lit("2024-01-01T09:00:00Z").alias("fetched_at"))
+    records = manifest(files, "owner", {"s1": "http://u"}, "application/json")
+    nowhere = manifest(spark.createDataFrame([(f"file:{root}/none/x.jsonl", "t")], "file_path string, fetched_at string"), "owner", {}, "x")
+    with pytest.raises(Exception):  # noqa: B017 - the failure of a task
+        write_sidecar_files(records.unionByName(nowhere))
+    for _ in range(2):  # a second write replaces them by equal ones
+        write_sidecar_files(records.unionByName(records))
+        names = [n for _, _, found in os.walk(root) for n in found]
+        assert sorted(n for n in names if not n.endswith(".crc")) == sorted([f"part-{k}.jsonl{x}" for k in range(12) for x in ("", ".meta.json")])
+    back = read_manifests(spark, root)
+    assert orphan_files(files, back).count() == 0 and back.count() == 12
+    got = {r.stored_file: r for r in back.collect()}
+    assert got["part-4.jsonl"].source == "s1" and got["part-4.jsonl"].source_url == "http://u"
+    assert got["part-3.jsonl"].source_url is None and got["part-3.jsonl"].content_type == "application/json"
+    path = f"{root}/domain=weather/source=s1/ingest_date=2024-01-01/hour=09/part-4.jsonl.meta.json"
+    assert list(json.load(open(path))) == ["author_surname", "domain", "source", "source_url", "fetched_at", "content_type", "stored_file"]
+    assert read_bronze(spark, root).count() == 12  # sidecars are no data
+    with pytest.raises(Exception, match="file_path"):
+        write_sidecar_files(records.limit(1).withColumn("file_path", F.lit(None).cast("string")))
+
+
+def test_blobs_land_as_files(spark, tmp_path):
+    """Files of no, one and several blocks; a copy that fails leaves nothing."""
+    from strata.sinks import files
+
+    (tmp_path / "in").mkdir()
+    sizes = {"empty.pb": 0, "one.pb": 1000, "edge.pb": files.BLOCK, "many.pb": 2 * files.BLOCK + 17}
+    for name, n in sizes.items():
+        (tmp_path / "in" / name).write_bytes(os.urandom(n))
+    listing = spark.createDataFrame([(f"file:{tmp_path}/in/{n}", f"file://{tmp_path}/out/a=1/{n}") for n in sizes],
+                                    "file_path string, target string")
+    got = files.land_files(listing.union(listing), f"{tmp_path}/log").collect()
+    assert {r.target.rpartition("/")[2]: r.length for r in got} == sizes and len(got) == 4 and all(r.unchanged for r in got)
+    for name in sizes:
+        assert (tmp_path / "out" / "a=1" / name).read_bytes() == (tmp_path / "in" / name).read_bytes()
+    assert files.land_files(listing.limit(0), f"{tmp_path}/log0").count() == 0
+    one = f"file://{tmp_path}/out/b=1/x.pb"
+    with pytest.raises(Exception, match="not one file"):
+        files.land_files(listing.withColumn("target", F.lit(one)), f"{tmp_path}/log1")
+    gone = spark.createDataFrame([(f"file:{tmp_path}/in/none.pb", one)], "file_path string, target string")
+    with pytest.raises(Exception):  # noqa: B017 - the failure of a task
+        files.land_files(gone, f"{tmp_path}/log2")
+    assert not os.path.exists(tmp_path / "out" / "b=1") or os.listdir(tmp_path / "out" / "b=1") == []
