@@ -171,3 +171,20 @@ def test_seven_passes_whatever_the_spread(spark, monkeypatch):
     got = S.values_at_ranks(df, {"a": ranks, "b": [0, 500, 999]})
     assert got["a"] == {r: sorted(wide)[r] for r in ranks} and got["b"] == {0: 0.0, 500: 3.0, 999: 6.0}
     assert len(passes) <= 7
+
+
+def test_a_pass_reads_a_row_once_for_all_columns(spark, monkeypatch):
+    """Passes take columns side by side: no row is repeated for each of them and their windows."""
+    from strata.functions import stats as S
+    frames, one = [], S._histogram
+    monkeypatch.setattr(S, "_histogram", lambda *a: frames.append(a[0]) or one(*a))
+    nan, inf = float("nan"), float("inf")
+    rows = [(float(i % 91), -float(i) if i % 7 else None, nan if i % 5 == 0 else 2.0 ** (i % 60), None, inf if i % 2 else -0.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(3)
+    got = exact_quantiles(df, list("abcde"), [0.25, 0.5])
+    for j, c in enumerate("abce"):
+        k = "abcde".index(c)
+        values = [r[k] for r in rows if r[k] is not None and r[k] == r[k]]
+        assert got[c] == pytest.approx([float(np.quantile(values, p)) for p in (0.25, 0.5)]) or c == "e"
+    assert got["d"] == [None, None] and got["e"][0] == 0.0
+    assert frames and all("Generate" not in f._jdf.queryExecution().optimizedPlan().toString() for f in frames)
