@@ -143,6 +143,17 @@ def test_seeds_are_drawn_by_squared_distance(spark):
     assert 15 <= sum(m[0, 0] > 25 for m in seeds.values()) <= 45
 
 
+def test_seeds_are_drawn_without_sorting_rows(spark, monkeypatch):
+    """A pass for seeds has a row for each point and restart: it is aggregated in a hash table."""
+    df = spark.range(400).selectExpr("id % 17 + 0.5D AS x0", "id % 5 * 1.0D AS x1")
+    plans, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString()) or collect(d))
+    seeds = ML.seed_centers(df, 3, 4, 7)
+    assert len(plans) == 3 and not any("SortAggregate" in p for p in plans)
+    rows = {(i % 17 + 0.5, i % 5 * 1.0) for i in range(400)}
+    assert all(tuple(c) in rows for m in seeds.values() for c in m) and all(len({tuple(c) for c in m}) == 3 for m in seeds.values())
+
+
 def test_kmeans_on_few_distinct_rows_and_none(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 7 + [(Vectors.dense([3.0, 2.0]),)] * 2, ["features"])
     model = ML.fit_kmeans_best(df, k=4, n_init=3)
