@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -200,12 +202,17 @@ def q_bronze_json_document(spark, sf_dir):
 
 @register("bronze_binary_landing")
 def q_bronze_binary_landing(spark, sf_dir):
-    """The files of the tables as opaque blobs: landed by name, read again and compared by digest."""
-    root = scratch_path(spark, "blobs")
-    files = landed_files(spark, f"{sf_dir}/*.parquet")
-    listing = files.select("file_path", F.concat(F.lit(f"{root}/files/"), "stored_file").alias("target"))
-    return land_files(listing, f"{root}/log").select(
-        F.regexp_extract("target", r"([^/]+)$", 1).alias("file_name"), "length", "content_md5", "unchanged")
+    """The files of the tables as opaque blobs: landed by name, read again and compared by digest.
+
+    A table may be a folder of files, whose names those of other tables share, so a
+    file keeps its path below the folder of the tables."""
+    root, tables = scratch_path(spark, "blobs"), f"{sf_dir}/*.parquet"
+    top = sf_dir.rstrip("/").rpartition("/")[2]
+    files = landed_files(spark, tables)
+    below = F.regexp_replace("file_path", f"^.*/{re.escape(top)}/", "")
+    listing = files.select("file_path", F.concat(F.lit(f"{root}/files/"), below).alias("target"))
+    return land_files(listing, f"{root}/log", tables).select(
+        F.replace("target", F.lit(f"{root}/files/"), F.lit("")).alias("file_name"), "length", "content_md5", "unchanged")
 
 
 @register("bronze_manifest", f"""WITH w AS ({WEATHER}) SELECT 'owner' AS author_surname, domain, source,

@@ -308,3 +308,44 @@ def test_blobs_land_as_files(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017 - the failure of a task
         files.land_files(gone, f"{tmp_path}/log2")
     assert not os.path.exists(tmp_path / "out" / "b=1") or os.listdir(tmp_path / "out" / "b=1") == []
+
+
+def test_blobs_of_tables_in_folders_land_all(spark, tmp_path):
+    """Files of several tables that have the same names."""
+    import __spark_entry__ as e
+
+    for t in ("a", "b"):
+        (tmp_path / "tables" / f"{t}.parquet").mkdir(parents=True)
+        for k in range(2):
+            (tmp_path / "tables" / f"{t}.parquet" / f"part-{k}.parquet").write_bytes(f"{t}{k}".encode() * 100)
+    (tmp_path / "tables" / "c.parquet").write_bytes(b"c")
+    rows = e.queries()["bronze_binary_landing"](spark, f"file:{tmp_path}/tables").collect()
+    assert sorted(r.file_name for r in rows) == ["a.parquet/part-0.parquet", "a.parquet/part-1.parquet", "b.parquet/part-0.parquet",
+                                                 "b.parquet/part-1.parquet", "c.parquet"]
+    assert all(r.unchanged for r in rows) and len({r.content_md5 for r in rows}) == 5
+
+
+def test_blobs_that_only_spark_reads(spark, tmp_path):
+    """Any bytes, with and without a last line end, with a byte order mark, in one split and in many."""
+    import hashlib
+
+    from strata.sinks import files
+
+    blobs = {"random": os.urandom(300_001), "closed": os.urandom(70_000) + b"\n", "mark": files.BOM + b"x\ny", "marked": files.BOM + b"x\r\n",
+             "two": files.BOM * 2 + b"\n", "ends": b"\n" * 50_000, "one": b"\0" * 90_000, "short": b"\r", "only": files.BOM, "cr": b"a\r\nb\rc\r" * 9_000}
+    for n, content in blobs.items():
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / n).write_bytes(content)
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.blobs.link./in", f"file://{tmp_path}/in")
+    listing = spark.createDataFrame([(f"viewfs://blobs/in/{n}", f"file://{tmp_path}/out/{n}") for n in blobs], "file_path string, target string")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        got = files.land_files(listing, f"file://{tmp_path}/log", "viewfs://blobs/in").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.target.rpartition("/")[2]: (r.length, r.content_md5, r.unchanged) for r in got} == {
+        n: (len(c), hashlib.md5(c).hexdigest(), True) for n, c in blobs.items()}
+    assert all((tmp_path / "out" / n).read_bytes() == c for n, c in blobs.items())
+    with pytest.raises(ValueError, match="viewfs"):
+        files.land_files(listing, f"file://{tmp_path}/log2")
