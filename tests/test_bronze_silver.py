@@ -349,3 +349,33 @@ def test_blobs_that_only_spark_reads(spark, tmp_path):
     assert all((tmp_path / "out" / n).read_bytes() == c for n, c in blobs.items())
     with pytest.raises(ValueError, match="viewfs"):
         files.land_files(listing, f"file://{tmp_path}/log2")
+
+
+def test_lines_are_written_without_sorting_them_by_folder(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from strata.sinks import writers
+
+    seen, before = {}, spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    for name in ("json", "text"):
+        one = getattr(DataFrameWriter, name)
+
+        def write(self, path, *a, name=name, one=one, **kw):
+            plan = spark.sql("EXPLAIN INSERT INTO lines_by_day SELECT * FROM lines_of_days").first()[0]
+            seen[name] = "WriteFiles" in plan and "Sort" not in plan
+            return one(self, path, *a, **kw)
+        monkeypatch.setattr(DataFrameWriter, name, write)
+    df = spark.range(3000).selectExpr("concat('line ', id) AS value", "concat('d', id % 300) AS day")
+    df.createOrReplaceTempView("lines_of_days")
+    spark.sql(f"CREATE TABLE lines_by_day (value string, day string) USING json PARTITIONED BY (day) LOCATION 'file://{tmp_path}/t'")
+    try:
+        writers.land_text(df, "value", f"file://{tmp_path}/text", ["day"])
+        writers.write_silver_jsonl(df, f"file://{tmp_path}/json", ["day"])
+    finally:
+        spark.sql("DROP TABLE lines_by_day")
+    assert seen == {"json": True, "text": True}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
+    want = sorted(tuple(r) for r in df.collect())
+    # more folders than files that a task holds open
+    assert sorted(tuple(r) for r in spark.read.text(f"file://{tmp_path}/text").collect()) == want
+    assert sorted((r.value, r.day) for r in spark.read.json(f"file://{tmp_path}/json").collect()) == want
