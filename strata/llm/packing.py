@@ -44,7 +44,7 @@ END_ID = 0
 RANK_BUCKETS = 64  # buckets that share the ranking of one length
 EFFORTS = (4000, 30, 100, 300, 1000, 10, 3)  # nodes of a completion search; its incumbent is valid at any time
 TRIES = 24  # plans that are compared
-SLICE_ROWS = 1024  # texts whose ids are held together
+SLICE_ROWS = 1024  # texts whose ids are held together; their words are those of the whole batch
 
 _PIECE = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -75,39 +75,58 @@ class WordEncoder:
                 self.known.learn(w, array("I", e.ids).tobytes())
 
     def ids_of(self, words: list[str]) -> list[bytes]:
-        split = []
-        for w in words:
-            core = w.rstrip(self.TAIL)
-            at = len(core)
-            whole = at in (0, len(w)) or not (w[at - 1].isalpha() or w[at - 1].isdecimal())
-            split.append((w, "") if whole else (core, w[at:]))
+        """Ids of the distinct ``words``: of those that are remembered at once, of the others by their parts."""
         known = self.known
-        self.learn(known.unknown({p for parts in split for p in parts}))
-        out = [known[a] + known[b] if b else known[a] for a, b in split]
+        out = list(map(known.get, words))
+        plain, tailed = [], []
+        for i, v in enumerate(out):
+            if v is None:
+                w = words[i]
+                core = w.rstrip(self.TAIL)
+                at = len(core)
+                if at == len(w) or not at or not (w[at - 1].isalpha() or w[at - 1].isdecimal()):
+                    plain.append(i)
+                else:
+                    tailed.append((i, core, w[at:]))
+        parts = {words[i] for i in plain}
+        parts.update(core for _, core, _ in tailed)
+        parts.update({tail for _, _, tail in tailed})
+        self.learn(known.unknown(parts))
+        for i in plain:
+            out[i] = known[words[i]]
+        for i, core, tail in tailed:
+            out[i] = known[core] + known[tail]
         known.settle()
         return out
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids (uint32), each text closed by the end id, and offsets."""
+    def encode(self, texts: pa.Array, rows: int = SLICE_ROWS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All ids (uint32), each text closed by the end id, and offsets, of ``rows`` texts at a time.
+
+        Words are looked up once for all texts; the ids, which take most memory, are put together by slices."""
         flat = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         lists = pc.split_pattern(flat, " ")
         at = np.asarray(lists.offsets, np.int64)
         coded = lists.values.dictionary_encode()
+        del flat, lists
         ids = self.ids_of(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         pool = np.frombuffer(b"".join(ids), np.uint32)
+        del ids
         first = np.cumsum(size) - size
-        word = coded.indices.to_numpy(zero_copy_only=False)
-        # a word's ids, then one end id after the last word of each text
-        counts = size[word]
-        run = np.concatenate(([0], np.cumsum(counts)))
-        offs = run[at] + np.arange(len(at))
-        out = np.empty(offs[-1], np.uint32)
-        ends = np.zeros(offs[-1], bool)
-        ends[offs[1:] - 1] = True
-        out[ends] = END_ID
-        out[~ends] = pool[np.repeat(first[word] - run[:-1], counts) + np.arange(run[-1])]
-        return out, offs
+        words = coded.indices.to_numpy(zero_copy_only=False)
+        for lo in range(0, len(texts), rows):
+            here = at[lo:lo + rows + 1]
+            word = words[here[0]:here[-1]]
+            # a word's ids, then one end id after the last word of each text
+            counts = size[word]
+            run = np.concatenate(([0], np.cumsum(counts)))
+            offs = run[here - here[0]] + np.arange(len(here))
+            out = np.empty(offs[-1], np.uint32)
+            ends = np.zeros(offs[-1], bool)
+            ends[offs[1:] - 1] = True
+            out[ends] = END_ID
+            out[~ends] = pool[np.repeat(first[word] - run[:-1], counts) + np.arange(run[-1])]
+            yield out, offs
 
 
 @functools.lru_cache(maxsize=1)
@@ -125,8 +144,7 @@ def pieces_of(path: str, capacity: int):
         encoder = encoder_of(path)
         for texts in batches:
             starts, lengths, sums, row_offs = [], [], [], [0]
-            for lo in range(0, len(texts), SLICE_ROWS):
-                ids, offs = encoder.encode(texts.slice(lo, SLICE_ROWS))
+            for ids, offs in encoder.encode(texts):
                 raw = memoryview(ids.astype("<u4").tobytes())
                 for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
                     for s in range(a, b, capacity):

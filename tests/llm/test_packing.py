@@ -101,3 +101,17 @@ def test_completion_fills_exactly_where_it_can():
     got = K.complete(10, [7, 6, 4, 3], [1, 1, 1, 1])
     assert sum(k * [7, 6, 4, 3][i] for i, k in got) == 10
     assert K.complete(2, [7, 3], [4, 4]) == []
+
+
+def test_words_of_a_batch_are_looked_up_once(monkeypatch):
+    """Ids come in slices of texts, words are handled once for all of them; ids are those of the library."""
+    import pyarrow as pa
+
+    texts = ["the cat, the dog.", None, "", "a,b; c!! 12, 3.4\nthe cat,", " two  spaces ", "…é, ?"] * 5 + ["the dog"]
+    encoder = K.WordEncoder(PATH)
+    calls, one = [], encoder.ids_of
+    monkeypatch.setattr(encoder, "ids_of", lambda words: calls.append(len(words)) or one(words))
+    got = [ids[a:b].tolist() for ids, offs in encoder.encode(pa.array(texts), 4) for a, b in zip(offs[:-1], offs[1:])]
+    assert got == [[*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, K.END_ID] for t in texts]
+    assert len(calls) == 1
+    assert list(encoder.encode(pa.array([], pa.string()))) == []
