@@ -1,6 +1,7 @@
 """The fitted-model queries: optimality and agreement, on the driver's smallest tables."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -60,6 +61,46 @@ def test_silhouette_of_a_sample_keeps_its_bound(spark):
     assert 0 < bound < 0.5 and abs(mean - direct_silhouette(x, labels)) <= bound
 
 
+def test_silhouette_of_large_clusters_is_over_all_rows(spark, monkeypatch):
+    """More than 1 000 rows of a cluster, in one pair of blocks and in many."""
+    rng = np.random.default_rng(3)
+    labels = rng.choice([2, 5, 9], 4000, p=[0.6, 0.35, 0.05])
+    x = rng.normal(size=(len(labels), 2)) + labels[:, None] / 3
+    x[:200] = x[0]  # copies
+    scored, want = points(spark, x + 1e4, labels), direct_silhouette(x, labels)
+    for least in (1 << 13, 500):
+        monkeypatch.setattr(ML, "SILHOUETTE_LEAST", least)
+        mean, bound = ML.silhouette(scored, 2, "id")
+        assert bound == 0 and mean == pytest.approx(want, abs=1e-10)
+    assert ML.silhouette(points(spark, x[:2], [2, 5]), 2, "id") == (0, 0)  # alone in their clusters
+
+
+def test_metrics_of_large_clusters_are_over_all_rows(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 3)) + rng.choice(2, 3000)[:, None] * 2
+    model = ML.Centers(np.array([[0.0, 0, 0], [2, 2, 2]]))
+    scored = model.transform(points(spark, x, np.zeros(len(x), int)).drop("cluster_id"))
+    m = ML.kmeans_metrics(model, scored, "id")
+    labels = np.array([r.cluster_id for r in scored.orderBy("id").collect()])
+    assert np.bincount(labels).min() > 1000 and m["silhouette_bound"] == 0
+    assert m["silhouette"] == pytest.approx(direct_silhouette(x, labels), abs=1e-10)
+
+
+def test_distances_keep_their_digits():
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(60, 3)), 5, axis=0) * [1, 1, 1e3]
+    x += rng.normal(size=x.shape) * 1e-7
+    x[7] = x[8]
+    cluster = np.sort(rng.choice(3, len(x)))
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) @ np.eye(3)[cluster]
+    sums = np.zeros((len(x), 3))
+    for rows, side in ((np.arange(300), np.repeat([0, 1], [100, 200])), (np.arange(100), -1), (np.arange(100, 300), -1)):
+        pair = {"row": rows, "cluster": cluster[rows].astype(np.int32), "side": np.broadcast_to(side, len(rows)).astype(np.int32)}
+        got = ML.block_sums(3, 3)(pa.table(pair | {f"x{i}": np.ascontiguousarray(x[rows, i]) for i in range(3)}))
+        sums[got["row"].to_numpy()] += np.column_stack([got[f"s{c}"] for c in range(3)])
+    assert np.allclose(sums, far, rtol=1e-11, atol=0)
+
+
 def test_coefficients_are_those_of_lstsq(spark, st):
     """The one-hot design is rank-deficient: centred lstsq gives the solution of least norm."""
     x, rows = features(st.linear, st.reg_train, "speed")
